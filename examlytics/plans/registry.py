@@ -12,26 +12,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from examlytics.plans import org
+from examlytics.plans import cohort, org
+from examlytics.plans.context import Analytics
 from examlytics.sources.silver import Silver
 
-ViewFn = Callable[[SparkSession, Silver], DataFrame]
-
-
-def _cp(spark: SparkSession, s: Silver) -> DataFrame:
-    return org.candidate_performance(s)
-
+ViewFn = Callable[[Analytics], DataFrame]
 
 QUERIES: dict[str, ViewFn] = {
-    "candidate_performance": _cp,
-    "executive_overview": lambda sp, s: org.executive_overview(org.candidate_performance(s), s),
-    "monthly_trend": lambda sp, s: org.monthly_trend(org.candidate_performance(s)),
-    "retake_intervals": lambda sp, s: org.retake_intervals(org.candidate_performance(s)),
-    "quality_violations": lambda sp, s: org.quality_violations(org.candidate_performance(s)),
-    "organization_overview": lambda sp, s: org.organization_overview(org.candidate_performance(s)),
-    "organization_catalog": lambda sp, s: org.organization_catalog(s),
-    "trainer_kpis": lambda sp, s: org.trainer_kpis(s),
-    "data_freshness": lambda sp, s: org.data_freshness(s),
+    "candidate_performance": lambda a: a.cp,
+    "executive_overview": lambda a: org.executive_overview(a.cp, a.silver),
+    "monthly_trend": lambda a: org.monthly_trend(a.cp),
+    "retake_intervals": lambda a: org.retake_intervals(a.cp),
+    "quality_violations": lambda a: org.quality_violations(a.cp),
+    "organization_overview": lambda a: org.organization_overview(a.cp),
+    "organization_catalog": lambda a: org.organization_catalog(a.silver),
+    "trainer_kpis": lambda a: org.trainer_kpis(a.silver),
+    "data_freshness": lambda a: org.data_freshness(a.silver),
+    # Cohort views: ``ca()`` uses the portable md5 bucket, checked by the oracle;
+    # the ``_xxh64`` entry is the source's own bucket hash.
+    "cohort_attempt": lambda a: a.ca(),
+    "cohort_attempt_xxh64": lambda a: a.ca("xxh64"),
+    "cohort_kpis": lambda a: cohort.cohort_kpis(a.spark, a.ca()),
+    "cohort_specialization_kpis": lambda a: cohort.cohort_specialization_kpis(a.ca()),
+    "specialization_kpis": lambda a: cohort.specialization_kpis(a.ca()),
+    "specialization_tech_kpis": lambda a: cohort.specialization_tech_kpis(a.spark, a.silver),
+    "candidate_cohort_performance": lambda a: cohort.candidate_cohort_performance(a.ca()),
+    "candidate_specialization_performance": lambda a: cohort.candidate_specialization_performance(a.ca()),
+    "cohort_progression": lambda a: cohort.cohort_progression(a.ca()),
+    "coverage": lambda a: cohort.coverage(a.ca()),
+    "question_performance": lambda a: cohort.question_performance(a.spark, a.silver),
 }
 
 # Catalog view names of the source, per query.
@@ -45,10 +54,20 @@ VIEW_NAMES = {
     "organization_catalog": "organization_catalog_kpis",
     "trainer_kpis": "executive_trainer_kpis",
     "data_freshness": "gold_data_freshness",
+    "cohort_attempt": "cohort_specialization_attempt",
+    "cohort_kpis": "cohort_performance_kpis",
+    "cohort_specialization_kpis": "cohort_specialization_kpis",
+    "specialization_kpis": "specialization_performance_kpis",
+    "specialization_tech_kpis": "specialization_tech_kpis",
+    "candidate_cohort_performance": "candidate_cohort_performance",
+    "candidate_specialization_performance": "candidate_specialization_performance",
+    "cohort_progression": "cohort_progression_trend",
+    "coverage": "additional_analytics_coverage",
+    "question_performance": "question_performance",
 }
 
 
-def register_all(spark: SparkSession, silver: Silver, only: list[str] | None = None) -> list[str]:
+def register_all(a: Analytics, only: list[str] | None = None) -> list[str]:
     """Publish the views as temp views in dependency order; returns their names.
 
     ``only`` restricts to a subset of query names. Registration is lazy:
@@ -59,6 +78,6 @@ def register_all(spark: SparkSession, silver: Silver, only: list[str] | None = N
         if only is not None and name not in only:
             continue
         view = VIEW_NAMES.get(name, name)
-        fn(spark, silver).createOrReplaceTempView(view)
+        fn(a).createOrReplaceTempView(view)
         done.append(view)
     return done

@@ -1,6 +1,8 @@
 """DuckDB oracle SQL for the named queries (independent re-statements)."""
 
+from oracle.cohort_sql import ORACLE as _COHORT
 from oracle.views_sql import ORACLE as _VIEWS
 
 ORACLE: dict[str, str] = {}
 ORACLE.update(_VIEWS)
+ORACLE.update(_COHORT)
