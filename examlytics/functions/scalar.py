@@ -215,11 +215,11 @@ def integrity_label(score: ColumnOrName, high: float = 10, medium: float = 5) ->
 
 
 def retake_direction(delta: ColumnOrName, tolerance: float = 0.001) -> Column:
-    """Declined below -tol, Improved above +tol, else Same."""
+    """Bins (-inf, -tol] Declined, (-tol, tol] Same, (tol, inf) Improved; NULL stays NULL."""
     d = _c(delta)
-    return (F.when(d < F.lit(-tolerance), F.lit("Declined"))
-            .when(d > F.lit(tolerance), F.lit("Improved"))
-            .otherwise(F.lit("Same")))
+    return (F.when(d <= F.lit(-tolerance), F.lit("Declined"))
+            .when(d <= F.lit(tolerance), F.lit("Same"))
+            .when(d > F.lit(tolerance), F.lit("Improved")))
 
 
 def bool_text(x: ColumnOrName) -> Column:

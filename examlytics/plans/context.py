@@ -48,9 +48,21 @@ class Analytics:
                                                           force_map=force_map))
         return cache[key]
 
+    @cached_property
+    def base(self) -> DataFrame:
+        """M1 training working set (V14 md5 mode, with ``seq``)."""
+        from examlytics.plans.marts import prepare_base
+        return prepare_base(self.ca())
+
+    @cached_property
+    def responses(self) -> DataFrame:
+        """One row per served question of each latest valid attempt (persisted)."""
+        return self._keep(cohort.question_responses(self.silver))
+
     def release(self) -> None:
         for df in self._cached:
             df.unpersist()
         self._cached.clear()
         self.__dict__.pop("cp", None)
-        self.__dict__.pop("_ca", None)
+        for k in ("_ca", "base", "responses"):
+            self.__dict__.pop(k, None)

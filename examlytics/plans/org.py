@@ -44,6 +44,12 @@ def latest_attempts(silver: Silver, year_from: str = fx.YEAR_WINDOW[0],
         pre_filter=valid_start(year_from, year_to))
 
 
+def latest_attempts_all(silver: Silver) -> DataFrame:
+    """Latest snapshot per (taker, test, attempt) with every column, no start-time filter."""
+    return dedup_latest(silver.testresult, keys=["assessmenttakerid", "testid", "attemptnumber"],
+                        order=["load_date", "finishtime"])
+
+
 def latest_by_id(df: DataFrame, *cols: str) -> DataFrame:
     """DED2-DED8: latest snapshot per id, projected to ``cols``."""
     return dedup_latest(df.select("id", *cols, "load_date"), keys=["id"]).select("id", *cols)

@@ -12,7 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from examlytics.plans import cohort, org
+from examlytics.functions.html import with_question_label
+from examlytics.plans import cohort, marts as m, org
 from examlytics.plans.context import Analytics
 from examlytics.sources.silver import Silver
 
@@ -41,8 +42,55 @@ QUERIES: dict[str, ViewFn] = {
     "cohort_progression": lambda a: cohort.cohort_progression(a.ca()),
     "coverage": lambda a: cohort.coverage(a.ca()),
     "question_performance": lambda a: cohort.question_performance(a.spark, a.silver),
+    # Executive marts (V1, no slicer selected = all attempts)
+    "kpi_strip": lambda a: m.kpi_strip(a.cp, org.organization_catalog(a.silver), org.retake_intervals(a.cp)),
+    "monthly_performance": lambda a: m.monthly_performance(a.cp),
+    "quarterly_performance": lambda a: m.quarterly_yearly(a.cp, "attempt_quarter"),
+    "yearly_performance": lambda a: m.quarterly_yearly(a.cp, "attempt_year"),
+    "outcome_composition": lambda a: m.outcome_composition(a.cp),
+    "outcome_by_level": lambda a: m.outcome_composition(a.cp, by_level=True),
+    "monthly_violations": lambda a: m.monthly_violations(a.cp),
+    "retake_interval_histogram": lambda a: m.retake_interval_histogram(org.retake_intervals(a.cp)),
+    "executive_roster": lambda a: m.executive_roster(a.cp),
+    "period_progression": lambda a: m.period_progression(a.cp, "attempt_year"),
+    "attempt_questions": lambda a: _attempt_detail(a),
+    "attempt_kpis": lambda a: m.attempt_kpis(_attempt_detail(a)),
+    "question_outcomes": lambda a: m.question_outcomes(_attempt_detail(a)),
+    "question_type_mix": lambda a: m.question_type_mix(_attempt_detail(a))[0],
+    "freshness_list": lambda a: m.freshness_list(org.data_freshness(a.silver)),
+    # Training Center marts (V14 base with sitting numbers, no slicer selected)
+    "training_base": lambda a: a.base,
+    "data_trust": lambda a: m.data_trust(cohort.coverage(a.ca())),
+    "outcomes_scorecard": lambda a: m.outcomes_scorecard(a.base),
+    "attempts_to_pass": lambda a: m.attempts_to_pass(a.base),
+    "question_accuracy": lambda a: m.question_accuracy(a.base),
+    "integrity_rate": lambda a: m.integrity_rate(a.base),
+    "readiness_funnel": lambda a: m.readiness_funnel(a.base),
+    "proficiency_mix": lambda a: m.proficiency_mix(a.base),
+    "specialization_summary": lambda a: m.specialization_summary(a.base),
+    "score_distribution": lambda a: m.score_distribution(a.base),
+    "level_summary": lambda a: m.level_summary(a.spark, a.base),
+    "pass_by_sitting": lambda a: m.pass_by_sitting(a.base),
+    "score_over_time": lambda a: m.score_over_time(a.base),
+    "proficiency_migration": lambda a: m.proficiency_migration(a.base),
+    "retake_score_change": lambda a: m.retake_score_change(a.base),
+    "retake_gaps": lambda a: m.retake_gaps(a.base),
+    "candidate_integrity": lambda a: m.candidate_integrity(a.base),
+    "violation_rate": lambda a: m.violation_rate(a.base),
+    "risk_watchlist": lambda a: m.risk_watchlist(a.base),
+    "cohort_scorecard": lambda a: m.cohort_scorecard(a.base),
+    "cohort_scores": lambda a: m.cohort_scores(a.base),
+    "compare_specializations": lambda a: m.compare_groups(a.base, "specialization", "Backend", "Frontend"),
+    "question_rankings": lambda a: m.question_rankings(
+        with_question_label(cohort.question_performance(a.spark, a.silver))),
+    "training_roster": lambda a: m.training_roster(a.base),
 }
 
+
+def _attempt_detail(a: Analytics) -> DataFrame:
+    """M11 over every latest attempt (a point lookup is a filter on the keys)."""
+    return m.attempt_questions(a.responses, org.latest_attempts_all(a.silver), a.silver.question)
+
 # Catalog view names of the source, per query.
 VIEW_NAMES = {
     "candidate_performance": "trainer_candidate_performance",
