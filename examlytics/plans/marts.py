@@ -466,7 +466,7 @@ def cohort_scorecard(f: DataFrame) -> DataFrame:
         _mean_pct(F.col("is_pass")).alias("overall_pass_pct"),
         F.avg("score_pct").alias("avg_score_pct"),
         F.median("score_pct").alias("median_pct"),
-        _mean_pct(F.col("proficiency_level") == "Advanced").alias("pct_advanced"),
+        _mean_pct(F.coalesce(F.col("proficiency_level") == "Advanced", F.lit(False))).alias("pct_advanced"),
         _mean_pct(vc > 0).alias("integrity_pct"))
 
 
@@ -491,8 +491,13 @@ def compare_groups(f: DataFrame, dimension: str, a: str, b: str) -> DataFrame:
         _mean_pct(vc > 0).alias("Integrity %"))
     long = to_long(g, ["grp"], COMPARE_METRICS, "metric", "val")
     wide = long.groupBy("metric").pivot("grp", [a, b]).agg(F.first("val"))
-    return wide.select("metric", F.col(f"`{a}`").alias("group_a"), F.col(f"`{b}`").alias("group_b"),
-                       (F.col(f"`{a}`") - F.col(f"`{b}`")).alias("delta"))
+    # A group without rows still has 0 attempts and 0 candidates; its rates stay NULL.
+    counted = F.col("metric").isin("Attempts", "Candidates")
+    ga = F.when(counted, F.coalesce(F.col(f"`{a}`"), F.lit(0.0))).otherwise(F.col(f"`{a}`"))
+    gb = F.when(counted, F.coalesce(F.col(f"`{b}`"), F.lit(0.0))).otherwise(F.col(f"`{b}`"))
+    metrics = f.sparkSession.createDataFrame([(m,) for m in COMPARE_METRICS], "metric string")
+    wide = F.broadcast(metrics).join(wide, "metric", "left")
+    return wide.select("metric", ga.alias("group_a"), gb.alias("group_b"), (ga - gb).alias("delta"))
 
 
 def question_rankings(qp: DataFrame, min_served: int = DEFAULT_MIN_SERVED,

@@ -6,3 +6,6 @@ from oracle.views_sql import ORACLE as _VIEWS
 ORACLE: dict[str, str] = {}
 ORACLE.update(_VIEWS)
 ORACLE.update(_COHORT)
+from oracle.marts_sql import ORACLE as _MARTS  # noqa: E402
+
+ORACLE.update(_MARTS)
