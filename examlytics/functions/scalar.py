@@ -98,7 +98,9 @@ def title_case(x: ColumnOrName) -> Column:
 
     Splits the text into alternating letter / non-letter runs and
     capitalises each run, so ``o'neil john-doe a1b`` -> ``O'Neil John-Doe A1B``
-    (``initcap`` only capitalises after spaces).
+    (``initcap`` only capitalises after spaces). Known difference: a run that
+    starts with a character whose title form is not its upper form (``ß``,
+    some ligatures) gets the JVM upper form (``SS``), Python gives ``Ss``.
     """
     runs = F.regexp_extract_all(_c(x), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
     cap = F.transform(runs, lambda p: F.concat(F.upper(F.substring(p, 1, 1)),
@@ -224,7 +226,7 @@ def retake_direction(delta: ColumnOrName, tolerance: float = 0.001) -> Column:
 
 def bool_text(x: ColumnOrName) -> Column:
     """'true'/'false' text (any case) to boolean, anything else False."""
-    return F.coalesce(F.lower(trim_ws(_c(x).cast("string"))).try_cast("boolean"), F.lit(False))
+    return F.coalesce(F.lower(trim_ws(_c(x).cast("string"))) == F.lit("true"), F.lit(False))
 
 
 def question_label(text: ColumnOrName, title: ColumnOrName, empty: str = "(no text)") -> Column:
@@ -252,5 +254,7 @@ def hash_bucket(x: ColumnOrName, labels: Sequence[str], algo: str = "xxh64") ->
     h = xxh64(x) if algo == "xxh64" else md5_60(x) if algo == "md5" else None
     if h is None:
         raise ValueError(f"unknown hash algo {algo!r}")
-    idx = F.pmod(h, F.lit(len(labels))) + F.lit(1)
-    return F.element_at(F.array(*[F.lit(v) for v in labels]), idx.cast("int"))
+    idx = (F.pmod(h, F.lit(len(labels))) + F.lit(1)).cast("int")
+    # Guarded explicitly: element_at over a literal array with a NULL index
+    # was seen to return the last element instead of NULL.
+    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(v) for v in labels]), idx))
