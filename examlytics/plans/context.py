@@ -20,8 +20,9 @@ from examlytics.sources.silver import Silver
 
 class Analytics:
     def __init__(self, spark: SparkSession, silver: Silver, persist: bool = True,
-                 internal_pattern: str | None = None):
+                 internal_pattern: str | None = None, sf_dir: str | None = None):
         self.spark = spark
+        self.sf_dir = sf_dir
         self.silver = silver
         self.persist = persist
         self.internal_pattern = internal_pattern

@@ -9,3 +9,9 @@ ORACLE.update(_COHORT)
 from oracle.marts_sql import ORACLE as _MARTS  # noqa: E402
 
 ORACLE.update(_MARTS)
+from oracle.sources_sql import ORACLE as _SOURCES  # noqa: E402
+
+ORACLE.update(_SOURCES)
+from oracle.documented_sql import ORACLE as _DOC  # noqa: E402
+
+ORACLE.update(_DOC)
