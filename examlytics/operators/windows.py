@@ -98,3 +98,21 @@ def pct_rank_avg(rank_desc_min: Column, ties: Column, n: Column) -> Column:
     below = n - (rank_desc_min - 1) - ties
     avg_rank = below.cast("double") + (ties.cast("double") + F.lit(1.0)) / F.lit(2.0)
     return avg_rank / n.cast("double")
+
+
+def exact_median(df: DataFrame, value: str, parts: int = 64) -> DataFrame:
+    """Exact (interpolated) median of ``value`` as a one-row frame, without
+    gathering the values in one task.
+
+    Uses :func:`rank_over` (ascending): the two middle order statistics are
+    the values whose rank span [rank_min, rank_min + ties - 1] contains
+    ``floor((n+1)/2)`` or ``ceil((n+1)/2)``; their mean is the median.
+    """
+    r = rank_over(df.select(value), value, descending=False, parts=parts).where(F.col("rank_min").isNotNull())
+    lo = F.floor((F.col("n") + 1) / 2)
+    hi = F.ceil((F.col("n") + 1) / 2)
+    last = F.col("rank_min") + F.col("ties") - 1
+    hits = r.where(((F.col("rank_min") <= lo) & (last >= lo)) | ((F.col("rank_min") <= hi) & (last >= hi)))
+    picks = hits.select(value, F.when((F.col("rank_min") <= lo) & (last >= lo), F.col(value)).alias("__lo"),
+                        F.when((F.col("rank_min") <= hi) & (last >= hi), F.col(value)).alias("__hi"))
+    return picks.agg(((F.max("__lo") + F.max("__hi")) / 2).alias("median"))

@@ -51,9 +51,9 @@ class Analytics:
 
     @cached_property
     def base(self) -> DataFrame:
-        """M1 training working set (V14 md5 mode, with ``seq``)."""
+        """M1 training working set (V14 md5 mode, with ``seq``; persisted, read by ~40 marts)."""
         from examlytics.plans.marts import prepare_base
-        return prepare_base(self.ca())
+        return self._keep(prepare_base(self.ca()))
 
     @cached_property
     def responses(self) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from examlytics.functions.html import with_question_label
-from examlytics.plans import cohort, documented as doc, marts as m, medallion, org
+from examlytics.plans import cohort, documented as doc, marts as m, medallion, org, profile
 from examlytics.sources import ingest, lake
 from examlytics.sources.fixtures import read_table
 from examlytics.plans.context import Analytics
@@ -115,6 +115,14 @@ QUERIES: dict[str, ViewFn] = {
     "cohort_attempt_documented": lambda a: a.ca("md5", force_map=False),
     "coverage_documented": lambda a: cohort.coverage(a.ca("md5", force_map=False)),
     "specialization_kpis_documented": lambda a: cohort.specialization_kpis(a.ca("md5", force_map=False)),
+    # Candidate-versus-peer profiles for every candidate
+    "profile_summary": lambda a: profile.summary(a.base),
+    "profile_specialization": lambda a: profile.by_specialization(profile.history(a.base), a.base),
+    "profile_difficulty": lambda a: profile.by_difficulty(profile.history(a.base)),
+    "profile_retakes": lambda a: profile.retake_effectiveness(profile.history(a.base)),
+    "profile_flagged": lambda a: profile.flagged_sittings(profile.history(a.base)),
+    "peer_distribution": lambda a: profile.peer_distribution(profile.peer_standing(a.base)),
+    "profile_timeline": lambda a: profile.timeline(profile.history(a.base)),
 }
 
 # Fixed value: reference clock of the freshness alarm query.

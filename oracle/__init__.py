@@ -15,3 +15,6 @@ ORACLE.update(_SOURCES)
 from oracle.documented_sql import ORACLE as _DOC  # noqa: E402
 
 ORACLE.update(_DOC)
+from oracle.profile_sql import ORACLE as _PROFILE  # noqa: E402
+
+ORACLE.update(_PROFILE)
