@@ -49,42 +49,143 @@ def group_size(keys: Sequence[str]) -> Column:
     return F.count(F.lit(1)).over(Window.partitionBy(*keys))
 
 
+MAX_SLICES = 256
+
+
+def _slices(df: DataFrame, parts: int | None) -> int:
+    """Number of value slices: explicit, else the session's shuffle partitions (capped)."""
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, min(n, MAX_SLICES))
+
+
+def _numeric_image(df: DataFrame, col: str) -> Column | None:
+    """A DOUBLE that never decreases as ``col`` increases (None when there is none)."""
+    t = dict(df.dtypes)[col]
+    if t.startswith("timestamp"):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    if t == "date":
+        return F.unix_date(F.col(col)).cast("double")
+    if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal"):
+        return F.col(col).cast("double")
+    return None
+
+
 def rank_over(df: DataFrame, value: str, partition: Sequence[str] = (), descending: bool = True,
-              parts: int = 64, out_prefix: str = "") -> DataFrame:
-    """Rank rows by ``value`` within ``partition`` without a global sort window.
+              parts: int | None = None, out_prefix: str = "", slice_by: Column | None = None) -> DataFrame:
+    """Rank rows by ``value`` within ``partition`` without a whole-key window.
 
     Adds ``{prefix}rank_min`` (RANK(): 1 + rows strictly before), ``{prefix}ties``
     (rows with the same value) and ``{prefix}n`` (non-NULL rows in the
-    partition). NULL values get NULL for all three.
-
-    Plan: the distinct (partition, value) pairs with their counts are range
-    partitioned on (partition, value) into ``parts`` ordered slices; each
-    slice computes its local running count, and a per-slice total table
-    (at most ``parts`` rows per partition key group) gives each slice its
-    offset. No step holds more than one slice, so a population of any size
-    (or one huge partition key) is spread over ``parts`` tasks.
+    partition key). NULL values get NULL for all three; NULL partition keys
+    form their own group (SQL PARTITION BY semantics).
+
+    Plan: the distinct (key, value) pairs with their counts are cut into
+    value slices whose boundaries are approximate quantiles of a numeric
+    image of the value (``slice_by``; default: the value itself when
+    numeric). The boundaries are at most ``MAX_SLICES`` literals (one small
+    driver round trip), so the slice of a row is a deterministic expression.
+    A running count per (slice, key) plus a per-key prefix sum over slice
+    totals (at most slices + 1 rows per key) gives every rank, so a key
+    holding a large share of all rows is spread over its slices.
     """
     v = F.col(value)
-    key_cols = list(partition)
-    vals = (df.where(v.isNotNull()).groupBy(*key_cols, value).agg(F.count(F.lit(1)).alias("__cnt")))
+    keys = list(partition)
+    if slice_by is None:
+        slice_by = _numeric_image(df, value)
+    src = df.where(v.isNotNull()).select(*keys, value, (slice_by if slice_by is not None else F.lit(0.0))
+                                         .cast("double").alias("__b"))
+    vals = src.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__cnt"), F.max("__b").alias("__b"))
+    n_slices = _slices(df, parts) if slice_by is not None else 1
+    bounds: list[float] = []
+    if n_slices > 1:
+        probs = [i / n_slices for i in range(1, n_slices)]
+        bounds = sorted(set(b for b in vals.where(F.col("__b").isNotNull())
+                            .approxQuantile("__b", probs, 1.0 / (4 * n_slices))))
+    if bounds:
+        arr = F.array(*[F.lit(float(x)) for x in bounds])
+        asc_slice = F.when(F.col("__b").isNull(), F.lit(len(bounds))).otherwise(
+            F.size(F.filter(arr, lambda x: x < F.col("__b"))))
+    else:
+        asc_slice = F.lit(0)
+    sl = (F.lit(len(bounds)) - asc_slice) if descending else asc_slice
     vord = v.desc() if descending else v.asc()
-    sliced = (vals.repartitionByRange(parts, *[F.col(c).asc_nulls_first() for c in key_cols], vord)
-              .withColumn("__slice", F.spark_partition_id()))
-    local_w = (Window.partitionBy("__slice", *key_cols).orderBy(vord)
+    sliced = vals.withColumn("__slice", sl.cast("int"))
+    local_w = (Window.partitionBy("__slice", *keys).orderBy(vord)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = sliced.withColumn("__run", F.sum("__cnt").over(local_w))
-    totals = sliced.groupBy("__slice", *key_cols).agg(F.sum("__cnt").alias("__tot"))
-    off_w = (Window.partitionBy(*key_cols).orderBy("__slice")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select("__slice", *key_cols,
+    totals = sliced.groupBy("__slice", *keys).agg(F.sum("__cnt").alias("__tot"))
+    off_w = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__slice", *keys,
                             F.coalesce(F.sum("__tot").over(off_w), F.lit(0)).alias("__off"),
-                            F.sum("__tot").over(Window.partitionBy(*key_cols)).alias("__n"))
-    ranks = (local.join(offsets, ["__slice", *key_cols])
-             .select(*key_cols, value,
+                            F.sum("__tot").over(Window.partitionBy(*keys)).alias("__n"))
+    ranks = (_null_safe_join(local, offsets, ["__slice", *keys], "inner", right_prefix="__o_")
+             .select(*[F.col(c).alias(f"__k_{c}") for c in keys], F.col(value).alias("__k_v"),
                      (F.col("__off") + F.col("__run") - F.col("__cnt") + 1).alias(out_prefix + "rank_min"),
                      F.col("__cnt").alias(out_prefix + "ties"),
                      F.col("__n").alias(out_prefix + "n")))
-    return df.join(ranks, [*key_cols, value], "left")
+    cond = [df[c].eqNullSafe(ranks[f"__k_{c}"]) for c in keys] + [df[value] == ranks["__k_v"]]
+    return df.join(ranks, cond, "left").drop(*[f"__k_{c}" for c in keys], "__k_v")
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
+                    right_prefix: str) -> DataFrame:
+    """Join on ``keys`` treating NULL = NULL (SQL PARTITION BY semantics); keeps left's key columns."""
+    r = right.select(*[F.col(c).alias(right_prefix + c) if c in keys else F.col(c) for c in right.columns])
+    cond = [left[c].eqNullSafe(r[right_prefix + c]) for c in keys]
+    return left.join(r, cond, how).drop(*[right_prefix + c for c in keys])
+
+
+def null_last_key(cols: Sequence[str], df: DataFrame) -> Column:
+    """A NULL-free struct ordering rows by ``cols`` ascending with NULLs last.
+
+    Each column becomes (is NULL, value or a type sentinel); the flag sorts
+    NULLs after values and the sentinel never compares against a real value.
+    """
+    types = dict(df.dtypes)
+    fields = []
+    for i, c in enumerate(cols):
+        t = types[c]
+        if t == "string":
+            sentinel = F.lit("")
+        elif t.startswith("timestamp") or t == "date":
+            sentinel = F.lit(0).cast("timestamp").cast(t)
+        elif t == "boolean":
+            sentinel = F.lit(False)
+        else:
+            sentinel = F.lit(0).cast(t)
+        fields += [F.col(c).isNull().alias(f"n{i}"), F.coalesce(F.col(c), sentinel).alias(f"v{i}")]
+    return F.struct(*fields)
+
+
+def sequence_over(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "seq",
+                  prev: Sequence[str] = (), prev_prefix: str = "prev_", parts: int | None = None) -> DataFrame:
+    """Skew-safe ``row_number()`` (and ``lag`` of ``prev`` columns) per ``keys`` ordered by ``order``.
+
+    Same result as a window partitioned by ``keys`` (NULL keys form their
+    own group) when ``order`` is unique within a key, but no step holds a
+    whole key: the numbering comes from :func:`rank_over` (slices cut on the
+    first ordering column), and the previous row is fetched by an equi-join
+    on (keys, number - 1), which adaptive skew-join handling can split.
+    """
+    tmp = df.withColumn("__ord", null_last_key(order, df))
+    first = _numeric_image(df, order[0])
+    if first is not None:  # NULLs sort last: give them the largest image
+        first = F.when(F.col(order[0]).isNull(), F.lit(float("inf"))).otherwise(first)
+    ranked = rank_over(tmp, "__ord", partition=keys, descending=False, parts=parts, out_prefix="__",
+                       slice_by=first)
+    ranked = ranked.withColumnRenamed("__rank_min", out).drop("__ties", "__n")
+    if prev:
+        ranked = previous_by_number(ranked, keys, out, prev, prev_prefix)
+    return ranked.drop("__ord")
+
+
+def previous_by_number(df: DataFrame, keys: Sequence[str], number: str, cols: Sequence[str],
+                       prefix: str = "prev_") -> DataFrame:
+    """``lag`` by a dense per-key sequence number, as an equi-join on (keys, number - 1)."""
+    p = df.select(*[F.col(k).alias(f"__p_{k}") for k in keys], (F.col(number) + 1).alias("__p_seq"),
+                  *[F.col(c).alias(prefix + c) for c in cols])
+    cond = [df[k].eqNullSafe(p[f"__p_{k}"]) for k in keys] + [df[number] == p["__p_seq"]]
+    return df.join(p, cond, "left").drop(*[f"__p_{k}" for k in keys], "__p_seq")
 
 
 def percent_rank_asc(rank_desc_min: Column, ties: Column, n: Column) -> Column:
@@ -100,7 +201,7 @@ def pct_rank_avg(rank_desc_min: Column, ties: Column, n: Column) -> Column:
     return avg_rank / n.cast("double")
 
 
-def exact_median(df: DataFrame, value: str, parts: int = 64) -> DataFrame:
+def exact_median(df: DataFrame, value: str, parts: int | None = None) -> DataFrame:
     """Exact (interpolated) median of ``value`` as a one-row frame, without
     gathering the values in one task.
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from examlytics.functions import scalar as fx
 from examlytics.operators.dedup import dedup_latest, pick_one
 from examlytics.operators.nested import explode_tags, parse_results, parse_tags, result_fields
+from examlytics.operators.windows import rank_over
 from examlytics.plans import seeds
 from examlytics.plans.org import latest_by_id
 from examlytics.sources.silver import Silver
@@ -273,9 +274,23 @@ def _candidate_measures() -> list[Column]:
 
 
 def _ranked(cand: DataFrame, part: str, rank_name: str, pct_name: str) -> DataFrame:
-    desc = Window.partitionBy(part).orderBy(F.col("avg_score_pct").desc_nulls_last())
-    asc = Window.partitionBy(part).orderBy(F.col("avg_score_pct").asc_nulls_last())
-    return cand.select("*", F.rank().over(desc).alias(rank_name), F.percent_rank().over(asc).alias(pct_name))
+    """RANK() by avg score DESC NULLS LAST and PERCENT_RANK() ASC NULLS LAST within ``part``.
+
+    Computed with :func:`rank_over` (range-partitioned), so one cohort or
+    specialization holding most candidates is still spread over many tasks.
+    NULL scores rank after all values; the partition size for PERCENT_RANK
+    counts them too.
+    """
+    r = rank_over(cand, "avg_score_pct", partition=[part], descending=True, out_prefix="__")
+    sizes = cand.groupBy(part).agg(F.count(F.lit(1)).alias("__size"))
+    r = r.join(sizes.withColumnRenamed(part, "__part"), r[part].eqNullSafe(F.col("__part")), "left").drop("__part")
+    nn = F.coalesce(F.col("__n"), F.lit(0))
+    rank = F.when(F.col("avg_score_pct").isNotNull(), F.col("__rank_min")).otherwise(nn + 1)
+    below = F.when(F.col("avg_score_pct").isNotNull(), F.col("__n") - (F.col("__rank_min") - 1) - F.col("__ties")) \
+        .otherwise(nn)
+    size = F.col("__size")
+    pr = F.when(size > 1, below.cast("double") / (size - 1).cast("double")).otherwise(F.lit(0.0))
+    return r.select(*cand.columns, rank.cast("int").alias(rank_name), pr.alias(pct_name))
 
 
 def candidate_cohort_performance(ca: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 """Shared base views for a session.
 
 Most views read the per-attempt base (V1) or its cohort extension (V14).
-:class:`Analytics` builds each base once per silver bundle and persists it
-(memory, spilling to disk), so a dashboard-style run of many views scans
-and deduplicates the silver tables once. A lost executor only loses cached
-blocks; Spark recomputes them from the lineage. :meth:`release` drops them.
+:class:`Analytics` builds each base once per silver bundle, checkpoints it
+to the shared checkpoint folder and caches it, so a dashboard-style run of
+many views scans and deduplicates the silver tables once, plans against a
+short lineage, and survives executor loss by re-reading checkpoint files.
+:meth:`release` drops the cached copies.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from examlytics.plans import cohort, org
+from examlytics.session import ensure_checkpoint_dir
 from examlytics.sources.silver import Silver
 
 
@@ -29,10 +31,23 @@ class Analytics:
         self._cached: list[DataFrame] = []
 
     def _keep(self, df: DataFrame) -> DataFrame:
-        if self.persist:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
-            self._cached.append(df)
-        return df
+        """Materialise a base view once: reliable checkpoint, then cached.
+
+        The checkpoint (in the cluster's ``spark.checkpoint.dir``) cuts the
+        lineage, so views built on top analyse a short plan and a lost
+        executor re-reads checkpoint files instead of recomputing the
+        snapshots, deduplications and joins. The source frame is cached only
+        while it is being checkpointed (one computation, not two).
+        """
+        if not self.persist:
+            return df
+        ensure_checkpoint_dir(self.spark)
+        staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = staged.checkpoint(eager=True)
+        staged.unpersist()
+        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        self._cached.append(out)
+        return out
 
     @cached_property
     def cp(self) -> DataFrame:
@@ -55,6 +70,12 @@ class Analytics:
         from examlytics.plans.marts import prepare_base
         return self._keep(prepare_base(self.ca()))
 
+    @cached_property
+    def history(self) -> DataFrame:
+        """P1 profile history (training base with per-frame sitting numbers; persisted)."""
+        from examlytics.plans.profile import history
+        return self._keep(history(self.base))
+
     @cached_property
     def responses(self) -> DataFrame:
         """One row per served question of each latest valid attempt (persisted)."""
@@ -65,5 +86,5 @@ class Analytics:
             df.unpersist()
         self._cached.clear()
         self.__dict__.pop("cp", None)
-        for k in ("_ca", "base", "responses"):
+        for k in ("_ca", "base", "history", "responses"):
             self.__dict__.pop(k, None)

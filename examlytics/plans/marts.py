@@ -25,7 +25,8 @@ from examlytics.operators.combine import one_row
 from examlytics.operators.nested import crosstab, to_long
 from examlytics.operators.slicers import apply_slicers, fixed_order, min_group_size, top_n
 from examlytics.plans.org import latest_by_id
-from examlytics.operators.windows import gap_days, group_size, pct_rank_avg, rank_over, sitting_no
+from examlytics.operators.windows import (group_size, pct_rank_avg, previous_by_number, rank_over,
+                                          sequence_over)
 
 # Dashboard constants.
 LEVEL_ORDER = ["Beginner", "Intermediate", "Advanced"]
@@ -270,9 +271,9 @@ def prepare_base(ca: DataFrame) -> DataFrame:
     """
     keep = ~F.coalesce(F.col("is_excluded"), F.lit(False)) & \
         (F.col("specialization").isNull() | (F.col("specialization") != "Unmapped"))
-    base = ca.where(keep)
-    return base.select("*", F.substring("attempt_year", 1, 4).alias("year"),
-                       sitting_no(["email", "test_id"], "start_time", SEQ_TIEBREAK).alias("seq"))
+    base = ca.where(keep).withColumn("year", F.substring("attempt_year", 1, 4))
+    numbered = sequence_over(base, ["email", "test_id"], ["start_time", *SEQ_TIEBREAK], out="seq")
+    return numbered.withColumn("seq", F.when(_nn("email", "test_id"), F.col("seq")))
 
 
 def slice_base(base: DataFrame, years: Sequence[str] | None = None, specializations: Sequence[str] | None = None,
@@ -423,10 +424,11 @@ def retake_score_change(f: DataFrame) -> DataFrame:
 
 def retake_gaps(f: DataFrame, max_days: float = RETAKE_GAP_MAX_DAYS) -> DataFrame:
     """Days between consecutive sittings of re-sat tests, kept within [0, max_days]."""
-    r = _retaken(f)
-    g = r.select("email", "test_id", "seq",
-                 gap_days(["email", "test_id"], "start_time", order=["seq"]).alias("gap_days"))
-    return g.where(F.col("gap_days").between(0, max_days))
+    r = _retaken(f).select("email", "test_id", "seq", "start_time")
+    g = previous_by_number(r, ["email", "test_id"], "seq", ["start_time"])
+    gap = (F.unix_micros(F.col("start_time").cast("timestamp"))
+           - F.unix_micros(F.col("prev_start_time").cast("timestamp"))) / F.lit(86400e6)
+    return g.select("email", "test_id", "seq", gap.alias("gap_days")).where(F.col("gap_days").between(0, max_days))
 
 
 def candidate_integrity(f: DataFrame) -> DataFrame:
@@ -520,7 +522,7 @@ def question_rankings(qp: DataFrame, min_served: int = DEFAULT_MIN_SERVED,
     return out
 
 
-def training_roster(f: DataFrame, parts: int = 64) -> DataFrame:
+def training_roster(f: DataFrame, parts: int | None = None) -> DataFrame:
     """One row per person with rank (min, by average score) and percentile.
 
     The population ranking uses :func:`rank_over` (range-partitioned, no

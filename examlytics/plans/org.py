@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from examlytics.functions import scalar as fx
 from examlytics.operators.dedup import dedup_latest
 from examlytics.operators.combine import one_row
+from examlytics.operators.windows import sequence_over
 from examlytics.sources.silver import Silver
 
 TESTRESULT_COLS = ["assessmenttakerid", "testid", "attemptnumber", "starttime", "finishtime",
@@ -176,19 +177,18 @@ def monthly_trend(cp: DataFrame) -> DataFrame:
 def retake_intervals(cp: DataFrame) -> DataFrame:
     """V4 ``candidate_retake_intervals``: sittings after the first per (email, test).
 
-    All three window functions share one window spec, so there is one sort
-    per (email, test) partition. Ties on start_time are broken by the taker
-    id (then the remaining attempt key), so sitting numbers are deterministic.
+    Sitting number and previous sitting come from :func:`sequence_over`
+    (range-partitioned numbering + equi-join on the previous number), so a
+    person/test key holding a large share of all sittings (a NULL e-mail,
+    say) is spread over many tasks. Ties on start_time are broken by the
+    taker id, then the attempt number, so numbers are deterministic.
     """
-    w = (Window.partitionBy("email", "test_id")
-         .orderBy(F.col("start_time").asc_nulls_last(), F.col("assessment_taker_id").asc_nulls_last(),
-                  F.col("attempt_number").asc_nulls_last()))
-    pairs = cp.where(F.col("start_time").isNotNull()).select(
+    rows = cp.where(F.col("start_time").isNotNull()).select(
         "assessment_taker_id", "candidatename", "email", "test_id", "test_title", "start_time",
         "score_pct", "is_pass", "pass_status", "attempt_year", "attempt_quarter", "attempt_month",
-        F.row_number().over(w).alias("sitting_no"),
-        F.lag("start_time").over(w).alias("prev_start_time"),
-        F.lag("score_pct").over(w).alias("prev_score_pct"))
+        "attempt_number")
+    pairs = sequence_over(rows, ["email", "test_id"], ["start_time", "assessment_taker_id", "attempt_number"],
+                          out="sitting_no", prev=["start_time", "score_pct"])
     secs = fx.diff_seconds("prev_start_time", "start_time")
     return pairs.where(F.col("prev_start_time").isNotNull()).select(
         "assessment_taker_id", "candidatename", "email", "test_id", "test_title", "sitting_no",

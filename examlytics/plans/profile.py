@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from examlytics.functions import scalar as fx
-from examlytics.operators.windows import exact_median, pct_rank_avg, rank_over
+from examlytics.operators.windows import exact_median, pct_rank_avg, rank_over, sequence_over
 
 # Profile constants.
 PEER_BINS = 25
@@ -30,13 +30,11 @@ def _hist_key() -> Column:
 
 def history(peer: DataFrame) -> DataFrame:
     """The peer rows with ``pseq``, the sitting number per (e-mail, test) in this frame."""
-    w = Window.partitionBy("email", "test_id").orderBy(
-        F.col("start_time").asc_nulls_last(), F.col("assessment_taker_id").asc_nulls_last(),
-        F.col("attempt_number").asc_nulls_last())
-    return peer.where(F.col("email").isNotNull()).select("*", F.row_number().over(w).alias("pseq"))
+    return sequence_over(peer.where(F.col("email").isNotNull()), ["email", "test_id"],
+                         ["start_time", "assessment_taker_id", "attempt_number"], out="pseq")
 
 
-def peer_standing(peer: DataFrame, parts: int = 64) -> DataFrame:
+def peer_standing(peer: DataFrame, parts: int | None = None) -> DataFrame:
     """Per e-mail mean score, the peer average of means, rank (min) and percentile (0-100)."""
     means = peer.where(F.col("score_pct").isNotNull() & F.col("email").isNotNull()).groupBy("email").agg(
         F.avg("score_pct").alias("cand_avg"))
@@ -48,7 +46,7 @@ def peer_standing(peer: DataFrame, parts: int = 64) -> DataFrame:
         (pct_rank_avg(F.col("rank_min"), F.col("ties"), F.col("n")) * 100).alias("percentile"))
 
 
-def integrity(peer: DataFrame, parts: int = 64) -> DataFrame:
+def integrity(peer: DataFrame, parts: int | None = None) -> DataFrame:
     """Per e-mail integrity score and the exact peer median of it."""
     per = peer.where(F.col("email").isNotNull()).groupBy("email").agg(
         (F.coalesce(F.sum(F.coalesce("violation_count", F.lit(0.0))), F.lit(0.0)) * 2.0
@@ -60,10 +58,12 @@ def integrity(peer: DataFrame, parts: int = 64) -> DataFrame:
 
 def retake_gap(hist: DataFrame) -> DataFrame:
     """Mean days between consecutive sittings of the same test (rows with a start time)."""
-    h = hist.where(F.col("start_time").isNotNull())
-    w = Window.partitionBy("email", "test_id").orderBy("start_time", "assessment_taker_id", "attempt_number")
+    h = hist.where(F.col("start_time").isNotNull()).select("email", "test_id", "start_time",
+                                                            "assessment_taker_id", "attempt_number")
+    h = sequence_over(h, ["email", "test_id"], ["start_time", "assessment_taker_id", "attempt_number"],
+                      out="__gseq", prev=["start_time"])
     gaps = h.select("email", ((F.unix_micros(F.col("start_time").cast("timestamp"))
-                               - F.unix_micros(F.lag("start_time").over(w).cast("timestamp"))) / 86400e6)
+                               - F.unix_micros(F.col("prev_start_time").cast("timestamp"))) / 86400e6)
                     .alias("gap"))
     return gaps.groupBy("email").agg(F.avg("gap").alias("avg_retake"))
 
@@ -119,9 +119,9 @@ def timeline(hist: DataFrame) -> DataFrame:
                        (n_spec > 1).alias("split_by_specialization"))
 
 
-def summary(peer: DataFrame, parts: int = 64) -> DataFrame:
-    """P2-P4, P8, P10, P11, P14 in one row per e-mail."""
-    hist = history(peer)
+def summary(peer: DataFrame, parts: int | None = None, hist: DataFrame | None = None) -> DataFrame:
+    """P2-P4, P8, P10, P11, P14 in one row per e-mail (``hist``: a precomputed :func:`history`)."""
+    hist = hist if hist is not None else history(peer)
     k = _hist_key()
     vc = F.coalesce(F.col("violation_count"), F.lit(0.0))
     base = hist.groupBy("email").agg(
@@ -141,8 +141,9 @@ def summary(peer: DataFrame, parts: int = 64) -> DataFrame:
         F.count_if(F.col("lift") == 0).alias("retakes_unchanged"),
         F.count(F.lit(1)).alias("retaken_tests"))
     best = by_specialization(hist, peer).groupBy("email").agg(
-        F.max_by("specialization", F.struct(F.col("avg"), F.lit(0) - F.length("specialization")))
-        .alias("strongest_specialization"))
+        F.min_by("specialization", F.when(F.col("avg").isNotNull(),
+                                          F.struct(-F.col("avg"), F.col("specialization"))))
+        .alias("strongest_specialization"))  # highest average; ties: alphabetical
     out = (base.join(peer_standing(peer, parts), "email", "left")
            .join(integrity(peer, parts), "email", "left")
            .join(retake_gap(hist), "email", "left")
@@ -169,12 +170,13 @@ def summary(peer: DataFrame, parts: int = 64) -> DataFrame:
         head.alias("headline"))
 
 
-def candidate_profiles(peer: DataFrame, parts: int = 64) -> dict[str, DataFrame]:
+def candidate_profiles(peer: DataFrame, parts: int | None = None,
+                       hist: DataFrame | None = None) -> dict[str, DataFrame]:
     """Every profile part for every e-mail, keyed by part name."""
-    hist = history(peer)
+    hist = hist if hist is not None else history(peer)
     standing = peer_standing(peer, parts)
     return {
-        "summary": summary(peer, parts),
+        "summary": summary(peer, parts, hist),
         "history": hist,
         "specialization": by_specialization(hist, peer),
         "difficulty": by_difficulty(hist),
@@ -185,7 +187,7 @@ def candidate_profiles(peer: DataFrame, parts: int = 64) -> dict[str, DataFrame]
     }
 
 
-def candidate_profile(peer: DataFrame, email: str, parts: int = 64) -> dict[str, DataFrame]:
+def candidate_profile(peer: DataFrame, email: str, parts: int | None = None) -> dict[str, DataFrame]:
     """One candidate's profile parts (peer statistics still over the whole peer frame)."""
     parts_ = candidate_profiles(peer, parts)
     return {k: (v if k == "peer_distribution" else v.where(F.col("email") == email)) for k, v in parts_.items()}

@@ -116,13 +116,13 @@ QUERIES: dict[str, ViewFn] = {
     "coverage_documented": lambda a: cohort.coverage(a.ca("md5", force_map=False)),
     "specialization_kpis_documented": lambda a: cohort.specialization_kpis(a.ca("md5", force_map=False)),
     # Candidate-versus-peer profiles for every candidate
-    "profile_summary": lambda a: profile.summary(a.base),
-    "profile_specialization": lambda a: profile.by_specialization(profile.history(a.base), a.base),
-    "profile_difficulty": lambda a: profile.by_difficulty(profile.history(a.base)),
-    "profile_retakes": lambda a: profile.retake_effectiveness(profile.history(a.base)),
-    "profile_flagged": lambda a: profile.flagged_sittings(profile.history(a.base)),
+    "profile_summary": lambda a: profile.summary(a.base, hist=a.history),
+    "profile_specialization": lambda a: profile.by_specialization(a.history, a.base),
+    "profile_difficulty": lambda a: profile.by_difficulty(a.history),
+    "profile_retakes": lambda a: profile.retake_effectiveness(a.history),
+    "profile_flagged": lambda a: profile.flagged_sittings(a.history),
     "peer_distribution": lambda a: profile.peer_distribution(profile.peer_standing(a.base)),
-    "profile_timeline": lambda a: profile.timeline(profile.history(a.base)),
+    "profile_timeline": lambda a: profile.timeline(a.history),
 }
 
 # Fixed value: reference clock of the freshness alarm query.

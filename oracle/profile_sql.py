@@ -91,7 +91,8 @@ left join (select email, avg(gap) as avg_retake from (
 left join (select email, count(*) filter (where lift > 0) as retakes_improved,
              count(*) filter (where lift < 0) as retakes_declined, count(*) filter (where lift = 0) as retakes_unchanged,
              count(*) as retaken_tests from o_ret group by email) e on b.email = e.email
-left join (select email, arg_max(specialization, struct_pack(a := avg, b := -length(specialization)))
+left join (select email, arg_min(specialization, case when avg is not null then
+               struct_pack(a := -avg, b := specialization) end)
              as strongest_specialization from o_spec group by email) st on b.email = st.email""",
                                    [SPEC, RET, STAND])
 
