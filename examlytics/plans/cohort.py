@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from examlytics.functions import scalar as fx
+from examlytics.operators.combine import grouped_with_distinct
 from examlytics.operators.dedup import dedup_latest, pick_one
 from examlytics.operators.nested import explode_tags, parse_results, parse_tags, result_fields
 from examlytics.operators.windows import rank_over
@@ -167,9 +168,9 @@ def cohort_kpis(spark: SparkSession, ca: DataFrame, reference: DataFrame | None
     """V15 ``cohort_performance_kpis``."""
     ref = reference if reference is not None else seeds.program_reference(spark)
     j = ca.join(F.broadcast(ref), ca.program_type == ref.program, "left")
-    return j.groupBy("cohort", "program_type", "cohort_year", "center", "duration_months").agg(
+    keys = ["cohort", "program_type", "cohort_year", "center", "duration_months"]
+    g = grouped_with_distinct(j, keys, [
         F.count(F.lit(1)).alias("attempts"),
-        F.count_distinct("assessment_taker_id").alias("unique_candidates"),
         fx.pct_dec1(F.sum("is_pass"), F.count(F.lit(1))).alias("pass_rate_pct"),
         _first_attempt_pass_rate().alias("first_attempt_pass_rate_pct"),
         F.avg("score_pct").alias("avg_score_pct"),
@@ -181,15 +182,19 @@ def cohort_kpis(spark: SparkSession, ca: DataFrame, reference: DataFrame | None
         F.avg("duration_min").alias("avg_duration_min"),
         _completion_rate().alias("completion_rate_pct"),
         F.sum("violation_count").alias("total_violations"),
-        F.avg("violation_count").alias("avg_violations_per_attempt"))
+        F.avg("violation_count").alias("avg_violations_per_attempt")],
+        {"unique_candidates": "assessment_taker_id"})
+    return g.select(*keys, "attempts", "unique_candidates", "pass_rate_pct", "first_attempt_pass_rate_pct",
+                    "avg_score_pct", "median_score_pct", "pct_advanced", "pct_intermediate", "pct_beginner",
+                    "avg_attempts_to_pass", "avg_duration_min", "completion_rate_pct", "total_violations",
+                    "avg_violations_per_attempt")
 
 
 def cohort_specialization_kpis(ca: DataFrame) -> DataFrame:
     """V16 ``cohort_specialization_kpis`` (excluded attempts left out)."""
-    return ca.where(~F.col("is_excluded")).groupBy(
-        "cohort", "cohort_year", "program_type", "specialization", "center").agg(
+    keys = ["cohort", "cohort_year", "program_type", "specialization", "center"]
+    g = grouped_with_distinct(ca.where(~F.col("is_excluded")), keys, [
         F.count(F.lit(1)).alias("attempts"),
-        F.count_distinct("assessment_taker_id").alias("unique_candidates"),
         fx.pct_dec1(F.sum("is_pass"), F.count(F.lit(1))).alias("pass_rate_pct"),
         F.avg("score_pct").alias("avg_score_pct"),
         _median("score_pct").alias("median_score_pct"),
@@ -198,14 +203,17 @@ def cohort_specialization_kpis(ca: DataFrame) -> DataFrame:
         _level_pct("Beginner").alias("pct_beginner"),
         F.avg(F.col("total_attempts_before_pass").cast("double")).alias("avg_attempts_to_pass"),
         F.avg("duration_min").alias("avg_duration_min"),
-        F.sum("violation_count").alias("total_violations"))
+        F.sum("violation_count").alias("total_violations")],
+        {"unique_candidates": "assessment_taker_id"})
+    return g.select(*keys, "attempts", "unique_candidates", "pass_rate_pct", "avg_score_pct", "median_score_pct",
+                    "pct_advanced", "pct_intermediate", "pct_beginner", "avg_attempts_to_pass",
+                    "avg_duration_min", "total_violations")
 
 
 def specialization_kpis(ca: DataFrame) -> DataFrame:
     """V17 ``specialization_performance_kpis``."""
-    return ca.where(~F.col("is_excluded")).groupBy("specialization").agg(
+    g = grouped_with_distinct(ca.where(~F.col("is_excluded")), ["specialization"], [
         F.count(F.lit(1)).alias("attempts"),
-        F.count_distinct("assessment_taker_id").alias("unique_candidates"),
         fx.pct_dec1(F.sum("is_pass"), F.count(F.lit(1))).alias("pass_rate_pct"),
         _first_attempt_pass_rate().alias("first_attempt_pass_rate_pct"),
         F.avg("score_pct").alias("avg_score_pct"),
@@ -216,7 +224,12 @@ def specialization_kpis(ca: DataFrame) -> DataFrame:
         F.avg(F.col("total_attempts_before_pass").cast("double")).alias("avg_attempts_to_pass"),
         F.avg("duration_min").alias("avg_duration_min"),
         _completion_rate().alias("completion_rate_pct"),
-        F.sum("violation_count").alias("total_violations"))
+        F.sum("violation_count").alias("total_violations")],
+        {"unique_candidates": "assessment_taker_id"})
+    return g.select("specialization", "attempts", "unique_candidates", "pass_rate_pct",
+                    "first_attempt_pass_rate_pct", "avg_score_pct", "median_score_pct", "pct_advanced",
+                    "pct_intermediate", "pct_beginner", "avg_attempts_to_pass", "avg_duration_min",
+                    "completion_rate_pct", "total_violations")
 
 
 def specialization_tech_kpis(spark: SparkSession, silver: Silver, crosswalk: DataFrame | None = None,
@@ -256,13 +269,28 @@ def _latest_key() -> Column:
         F.coalesce(F.col("assessment_taker_id"), F.lit(""))))
 
 
+CANDIDATE_COLS = ["candidatename", "candidate_source", "attempts", "tests_taken", "pass_rate_pct", "avg_score_pct",
+                  "best_score_pct", "latest_score_pct", "latest_proficiency", "score_improvement",
+                  "integrity_risk_score"]
+
+
+def _candidates(ca: DataFrame, keys: list[str]) -> DataFrame:
+    """Per-person measures; the distinct test count is its own aggregate (see grouped_with_distinct).
+
+    Name and source are functions of the e-mail in V1, so they are constant
+    within an e-mail group: grouping by them (instead of aggregating them
+    with ARBITRARY/min) gives the same groups and keeps string buffers out
+    of the aggregate.
+    """
+    g = grouped_with_distinct(ca, keys + ["candidatename", "candidate_source"], _candidate_measures(),
+                              {"tests_taken": "test_id"})
+    return g.select(*keys, *CANDIDATE_COLS)
+
+
 def _candidate_measures() -> list[Column]:
     k = _latest_key()
     return [
-        F.min("candidatename").alias("candidatename"),
-        F.min("candidate_source").alias("candidate_source"),
         F.count(F.lit(1)).alias("attempts"),
-        F.count_distinct("test_id").alias("tests_taken"),
         fx.pct_dec1(F.sum("is_pass"), F.count(F.lit(1))).alias("pass_rate_pct"),
         F.avg("score_pct").alias("avg_score_pct"),
         F.max("score_pct").alias("best_score_pct"),
@@ -295,14 +323,13 @@ def _ranked(cand: DataFrame, part: str, rank_name: str, pct_name: str) -> DataFr
 
 def candidate_cohort_performance(ca: DataFrame) -> DataFrame:
     """V19 ``candidate_cohort_performance``: one row per person per cohort, ranked."""
-    cand = ca.groupBy("cohort", "cohort_year", "program_type", "center", "email").agg(*_candidate_measures())
+    cand = _candidates(ca, ["cohort", "cohort_year", "program_type", "center", "email"])
     return _ranked(cand, "cohort", "rank_in_cohort", "percentile_in_cohort")
 
 
 def candidate_specialization_performance(ca: DataFrame) -> DataFrame:
     """V20 ``candidate_specialization_performance``."""
-    cand = ca.where(~F.col("is_excluded")).groupBy("specialization", "center", "email").agg(
-        *_candidate_measures())
+    cand = _candidates(ca.where(~F.col("is_excluded")), ["specialization", "center", "email"])
     return _ranked(cand, "specialization", "rank_in_specialization", "percentile_in_specialization")
 
 

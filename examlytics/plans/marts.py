@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examlytics.functions import scalar as fx
-from examlytics.operators.combine import one_row
+from examlytics.operators.combine import grouped_with_distinct, one_row
 from examlytics.operators.nested import crosstab, to_long
 from examlytics.operators.slicers import apply_slicers, fixed_order, min_group_size, top_n
 from examlytics.plans.org import latest_by_id
@@ -292,15 +292,14 @@ def data_trust(coverage: DataFrame) -> DataFrame:
 def outcomes_scorecard(f: DataFrame) -> DataFrame:
     """Candidates, attempts, first-sitting and overall pass, lift, median and mean score."""
     first = F.when(F.col("seq") == 1, F.col("is_pass"))
-    g = f.agg(
-        F.count_distinct("email").alias("candidates"),
+    g = grouped_with_distinct(f, [], [
         F.count(F.lit(1)).alias("attempts"),
-        F.count_distinct("specialization").alias("specializations"),
         _mean_pct(first).alias("first_sitting_pass_pct"),
         _mean_pct(F.col("is_pass")).alias("overall_pass_pct"),
         F.median("score_pct").alias("median_score"),
         F.avg("score_pct").alias("avg_score"),
-        F.avg("duration_min").alias("avg_duration"))
+        F.avg("duration_min").alias("avg_duration")],
+        {"candidates": "email", "specializations": "specialization"})
     return g.select("candidates", "attempts", "specializations", "first_sitting_pass_pct", "overall_pass_pct",
                     (F.col("overall_pass_pct") - F.col("first_sitting_pass_pct")).alias("lift"),
                     "median_score", "avg_score", "avg_duration")
@@ -461,15 +460,17 @@ def risk_watchlist(f: DataFrame, limit: int = WATCHLIST_LIMIT) -> DataFrame:
 def cohort_scorecard(f: DataFrame) -> DataFrame:
     """Per cohort candidates, attempts, first-sitting / overall pass, scores, advanced share, integrity."""
     vc = F.coalesce(F.col("violation_count"), F.lit(0.0))
-    return f.where(F.col("cohort").isNotNull()).groupBy("cohort").agg(
-        F.count_distinct("email").alias("candidates"),
+    g = grouped_with_distinct(f.where(F.col("cohort").isNotNull()), ["cohort"], [
         F.count(F.lit(1)).alias("attempts"),
         _mean_pct(F.when(F.col("seq") == 1, F.col("is_pass"))).alias("first_sit_pass_pct"),
         _mean_pct(F.col("is_pass")).alias("overall_pass_pct"),
         F.avg("score_pct").alias("avg_score_pct"),
         F.median("score_pct").alias("median_pct"),
         _mean_pct(F.coalesce(F.col("proficiency_level") == "Advanced", F.lit(False))).alias("pct_advanced"),
-        _mean_pct(vc > 0).alias("integrity_pct"))
+        _mean_pct(vc > 0).alias("integrity_pct")],
+        {"candidates": "email"})
+    return g.select("cohort", "candidates", "attempts", "first_sit_pass_pct", "overall_pass_pct", "avg_score_pct",
+                    "median_pct", "pct_advanced", "integrity_pct")
 
 
 def cohort_scores(f: DataFrame) -> DataFrame:
