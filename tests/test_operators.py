@@ -84,3 +84,26 @@ def test_one_row_combines_without_join(spark):
     b = spark.range(3).agg(F.max("id").alias("m"), F.lit(None).cast("double").alias("z"))
     r = one_row(a, b).first()
     assert (r.n, r.m, r.z) == (5, 2, None)
+
+
+def test_sequence_over_matches_window_with_hot_and_null_keys(spark):
+    import datetime as dt
+
+    from pyspark.sql import Window
+
+    from examlytics.operators.windows import sequence_over
+    rnd = random.Random(11)
+    rows = []
+    for i in range(600):
+        # a third of the rows share one key; some keys are NULL; some times are NULL
+        email = "hot@x" if i % 3 == 0 else (None if i % 7 == 0 else f"u{i % 40}@x")
+        ts = None if i % 29 == 0 else dt.datetime(2025, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 10_000))
+        rows.append((email, f"t{i % 2}", f"k{i}", ts, float(i)))
+    df = spark.createDataFrame(rows, "email string, test_id string, taker string, ts timestamp_ntz, v double")
+    got = {r.taker: (r.seq, r.prev_v) for r in
+           sequence_over(df, ["email", "test_id"], ["ts", "taker"], prev=["v"], parts=6).collect()}
+    w = Window.partitionBy("email", "test_id").orderBy(df.ts.asc_nulls_last(), df.taker.asc_nulls_last())
+    from pyspark.sql import functions as F
+    exp = {r.taker: (r.seq, r.prev_v) for r in
+           df.select("taker", F.row_number().over(w).alias("seq"), F.lag("v").over(w).alias("prev_v")).collect()}
+    assert got == exp
