@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -48,3 +48,11 @@ def grouped_with_distinct(df: DataFrame, keys: list[str], aggs: list, distinct:
         out = out.join(d, cond, "left").drop(*[f"__d_{k}" for k in keys]) \
             .withColumn(alias, F.coalesce(F.col(alias), F.lit(0)))
     return out
+
+
+def weighted_mean(value: str, weight: str) -> Column:
+    """``sum(v * w) / sum(w)`` over rows with non-NULL v and w and w > 0; NULL when none remain."""
+    ok = F.col(value).isNotNull() & F.col(weight).isNotNull() & (F.col(weight) > 0)
+    num = F.sum(F.when(ok, F.col(value).cast("double") * F.col(weight)))
+    den = F.sum(F.when(ok, F.col(weight).cast("double")))
+    return num / F.nullif(den, F.lit(0.0))

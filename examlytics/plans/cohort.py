@@ -154,6 +154,11 @@ def _median(c: str) -> Column:
     return F.percentile_approx(c, 0.5, 10000)
 
 
+def first_attempt_pass_rate() -> Column:
+    """First-attempt passes over first attempts, one-decimal percentage (NULL when none)."""
+    return _first_attempt_pass_rate()
+
+
 def _first_attempt_pass_rate() -> Column:
     first = F.col("attempt_number") == 1
     return fx.pct_dec1(_count_when(first & (F.col("is_pass") == 1)), _count_when(first))

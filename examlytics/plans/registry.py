@@ -12,7 +12,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from examlytics.functions.html import with_question_label
+from examlytics.operators.combine import weighted_mean
 from examlytics.plans import cohort, documented as doc, marts as m, medallion, org, profile
 from examlytics.sources import ingest, lake
 from examlytics.sources.fixtures import read_table
@@ -92,6 +95,15 @@ QUERIES: dict[str, ViewFn] = {
         "test_creation_assessment_taker", lake.latest_snapshot(a.silver.assessmenttaker)),
     "gold_testresult": lambda a: medallion.gold_transform(
         "test_execution_testresult", lake.latest_snapshot(a.silver.testresult)),
+    "gold_category": lambda a: _gold(a, "test_creation_category", a.silver.category),
+    "gold_domain": lambda a: _gold(a, "test_creation_domain", a.silver.domain),
+    "gold_test": lambda a: _gold(a, "test_creation_test", a.silver.test),
+    "gold_question": lambda a: _gold(a, "test_creation_question", a.silver.question),
+    "gold_assessment": lambda a: _gold(a, "test_creation_assessment", a.silver.assessment),
+    "gold_assessment_dispatch": lambda a: _gold(a, "test_creation_assessment_dispatch", a.silver.dispatch),
+    "weighted_cohort_pass_rate": lambda a: cohort.cohort_specialization_kpis(a.ca()).groupBy("cohort").agg(
+        weighted_mean("pass_rate_pct", "attempts").alias("weighted_pass_rate_pct"),
+        F.sum("attempts").alias("attempts")),
     "events_incremental": lambda a: ingest.incremental_batch(
         read_table(a.spark, a.sf_dir, "events"), "ts", EVENTS_WATERMARK),
     # Documented-only views (formulas from the KPI dictionary; V24 inferred)
@@ -132,6 +144,11 @@ FRESHNESS_NOW = "2030-01-09 12:00:00"
 EVENTS_WATERMARK = "2024-01-15 00:00:00"
 
 
+def _gold(a: Analytics, dataset: str, snapshots: DataFrame) -> DataFrame:
+    """CLN5-CLN15 on the latest silver snapshot of a table."""
+    return medallion.gold_transform(dataset, lake.latest_snapshot(snapshots))
+
+
 def _attempt_detail(a: Analytics) -> DataFrame:
     """M11 over every latest attempt (a point lookup is a filter on the keys)."""
     return m.attempt_questions(a.responses, org.latest_attempts_all(a.silver), a.silver.question)

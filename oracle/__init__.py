@@ -18,3 +18,6 @@ ORACLE.update(_DOC)
 from oracle.profile_sql import ORACLE as _PROFILE  # noqa: E402
 
 ORACLE.update(_PROFILE)
+from oracle.gold_sql import ORACLE as _GOLD  # noqa: E402
+
+ORACLE.update(_GOLD)
