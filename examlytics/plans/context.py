@@ -76,6 +76,16 @@ class Analytics:
         from examlytics.plans.profile import history
         return self._keep(history(self.base))
 
+    @cached_property
+    def retake(self) -> DataFrame:
+        """V4 retake intervals (read by the retake view, KPI strip and histogram; checkpointed)."""
+        return self._keep(org.retake_intervals(self.cp))
+
+    @cached_property
+    def qp(self) -> DataFrame:
+        """V23 question performance (read by the view and the question rankings; checkpointed)."""
+        return self._keep(cohort.question_performance(self.spark, self.silver))
+
     @cached_property
     def responses(self) -> DataFrame:
         """One row per served question of each latest valid attempt (persisted)."""
@@ -86,5 +96,5 @@ class Analytics:
             df.unpersist()
         self._cached.clear()
         self.__dict__.pop("cp", None)
-        for k in ("_ca", "base", "history", "responses"):
+        for k in ("_ca", "base", "history", "retake", "qp", "responses"):
             self.__dict__.pop(k, None)

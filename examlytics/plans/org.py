@@ -46,8 +46,13 @@ def latest_attempts(silver: Silver, year_from: str = fx.YEAR_WINDOW[0],
 
 
 def latest_attempts_all(silver: Silver) -> DataFrame:
-    """Latest snapshot per (taker, test, attempt) with every column, no start-time filter."""
-    return dedup_latest(silver.testresult, keys=["assessmenttakerid", "testid", "attemptnumber"],
+    """Latest snapshot per (taker, test, attempt), no start-time filter, without the result JSON.
+
+    The JSON text is large and the attempt-level figures do not need it, so
+    it is neither carried through the shuffle nor used as a tiebreak.
+    """
+    cols = [c for c in silver.testresult.columns if c != "result"]
+    return dedup_latest(silver.testresult.select(*cols), keys=["assessmenttakerid", "testid", "attemptnumber"],
                         order=["load_date", "finishtime"])
 
 

@@ -28,7 +28,7 @@ QUERIES: dict[str, ViewFn] = {
     "candidate_performance": lambda a: a.cp,
     "executive_overview": lambda a: org.executive_overview(a.cp, a.silver),
     "monthly_trend": lambda a: org.monthly_trend(a.cp),
-    "retake_intervals": lambda a: org.retake_intervals(a.cp),
+    "retake_intervals": lambda a: a.retake,
     "quality_violations": lambda a: org.quality_violations(a.cp),
     "organization_overview": lambda a: org.organization_overview(a.cp),
     "organization_catalog": lambda a: org.organization_catalog(a.silver),
@@ -46,16 +46,16 @@ QUERIES: dict[str, ViewFn] = {
     "candidate_specialization_performance": lambda a: cohort.candidate_specialization_performance(a.ca()),
     "cohort_progression": lambda a: cohort.cohort_progression(a.ca()),
     "coverage": lambda a: cohort.coverage(a.ca()),
-    "question_performance": lambda a: cohort.question_performance(a.spark, a.silver),
+    "question_performance": lambda a: a.qp,
     # Executive marts (V1, no slicer selected = all attempts)
-    "kpi_strip": lambda a: m.kpi_strip(a.cp, org.organization_catalog(a.silver), org.retake_intervals(a.cp)),
+    "kpi_strip": lambda a: m.kpi_strip(a.cp, org.organization_catalog(a.silver), a.retake),
     "monthly_performance": lambda a: m.monthly_performance(a.cp),
     "quarterly_performance": lambda a: m.quarterly_yearly(a.cp, "attempt_quarter"),
     "yearly_performance": lambda a: m.quarterly_yearly(a.cp, "attempt_year"),
     "outcome_composition": lambda a: m.outcome_composition(a.cp),
     "outcome_by_level": lambda a: m.outcome_composition(a.cp, by_level=True),
     "monthly_violations": lambda a: m.monthly_violations(a.cp),
-    "retake_interval_histogram": lambda a: m.retake_interval_histogram(org.retake_intervals(a.cp)),
+    "retake_interval_histogram": lambda a: m.retake_interval_histogram(a.retake),
     "executive_roster": lambda a: m.executive_roster(a.cp),
     "period_progression": lambda a: m.period_progression(a.cp, "attempt_year"),
     "attempt_questions": lambda a: _attempt_detail(a),
@@ -86,8 +86,7 @@ QUERIES: dict[str, ViewFn] = {
     "cohort_scorecard": lambda a: m.cohort_scorecard(a.base),
     "cohort_scores": lambda a: m.cohort_scores(a.base),
     "compare_specializations": lambda a: m.compare_groups(a.base, "specialization", "Backend", "Frontend"),
-    "question_rankings": lambda a: m.question_rankings(
-        with_question_label(cohort.question_performance(a.spark, a.silver))),
+    "question_rankings": lambda a: m.question_rankings(with_question_label(a.qp)),
     "training_roster": lambda a: m.training_roster(a.base),
     # Ingest and medallion operators over the derived silver tables / events
     "latest_testresult_snapshot": lambda a: lake.latest_snapshot(a.silver.testresult),

@@ -43,7 +43,7 @@ def on_base(body: str, extra=None) -> str:
 ATT_CTES = QP_CTES + [
     ("o_tra", """select * from (select *, row_number() over (partition by assessmenttakerid, testid, attemptnumber
         order by load_date desc nulls last, finishtime desc nulls last, title asc nulls last, starttime asc nulls last,
-          duration asc nulls last, result asc nulls last) as rn from s_testresult) where rn = 1"""),
+          duration asc nulls last) as rn from s_testresult) where rn = 1"""),
     ("o_qdm", dedup("s_question", "id", ["questiontype", "difficultylevel", "questiontitle", "questiontext"])),
     ("o_detail", """select p.assessmenttakerid, p.testid, p.attemptnumber, p.pos, p.question_id, p.max_score,
         p.achieved_score, p.idle_time_sec, p.is_answered, p.is_answer_correct,
