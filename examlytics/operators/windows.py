@@ -70,8 +70,17 @@ def _numeric_image(df: DataFrame, col: str) -> Column | None:
     return None
 
 
+def domain_bounds(low: float, high: float, parts: int) -> list[float]:
+    """Equal-width slice boundaries for a value with a known domain (e.g. a 0-100 score)."""
+    return [low + (high - low) * i / parts for i in range(1, parts)]
+
+
+SCORE_DOMAIN = (0.0, 100.0)
+
+
 def rank_over(df: DataFrame, value: str, partition: Sequence[str] = (), descending: bool = True,
-              parts: int | None = None, out_prefix: str = "", slice_by: Column | None = None) -> DataFrame:
+              parts: int | None = None, out_prefix: str = "", slice_by: Column | None = None,
+              bounds: Sequence[float] | None = None) -> DataFrame:
     """Rank rows by ``value`` within ``partition`` without a whole-key window.
 
     Adds ``{prefix}rank_min`` (RANK(): 1 + rows strictly before), ``{prefix}ties``
@@ -84,6 +93,9 @@ def rank_over(df: DataFrame, value: str, partition: Sequence[str] = (), descendi
     image of the value (``slice_by``; default: the value itself when
     numeric). The boundaries are at most ``MAX_SLICES`` literals (one small
     driver round trip), so the slice of a row is a deterministic expression.
+    When the value domain is known (``bounds``, e.g. :func:`domain_bounds`
+    over 0-100 for scores) no sampling pass is needed; boundaries only
+    affect balance, never the result.
     A running count per (slice, key) plus a per-key prefix sum over slice
     totals (at most slices + 1 rows per key) gives every rank, so a key
     holding a large share of all rows is spread over its slices.
@@ -96,7 +108,11 @@ def rank_over(df: DataFrame, value: str, partition: Sequence[str] = (), descendi
                                          .cast("double").alias("__b"))
     vals = src.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__cnt"), F.max("__b").alias("__b"))
     n_slices = _slices(df, parts) if slice_by is not None else 1
-    bounds: list[float] = []
+    if bounds is not None:
+        bounds = sorted(set(float(b) for b in bounds))
+        n_slices = 1
+    else:
+        bounds = []
     if n_slices > 1:
         probs = [i / n_slices for i in range(1, n_slices)]
         bounds = sorted(set(b for b in vals.where(F.col("__b").isNotNull())

@@ -25,7 +25,7 @@ from examlytics.functions import scalar as fx
 from examlytics.operators.combine import grouped_with_distinct
 from examlytics.operators.dedup import dedup_latest, pick_one
 from examlytics.operators.nested import explode_tags, parse_results, parse_tags, result_fields
-from examlytics.operators.windows import rank_over
+from examlytics.operators.windows import MAX_SLICES, SCORE_DOMAIN, domain_bounds, rank_over
 from examlytics.plans import seeds
 from examlytics.plans.org import latest_by_id
 from examlytics.sources.silver import Silver
@@ -314,7 +314,8 @@ def _ranked(cand: DataFrame, part: str, rank_name: str, pct_name: str) -> DataFr
     NULL scores rank after all values; the partition size for PERCENT_RANK
     counts them too.
     """
-    r = rank_over(cand, "avg_score_pct", partition=[part], descending=True, out_prefix="__")
+    r = rank_over(cand, "avg_score_pct", partition=[part], descending=True, out_prefix="__",
+                  bounds=domain_bounds(*SCORE_DOMAIN, MAX_SLICES))
     sizes = cand.groupBy(part).agg(F.count(F.lit(1)).alias("__size"))
     r = r.join(sizes.withColumnRenamed(part, "__part"), r[part].eqNullSafe(F.col("__part")), "left").drop("__part")
     nn = F.coalesce(F.col("__n"), F.lit(0))

@@ -25,8 +25,8 @@ from examlytics.operators.combine import grouped_with_distinct, one_row
 from examlytics.operators.nested import crosstab, to_long
 from examlytics.operators.slicers import apply_slicers, fixed_order, min_group_size, top_n
 from examlytics.plans.org import latest_by_id
-from examlytics.operators.windows import (group_size, pct_rank_avg, previous_by_number, rank_over,
-                                          sequence_over)
+from examlytics.operators.windows import (MAX_SLICES, SCORE_DOMAIN, domain_bounds, group_size, pct_rank_avg,
+                                          previous_by_number, rank_over, sequence_over)
 
 # Dashboard constants.
 LEVEL_ORDER = ["Beginner", "Intermediate", "Advanced"]
@@ -541,7 +541,8 @@ def training_roster(f: DataFrame, parts: int | None = None) -> DataFrame:
          + F.coalesce(F.sum("violation_duration_sec"), F.lit(0.0)) / 60).alias("integrity_risk"),
         _pick("proficiency_level", k, latest=True).alias("latest_proficiency"),
         (_pick("score_pct", k, True) - _pick("score_pct", k, False)).alias("improvement"))
-    ranked = rank_over(per, "avg_score_pct", descending=True, parts=parts)
+    ranked = rank_over(per, "avg_score_pct", descending=True, parts=parts,
+                       bounds=domain_bounds(*SCORE_DOMAIN, parts or MAX_SLICES))
     return ranked.select(
         "email", "candidatename", "attempts", "tests_taken", "pass_rate_pct", "avg_score_pct", "best_score_pct",
         "latest_proficiency", "improvement", "integrity_risk",

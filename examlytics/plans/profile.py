@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from examlytics.functions import scalar as fx
-from examlytics.operators.windows import exact_median, pct_rank_avg, rank_over, sequence_over
+from examlytics.operators.windows import (MAX_SLICES, SCORE_DOMAIN, domain_bounds, exact_median, pct_rank_avg,
+                                          rank_over, sequence_over)
 
 # Profile constants.
 PEER_BINS = 25
@@ -38,7 +39,8 @@ def peer_standing(peer: DataFrame, parts: int | None = None) -> DataFrame:
     """Per e-mail mean score, the peer average of means, rank (min) and percentile (0-100)."""
     means = peer.where(F.col("score_pct").isNotNull() & F.col("email").isNotNull()).groupBy("email").agg(
         F.avg("score_pct").alias("cand_avg"))
-    r = rank_over(means, "cand_avg", descending=True, parts=parts)
+    r = rank_over(means, "cand_avg", descending=True, parts=parts,
+                  bounds=domain_bounds(*SCORE_DOMAIN, parts or MAX_SLICES))
     peer_avg = means.agg(F.avg("cand_avg")).scalar()  # uncorrelated scalar subquery, evaluated once
     return r.select(
         "email", "cand_avg", peer_avg.alias("peer_avg"), F.col("rank_min").alias("rank"),
