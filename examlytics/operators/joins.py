@@ -34,3 +34,18 @@ def point_lookup(df: DataFrame, **keys: object) -> DataFrame:
         c = F.col(k) == F.lit(v)
         cond = c if cond is None else cond & c
     return df if cond is None else df.where(cond)
+
+
+def left_join_null_bypass(df: DataFrame, other: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """Left join on ``left_key = right_key`` where rows with a NULL left key skip the shuffle.
+
+    A NULL key never matches, and all NULL keys hash to one partition, so a
+    large share of NULL keys would make one task hold them all. Here those
+    rows are passed through with the right side's columns as NULL and
+    unioned back; only non-NULL keys take part in the (shuffle) join.
+    """
+    matched = df.where(F.col(left_key).isNotNull()).join(other, F.col(left_key) == F.col(right_key), "left")
+    nulls = df.where(F.col(left_key).isNull())
+    for f in other.schema.fields:
+        nulls = nulls.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return matched.unionByName(nulls)

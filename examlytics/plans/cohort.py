@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from examlytics.functions import scalar as fx
 from examlytics.operators.combine import grouped_with_distinct
 from examlytics.operators.dedup import dedup_latest, pick_one
+from examlytics.operators.joins import left_join_null_bypass
 from examlytics.operators.nested import explode_tags, parse_results, parse_tags, result_fields
 from examlytics.operators.windows import MAX_SLICES, SCORE_DOMAIN, domain_bounds, rank_over
 from examlytics.plans import seeds
@@ -83,10 +84,12 @@ def cohort_attempt(spark: SparkSession, cp: DataFrame, silver: Silver, algo: str
     ``algo`` picks the bucket hash: ``xxh64`` (the source's) or ``md5``.
     """
     cw = crosswalk if crosswalk is not None else seeds.specialization_crosswalk(spark)
-    tc = taker_cohort(spark, silver, vocabulary).alias("tc")
+    tc = taker_cohort(spark, silver, vocabulary).select(
+        F.col("taker_id").alias("tc_taker_id"), F.col("program_type").alias("tc_program_type"),
+        F.col("cohort_year").alias("tc_cohort_year"), F.col("assessment_type").alias("tc_assessment_type"))
     test = latest_by_id(silver.test, "domainid").select(F.col("id").alias("te_id"), "domainid")
     dom = latest_by_id(silver.domain, "name").select(F.col("id").alias("d_id"), F.col("name").alias("domain_name"))
-    j = (cp.join(tc, cp.assessment_taker_id == F.col("tc.taker_id"), "left")
+    j = (left_join_null_bypass(cp, tc, "assessment_taker_id", "tc_taker_id")
          .join(test, F.col("test_id") == F.col("te_id"), "left")
          .join(dom, F.col("domainid") == F.col("d_id"), "left"))
     j = seeds.norm_join(j, "domain_name", cw, "cw")
@@ -96,20 +99,20 @@ def cohort_attempt(spark: SparkSession, cp: DataFrame, silver: Silver, algo: str
         spec = F.coalesce(F.when(F.col("cw_is_excluded") == F.lit(False), F.col("cw_specialization")),
                           fx.hash_bucket(F.coalesce("domain_name", "test_id", "email"),
                                          seeds.FORCE_MAP_SPECIALIZATIONS, algo))
-        program = F.coalesce(F.col("tc.program_type"),
+        program = F.coalesce(F.col("tc_program_type"),
                              fx.hash_bucket("email", seeds.FORCE_MAP_PROGRAMS, algo))
         is_excluded = F.lit(False)
-        cohort = F.concat(F.coalesce(F.col("tc.cohort_year"), F.col("attempt_year"), F.lit("Unknown")),
+        cohort = F.concat(F.coalesce(F.col("tc_cohort_year"), F.col("attempt_year"), F.lit("Unknown")),
                           F.lit(" "), program)
         center = F.lit(TRAINING_CENTER)
         has_spec = F.when(excluded, F.lit(0)).otherwise(F.lit(1))
         has_cohort = F.lit(1)
     else:
         spec = F.coalesce(F.col("cw_specialization"), F.lit(UNMAPPED))
-        program = F.col("tc.program_type")
+        program = F.col("tc_program_type")
         is_excluded = excluded
         cohort = F.when(program.isNull(), F.lit(UNASSIGNED)).otherwise(F.concat(
-            F.coalesce(F.col("tc.cohort_year"), F.col("attempt_year"), F.lit("Unknown")), F.lit(" "), program))
+            F.coalesce(F.col("tc_cohort_year"), F.col("attempt_year"), F.lit("Unknown")), F.lit(" "), program))
         real_spec = F.col("cw_specialization").isNotNull() & ~excluded
         center = (F.when(program.isNotNull(), F.lit(TRAINING_CENTER))
                   .when(real_spec, F.lit(SERVICE_CENTER)).otherwise(F.lit(UNCLASSIFIED)))
@@ -122,8 +125,8 @@ def cohort_attempt(spark: SparkSession, cp: DataFrame, silver: Silver, algo: str
         spec.alias("specialization"),
         is_excluded.alias("is_excluded"),
         program.alias("program_type"),
-        F.col("tc.assessment_type").alias("assessment_type"),
-        F.coalesce(F.col("tc.cohort_year"), F.col("attempt_year")).alias("cohort_year"),
+        F.col("tc_assessment_type").alias("assessment_type"),
+        F.coalesce(F.col("tc_cohort_year"), F.col("attempt_year")).alias("cohort_year"),
         cohort.alias("cohort"),
         center.alias("center"),
         has_spec.alias("has_specialization"),

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from examlytics.functions import scalar as fx
 from examlytics.operators.dedup import dedup_latest
 from examlytics.operators.combine import one_row
+from examlytics.operators.joins import left_join_null_bypass
 from examlytics.operators.windows import sequence_over
 from examlytics.sources.silver import Silver
 
@@ -66,58 +67,64 @@ def candidate_performance(silver: Silver, internal_pattern: str = fx.INTERNAL_DO
                           intermediate: float = fx.PROFICIENCY_INTERMEDIATE_MIN,
                           year_from: str = fx.YEAR_WINDOW[0], year_to: str = fx.YEAR_WINDOW[1]) -> DataFrame:
     """V1 ``trainer_candidate_performance``: one row per deduplicated attempt, 30 columns."""
-    tr = latest_attempts(silver, year_from, year_to).alias("tr")
-    taker = latest_by_id(silver.assessmenttaker, "email", "assessmentid", "organizationid").alias("at")
+    tr = latest_attempts(silver, year_from, year_to)
+    taker = latest_by_id(silver.assessmenttaker, "email", "assessmentid", "organizationid").select(
+        F.col("id").alias("at_id"), F.col("email").alias("at_email"), F.col("assessmentid").alias("at_assessmentid"),
+        F.col("organizationid").alias("at_organizationid"))
     test = latest_by_id(silver.test, "title", "difficultylevel").select(
         F.col("id").alias("t_id"), F.col("difficultylevel").alias("t_difficulty"))
     org = latest_by_id(silver.organization, "organizationname").select(
         F.col("id").alias("o_id"), F.col("organizationname").alias("o_name"))
 
-    j = (tr.join(taker, F.col("tr.assessmenttakerid") == F.col("at.id"), "left")
-         .join(test, F.col("tr.testid") == F.col("t_id"), "left")
-         .join(org, F.col("at.organizationid") == F.col("o_id"), "left"))
+    # Attempts with a NULL taker id never match a taker: they bypass the
+    # shuffle join (a NULL-heavy fact would otherwise load one task).
+    j = (left_join_null_bypass(tr, taker, "assessmenttakerid", "at_id")
+         .join(test, F.col("testid") == F.col("t_id"), "left")
+         .join(org, F.col("at_organizationid") == F.col("o_id"), "left"))
 
-    st = F.col("tr.starttime")
-    score = F.col("tr.testpercentage").cast("double")
+    st = F.col("starttime")
+    score = F.col("testpercentage").cast("double")
     metrics = j.select(
-        F.col("tr.assessmenttakerid").alias("assessment_taker_id"),
-        fx.sql_candidate_name("at.email").alias("candidatename"),
-        F.col("at.email").alias("email"),
-        fx.email_domain("at.email").alias("email_domain"),
-        F.col("at.organizationid").alias("organization_id"),
-        F.coalesce(F.col("o_name"), F.col("at.organizationid"), F.lit("Unknown")).alias("organization_name"),
-        F.col("at.assessmentid").alias("assessment_id"),
-        F.col("tr.testid").alias("test_id"),
-        F.col("tr.title").alias("test_title"),
+        F.col("assessmenttakerid").alias("assessment_taker_id"),
+        fx.sql_candidate_name("at_email").alias("candidatename"),
+        F.col("at_email").alias("email"),
+        fx.email_domain("at_email").alias("email_domain"),
+        F.col("at_organizationid").alias("organization_id"),
+        F.coalesce(F.col("o_name"), F.col("at_organizationid"), F.lit("Unknown")).alias("organization_name"),
+        F.col("at_assessmentid").alias("assessment_id"),
+        F.col("testid").alias("test_id"),
+        F.col("title").alias("test_title"),
         st.alias("start_time_raw"),
-        F.col("tr.finishtime").alias("finish_time_raw"),
+        F.col("finishtime").alias("finish_time_raw"),
         fx.iso_to_timestamp(st).alias("start_time"),
-        (F.col("tr.duration").try_cast("double") / F.lit(60.0)).alias("duration_min"),
+        (F.col("duration").try_cast("double") / F.lit(60.0)).alias("duration_min"),
         score.alias("score_pct"),
-        fx.normalise_pass("tr.passstatus").alias("pass_status"),
-        F.col("tr.attemptnumber").alias("attempt_number"),
-        F.col("tr.testwindowviolationcount").alias("violation_count"),
-        F.col("tr.testwindowviolationduration").alias("violation_duration_sec"),
-        F.col("tr.numberofquestionsfailed").alias("questions_failed"),
-        F.col("tr.numberofquestions").alias("questions_total"),
-        F.col("tr.load_date").alias("load_date"),
+        fx.normalise_pass("passstatus").alias("pass_status"),
+        F.col("attemptnumber").alias("attempt_number"),
+        F.col("testwindowviolationcount").alias("violation_count"),
+        F.col("testwindowviolationduration").alias("violation_duration_sec"),
+        F.col("numberofquestionsfailed").alias("questions_failed"),
+        F.col("numberofquestions").alias("questions_total"),
+        F.col("load_date").alias("load_date"),
         fx.month_text(st).alias("attempt_month"),
         fx.year_text(st).alias("attempt_year"),
         fx.quarter_label(st).alias("attempt_quarter"),
         F.col("t_difficulty").alias("test_difficulty"),
         fx.proficiency_level(score, advanced, intermediate).alias("proficiency_level"),
-        F.when(fx.nonblank("tr.finishtime"), F.lit(1)).otherwise(F.lit(0)).alias("is_complete"),
+        F.when(fx.nonblank("finishtime"), F.lit(1)).otherwise(F.lit(0)).alias("is_complete"),
     )
-    # Per (taker, test) attempt count; a NULL key never matched in the
-    # source's self-join, so it stays NULL here.
-    w = Window.partitionBy("assessment_taker_id", "test_id")
+    extra = [F.when(F.col("pass_status") == "passed", F.lit(1)).otherwise(F.lit(0)).alias("is_pass"),
+             fx.candidate_source("email_domain", internal_pattern).alias("candidate_source")]
+    # Per (taker, test) attempt count. A NULL key never matched in the
+    # source's self-join, so it stays NULL; those rows skip the window
+    # (which would otherwise gather every NULL-key row in one partition).
     both = F.col("assessment_taker_id").isNotNull() & F.col("test_id").isNotNull()
-    return metrics.select(
-        "*",
-        F.when(both, F.count(F.lit(1)).over(w)).alias("total_attempts_before_pass"),
-        F.when(F.col("pass_status") == "passed", F.lit(1)).otherwise(F.lit(0)).alias("is_pass"),
-        fx.candidate_source("email_domain", internal_pattern).alias("candidate_source"),
-    )
+    w = Window.partitionBy("assessment_taker_id", "test_id")
+    keyed = metrics.where(both).select(
+        "*", F.count(F.lit(1)).over(w).alias("total_attempts_before_pass"), *extra)
+    unkeyed = metrics.where(~both).select(
+        "*", F.lit(None).cast("long").alias("total_attempts_before_pass"), *extra)
+    return keyed.unionByName(unkeyed)
 
 
 def executive_overview(cp: DataFrame, silver: Silver) -> DataFrame:
