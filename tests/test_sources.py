@@ -108,3 +108,23 @@ def test_streaming_bronze_sync(spark, scratch):
                            f"{scratch}/bronze", "events", f"{scratch}/ckpt", run_date="2030-01-02")
     q2.awaitTermination(120)
     assert spark.read.parquet(f"{scratch}/bronze/table=events").count() == got.count()
+
+
+def test_crash_between_write_and_watermark_resyncs(spark, scratch):
+    events = spark.read.parquet(f"{SF_SMOKE}/events.parquet")
+    bronze, state = f"{scratch}/bronze", f"{scratch}/state"
+    # a run that wrote its batch but died before advancing the watermark
+    lake.write_bronze(events, bronze, "events", "2030-01-01")
+    assert ingest.get_watermark(spark, state, "events") is None
+    # the next run re-reads the same rows (at-least-once) and then advances
+    assert ingest.sync_table(spark, events, "events", bronze, state, wm_col="ts", run_date="2030-01-02") == events.count()
+    assert ingest.sync_table(spark, events, "events", bronze, state, wm_col="ts", run_date="2030-01-03") == 0
+
+
+def test_result_parse_failfast(spark):
+    from examlytics.operators.nested import parse_results
+    df = spark.createDataFrame([('[{"questionId":"q1","score":1}]',), ("[{",)], "r string")
+    ok = df.select(parse_results("r").alias("p")).collect()
+    assert ok[0].p[0].questionId == "q1" and ok[1].p is None
+    with pytest.raises(Exception):
+        df.select(parse_results("r", mode="FAILFAST").alias("p")).collect()

@@ -79,3 +79,20 @@ def test_null_taker_rows_bypass_join_and_window(spark):
     assert all(r.organization_name == "Unknown" for r in nulls)
     ca = cohort.cohort_attempt(spark, cp, s2, algo="md5")
     assert ca.count() == cp.count()
+
+
+def test_permutation_invariance(spark):
+    """Shuffling and repartitioning the inputs leaves the views unchanged (deterministic tiebreaks)."""
+    from dataclasses import fields, replace
+
+    from pyspark.sql import functions as F
+
+    from examlytics.plans import cohort, org
+    from examlytics.sources.fixtures import silver_from_driver
+    s = silver_from_driver(spark, SF_SMOKE)
+    shuffled = replace(s, **{f.name: getattr(s, f.name).repartition(5).orderBy(F.rand(3)) for f in fields(s)})
+    for fn in (lambda x: org.candidate_performance(x),
+               lambda x: cohort.candidate_cohort_performance(
+                   cohort.cohort_attempt(spark, org.candidate_performance(x), x, algo="md5"))):
+        a, b = fn(s), fn(shuffled)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
