@@ -183,6 +183,8 @@ def sequence_over(df: DataFrame, keys: Sequence[str], order: Sequence[str], out:
     first ordering column), and the previous row is fetched by an equi-join
     on (keys, number - 1), which adaptive skew-join handling can split.
     """
+    if out in ("__ord", "__ties", "__n", "__rank_min"):
+        raise ValueError(f"output name {out!r} is reserved")
     tmp = df.withColumn("__ord", null_last_key(order, df))
     first = _numeric_image(df, order[0])
     if first is not None:  # NULLs sort last: give them the largest image

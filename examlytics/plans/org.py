@@ -149,11 +149,15 @@ def executive_overview(cp: DataFrame, silver: Silver) -> DataFrame:
         .alias("total_assessments_dispatched"))
     tests = silver.test.agg(F.count_distinct("id").alias("total_tests_created"))
     qs = silver.question.agg(F.count_distinct("id").alias("total_questions_created"))
-    w = Window.partitionBy("assessment_taker_id", "test_id").orderBy(F.col("attempt_number").asc_nulls_last())
-    gaps = (cp.where(F.col("start_time").isNotNull())
-            .select(F.lag("start_time").over(w).alias("prev"), "start_time")
-            .where(F.col("prev").isNotNull())
-            .select(fx.diff_days("prev", "start_time").alias("d")))
+    # Previous attempt per (taker, test) by attempt number: (taker, test,
+    # attempt) is unique after dedup, so the skew-safe sequence gives the
+    # same LAG, also for a large NULL-taker group.
+    rows = cp.where(F.col("start_time").isNotNull()).select("assessment_taker_id", "test_id", "attempt_number",
+                                                            "start_time")
+    seq = sequence_over(rows, ["assessment_taker_id", "test_id"], ["attempt_number"], out="__seq_no",
+                        prev=["start_time"])
+    gaps = (seq.where(F.col("prev_start_time").isNotNull())
+            .select(fx.diff_days("prev_start_time", "start_time").alias("d")))
     retake = gaps.agg(F.avg("d").alias("avg_retake_days"),
                       F.percentile_approx("d", 0.5, 10000).alias("median_retake_days"))
     out = one_row(a, asmt, tests, qs, retake)
