@@ -25,7 +25,7 @@ from examlytics.operators.combine import grouped_with_distinct, one_row
 from examlytics.operators.nested import crosstab, to_long
 from examlytics.operators.slicers import apply_slicers, fixed_order, min_group_size, top_n
 from examlytics.plans.org import latest_by_id
-from examlytics.operators.windows import (MAX_SLICES, SCORE_DOMAIN, domain_bounds, group_size, pct_rank_avg,
+from examlytics.operators.windows import (MAX_SLICES, SCORE_DOMAIN, domain_bounds, pct_rank_avg,
                                           previous_by_number, rank_over, sequence_over)
 
 # Dashboard constants.
@@ -407,9 +407,15 @@ def proficiency_migration(f: DataFrame, levels: Sequence[str] = LEVEL_ORDER) ->
 
 
 def _retaken(f: DataFrame) -> DataFrame:
-    """Rows of (person, test) groups with more than one sitting."""
-    return f.where(_nn("email", "test_id")).withColumn("__size", group_size(["email", "test_id"])) \
-        .where(F.col("__size") > 1).drop("__size")
+    """Rows of (person, test) groups with more than one sitting.
+
+    The group sizes are a partial (map-side) aggregate; the rows are kept by
+    a semi join on the re-sat keys, so no window holds a whole group.
+    """
+    keyed = f.where(_nn("email", "test_id"))
+    resat = keyed.groupBy("email", "test_id").agg(F.count(F.lit(1)).alias("__size")) \
+        .where(F.col("__size") > 1).select("email", "test_id")
+    return keyed.join(resat, ["email", "test_id"], "left_semi")
 
 
 def retake_score_change(f: DataFrame) -> DataFrame:

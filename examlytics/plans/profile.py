@@ -116,9 +116,10 @@ def peer_distribution(standing: DataFrame, bins: int = PEER_BINS) -> DataFrame:
 
 def timeline(hist: DataFrame) -> DataFrame:
     """Score over time per e-mail, split by specialization when the person has more than one."""
-    n_spec = F.size(F.collect_set("specialization").over(Window.partitionBy("email")))
-    return hist.select("email", "start_time", "score_pct", "specialization", "test_title",
-                       (n_spec > 1).alias("split_by_specialization"))
+    n_spec = hist.groupBy("email").agg(F.count_distinct("specialization").alias("__n_spec"))
+    return hist.join(n_spec, "email", "left").select(
+        "email", "start_time", "score_pct", "specialization", "test_title",
+        (F.col("__n_spec") > 1).alias("split_by_specialization"))
 
 
 def summary(peer: DataFrame, parts: int | None = None, hist: DataFrame | None = None) -> DataFrame:
