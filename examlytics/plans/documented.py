@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from examlytics.functions import scalar as fx
 from examlytics.operators.nested import to_long
 from examlytics.operators.slicers import apply_slicers
-from examlytics.operators.windows import sequence_over
 from examlytics.plans.org import latest_attempts, latest_by_id
 from examlytics.sources.silver import Silver
 
@@ -32,15 +31,14 @@ INTERNAL_PASS_TARGET = 70.0
 def growth_tracking(cp: DataFrame) -> DataFrame:
     """DOC1 ``candidate_growth_tracking``: previous score and improvement per (taker, test) by attempt.
 
-    (taker, test, attempt) is unique after dedup, so the skew-safe sequence
-    gives the LAG without a whole-key window (a NULL taker group included).
+    (taker, test, attempt) is unique after dedup, so each (taker, test)
+    window partition holds at most one row per attempt number (NULL takers
+    included): bounded by construction.
     """
-    rows = cp.select("assessment_taker_id", "candidatename", "test_id", "test_title", "attempt_number",
-                     "score_pct", "load_date", "start_time")
-    seq = sequence_over(rows, ["assessment_taker_id", "test_id"], ["attempt_number", "start_time"], out="__seq_no",
-                        prev=["score_pct"], prev_prefix="__prev_")
-    return seq.select("assessment_taker_id", "candidatename", "test_id", "test_title", "attempt_number",
-                      "score_pct", "load_date", F.col("__prev_score_pct").alias("previous_score")) \
+    w = Window.partitionBy("assessment_taker_id", "test_id").orderBy(
+        F.col("attempt_number").asc_nulls_last(), F.col("start_time").asc_nulls_last())
+    return cp.select("assessment_taker_id", "candidatename", "test_id", "test_title", "attempt_number",
+                     "score_pct", "load_date", F.lag("score_pct").over(w).alias("previous_score")) \
         .withColumn("score_improvement", F.col("score_pct") - F.col("previous_score"))
 
 

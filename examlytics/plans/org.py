@@ -116,8 +116,9 @@ def candidate_performance(silver: Silver, internal_pattern: str = fx.INTERNAL_DO
     extra = [F.when(F.col("pass_status") == "passed", F.lit(1)).otherwise(F.lit(0)).alias("is_pass"),
              fx.candidate_source("email_domain", internal_pattern).alias("candidate_source")]
     # Per (taker, test) attempt count. A NULL key never matched in the
-    # source's self-join, so it stays NULL; those rows skip the window
-    # (which would otherwise gather every NULL-key row in one partition).
+    # source's self-join, so it stays NULL and those rows skip the window.
+    # A (taker, test) partition holds one row per attempt number (the dedup
+    # key), so the window is bounded by construction.
     both = F.col("assessment_taker_id").isNotNull() & F.col("test_id").isNotNull()
     w = Window.partitionBy("assessment_taker_id", "test_id")
     keyed = metrics.where(both).select(
@@ -149,15 +150,15 @@ def executive_overview(cp: DataFrame, silver: Silver) -> DataFrame:
         .alias("total_assessments_dispatched"))
     tests = silver.test.agg(F.count_distinct("id").alias("total_tests_created"))
     qs = silver.question.agg(F.count_distinct("id").alias("total_questions_created"))
-    # Previous attempt per (taker, test) by attempt number: (taker, test,
-    # attempt) is unique after dedup, so the skew-safe sequence gives the
-    # same LAG, also for a large NULL-taker group.
-    rows = cp.where(F.col("start_time").isNotNull()).select("assessment_taker_id", "test_id", "attempt_number",
-                                                            "start_time")
-    seq = sequence_over(rows, ["assessment_taker_id", "test_id"], ["attempt_number"], out="__seq_no",
-                        prev=["start_time"])
-    gaps = (seq.where(F.col("prev_start_time").isNotNull())
-            .select(fx.diff_days("prev_start_time", "start_time").alias("d")))
+    # Previous attempt per (taker, test) by attempt number. (taker, test,
+    # attempt) is unique after dedup, so a (taker, test) window partition
+    # holds at most one row per attempt number, NULL takers included: the
+    # window is bounded by construction.
+    w = Window.partitionBy("assessment_taker_id", "test_id").orderBy(F.col("attempt_number").asc_nulls_last())
+    gaps = (cp.where(F.col("start_time").isNotNull())
+            .select(F.lag("start_time").over(w).alias("prev"), "start_time")
+            .where(F.col("prev").isNotNull())
+            .select(fx.diff_days("prev", "start_time").alias("d")))
     retake = gaps.agg(F.avg("d").alias("avg_retake_days"),
                       F.percentile_approx("d", 0.5, 10000).alias("median_retake_days"))
     out = one_row(a, asmt, tests, qs, retake)
