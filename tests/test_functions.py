@@ -116,3 +116,31 @@ def test_strip_html_and_label(spark):
     assert got == ["What is x? A & B n<m", "", ""]
     df = spark.createDataFrame([("", "<i>T</i>"), ("", ""), ("<p>Q</p>", "T")], "question_text string, question_title string")
     assert [r.question for r in with_question_label(df).collect()] == ["T", "(no text)", "Q"]
+
+
+def test_g5_conditional_sum_without_else_is_null(spark):
+    from examlytics.plans import cohort
+    rows = [("c", "NSP", "2025", "Training Center", "k1", 1, 1, "Beginner", 40.0, 1, 10.0, 1.0, 0.0, 0.0, 5.0)]
+    ca = spark.createDataFrame(rows, "cohort string, program_type string, cohort_year string, center string, "
+                               "assessment_taker_id string, is_pass int, attempt_number int, proficiency_level string, "
+                               "score_pct double, total_attempts_before_pass long, duration_min double, "
+                               "questions_total double, questions_failed double, violation_count double, "
+                               "violation_duration_sec double")
+    r = cohort.cohort_kpis(spark, ca).first()
+    assert r.pct_advanced is None and str(r.pct_beginner) == "100.0"
+
+
+def test_g9_bare_score_cast_fails_on_malformed_text(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("12.5",), ("abc",)], "s string")
+    import pytest
+    with pytest.raises(Exception):
+        df.select(F.col("s").cast("double")).collect()          # score: bare CAST (fails the query)
+    assert [r[0] for r in df.select(F.col("s").try_cast("double")).collect()] == [12.5, None]  # duration: TRY
+
+
+def test_g13_two_medians(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "x double")
+    r = df.agg(F.percentile_approx("x", 0.5, 10000).alias("a"), F.median("x").alias("m")).first()
+    assert (r.a, r.m) == (2.0, 2.5)
