@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from examlytics.llm import decontaminate, substring
+from examlytics.llm import byte_bpe, decontaminate, neighbours, substring, token_count
+
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+TOKEN_LIMIT = 4096
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +20,20 @@ def sha256(col):
     return F.sha2(F.encode(col, "UTF-8"), 256)
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = byte_bpe.encode(_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    return byte_bpe.digests(ids, BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_count.count_tokens(_table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", sha256("kept").alias("kept_sha256"))
@@ -26,11 +45,21 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op7_token_counts": op7_token_counts,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
 }
 
 ORACLE = {
+    "op4_nearest_neighbours": r"""
+WITH v AS (SELECT vec_id, min(embedding::DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0 GROUP BY vec_id),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank, vec_id, score FROM p)
+SELECT * FROM r WHERE rank <= 10
+""",
     "op8_substring_dedup": r"""
 WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 pos AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM t WHERE len(w) >= 50),
