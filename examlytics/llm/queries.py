@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from examlytics.llm import byte_bpe, decontaminate, minhash, neighbours, substring, token_count
+from examlytics.llm import byte_bpe, decontaminate, minhash, neighbours, quality, substring, token_count
+from examlytics.llm.training import crc_remainder
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 4096
+KEEP_QUALITY = 0.7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +22,12 @@ def sha256(col):
     return F.sha2(F.encode(col, "UTF-8"), 256)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), F.coalesce(crc_remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= KEEP_QUALITY).cast("int").alias("predicted"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = byte_bpe.encode(_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
     return byte_bpe.digests(ids, BYTE_RANKS, public_tokenizers.PATTERN)
@@ -49,6 +57,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality": op2_quality,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_minhash": op5_minhash,
