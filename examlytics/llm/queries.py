@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from examlytics.llm import byte_bpe, decontaminate, minhash, neighbours, quality, substring, token_count
+from examlytics.llm import byte_bpe, decontaminate, minhash, neighbours, quality, substring, token_count, toxicity
 from examlytics.llm.training import crc_remainder
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,6 +41,13 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), F.coalesce(crc_remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "toxic")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_count.count_tokens(_table(spark, sf_dir, "documents"), PIECE_MODEL)
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -61,6 +68,7 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_minhash": op5_minhash,
+    "op6_toxicity": op6_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
