@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from examlytics.llm import byte_bpe, decontaminate, minhash, neighbours, quality, substring, token_count, toxicity
+from examlytics.llm import byte_bpe, decontaminate, minhash, neighbours, pii, quality, substring, token_count, toxicity
 from examlytics.llm.training import crc_remainder
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -22,6 +22,12 @@ def sha256(col):
     return F.sha2(F.encode(col, "UTF-8"), 256)
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.personal_data(_table(spark, sf_dir, "documents"))
+    counts = [pii.count_of("base", i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return out.select("doc_id", *counts, sha256(pii.joined("base")).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = _table(spark, sf_dir, "documents"), F.coalesce(crc_remainder(F.col("doc_id"), 4) == 2, F.lit(False))
     model = quality.fit(docs, _table(spark, sf_dir, "labels"), ~held_out)
@@ -64,6 +70,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_personal_data": op1_personal_data,
     "op2_quality": op2_quality,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_nearest_neighbours": op4_nearest_neighbours,
