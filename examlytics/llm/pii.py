@@ -4,9 +4,12 @@ Strict forms (e-mail, ip, card, phone) are found in every text and always
 stay. They are also the seeds of a bootstrap that finds identifiers whose form
 alone proves nothing (a number without its plus sign, "name at host dot org"):
 
-1. One pass collects strict matches and looser candidates with their lexical
+1. One pass collects strict matches and looser candidates with their
    patterns: the word before (L1), the two words before (L2), the word after
-   (R1).
+   (R1), and the form (S: digits as 0, letters as a) of those that pass their
+   kind's test, such as the card check digit. Strict matching drops a match that
+   runs into its neighbour (a phone number right before a card number); both
+   parts are candidates here.
 2. A second pass counts every occurrence of those words and word pairs in the
    whole corpus, so a pattern's precision is measured against all text, not
    only against candidates: "the" before a phone number proves nothing.
@@ -60,9 +63,10 @@ _LOOSE_EMAIL = re.compile(
     r"|\x20at\x20[A-Za-z0-9-]+(?:\x20dot\x20[A-Za-z0-9-]+)+)(?!\w)")
 _LOOSE_IP = re.compile(r"(?<![\w.:])[0-9A-Fa-f]+(?::[0-9A-Fa-f]*){3,7}(?![\w:])")
 _LOOSE_CARD = re.compile(r"(?<![\w.-])[0-9](?:[\x20.-]?[0-9]){12,18}(?!\w)")
-_LOOSE_PHONE = re.compile(r"(?<![\w+.-])\(?[0-9][\x20().0-9-]{5,18}[0-9](?!\w)")
+_LOOSE_PHONE = re.compile(r"(?<![\w+.-])\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,14}(?!\w)")
 _AT = re.compile(r"@|\[at\]|\(at\)|\x20dot\x20")
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_PLAIN = re.compile(rb"[0-9a-z\x80-\xff]+(?: [0-9a-z\x80-\xff]+)?")
 
 MENTION = "array<struct<kind:int,start:bigint,end:bigint,surface:string,seed:boolean,patterns:array<struct<slot:string,h:bigint>>>>"
 
@@ -121,8 +125,6 @@ def loose(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int,
     for kind, pattern in forms:
         for m in pattern.finditer(text):
             s, e = m.span()
-            if kind == 3 and not 7 <= sum(map(str.isdigit, m.group())) <= 15:
-                continue
             if used is None:
                 used = bytearray(len(text))
                 for _, a, b in taken:
@@ -133,6 +135,14 @@ def loose(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int,
     return out
 
 
+def _shape(kind: int, surface: str) -> bytes | None:
+    """The form of an identifier that also passes its kind's test: digits as 0, runs of letters as a."""
+    digits = re.sub("[^0-9]", "", surface)
+    if kind == 2 and not luhn(digits) or kind == 3 and not 8 <= len(digits) <= 15:
+        return None
+    return re.sub("[A-Za-z]+", "a", re.sub("[0-9]", "0", surface)).encode() + b"="
+
+
 def _context(text: str, s: int, e: int) -> tuple[list[bytes], list[bytes]]:
     """Up to two words before and one after a match."""
     left = _WORD.findall(text[max(0, s - REACH):s].encode().lower())[-2:]
@@ -140,13 +150,15 @@ def _context(text: str, s: int, e: int) -> tuple[list[bytes], list[bytes]]:
 
 
 def _hash_all(phrases: list[bytes]) -> np.ndarray:
-    """The hash of each phrase of one or two words, as the corpus pass computes it."""
-    words = Words(*buffer_of(pa.array(phrases, pa.binary()).cast(pa.string())), LOWER_ALNUM)
-    return _phrase_hashes(words, words.first[:-1], words.first[1:])
-
-
-def _phrase_hashes(words: Words, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return ngram_hashes(words.hashes(), begin, end)
+    """The hash of each phrase of one or two words, as the corpus pass computes it (forms are one phrase)."""
+    texts = pa.array(phrases, pa.binary()).cast(pa.string())
+    words = Words(*buffer_of(texts), LOWER_ALNUM)
+    out = ngram_hashes(words.hashes(), words.first[:-1], words.first[1:])
+    forms = np.array([not _PLAIN.fullmatch(p) for p in phrases])
+    if forms.any():
+        whole = Words(*buffer_of(texts), np.ones(256, bool))
+        out[forms] = whole.hashes()[forms]
+    return out
 
 
 def mentions(docs: DataFrame) -> DataFrame:
@@ -165,6 +177,10 @@ def mentions(docs: DataFrame) -> DataFrame:
                         if words:
                             patterns.append({"slot": slot, "h": len(phrases)})
                             phrases.append(b" ".join(words))
+                    form = _shape(kind, text[s:e])
+                    if form:
+                        patterns.append({"slot": "S", "h": len(phrases)})
+                        phrases.append(form)
                     rows.append({"kind": kind, "start": s, "end": e, "surface": re.sub(r"\W", "", text[s:e]).lower(), "seed": seed, "patterns": patterns})
                 base.append([{"kind": k, "start": s, "end": e} for k, s, e in own])
                 found.append(rows)
@@ -213,7 +229,9 @@ def discover(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFra
     each = found.select(F.explode("mentions").alias("m")).select("m.kind", "m.surface", "m.seed", F.explode("m.patterns").alias("p"))
     edges = keep(each.groupBy("kind", "surface", "p.slot", "p.h").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pattern-instances")
     seeds = edges.groupBy("kind", "surface").agg(F.max("seed").alias("accepted"))
-    totals = keep(_occurrences(docs, edges.select("h").distinct()), "pattern-totals")
+    form = edges.filter("slot = 'S'")
+    words = _occurrences(docs, edges.filter("slot <> 'S'").select("h").distinct())
+    totals = keep(words.unionByName(form.groupBy("h").agg(F.sum("n").alias("total"))), "pattern-totals")
     known = keep(seeds, "instances")
     new = None
     for _ in range(rounds):
