@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from examlytics.llm import byte_bpe, decontaminate, minhash, neighbours, pii, quality, substring, token_count, toxicity
+from examlytics.llm import byte_bpe, decontaminate, minhash, neighbours, pii, quality, secret_scan, substring, token_count, toxicity
 from examlytics.llm.training import crc_remainder
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -69,6 +69,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items", sha256(F.array_join(F.array_sort("items"), ",")).alias("items_sha256"), "contaminated")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.secrets(_table(spark, sf_dir, "documents"))
+    counts = [pii.count_of("base", i).alias(f"n_{k}") for i, k in enumerate(secret_scan.KINDS)]
+    names = (*secret_scan.KINDS, secret_scan.ADDED)
+    return out.select("doc_id", *counts, sha256(pii.joined("base", names)).alias("base_sha256"), pii.joined("spans", names).alias("spans"))
+
+
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_quality": op2_quality,
@@ -79,6 +86,7 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE = {
