@@ -14,13 +14,15 @@ Work on groups of copies:
 
 * Documents with the same shingles and weights form one class with one
   representative (a pre-aggregated ``groupBy``); only representatives go on.
-* First each representative is verified against one head only, the smallest
-  member it shares most bands with; this joins nearly all of a group of near
-  copies in one comparison each.
+* First each representative is verified against one head only: the most
+  central member (in the largest band groups) that it shares most bands with.
+  This joins nearly all of a group of near copies in one comparison each.
 * Then every band group that still holds two components yields the pairs
-  between them, not those within one. All are compared by their registers and
-  those that could reach the threshold (``margin`` below it, over six standard
-  deviations) are verified. No link between representatives is given up.
+  between them, not those within one, and only pairs that can reach the
+  threshold: each node's shingles that no other node of these groups has bound
+  its similarity to any of them. What is left is compared by registers, and
+  pairs within ``MARGIN`` below the threshold (over four standard deviations)
+  or above are verified. No link between representatives is given up.
 * The shingles of a head travel in as many copies as it has parts of
   ``FAN`` partners, so a head with very many partners is spread out.
 
@@ -40,15 +42,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from examlytics.llm.components import components, flatten_parents
+from examlytics.llm.components import components
+from examlytics.llm.marks import bitmap, marked
 from examlytics.llm.store import keep
 from examlytics.llm.text import NON_SPACE, Words, buffer_of, mix, ngram_hashes, slices
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
-MARGIN = 0.2
+MARGIN = 0.14
 FAN = 500
+NODE_BITS = 1 << 26
+SHINGLE_BITS = 1 << 27
 
 PROFILE = "doc_id bigint, n_shingles bigint, profile binary, registers binary, bands array<bigint>"
 
@@ -139,44 +144,95 @@ def profiles(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int
     return docs.mapInArrow(run, PROFILE)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, threshold: float, size: int) -> DataFrame:
+def _shingle_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """(node, hashes, counts): the shingles of the documents in ``nodes``; all others are passed over."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(nodes.select(F.xxhash64("node").alias("key")), NODE_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = marked(shared.value, batch.column("key").to_numpy(zero_copy_only=False).view(np.uint64))
+            for b in slices(iter([batch.filter(pa.array(own))]), "text"):
+                first, h, count = shingles(b.column("text"), size)
+                cut = list(zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
+                yield pa.RecordBatch.from_arrays([
+                    b.column("doc_id"), pa.array([h[s:e].tobytes() for s, e in cut], pa.binary()),
+                    pa.array([b"" if (count[s:e] == 1).all() else count[s:e].astype(np.uint32).tobytes() for s, e in cut], pa.binary())], ["node", "hashes", "counts"])
+
+    rows = docs.select("doc_id", F.xxhash64("doc_id").alias("key"), "text").mapInArrow(run, "node bigint, hashes binary, counts binary")
+    return rows.join(nodes.select("node"), "node", "left_semi")
+
+
+def _read(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    h = np.frombuffer(hashes, np.uint64)
+    return h, np.frombuffer(counts, np.uint32) if counts else np.ones(len(h), np.uint32)
+
+
+def _verified(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose exact similarity reaches the threshold."""
     parts = pairs.groupBy(F.col("a").alias("head")).agg(F.ceil(F.count("*") / FAN).alias("parts"))
     salted = pairs.join(parts.withColumnRenamed("head", "a"), "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
-    heads = parts.select(F.col("head").alias("doc_id"), F.col("head").alias("a"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
-    others = salted.select(F.col("b").alias("doc_id"), "a", "part")
-    wanted = heads.unionByName(others)
-    rows = docs.join(wanted, "doc_id").select("a", "part", "doc_id", "text")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            first, h, count = shingles(b.column("text"), size)
-            cut = list(zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
-            yield pa.RecordBatch.from_arrays([
-                b.column("a"), b.column("part"), b.column("doc_id"), pa.array([h[s:e].tobytes() for s, e in cut], pa.binary()),
-                pa.array([b"" if (count[s:e] == 1).all() else count[s:e].astype(np.uint32).tobytes() for s, e in cut], pa.binary())], ["a", "part", "doc_id", "hashes", "counts"])
-
-    def read(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-        h = np.frombuffer(hashes, np.uint64)
-        return h, np.frombuffer(counts, np.uint32) if counts else np.ones(len(h), np.uint32)
+    heads = parts.select(F.col("head").alias("node"), F.col("head").alias("a"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    others = salted.select(F.col("b").alias("node"), "a", "part")
+    rows = sets.join(heads.unionByName(others), "node").select("a", "part", "node", "hashes", "counts")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, head = None, []
         for batch in batches:
             out = []
-            for a, part, doc_id, hashes, counts in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for a, part, node, hashes, counts in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if (a, part) != group:
                     group, head = (a, part), []
-                if doc_id == a:  # sorts before its partners
-                    head.append(read(hashes, counts))
+                if node == a:  # sorts before its partners
+                    head.append(_read(hashes, counts))
                     continue
-                s = max((similarity(*h, *read(hashes, counts)) for h in head), default=0.0)
-                out.append((a, doc_id, s))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "similarity"])
+                s = max((similarity(*h, *_read(hashes, counts)) for h in head), default=0.0)
+                if s >= threshold:
+                    out.append((a, node))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    order = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("node") != F.col("a"))
+    return order.mapInArrow(compare, "a bigint, b bigint")
 
-    dealt = rows.mapInArrow(sets, "a bigint, part bigint, doc_id bigint, hashes binary, counts binary").repartition("a", "part")
-    order = dealt.sortWithinPartitions("a", "part", F.col("doc_id") != F.col("a"))
-    return order.mapInArrow(compare, "a bigint, b bigint, similarity double").filter(F.col("similarity") >= threshold)
+
+def _reach(sets: DataFrame) -> DataFrame:
+    """(node, total, common, plain): weight of a node's shingles, the part that another node may share, and whether all weights are 1.
+
+    Shingles count as common by a bitmap of fixed size, so ``common`` is an
+    upper bound.
+    """
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = np.frombuffer(b"".join(b.column("hashes").to_pylist()), np.uint64) & np.uint64(SHINGLE_BITS - 1)
+            kinds, times = np.unique(h, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times.astype(np.int64))], ["key", "n"])
+
+    often = sets.select("hashes").mapInArrow(keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    shared = sets.sparkSession.sparkContext.broadcast(bitmap(often, SHINGLE_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for hashes, counts in zip(b.column("hashes").to_pylist(), b.column("counts").to_pylist(), strict=True):
+                h, w = _read(hashes, counts)
+                out.append((float(w.sum()), float(w[marked(shared.value, h)].sum()), not counts))
+            yield pa.RecordBatch.from_arrays([b.column("node"), *(pa.array([x[i] for x in out], t) for i, t in enumerate((pa.float64(), pa.float64(), pa.bool_())))],
+                                             ["node", "total", "common", "plain"])
+
+    return sets.mapInArrow(run, "node bigint, total double, common double, plain boolean")
+
+
+def _possible(threshold: float):
+    """Whether two nodes can reach the threshold, given what each may share at most.
+
+    With unit weights the common part i gives i / (|a| + |b| - i). In general a
+    pair that shares the fractions f and g of its weights has a probability
+    Jaccard similarity of at most 1 / (1/f + 1/g - 1).
+    """
+    common = F.least("common_a", "common_b")
+    sets = common * (1 + threshold) >= threshold * (F.col("total_a") + F.col("total_b")) * (1 - 1e-9)
+    general = F.col("total_a") / F.col("common_a") + F.col("total_b") / F.col("common_b") <= (1 + 1 / threshold) * (1 + 1e-9)
+    return general & (~(F.col("plain_a") & F.col("plain_b")) | sets)
 
 
 def _alike(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
@@ -203,22 +259,28 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
                 .select(F.col("doc_id").alias("node"), "registers", "bands"), "representatives")
     texts = texts.filter("doc_id is not null")
 
-    # One head per representative: the smallest member it shares most bands with.
+    # One head per representative: the most central member it shares most bands with.
     banded = reps.select("node", F.explode("bands").alias("band"))
-    groups = keep(banded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1"), "band-groups")
-    shared = keep(banded.join(groups.select("band", "head"), "band").select("band", "node", "head"), "shared-bands")
-    votes = shared.filter("node <> head").groupBy("node", "head").count()
-    stars = keep(votes.groupBy("node").agg(F.max_by("head", F.struct("count", -F.col("head"))).alias("a")).select("a", F.col("node").alias("b")), "stars")
-    linked = _verified(texts, stars, threshold, size)
-    roots = flatten_parents(linked.select(F.col("b").alias("node"), F.col("a").alias("parent")))
-
-    # Pairs between the components that still share a band.
+    groups = keep(banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "band-groups")
+    shared = keep(banded.join(groups, "band").select("band", "node", "n"), "shared-bands")
+    rank = shared.groupBy("node").agg(F.struct(F.sum("n").alias("rank"), (-F.col("node")).alias("node")).alias("rank"))
+    ranked = keep(shared.select("band", "node").join(rank, "node"), "ranked-bands")
+    leads = ranked.groupBy("band").agg(F.max("rank").alias("lead"))
+    votes = ranked.join(leads, "band").filter("rank.node <> lead.node").groupBy("node", "lead").count()
+    stars = keep(votes.groupBy("node").agg(F.max(F.struct("count", "lead")).alias("best")).select((-F.col("best.lead.node")).alias("a"), F.col("node").alias("b")), "stars")
+    sets = keep(_shingle_sets(texts, shared.select("node").distinct(), size), "shingle-sets")
+    linked = keep(_verified(sets, stars, threshold), "links")
+    roots = components(linked)
+
+    # Pairs between the components that still share a band and can reach the threshold.
     labelled = keep(shared.select("band", "node").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")), "labelled-bands")
     split = labelled.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("band")
-    mixed = labelled.join(split, "band", "left_semi")
-    left = mixed.select("band", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    right = mixed.select("band", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    across = left.join(right, "band").filter("root_a <> root_b and a < b").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
+    mixed = keep(labelled.join(split, "band", "left_semi"), "mixed-bands")
+    reach = _reach(sets.join(mixed.select("node").distinct(), "node", "left_semi")).filter(F.col("common") >= threshold * F.col("total") * (1 - 1e-9))
+    able = keep(mixed.join(reach, "node"), "able-bands")
+    side = lambda x: able.select("band", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "total", "common", "plain")])
+    across = (side("a").join(side("b"), "band").filter((F.col("root_a") != F.col("root_b")) & (F.col("node_a") < F.col("node_b")) & _possible(threshold))
+              .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
     known = reps.select("node", "registers")
     with_a = across.join(known.select(F.col("node").alias("a"), F.col("registers").alias("ra")), "a")
     with_both = with_a.join(known.select(F.col("node").alias("b"), F.col("registers").alias("rb")), "b").select("a", "b", "ra", "rb")
@@ -226,7 +288,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     if close.isEmpty():
         final = roots
     else:
-        more = _verified(texts, close, threshold, size).select("a", "b")
+        more = keep(_verified(sets, close, threshold), "more-links")
         final = components(more.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
 
     found = classes.join(final, "node", "left").select("profile", F.col("node").alias("copy"), F.coalesce("root", "node").alias("cls"))

@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from examlytics.llm.marks import bitmap, marked
 from examlytics.llm.store import keep
 from examlytics.llm.text import ASCII_LOWER, LOWER_ALNUM, Words, buffer_of, ngram_hashes, slices
 
@@ -200,15 +201,9 @@ def mentions(docs: DataFrame) -> DataFrame:
 
 def _occurrences(docs: DataFrame, patterns: DataFrame, bits: int = MARK_BITS) -> DataFrame:
     """(h, total): how often the pattern words and word pairs occur in the corpus."""
-    slot = F.col("h").bitwiseAND(bits - 1)
-    chunks = patterns.groupBy(F.shiftright(slot, 15).alias("chunk")).agg(F.bitmap_construct_agg(slot.bitwiseAND((1 << 15) - 1)).alias("bits"))
-    bitmap = np.zeros(bits // 8, np.uint8)
-    for r in chunks.toLocalIterator():  # at most bits / 2**15 rows of 4 KB
-        bitmap[r.chunk << 12: (r.chunk + 1) << 12] = np.frombuffer(bytes(r.bits), np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap.tobytes())
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(patterns, bits, "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.frombuffer(shared.value, np.uint8)
         for b in slices(batches, "text"):
             buf, off = buffer_of(b.column("text"))
             words = Words(ASCII_LOWER[buf], off, LOWER_ALNUM)
@@ -216,8 +211,7 @@ def _occurrences(docs: DataFrame, patterns: DataFrame, bits: int = MARK_BITS) ->
             at = np.arange(len(words))
             two = np.flatnonzero(owner[1:] == owner[:-1]) if len(words) else at
             h = np.concatenate([ngram_hashes(single, at, at + 1), ngram_hashes(single, two, two + 2)])
-            place = h & np.uint64(bits - 1)
-            h = h[(marks[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+            h = h[marked(shared.value, h)]
             kinds, times = np.unique(h, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times.astype(np.int64))], ["h", "n"])
 

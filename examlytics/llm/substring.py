@@ -40,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from examlytics.llm.marks import bitmap, marked
 from examlytics.llm.store import keep
 from examlytics.llm.text import NON_SPACE, Words, buffer_of, ngram_hashes, range_hash, slices
 
@@ -47,7 +48,6 @@ WINDOW = 50
 GRAM = 8
 FILTER_BITS = 1 << 26
 BUCKET_ROWS = 20_000
-CHUNK_BITS = 1 << 15
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -98,29 +98,20 @@ def _minimisers(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _marks(minimisers: DataFrame, bits: int) -> bytes:
-    """Bitmap of the minimisers that two documents have: ``bits`` bits, whatever the input."""
-    slot = F.col("mh").bitwiseAND(bits - 1)
-    chunks = (minimisers.groupBy("mh").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-              .filter("lo < hi")
-              .groupBy(F.shiftright(slot, 15).alias("chunk"))
-              .agg(F.bitmap_construct_agg(slot.bitwiseAND(CHUNK_BITS - 1)).alias("bits")))
-    out = np.zeros(bits // 8, np.uint8)
-    for r in chunks.toLocalIterator():  # at most bits / 2**15 rows of 4 KB
-        out[r.chunk * CHUNK_BITS // 8: (r.chunk + 1) * CHUNK_BITS // 8] = np.frombuffer(bytes(r.bits), np.uint8)
-    return out.tobytes()
-
-
-def _occurrences(docs: DataFrame, marks, window: int, gram: int, bits: int) -> DataFrame:
+    """Bitmap of the minimisers that two documents have."""
+    twice = minimisers.groupBy("mh").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
+    return bitmap(twice, bits, "mh")
+
+
+def _occurrences(docs: DataFrame, marks, window: int, gram: int) -> DataFrame:
     """The packed super-k-mers whose minimiser is marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(marks.value, np.uint8)
         for b in slices(batches, "text"):
             words = Words(*buffer_of(b.column("text")), NON_SPACE)
             least, begin, many = super_kmers(words, window, gram)
-            slot = least & np.uint64(bits - 1)
-            marked = (bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            least, begin, many = least[marked], begin[marked], many[marked]
+            own = marked(marks.value, least)
+            least, begin, many = least[own], begin[own], many[own]
             owner = words.owner()[begin] if len(begin) else np.zeros(0, np.int64)
             raw = words.buf.tobytes()
             packed = [b" ".join(raw[s:e].split()) for s, e in zip(words.starts[begin].tolist(), words.ends[begin + many + window - 2].tolist(), strict=True)]
@@ -245,7 +236,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, fil
     spark = docs.sparkSession
     rows = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     marks = spark.sparkContext.broadcast(_marks(_minimisers(rows.select("doc_id", "text"), window, gram), filter_bits))
-    found = keep(_occurrences(rows, marks, window, gram, filter_bits), "super-kmers")
+    found = keep(_occurrences(rows, marks, window, gram), "super-kmers")
     distinct = keep(found.groupBy("mh", "key", "packed").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "distinct-super-kmers")
     large = distinct.groupBy("mh").count().filter(F.col("count") > bucket_rows).select("mh")
     lows = (_sorted_buckets(distinct.join(large, "mh", "left_anti"), window)
