@@ -190,16 +190,15 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, decoded binary")
 
 
-def digests(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Per row: number of ids, and the SHA-256 of the ids and of the bytes they decode to."""
+def digests(encoded: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """Per row: number of ids, and the SHA-256 of the ids and of the bytes they decode to (and the ids themselves)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(ranks_path, pattern)
         for b in slices(batches, "ids"):
             ids = b.column("ids").to_pylist()
-            yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()),
-                pa.array([hashlib.sha256(i).hexdigest() for i in ids]), pa.array([hashlib.sha256(bpe.decode(i)).hexdigest() for i in ids])],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            made = [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([hashlib.sha256(i).hexdigest() for i in ids]), pa.array([hashlib.sha256(bpe.decode(i)).hexdigest() for i in ids])]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *made, *([b.column("ids")] if with_ids else [])], names)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)

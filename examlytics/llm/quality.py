@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from examlytics.llm.text import NON_SPACE, Words, buffer_of, mix, range_hash, slices
 from examlytics.llm.training import labelled_sample
@@ -177,13 +178,20 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qualit
     return train(features, np.array([r.label for r in rows], np.int64))
 
 
-def score(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """doc_id and score of every whole text."""
+def with_score(docs: DataFrame, model: QualityModel, name: str = "score", text: str = "text") -> DataFrame:
+    """All columns of ``docs`` and the score of every whole text in the new column ``name``."""
+    if name in docs.columns:
+        raise ValueError(f"the documents have a column {name} already")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(shared.value.score(b.column("text")))], ["doc_id", "score"])
+        for b in slices(batches, text):
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shared.value.score(b.column(text)))], [*b.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
+
+def score(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """doc_id and score of every whole text."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, score double")
+    return with_score(rows, model).select("doc_id", "score")

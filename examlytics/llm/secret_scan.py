@@ -163,3 +163,15 @@ def secrets(docs: DataFrame, fdr: float = FDR, least_bits: float = LEAST_BITS) -
     added = passed.groupBy("version").agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("added"))
     out = found.join(added, "version", "left")
     return out.select("doc_id", "version", "base", F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(_SPANS)))).alias("spans"))
+
+
+def redact(text: Column, spans: Column, mark: str) -> Column:
+    """The text with every span (sorted by start; they may overlap) replaced by the mark."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def cut(acc: Column, x: Column) -> Column:
+        new = x["start"] >= acc["at"]
+        before = F.when(new, F.concat(F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))).otherwise(F.lit(""))
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.concat(acc["out"], before).alias("out"))
+
+    return F.aggregate(spans, start, cut, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
