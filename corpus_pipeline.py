@@ -58,7 +58,8 @@ def without(docs: DataFrame, gone: DataFrame, key: Column) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels, ~F.coalesce(crc_remainder(F.col("doc_id"), 4) == 2, F.lit(False)))
-    return quality.with_score(docs, model, "_quality").filter(F.col("_quality") >= KEEP_QUALITY).drop("_quality")
+    name = "_quality" + "_" * max(map(len, docs.columns))  # longer than any column there is
+    return quality.with_score(docs, model, name).filter(F.col(name) >= KEEP_QUALITY).drop(name)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,10 +70,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if again.isEmpty():
         return kept
     # One row of each repeated id: the smallest text.
-    repeated = kept.join(again.select("doc_id"), "doc_id", "left_semi")
-    first = repeated.groupBy("doc_id").agg(F.min(F.struct(F.col("text").alias("_first"), F.struct(*kept.columns).alias("row"))).alias("least")).select("least.row.*")
-    single = kept.filter("doc_id is null").unionByName(kept.filter("doc_id is not null").join(again.select("doc_id"), "doc_id", "left_anti").select(*kept.columns))
-    return single.unionByName(first)
+    rows = kept.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.struct(*kept.columns).alias("row"))
+    ids = again.select(F.col("doc_id").alias("id"))
+    first = rows.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("text", "row")).alias("least")).select("least.row.*")
+    return rows.join(ids, "id", "left_anti").select("row.*").unionByName(first)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,13 +84,13 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = secret_scan.secrets(docs).filter(F.size("spans") > 0).select(F.col("version").alias("_key"), F.col("spans").alias("_spans")).dropDuplicates(["_key"])
-    joined = docs.withColumn("_key", row_key()).join(found, "_key", "left")
-    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(secret_scan.redact(F.col("text"), F.col("_spans"), REDACTED))
-    out = joined.withColumn("text", clean)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    found = secret_scan.secrets(docs).filter(F.size("spans") > 0).select(F.col("version").alias("key"), "spans").dropDuplicates(["key"])
+    joined = docs.select(F.struct("*").alias("row"), row_key().alias("key")).join(found, "key", "left")
+    clean = secret_scan.redact(F.col("row.text"), F.col("spans"), REDACTED)
+    new = {"text": clean, "n_chars": F.length(clean)}
+    old = lambda c: F.col("row").getField(c)
+    return joined.select(*[
+        F.when(F.col("spans").isNull(), old(c)).otherwise(new[c].cast(docs.schema[c].dataType)).alias(c) if c in new else old(c).alias(c) for c in docs.columns])
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

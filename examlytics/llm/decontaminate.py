@@ -141,19 +141,20 @@ class Shard:
             found = found[have[at] == found + k]
         return found
 
-    def near(self, lists: np.ndarray, width: int) -> np.ndarray:
-        """Positions of the rarest term around which all terms lie within ``width`` words."""
+    def near(self, lists: np.ndarray, width: int, doc_starts: np.ndarray) -> list[int]:
+        """Texts in which all terms lie within ``width`` words, found around the rarest term."""
         need, times = np.unique(lists, return_counts=True)
         size = self.starts[need + 1] - self.starts[need]
         anchors = self.postings(need[np.argmin(size)])
         out = []
-        for a in anchors:
-            for left in range(a - width + 1, a + 1):
-                inside = [np.searchsorted(p := self.postings(t), left + width) - np.searchsorted(p, left) for t in need]
+        for a, d in zip(anchors.tolist(), (np.searchsorted(doc_starts, anchors, "right") - 1).tolist(), strict=True):
+            for left in range(max(a - width + 1, int(doc_starts[d])), a + 1):
+                right = min(left + width, int(doc_starts[d + 1]))
+                inside = [np.subtract(*np.searchsorted(self.postings(t), (right, left))) for t in need]
                 if all(i >= n for i, n in zip(inside, times, strict=True)):
-                    out.append(a)
+                    out.append(d)
                     break
-        return np.array(out, np.int64)
+        return out
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -234,8 +235,7 @@ def _search_shard(row: dict, block: TestBlock, slop: int | None) -> pa.RecordBat
                 spans.setdefault(d, []).append((p - base, p - base + int(k)))
                 items.setdefault(d, set()).add(block.item_ids[block.item[w]])
             if slop is not None:
-                for p in shard.near(lists[s:s + k], int(k) + slop):
-                    d = int(np.searchsorted(doc_starts, p, "right")) - 1
+                for d in shard.near(lists[s:s + k], int(k) + slop, doc_starts):
                     near.setdefault(d, set()).add(block.item_ids[block.item[w]])
     return pa.RecordBatch.from_pydict({
         "shard": pa.array([row["shard"]] * n, pa.string()),
