@@ -219,7 +219,7 @@ def _occurrences(docs: DataFrame, patterns: DataFrame, bits: int = MARK_BITS) ->
 
 
 def discover(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, surface) of instances that patterns of the seeds lead to."""
+    """(kind, surface) of the accepted instances: seeds, and those that patterns of the seeds lead to."""
     each = found.select(F.explode("mentions").alias("m")).select("m.kind", "m.surface", "m.seed", F.explode("m.patterns").alias("p"))
     edges = keep(each.groupBy("kind", "surface", "p.slot", "p.h").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pattern-instances")
     seeds = edges.groupBy("kind", "surface").agg(F.max("seed").alias("accepted"))
@@ -227,7 +227,6 @@ def discover(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFra
     words = _occurrences(docs, edges.filter("slot <> 'S'").select("h").distinct())
     totals = keep(words.unionByName(form.groupBy("h").agg(F.sum("n").alias("total"))), "pattern-totals")
     known = keep(seeds, "instances")
-    new = None
     for _ in range(rounds):
         graph = edges.drop("seed").join(known, ["kind", "surface"])
         patterns = (graph.groupBy("kind", "slot", "h")
@@ -239,10 +238,9 @@ def discover(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFra
         good = keep(scored.filter(F.col("score") >= ACCEPT).select("kind", "surface"), "accepted")
         if good.isEmpty():
             break
-        new = good if new is None else new.unionByName(good)
         known = keep(known.join(good.withColumn("now", F.lit(True)), ["kind", "surface"], "left")
                      .select("kind", "surface", (F.col("accepted") | F.coalesce("now", F.lit(False))).alias("accepted")), "instances")
-    return new if new is not None else known.filter("false").select("kind", "surface")
+    return known.filter("accepted").select("kind", "surface")
 
 
 def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -250,9 +248,9 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("version", F.xxhash64("doc_id", "text"))
     found = keep(mentions(rows), "mentions")
-    unseen = discover(rows, found, rounds)
+    accepted = discover(rows, found, rounds)
     candidates = found.select("version", F.explode("mentions").alias("m")).filter("not m.seed").select("version", "m.kind", "m.start", "m.end", "m.surface")
-    added = (candidates.join(unseen, ["kind", "surface"]).groupBy("version").agg(F.collect_set(F.struct("kind", "start", "end")).alias("added")))
+    added = (candidates.join(accepted, ["kind", "surface"]).groupBy("version").agg(F.collect_set(F.struct("kind", "start", "end")).alias("added")))
     out = found.select("doc_id", "version", "base").join(added, "version", "left")
     return out.select("doc_id", F.array_sort("base").alias("base"), F.array_sort(F.concat("base", F.coalesce("added", F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")))).alias("spans"))
 
