@@ -27,7 +27,8 @@ PROFICIENCY_ADVANCED_MIN = 80
 PROFICIENCY_INTERMEDIATE_MIN = 50
 PROFICIENCY_LEVELS = ("Beginner", "Intermediate", "Advanced")
 YEAR_WINDOW = ("2020", "2099")
-INTERNAL_DOMAIN_PATTERN = "amalitech"
+# Neutral default; callers pass the e-mail domain of their own organization.
+INTERNAL_DOMAIN_PATTERN = "corp.example"
 DOMAIN_SUFFIX_PATTERN = r"[ _]\d{6,}.*$"
 COHORT_YEAR_PATTERN = r"20[0-9]{2}"
 # Seed that makes Spark's chained xxhash64 start from seed 0 (XXH64 of this

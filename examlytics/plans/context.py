@@ -1,100 +1,98 @@
 """Shared base views for a session.
 
 Most views read the per-attempt base (V1) or its cohort extension (V14).
-:class:`Analytics` builds each base once per silver bundle, checkpoints it
-to the shared checkpoint folder and caches it, so a dashboard-style run of
-many views scans and deduplicates the silver tables once, plans against a
-short lineage, and survives executor loss by re-reading checkpoint files.
-:meth:`release` drops the cached copies.
+:class:`Analytics` writes each base once per silver bundle as a Parquet table
+in the cluster's shared folder (``spark.checkpoint.dir``) and reads it back, so
+a dashboard-style run of many views scans and deduplicates the silver tables
+once, every view reads only the columns it needs, and a lost executor
+re-reads files. :meth:`release` deletes the tables.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from examlytics.plans import cohort, org
-from examlytics.session import ensure_checkpoint_dir
+from examlytics.plans import cohort, org, seeds
+from examlytics.session import discard, keep
 from examlytics.sources.silver import Silver
 
 
 class Analytics:
+    """``algo`` is the bucket hash of the forced mapping: the source's XXH64, or ``md5`` for engines without it.
+
+    ``persist=False`` keeps the bases as plans: nothing is written or run
+    before a view is queried.
+    """
+
     def __init__(self, spark: SparkSession, silver: Silver, persist: bool = True,
-                 internal_pattern: str | None = None, sf_dir: str | None = None):
+                 internal_pattern: str | None = None, sf_dir: str | None = None, algo: str = "xxh64",
+                 internal_domains: tuple[str, ...] = seeds.INTERNAL_DOMAINS):
         self.spark = spark
         self.sf_dir = sf_dir
         self.silver = silver
         self.persist = persist
         self.internal_pattern = internal_pattern
-        self._cached: list[DataFrame] = []
-
-    def _keep(self, df: DataFrame) -> DataFrame:
-        """Materialise a base view once: reliable checkpoint, then cached.
+        self.internal_domains = internal_domains
+        self.algo = algo
+        self._kept: list[DataFrame] = []
 
-        The checkpoint (in the cluster's ``spark.checkpoint.dir``) cuts the
-        lineage, so views built on top analyse a short plan and a lost
-        executor re-reads checkpoint files instead of recomputing the
-        snapshots, deduplications and joins. The source frame is cached only
-        while it is being checkpointed (one computation, not two).
-        """
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
         if not self.persist:
             return df
-        ensure_checkpoint_dir(self.spark)
-        staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out = staged.checkpoint(eager=True)
-        staged.unpersist()
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
-        self._cached.append(out)
+        out = keep(df, name)
+        self._kept.append(out)
         return out
 
     @cached_property
     def cp(self) -> DataFrame:
         """V1 candidate performance (persisted)."""
         kw = {"internal_pattern": self.internal_pattern} if self.internal_pattern else {}
-        return self._keep(org.candidate_performance(self.silver, **kw))
+        return self._keep(org.candidate_performance(self.silver, **kw), "candidate-performance")
 
-    def ca(self, algo: str = "md5", force_map: bool = True) -> DataFrame:
-        """V14 cohort attempt for a bucket hash and mapping mode (persisted)."""
+    def ca(self, algo: str | None = None, force_map: bool = True) -> DataFrame:
+        """V14 cohort attempt for a bucket hash (default: the context's) and mapping mode (persisted)."""
+        algo = algo or self.algo
         key = (algo, force_map)
         cache = self.__dict__.setdefault("_ca", {})
         if key not in cache:
+            crosswalk = seeds.specialization_crosswalk(self.spark, internal_domains=self.internal_domains)
             cache[key] = self._keep(cohort.cohort_attempt(self.spark, self.cp, self.silver, algo=algo,
-                                                          force_map=force_map))
+                                                          force_map=force_map, crosswalk=crosswalk), "cohort-attempt")
         return cache[key]
 
     @cached_property
     def base(self) -> DataFrame:
-        """M1 training working set (V14 md5 mode, with ``seq``; persisted, read by ~40 marts)."""
+        """M1 training working set (V14, with ``seq``; persisted, read by ~40 marts)."""
         from examlytics.plans.marts import prepare_base
-        return self._keep(prepare_base(self.ca()))
+        return self._keep(prepare_base(self.ca()), "training-base")
 
     @cached_property
     def history(self) -> DataFrame:
         """P1 profile history (training base with per-frame sitting numbers; persisted)."""
         from examlytics.plans.profile import history
-        return self._keep(history(self.base))
+        return self._keep(history(self.base), "profile-history")
 
     @cached_property
     def retake(self) -> DataFrame:
-        """V4 retake intervals (read by the retake view, KPI strip and histogram; checkpointed)."""
-        return self._keep(org.retake_intervals(self.cp))
+        """V4 retake intervals (read by the retake view, KPI strip and histogram; persisted)."""
+        return self._keep(org.retake_intervals(self.cp), "retake-intervals")
 
     @cached_property
     def qp(self) -> DataFrame:
-        """V23 question performance (read by the view and the question rankings; checkpointed)."""
-        return self._keep(cohort.question_performance(self.spark, self.silver))
+        """V23 question performance (read by the view and the question rankings; persisted)."""
+        return self._keep(cohort.question_performance(self.spark, self.silver), "question-performance")
 
     @cached_property
     def responses(self) -> DataFrame:
         """One row per served question of each latest valid attempt (persisted)."""
-        return self._keep(cohort.question_responses(self.silver))
+        return self._keep(cohort.question_responses(self.silver), "question-responses")
 
     def release(self) -> None:
-        for df in self._cached:
-            df.unpersist()
-        self._cached.clear()
-        self.__dict__.pop("cp", None)
-        for k in ("_ca", "base", "history", "retake", "qp", "responses"):
+        """Delete the written bases; the next view that needs one builds it again."""
+        for df in self._kept:
+            discard(df)
+        self._kept.clear()
+        for k in ("cp", "_ca", "base", "history", "retake", "qp", "responses"):
             self.__dict__.pop(k, None)

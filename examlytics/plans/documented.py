@@ -54,12 +54,8 @@ def senior_insights(silver: Silver) -> DataFrame:
     documented); NULL when the source has no answered-count column.
     """
     tr = latest_attempts(silver)
-    src = silver.testresult
-    answered = (F.col("numberofquestionsanswered") if "numberofquestionsanswered" in src.columns
+    answered = (F.col("numberofquestionsanswered") if "numberofquestionsanswered" in tr.columns
                 else F.lit(None).cast("long"))
-    if "numberofquestionsanswered" in src.columns:
-        keys = ["assessmenttakerid", "testid", "attemptnumber", "load_date"]
-        tr = tr.join(src.select(*keys, "numberofquestionsanswered"), keys, "left")
     risk = fx.integrity_risk(F.col("testwindowviolationcount"), F.col("testwindowviolationduration"))
     return tr.select(
         F.col("assessmenttakerid").alias("assessment_taker_id"), F.col("testid").alias("test_id"),

@@ -9,7 +9,6 @@ job; the driver only sequences them and records a status per dataset.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,18 +130,23 @@ def run_silver(spark: SparkSession, bronze_root: str, silver_root: str, database
 
 def run_gold(spark: SparkSession, silver_root: str, gold_root: str, datasets: Sequence[str],
              sources: Mapping[str, tuple[str, str]] = GOLD_SOURCES, load_date: str | None = None) -> list[dict]:
-    """SRC16: every dataset in turn; a failing dataset is reported, the rest still run."""
-    date = load_date or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d")
+    """SRC16: every dataset in turn; a failing dataset is reported, the rest still run.
+
+    A gold snapshot carries the date of the silver snapshot it was made from
+    (``load_date`` overrides it), so reruns and backfills replace their own
+    partition and freshness stays true.
+    """
     out = []
     for name in datasets:
         try:
             if name not in sources:
                 raise ValueError(f"Unknown gold dataset: {name}")
             db, table = sources[name]
-            _, df = read_latest(spark, silver_root, db, table)
+            silver_date, df = read_latest(spark, silver_root, db, table)
+            date = load_date or silver_date
             path = write_snapshot(gold_transform(name, df.drop("load_date")), gold_root, db, table, date,
                                   idempotent=True)
-            out.append({"dataset": name, "status": "ok", "path": path})
+            out.append({"dataset": name, "status": "ok", "load_date": date, "path": path})
         except Exception as exc:  # isolate failures per dataset
             out.append({"dataset": name, "status": "error", "error": str(exc).splitlines()[0]})
     return out

@@ -31,6 +31,9 @@ TESTRESULT_COLS = ["assessmenttakerid", "testid", "attemptnumber", "starttime",
                    "load_date"]
 
 
+OPTIONAL_COLS = ["numberofquestionsanswered"]
+
+
 def valid_start(year_from: str = fx.YEAR_WINDOW[0], year_to: str = fx.YEAR_WINDOW[1]) -> Column:
     s = F.col("starttime")
     return fx.nonblank(s) & F.substring(s, 1, 4).between(year_from, year_to)
@@ -38,9 +41,13 @@ def valid_start(year_from: str = fx.YEAR_WINDOW[0], year_to: str = fx.YEAR_WINDO
 
 def latest_attempts(silver: Silver, year_from: str = fx.YEAR_WINDOW[0],
                     year_to: str = fx.YEAR_WINDOW[1]) -> DataFrame:
-    """DED1: latest snapshot per (taker, test, attempt) among rows with a valid start."""
+    """DED1: latest snapshot per (taker, test, attempt) among rows with a valid start.
+
+    Optional source columns (:data:`OPTIONAL_COLS`) come along where the table has them.
+    """
+    optional = [c for c in OPTIONAL_COLS if c in silver.testresult.columns]
     return dedup_latest(
-        silver.testresult.select(*TESTRESULT_COLS),
+        silver.testresult.select(*TESTRESULT_COLS, *optional),
         keys=["assessmenttakerid", "testid", "attemptnumber"],
         order=["load_date", "finishtime"],
         pre_filter=valid_start(year_from, year_to))

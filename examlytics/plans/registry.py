@@ -34,8 +34,8 @@ QUERIES: dict[str, ViewFn] = {
     "organization_catalog": lambda a: org.organization_catalog(a.silver),
     "trainer_kpis": lambda a: org.trainer_kpis(a.silver),
     "data_freshness": lambda a: org.data_freshness(a.silver),
-    # Cohort views: ``ca()`` uses the portable md5 bucket, checked by the oracle;
-    # the ``_xxh64`` entry is the source's own bucket hash.
+    # Cohort views use the context's bucket hash: the source's XXH64 unless the
+    # caller asks for md5 (the check entry does, DuckDB has no XXH64).
     "cohort_attempt": lambda a: a.ca(),
     "cohort_attempt_xxh64": lambda a: a.ca("xxh64"),
     "cohort_kpis": lambda a: cohort.cohort_kpis(a.spark, a.ca()),
@@ -123,9 +123,9 @@ QUERIES: dict[str, ViewFn] = {
     "candidate_drilldown": lambda a: doc.candidate_drilldown(doc.senior_insights(a.silver),
                                                              doc.growth_tracking(a.cp)),
     "recent_months": lambda a: doc.recent_months(a.cp),
-    "cohort_attempt_documented": lambda a: a.ca("md5", force_map=False),
-    "coverage_documented": lambda a: cohort.coverage(a.ca("md5", force_map=False)),
-    "specialization_kpis_documented": lambda a: cohort.specialization_kpis(a.ca("md5", force_map=False)),
+    "cohort_attempt_documented": lambda a: a.ca(force_map=False),
+    "coverage_documented": lambda a: cohort.coverage(a.ca(force_map=False)),
+    "specialization_kpis_documented": lambda a: cohort.specialization_kpis(a.ca(force_map=False)),
     # Candidate-versus-peer profiles for every candidate
     "profile_summary": lambda a: profile.summary(a.base, hist=a.history),
     "profile_specialization": lambda a: profile.by_specialization(a.history, a.base),
@@ -179,9 +179,12 @@ VIEW_NAMES = {
 def register_all(a: Analytics, only: list[str] | None = None) -> list[str]:
     """Publish the views as temp views in dependency order; returns their names.
 
-    ``only`` restricts to a subset of query names. Registration is lazy:
-    nothing runs until a view is queried.
+    ``only`` restricts to a subset of query names. The views are published as
+    plans over the silver tables: no base is written, and apart from the
+    sampling of ranking boundaries nothing runs until a view is queried.
     """
+    a = Analytics(a.spark, a.silver, persist=False, internal_pattern=a.internal_pattern, sf_dir=a.sf_dir,
+                  algo=a.algo, internal_domains=a.internal_domains)
     done = []
     for name, fn in QUERIES.items():
         if only is not None and name not in only:

@@ -40,13 +40,13 @@ SPECIALIZATION_CROSSWALK = [
     ("IT Skills", "IT Skills", False),
     ("Aptitude", "Aptitude", True),
     ("Aptitude Test Candidate's Ability", "Aptitude", True),
-    ("AmaliTech", "Internal/Test", True),
-    ("Dodokpo", "Internal/Test", True),
-    ("AMAP", "Internal/Test", True),
-    ("Rhitta AutoCalib Pool", "Internal/Test", True),
-    ("Philip Domain", "Internal/Test", True),
 ]
 
+# Neutral default: domains used for the organization's own tests. They are
+# excluded from specializations; callers pass the names of their deployment.
+INTERNAL_DOMAINS = ("Internal Pool",)
+INTERNAL_LABEL = "Internal/Test"
+
 CATEGORY_CROSSWALK = [
     ("Node", "Node.js", "Backend"),
     ("Node.js", "Node.js", "Backend"),
@@ -94,9 +94,11 @@ def _schema(*cols: tuple[str, object]) -> StructType:
     return StructType([StructField(n, t, True) for n, t in cols])
 
 
-def specialization_crosswalk(spark: SparkSession, rows: Sequence[tuple] = SPECIALIZATION_CROSSWALK) -> DataFrame:
-    """Normalised domain key -> specialization, exclusion flag."""
-    return spark.createDataFrame(list(rows), _schema(("key_norm", _S), ("specialization", _S),
+def specialization_crosswalk(spark: SparkSession, rows: Sequence[tuple] = SPECIALIZATION_CROSSWALK,
+                             internal_domains: Sequence[str] = INTERNAL_DOMAINS) -> DataFrame:
+    """Normalised domain key -> specialization, exclusion flag (internal domains are excluded)."""
+    rows = [*rows, *((d, INTERNAL_LABEL, True) for d in internal_domains)]
+    return spark.createDataFrame(rows, _schema(("key_norm", _S), ("specialization", _S),
                                                      ("is_excluded", BooleanType())))
 
 

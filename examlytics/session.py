@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Semantic settings: results depend on these, so every session gets them.
 SEMANTIC_CONF = {
@@ -29,6 +30,7 @@ EXECUTION_CONF = {
     # Runtime (measured) size bound for converting a shuffle join to a
     # broadcast join; static estimates are not trusted for that decision.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -37,27 +39,46 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the semantic and execution settings to an existing session."""
     for key, value in {**SEMANTIC_CONF, **EXECUTION_CONF}.items():
         spark.conf.set(key, value)
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the cluster's shared checkpoint folder.
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is. Only when
-    the session has none (local tests) a scratch folder is created.
+    Only a local session (tests, single-node bench) without that setting gets
+    a temporary folder; anywhere else executors could not read one another's
+    files, so a missing setting is an error.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    path = fallback or tempfile.mkdtemp(prefix="examlytics-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()
+        return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = tempfile.mkdtemp(prefix="examlytics-shared-")
+    spark.conf.set("spark.checkpoint.dir", path)
+    return path
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under a fresh path of the shared folder and read it back.
+
+    Cuts the lineage: later plans scan columns (with pruning and pushdown),
+    and a lost executor re-reads files instead of recomputing stages.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a table made by :func:`keep` (nothing else is touched)."""
+    spark = df.sparkSession
+    root = shared_dir(spark)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.toUri().getPath().startswith(spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath() + "/"):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "examlytics") -> SparkSession:

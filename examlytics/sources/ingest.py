@@ -100,8 +100,9 @@ def sync_table(spark: SparkSession, source: DataFrame, table: str, bronze_root:
                wm_col: str = "updated_at", run_date: str | None = None) -> int:
     """SRC5: extract -> write -> advance watermark; returns rows synced.
 
-    Nothing is written and the watermark is unchanged when the batch is
-    empty. Batch count and maximum are observed during the write.
+    Batch count and maximum are observed during the write (one scan). An
+    empty batch adds no rows and leaves the watermark unchanged; its write
+    job still runs.
     """
     validate_table_name(table)
     wm = get_watermark(spark, state_root, table)

@@ -4,8 +4,9 @@ The batch high-water mark of :mod:`examlytics.sources.ingest` becomes a
 file-source stream: the checkpoint remembers which source files were
 processed (replacing the watermark state table), ``Trigger.AvailableNow``
 processes everything new and stops, and each micro-batch is appended to the
-bronze layout by ``foreachBatch`` (idempotent per batch id through the
-``batch_id`` column, so a replayed batch can be recognised).
+bronze layout by ``foreachBatch``. A batch owns the partition
+``date=<d>/batch_id=<n>`` and overwrites it, so a replayed batch replaces
+itself and never appears twice.
 
 An event-time watermark plus ``dropDuplicatesWithinWatermark`` drops
 repeated deliveries of the same key that arrive within the lateness bound.
@@ -42,13 +43,16 @@ def deduplicated(stream: DataFrame, key: str, event_time: str, lateness: str = "
 
 def start_bronze_sync(stream: DataFrame, bronze_root: str, table: str, checkpoint: str,
                       run_date: str | None = None) -> StreamingQuery:
-    """Append every new micro-batch under ``<bronze_root>/table=<t>/date=<d>`` and stop when caught up."""
+    """Write every new micro-batch under ``<bronze_root>/table=<t>/date=<d>/batch_id=<n>`` and stop when caught up.
+
+    Batch ids are those of one checkpoint; replaying a batch on another date
+    needs the original ``run_date``.
+    """
     date = run_date or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d")
     path = f"{bronze_root.rstrip('/')}/table={table}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id)).withColumn("date", F.lit(date))
-         .write.partitionBy("date").mode("append").parquet(path))
+        batch.write.mode("overwrite").parquet(f"{path}/date={date}/batch_id={batch_id}")
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

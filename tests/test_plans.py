@@ -51,6 +51,12 @@ def test_dedup_is_a_window_group_limit(silver_lake):
     assert "WindowGroupLimit" in text
 
 
+def test_views_read_few_columns_of_their_base(spark):
+    text = plan_text(E.queries()["organization_overview"](spark, SF_SMOKE))
+    schema = next(ln for ln in text.splitlines() if "ReadSchema:" in ln)
+    assert "start_time_raw" not in schema and schema.count(":") <= 12, schema
+
+
 def test_no_cartesian_products(spark):
     qs = E.queries()
     for name in ["executive_overview", "kpi_strip", "profile_summary", "outcomes_scorecard", "coverage",

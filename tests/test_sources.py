@@ -110,6 +110,26 @@ def test_streaming_bronze_sync(spark, scratch):
     assert spark.read.parquet(f"{scratch}/bronze/table=events").count() == got.count()
 
 
+def test_replayed_micro_batch_replaces_itself(spark, scratch):
+    schema = spark.read.parquet(f"{SF_SMOKE}/events.parquet").schema
+    # a new checkpoint delivers the same first batch again, as after a crash before its commit
+    for ckpt in ("ckpt-a", "ckpt-b"):
+        start_bronze_sync(stream_source(spark, f"{SF_SMOKE}/events*.parquet", schema), f"{scratch}/bronze", "events",
+                          f"{scratch}/{ckpt}", run_date="2030-01-01").awaitTermination(120)
+    got = spark.read.parquet(f"{scratch}/bronze/table=events")
+    assert got.count() == spark.read.parquet(f"{SF_SMOKE}/events.parquet").count()
+
+
+def test_gold_keeps_the_silver_date(spark, scratch):
+    silver, gold = f"{scratch}/s", f"{scratch}/g"
+    lake.write_snapshot(spark.createDataFrame([("c1", "Node")], "id string, name string"), silver, "test_creation", "Category", "2030-01-08")
+    for _ in range(2):  # a rerun replaces its own partition
+        out = md.run_gold(spark, silver, gold, ["test_creation_category"])
+    assert out[0]["load_date"] == "2030-01-08"
+    date, rows = lake.read_latest(spark, gold, "test_creation", "Category")
+    assert date == "2030-01-08" and rows.count() == 1
+
+
 def test_crash_between_write_and_watermark_resyncs(spark, scratch):
     events = spark.read.parquet(f"{SF_SMOKE}/events.parquet")
     bronze, state = f"{scratch}/bronze", f"{scratch}/state"

@@ -21,7 +21,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_listed():
     rows_only = {"cohort_attempt_xxh64", "question_rankings"}
-    missing = set(E.queries()) - set(E.oracle_sql()) - rows_only
+    missing = set(registry.QUERIES) - set(E.oracle_sql()) - rows_only
     assert not missing, missing
 
 
@@ -81,6 +81,49 @@ def test_null_taker_rows_bypass_join_and_window(spark):
     assert ca.count() == cp.count()
 
 
+def test_same_day_reload_keeps_one_row_per_attempt(spark):
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from examlytics.plans import documented, org
+    from examlytics.sources.fixtures import silver_from_driver
+    s = silver_from_driver(spark, SF_SMOKE)
+    tr = s.testresult.withColumn("numberofquestionsanswered", F.lit(3).cast("long"))
+    again = tr.where("load_date = '2030-01-08'").limit(100)
+    nulls = tr.limit(5).withColumn("assessmenttakerid", F.lit(None).cast("string"))
+    s2 = replace(s, testresult=tr.unionByName(again).unionByName(nulls))
+    out = documented.senior_insights(s2)
+    assert out.count() == org.latest_attempts(s2).count()
+    assert out.where("assessment_taker_id is null and completion_funnel_pct is not null").count() > 0
+    assert out.where("completion_funnel_pct is not null").count() > 0
+
+
+def test_published_views_use_the_reference_hash(spark):
+    from examlytics.functions import scalar as fx
+    from examlytics.plans import registry, seeds
+    from examlytics.plans.context import Analytics
+    from examlytics.sources.fixtures import silver_from_driver
+    from pyspark.sql import functions as F
+    a = Analytics(spark, silver_from_driver(spark, SF_SMOKE), sf_dir=SF_SMOKE)
+    registry.register_all(a, only=["cohort_attempt"])
+    rows = spark.table("cohort_specialization_attempt").where("domain_name = 'Unlisted Domain'")
+    want = fx.hash_bucket(F.lit("Unlisted Domain"), seeds.FORCE_MAP_SPECIALIZATIONS, "xxh64")
+    assert rows.count() > 0 and rows.where(F.col("specialization") != want).count() == 0
+
+
+def test_release_deletes_written_bases(spark):
+    import os
+
+    from examlytics.plans.context import Analytics
+    from examlytics.sources.fixtures import silver_from_driver
+    a = Analytics(spark, silver_from_driver(spark, SF_SMOKE), sf_dir=SF_SMOKE)
+    path = a.cp.inputFiles()[0].removeprefix("file://").removeprefix("file:")
+    assert os.path.exists(path)
+    a.release()
+    assert not os.path.exists(path)
+
+
 def test_permutation_invariance(spark):
     """Shuffling and repartitioning the inputs leaves the views unchanged (deterministic tiebreaks)."""
     from dataclasses import fields, replace
