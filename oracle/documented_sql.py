@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from oracle.cohort_sql import CA_CTES, SPEC_CW, norm
+from oracle.cohort_sql import CA_COLUMNS, CA_CTES, CA_FROM
 from oracle.fixtures_sql import with_ctes
-from oracle.views_sql import CP_CTES, V5, dedup
+from oracle.views_sql import CP_CTES, V5, newest
 
 RISK = "(testwindowviolationcount * 2.0 + testwindowviolationduration / 60.0)"
 INSIGHTS = f"""select assessmenttakerid as assessment_taker_id, testid as test_id, title as test_title,
     {RISK} as integrity_risk_score, cast(null as bigint) / nullif(numberofquestions, 0) as completion_funnel_pct,
     case when {RISK} > 10 then 'High Risk' when {RISK} > 5 then 'Medium Risk' else 'Low Risk' end as integrity_label,
-    load_date from o_tr"""
+    load_date from sitting"""
 GROWTH = """select assessment_taker_id, candidatename, test_id, test_title, attempt_number, score_pct, load_date,
     lag(score_pct) over (partition by assessment_taker_id, test_id order by attempt_number asc nulls last,
       start_time asc nulls last) as previous_score from cp"""
@@ -37,7 +37,7 @@ from (select assessment_id, count(distinct assessment_taker_id) as total_takers,
         avg(duration_min) as average_duration_minutes, max(duration_min) as max_duration_minutes,
         cast(sum(violation_count) as bigint) as violation_count
       from cp group by assessment_id) g
-left join o_as a on g.assessment_id = a.id""", [("o_as", dedup("s_assessment", "id", ["organizationid"]))])
+left join o_as a on g.assessment_id = a.id""", [("o_as", newest("s_assessment", ["organizationid"]))])
 D["kpi_month_deltas"] = on_cp("""
 select *, avg_score_pct - lag(avg_score_pct) over (order by attempt_month) as avg_score_delta,
   pass_rate_pct - lag(pass_rate_pct) over (order by attempt_month) as pass_rate_delta
@@ -74,7 +74,7 @@ select test_id, test_title, count(distinct assessment_taker_id) as takers, avg(s
   avg(cast(total_attempts_before_pass as double)) as avg_attempts
 from cp group by test_id, test_title""")
 D["trainer_output_long"] = with_ctes([
-    ("qd", dedup("s_question", "id", ["creator", "activeversionid", "calibrationscore", "status", "difficultylevel"])),
+    ("qd", newest("s_question", ["creator", "activeversionid", "calibrationscore", "status", "difficultylevel"])),
     ("tk", """select creator as trainer_id, avg(cast(calibrationscore as double)) as avg_calibration_score,
         count(distinct case when difficultylevel = 'hard' then id end) as hard,
         count(distinct case when difficultylevel = 'medium' then id end) as medium,
@@ -112,35 +112,12 @@ select * from cp where attempt_month in (
     from (select distinct attempt_month from cp where attempt_month is not null and attempt_month <> ''))
   where r <= 3)""")
 
-_CA_DOC = [(n, sql) for n, sql in CA_CTES if n != "ca"] + [("ca", f"""
-select tcp.assessment_taker_id, tcp.candidatename, tcp.email, tcp.candidate_source,
-  tcp.organization_id, tcp.organization_name, tcp.test_id, tcp.test_title, tcp.test_difficulty,
-  d.name as domain_name,
-  coalesce(cw.specialization, 'Unmapped') as specialization,
-  coalesce(cw.is_excluded, false) as is_excluded,
-  tc.program_type, tc.assessment_type,
-  coalesce(tc.cohort_year, tcp.attempt_year) as cohort_year,
-  case when tc.program_type is null then 'Unassigned'
-       else coalesce(tc.cohort_year, tcp.attempt_year, 'Unknown') || ' ' || tc.program_type end as cohort,
-  case when tc.program_type is not null then 'Training Center'
-       when cw.specialization is not null and not coalesce(cw.is_excluded, false) then 'Service Center'
-       else 'Unclassified' end as center,
-  case when cw.specialization is not null and not coalesce(cw.is_excluded, false) then 1 else 0 end
-    as has_specialization,
-  case when tc.program_type is not null then 1 else 0 end as has_cohort,
-  tcp.score_pct, tcp.is_pass, tcp.pass_status, tcp.proficiency_level,
-  try_cast(tcp.attempt_number as integer) as attempt_number,
-  tcp.total_attempts_before_pass, tcp.duration_min,
-  try_cast(tcp.violation_count as double) as violation_count,
-  try_cast(tcp.violation_duration_sec as double) as violation_duration_sec,
-  try_cast(tcp.questions_failed as double) as questions_failed,
-  try_cast(tcp.questions_total as double) as questions_total,
-  tcp.start_time, tcp.attempt_month, tcp.attempt_quarter, tcp.attempt_year, tcp.load_date
-from cp tcp
-left join o_tc tc on tcp.assessment_taker_id = tc.taker_id
-left join o_te te on tcp.test_id = te.id
-left join o_dom d on te.domainid = d.id
-left join {SPEC_CW} as cw(key_norm, specialization, is_excluded) on {norm('d.name')} = lower(cw.key_norm)""")]
+_CA_DOC = [x for x in CA_CTES if x[0] != "ca"] + [("ca", f"""
+select {CA_COLUMNS}, coalesce(specialization, 'Unmapped') as specialization, coalesce(is_excluded, false) as is_excluded, program_type,
+  if(program_type is null, 'Unassigned', coalesce(tagged_year, attempt_year, 'Unknown') || ' ' || program_type) as cohort,
+  if(program_type is not null, 'Training Center', if(is_excluded = false, 'Service Center', 'Unclassified')) as center,
+  if(is_excluded = false, 1, 0) as has_specialization, if(program_type is null, 0, 1) as has_cohort
+from {CA_FROM}""")]
 
 D["cohort_attempt_documented"] = with_ctes(_CA_DOC, "select * from ca")
 

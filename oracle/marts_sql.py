@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from oracle.cohort_sql import CA_CTES, QP_CTES
 from oracle.fixtures_sql import with_ctes
-from oracle.views_sql import CP_CTES, V4_BODY, V7_BODY, V7_CTES, V9_BODY, dedup
+from oracle.views_sql import CP_CTES, V4_BODY, V7_BODY, V7_CTES, V9_BODY, newest
 
 SEQ_KEY = ("struct_pack(a := seq, b := coalesce(cast(start_time as varchar), '~'), "
            "c := coalesce(test_id, ''), d := coalesce(assessment_taker_id, ''))")
@@ -44,14 +44,14 @@ ATT_CTES = QP_CTES + [
     ("o_tra", """select * from (select *, row_number() over (partition by assessmenttakerid, testid, attemptnumber
         order by load_date desc nulls last, finishtime desc nulls last, title asc nulls last, starttime asc nulls last,
           duration asc nulls last) as rn from s_testresult) where rn = 1"""),
-    ("o_qdm", dedup("s_question", "id", ["questiontype", "difficultylevel", "questiontitle", "questiontext"])),
+    ("o_qdm", newest("s_question", ["questiontype", "difficultylevel", "questiontitle", "questiontext"])),
     ("o_detail", """select p.assessmenttakerid, p.testid, p.attemptnumber, p.pos, p.question_id, p.max_score,
         p.achieved_score, p.idle_time_sec, p.is_answered, p.is_answer_correct,
         t.testwindowviolationcount as violation_count, t.testwindowviolationduration as violation_duration_sec,
         t.numberofquestions as attempt_questions_total, t.numberofquestionsfailed as attempt_questions_failed,
         t.testpercentage, t.passstatus, t.duration as attempt_duration_sec, t.starttime, t.finishtime,
         q.questiontype, q.difficultylevel, q.questiontitle, q.questiontext
-        from o_parsed p
+        from answer p
         left join o_tra t on p.assessmenttakerid = t.assessmenttakerid and p.testid = t.testid
           and p.attemptnumber = t.attemptnumber
         left join o_qdm q on p.question_id = q.id"""),
