@@ -18,7 +18,7 @@ from examlytics.functions.html import with_question_label
 from examlytics.operators.combine import weighted_mean
 from examlytics.plans import cohort, documented as doc, marts as m, medallion, org, profile
 from examlytics.sources import ingest, lake
-from examlytics.sources.fixtures import read_table
+from examlytics.sources.fixtures import question_flags, read_table, skills
 from examlytics.plans.context import Analytics
 from examlytics.sources.silver import Silver
 
@@ -100,6 +100,8 @@ QUERIES: dict[str, ViewFn] = {
     "gold_question": lambda a: _gold(a, "test_creation_question", a.silver.question),
     "gold_assessment": lambda a: _gold(a, "test_creation_assessment", a.silver.assessment),
     "gold_assessment_dispatch": lambda a: _gold(a, "test_creation_assessment_dispatch", a.silver.dispatch),
+    "gold_questionflag": lambda a: _gold(a, "test_execution_questionflag", question_flags(read_table(a.spark, a.sf_dir, "lineitem"))),
+    "gold_skill": lambda a: _gold(a, "test_creation_skill", skills(read_table(a.spark, a.sf_dir, "part"))),
     "weighted_cohort_pass_rate": lambda a: cohort.cohort_specialization_kpis(a.ca()).groupBy("cohort").agg(
         weighted_mean("pass_rate_pct", "attempts").alias("weighted_pass_rate_pct"),
         F.sum("attempts").alias("attempts")),

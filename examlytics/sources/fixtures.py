@@ -1,8 +1,9 @@
 """Silver-shaped tables derived from the benchmark's TPC-H-like tables.
 
-Mapping: an order is one sitting (test result), a customer is a person, a
-nation is an organization, a part is a question and a line item is one
-question response. Dates move forward 28 years (leap days preserved) so
+Mapping: an order is one sitting (test result), a customer is a person with
+up to three taker ids, a nation is an organization, a part is a question and
+a line item is one question response. Orders of one taker on one test are its
+numbered attempts; some sittings have no taker and some takers no e-mail. Dates move forward 28 years (leap days preserved) so
 they fall in the views' 2020-2099 window. Several keys get an older
 snapshot (``load_date`` 2030-01-01) next to the current one (2030-01-08),
 which is what the keep-latest deduplication works against.
@@ -15,7 +16,7 @@ FIXTURES.md section 6; the DuckDB oracle uses that text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from examlytics.sources.silver import Silver
@@ -24,6 +25,9 @@ from examlytics.sources.silver import Silver
 OLD_LOAD = "2030-01-01"
 NEW_LOAD = "2030-01-08"
 
+# The level of a test by its priority digit (1 to 5).
+TEST_LEVELS = ("easy", "Beginner", "Intermediate", "Advanced", "hard")
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "embeddings", "pages", "benchmark", "labels",
                  "conversations")
@@ -33,12 +37,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _snapshots(df: DataFrame, keep_old: Column | None) -> DataFrame:
-    """One row per snapshot date; the old snapshot only where ``keep_old``."""
-    out = df.withColumn("load_date", F.explode(F.array(F.lit(OLD_LOAD), F.lit(NEW_LOAD))))
-    if keep_old is None:
-        return out
-    return out.where((F.col("load_date") == NEW_LOAD) | keep_old)
+def _snapshots(df: DataFrame, keep_old: Column | None, reloaded: Column | None = None) -> DataFrame:
+    """One row per snapshot date; the old one only where ``keep_old``, the new one twice where ``reloaded``."""
+    loads = F.array(F.struct(F.lit(OLD_LOAD).alias("d"), F.lit(0).alias("n")), F.struct(F.lit(NEW_LOAD).alias("d"), F.lit(1).alias("n")),
+                    F.struct(F.lit(NEW_LOAD).alias("d"), F.lit(2).alias("n")))
+    out = df.withColumn("__load", F.explode(loads))
+    old = F.lit(True) if keep_old is None else keep_old
+    again = F.lit(False) if reloaded is None else reloaded
+    n = F.col("__load.n")
+    return out.where((n == 1) | ((n == 0) & old) | ((n == 2) & again)).withColumn("load_date", F.col("__load.d")).drop("__load")
 
 
 def _s(x: Column) -> Column:
@@ -77,16 +84,23 @@ def result_json(lineitem: DataFrame) -> DataFrame:
                  .alias("result")))
 
 
+def _taker(custkey: Column, group: Column) -> Column:
+    return F.concat(F.lit("at-"), _s(custkey), F.lit("-"), _s(group))
+
+
 def testresult(orders: DataFrame, lineitem: DataFrame | None = None) -> DataFrame:
     k = F.col("o_orderkey")
     start = F.when(k % 101 == 0, F.lit("")).otherwise(F.concat(
         _shifted_date("o_orderdate"), F.lit("T"),
         F.lpad(_s(k % 24), 2, "0"), F.lit(":"), F.lpad(_s(k % 60), 2, "0"), F.lit(":00.000Z")))
+    nobody = k % 41 == 5
+    # A taker's orders on one test are a handful: the window is bounded by the data's orders per customer.
+    nth = F.row_number().over(Window.partitionBy("o_custkey", k % 3, _priority(), k % 2).orderBy(k))
     base = orders.select(
         "o_orderkey",
-        F.concat(F.lit("at-"), _s(k)).alias("assessmenttakerid"),
+        F.when(~nobody, _taker(F.col("o_custkey"), k % 3)).alias("assessmenttakerid"),
         F.concat(F.lit("t-"), _priority(), _s(k % 2)).alias("testid"),
-        F.lit(1).cast("long").alias("attemptnumber"),
+        F.when(nobody, k).otherwise(nth).cast("long").alias("attemptnumber"),
         F.concat(F.lit("Test "), _priority()).alias("title"),
         start.alias("starttime"),
         F.when(k % 17 == 0, F.lit(None).cast("string"))
@@ -100,32 +114,38 @@ def testresult(orders: DataFrame, lineitem: DataFrame | None = None) -> DataFram
         (k % 21).cast("long").alias("numberofquestions"),
         ((k % 21).cast("long") - (k % 7).cast("long") * (k % 21 >= 6).cast("int"))
         .alias("numberofquestionsfailed"),
+        F.greatest(k % 21 - k % 3, F.lit(0)).cast("long").alias("numberofquestionsanswered"),
+        F.lit("done").alias("status"),
+        (k % 4).cast("long").alias("testtakershotcount"),
     )
     if lineitem is not None:
         base = base.join(result_json(lineitem), base.o_orderkey == F.col("l_orderkey"), "left").drop("l_orderkey")
     else:
         base = base.withColumn("result", F.lit(None).cast("string"))
-    return _snapshots(base, k % 3 == 0).drop("o_orderkey")
+    return _snapshots(base, k % 5 == 0, k % 13 == 0).drop("o_orderkey")
 
 
 def assessmenttaker(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    """One row per (customer, order key modulo 3), described by its smallest order."""
+    m, c = F.col("m"), F.col("o_custkey")
+    takers = orders.groupBy("o_custkey", (F.col("o_orderkey") % 3).alias("g")).agg(
+        F.min("o_orderkey").alias("m"), F.min("o_orderdate").alias("since"))
     suffix = (F.when(c % 3 == 0, F.lit("@corp.example"))
               .when(c % 97 == 1, F.lit("")).otherwise(F.lit("@ext.example")))
-    tags = (F.when(k % 5 == 0, F.lit('["2025 National Service Personnel","Frontend"]'))
-            .when(k % 5 == 1, F.lit('["CDC December 2025","Aptitude"]'))
-            .when(k % 5 == 2, F.lit("[]"))
-            .when(k % 5 == 3, F.lit("not json")))
-    base = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-            .select("o_orderkey",
-                    F.concat(F.lit("at-"), _s(k)).alias("id"),
-                    F.concat(F.lit("user."), _s(c), suffix).alias("email"),
-                    F.concat(F.lit("as-"), _s(k % 50)).alias("assessmentid"),
+    tags = (F.when(m % 5 == 0, F.lit('["2025 National Service Personnel","Frontend"]'))
+            .when(m % 5 == 1, F.lit('["CDC December 2025","Aptitude"]'))
+            .when(m % 5 == 2, F.lit("[]"))
+            .when(m % 5 == 3, F.lit("not json")))
+    base = (takers.join(customer, takers.o_custkey == customer.c_custkey)
+            .select("m", _taker(c, F.col("g")).alias("id"),
+                    F.when(c % 89 != 3, F.concat(F.lit("user."), _s(c), suffix)).alias("email"),
+                    F.concat(F.lit("as-"), _s(m % 50)).alias("assessmentid"),
                     F.concat(F.lit("org-"), _s(F.col("c_nationkey"))).alias("organizationid"),
-                    F.concat(F.lit("d-"), _s(k % 200)).alias("dispatchid"),
+                    F.concat(F.lit("d-"), _s(m % 200)).alias("dispatchid"),
                     tags.alias("tags"),
-                    _shifted_date("o_orderdate").alias("createdat")))
-    return _snapshots(base, k % 4 == 0).drop("o_orderkey")
+                    _shifted_date("since").alias("createdat"),
+                    (m % 2 == 0).alias("showresults"), F.lit("").alias("starttime")))
+    return _snapshots(base, m % 4 == 0).drop("m")
 
 
 def organization(nation: DataFrame) -> DataFrame:
@@ -143,9 +163,10 @@ def test(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.concat(F.lit("t-"), _priority(), _s(k % 2)).alias("id"),
         F.concat(F.lit("Test "), _priority()).alias("title"),
-        F.when(k % 2 == 0, F.lit("easy")).otherwise(F.lit("hard")).alias("difficultylevel"),
+        F.element_at(F.array(*map(F.lit, TEST_LEVELS)), _priority().cast("int")).alias("difficultylevel"),
         F.concat(F.lit("dom-"), _priority()).alias("domainid"),
         F.concat(F.lit("org-"), _priority()).alias("organizationid"),
+        F.lit("text").alias("description"), F.lit(False).alias("system"),
         F.lit(NEW_LOAD).alias("load_date")).distinct()
 
 
@@ -156,7 +177,7 @@ def domain(orders: DataFrame) -> DataFrame:
             .when(p == "3", F.lit("Aptitude"))
             .when(p == "4", F.lit("AWS_99887766 x"))
             .otherwise(F.lit("Unlisted Domain")))
-    return orders.select(F.concat(F.lit("dom-"), p).alias("id"), name.alias("name"),
+    return orders.select(F.concat(F.lit("dom-"), p).alias("id"), name.alias("name"), F.lit(False).alias("system"),
                          F.lit(NEW_LOAD).alias("load_date")).distinct()
 
 
@@ -167,6 +188,7 @@ def dispatch(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.concat(F.lit("d-"), _s(m)).alias("id"), tags.alias("tags"),
         F.when(m >= 100, F.lit("2027-03-01")).alias("commencedate"),
+        (m % 2 == 0).alias("showResults"), F.lit("link").alias("dispatchLink"),
         F.lit("2026-11-05").alias("createdat"), F.lit(NEW_LOAD).alias("load_date")).distinct()
 
 
@@ -188,7 +210,7 @@ def question(part: DataFrame) -> DataFrame:
         F.concat(F.lit("dom-"), _s(pk % 6)).alias("domainid"),
         F.when(pk % 2 == 0, F.lit("mcq")).otherwise(F.lit("code")).alias("questiontype"),
         F.col("p_name").alias("questiontitle"),
-        text.alias("questiontext"))
+        text.alias("questiontext"), F.md5(F.col("p_name")).alias("hash"))
     return _snapshots(base, pk % 2 == 0).drop("p_partkey")
 
 
@@ -196,7 +218,7 @@ def category(part: DataFrame) -> DataFrame:
     t = F.col("p_type")
     name = (F.when(t == "ECONOMY", F.lit("Node")).when(t == "MEDIUM", F.lit("React 1234567"))
             .when(t == "SMALL", F.lit("Cypress")).otherwise(t))
-    return part.select(F.concat(F.lit("cat-"), t).alias("id"), name.alias("name"),
+    return part.select(F.concat(F.lit("cat-"), t).alias("id"), name.alias("name"), F.lit("about").alias("description"), F.lit(False).alias("system"),
                        F.lit(NEW_LOAD).alias("load_date")).distinct()
 
 
@@ -206,9 +228,30 @@ def assessment(orders: DataFrame) -> DataFrame:
         F.concat(F.lit("as-"), _s(m)).alias("id"),
         F.concat(F.lit("org-"), _s(m % 25)).alias("organizationid"),
         (m % 4 != 0).alias("isdispatched"),
+        F.concat(F.lit("Assessment "), _s(m)).alias("title"),
+        F.when(m % 3 == 0, F.lit("draft")).otherwise(F.lit("published")).alias("status"),
+        F.when(m % 7 != 0, ((m + 1) * 60).cast("long")).alias("duration"),
+        F.lit("read first").alias("instructions"),
         F.lit(NEW_LOAD).alias("load_date")).distinct()
 
 
+def question_flags(lineitem: DataFrame) -> DataFrame:
+    """Flags of questions by sittings (a table only the gold transforms read)."""
+    return (lineitem.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1))
+            .select(F.concat(F.lit("f-"), _s(F.col("l_orderkey"))).alias("id"),
+                    F.concat(F.lit("q-"), _s(F.col("l_partkey"))).alias("questionid"),
+                    F.concat(F.lit("org-"), _s(F.col("l_suppkey") % 25)).alias("organizationid"),
+                    F.lit("text").alias("questiontext"), F.lit(NEW_LOAD).alias("load_date")).distinct())
+
+
+def skills(part: DataFrame) -> DataFrame:
+    """Skills, one per part type (a table only the gold transforms read)."""
+    t = F.col("p_type")
+    return part.select(F.concat(F.lit("skill-"), t).alias("id"), t.alias("name"), F.lit("org-1").alias("organizationid"),
+                       F.lit(True).alias("system"), F.lit("about").alias("description"), F.lit("[]").alias("tags"),
+                       F.lit(NEW_LOAD).alias("load_date")).distinct()
+
+
 def silver_from_driver(spark: SparkSession, sf_dir: str) -> Silver:
     """All nine silver tables, derived lazily from ``sf_dir``'s parquet files."""
     orders = read_table(spark, sf_dir, "orders")

@@ -8,7 +8,7 @@ from oracle.views_sql import CP_CTES, V5, newest
 
 RISK = "(testwindowviolationcount * 2.0 + testwindowviolationduration / 60.0)"
 INSIGHTS = f"""select assessmenttakerid as assessment_taker_id, testid as test_id, title as test_title,
-    {RISK} as integrity_risk_score, cast(null as bigint) / nullif(numberofquestions, 0) as completion_funnel_pct,
+    {RISK} as integrity_risk_score, numberofquestionsanswered / nullif(numberofquestions, 0) as completion_funnel_pct,
     case when {RISK} > 10 then 'High Risk' when {RISK} > 5 then 'Medium Risk' else 'Low Risk' end as integrity_label,
     load_date from sitting"""
 GROWTH = """select assessment_taker_id, candidatename, test_id, test_title, attempt_number, score_pct, load_date,
@@ -24,8 +24,8 @@ D = {}
 D["growth_tracking"] = on_cp("select *, score_pct - previous_score as score_improvement from o_g", [("o_g", GROWTH)])
 D["senior_insights"] = on_cp("select * from o_si", [("o_si", INSIGHTS)])
 D["assessment_summary"] = on_cp("""
-select g.assessment_id, cast(null as varchar) as assessment_title, a.organizationid as organization_id,
-  cast(null as varchar) as status, cast(null as double) as duration_minutes,
+select g.assessment_id, a.title as assessment_title, a.organizationid as organization_id,
+  a.status, a.duration / 60 as duration_minutes,
   g.total_takers, g.started_takers, g.completed_takers,
   cast(g.completed_takers as double) / nullif(g.total_takers, 0) * 100 as completion_rate_pct,
   g.graded_attempts, g.average_score, g.average_score as average_percentage, g.pass_rate_pct,
@@ -37,7 +37,7 @@ from (select assessment_id, count(distinct assessment_taker_id) as total_takers,
         avg(duration_min) as average_duration_minutes, max(duration_min) as max_duration_minutes,
         cast(sum(violation_count) as bigint) as violation_count
       from cp group by assessment_id) g
-left join o_as a on g.assessment_id = a.id""", [("o_as", newest("s_assessment", ["organizationid"]))])
+left join o_as a on g.assessment_id = a.id""", [("o_as", newest("s_assessment", ["organizationid", "title", "status", "duration"]))])
 D["kpi_month_deltas"] = on_cp("""
 select *, avg_score_pct - lag(avg_score_pct) over (order by attempt_month) as avg_score_delta,
   pass_rate_pct - lag(pass_rate_pct) over (order by attempt_month) as pass_rate_delta

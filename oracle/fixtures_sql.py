@@ -7,7 +7,7 @@ the oracle checks the view logic on top of it.
 
 from __future__ import annotations
 
-_SNAP = "(select '2030-01-01' as load_date union all select '2030-01-08' as load_date)"
+_SNAP = "(select * from (values ('2030-01-01', 0), ('2030-01-08', 1), ('2030-01-08', 2)) as v(load_date, n))"
 
 _ELEMENT = """'{"questionId":"q-'||cast(l_partkey as string)||'","score":'||cast(cast(l_quantity as int) as string)
     ||',"scored":'||cast(case when l_returnflag='R' then 0 else cast(l_quantity as int) end as string)
@@ -20,9 +20,10 @@ FIXTURES = {
 select l_orderkey, '['||string_agg({_ELEMENT}, ',' order by l_linenumber, l_partkey, l_suppkey, {_ELEMENT})||']' as result
 from lineitem group by l_orderkey""",
     "s_testresult": f"""
-select 'at-'||cast(o_orderkey as string) as assessmenttakerid,
+select case when o_orderkey%41<>5 then 'at-'||cast(o_custkey as string)||'-'||cast(o_orderkey%3 as string) end as assessmenttakerid,
   't-'||substr(o_orderpriority,1,1)||cast(o_orderkey%2 as string) as testid,
-  cast(1 as bigint) as attemptnumber, 'Test '||substr(o_orderpriority,1,1) as title,
+  cast(case when o_orderkey%41=5 then o_orderkey else row_number() over (partition by o_custkey, o_orderkey%3,
+    substr(o_orderpriority,1,1), o_orderkey%2, n order by o_orderkey) end as bigint) as attemptnumber, 'Test '||substr(o_orderpriority,1,1) as title,
   case when o_orderkey%101=0 then '' else
     cast(year(o_orderdate)+28 as string)||substr(cast(cast(o_orderdate as date) as string),5,6)
     ||'T'||lpad(cast(o_orderkey%24 as string),2,'0')||':'||lpad(cast(o_orderkey%60 as string),2,'0')||':00.000Z' end as starttime,
@@ -34,45 +35,49 @@ select 'at-'||cast(o_orderkey as string) as assessmenttakerid,
   cast((o_orderkey%9)*15 as bigint) as testwindowviolationduration,
   cast(o_orderkey%21 as bigint) as numberofquestions,
   cast(o_orderkey%21 as bigint)-cast(o_orderkey%7 as bigint)*cast(o_orderkey%21>=6 as int) as numberofquestionsfailed,
+  cast(greatest(o_orderkey%21-o_orderkey%3,0) as bigint) as numberofquestionsanswered, 'done' as status,
+  cast(o_orderkey%4 as bigint) as testtakershotcount,
   r.result as result,
   s.load_date as load_date
 from orders left join s_result r on r.l_orderkey = o_orderkey
 cross join {_SNAP} s
-where s.load_date='2030-01-08' or o_orderkey%3=0""",
+qualify n=1 or (n=0 and o_orderkey%5=0) or (n=2 and o_orderkey%13=0)""",
     "s_assessmenttaker": f"""
-select 'at-'||cast(o_orderkey as string) as id,
-  'user.'||cast(o_custkey as string)||case when o_custkey%3=0 then '@corp.example' when o_custkey%97=1 then '' else '@ext.example' end as email,
-  'as-'||cast(o_orderkey%50 as string) as assessmentid, 'org-'||cast(c_nationkey as string) as organizationid,
-  'd-'||cast(o_orderkey%200 as string) as dispatchid,
-  case o_orderkey%5 when 0 then '["2025 National Service Personnel","Frontend"]' when 1 then '["CDC December 2025","Aptitude"]'
+select 'at-'||cast(o_custkey as string)||'-'||cast(g as string) as id,
+  case when o_custkey%89<>3 then 'user.'||cast(o_custkey as string)||case when o_custkey%3=0 then '@corp.example' when o_custkey%97=1 then '' else '@ext.example' end end as email,
+  'as-'||cast(m%50 as string) as assessmentid, 'org-'||cast(c_nationkey as string) as organizationid,
+  'd-'||cast(m%200 as string) as dispatchid,
+  case m%5 when 0 then '["2025 National Service Personnel","Frontend"]' when 1 then '["CDC December 2025","Aptitude"]'
     when 2 then '[]' when 3 then 'not json' end as tags,
-  cast(year(o_orderdate)+28 as string)||substr(cast(cast(o_orderdate as date) as string),5,6) as createdat,
-  s.load_date as load_date
-from orders join customer on o_custkey=c_custkey
+  cast(year(since)+28 as string)||substr(cast(cast(since as date) as string),5,6) as createdat,
+  m%2=0 as showresults, '' as starttime, s.load_date as load_date
+from (select o_custkey, o_orderkey%3 as g, min(o_orderkey) as m, min(o_orderdate) as since from orders group by 1, 2)
+join customer on o_custkey=c_custkey
 cross join {_SNAP} s
-where s.load_date='2030-01-08' or o_orderkey%4=0""",
+where n=1 or (n=0 and m%4=0)""",
     "s_organization": f"""
 select 'org-'||cast(n_nationkey as string) as id,
   n_name||case when s.load_date='2030-01-01' then ' (old)' else '' end as organizationname, s.load_date as load_date
 from nation cross join {_SNAP} s
-where n_nationkey<>7""",
+where n_nationkey<>7 and n<2""",
     "s_test": """
 select distinct 't-'||substr(o_orderpriority,1,1)||cast(o_orderkey%2 as string) as id,
   'Test '||substr(o_orderpriority,1,1) as title,
-  case o_orderkey%2 when 0 then 'easy' else 'hard' end as difficultylevel,
+  ['easy','Beginner','Intermediate','Advanced','hard'][cast(substr(o_orderpriority,1,1) as int)] as difficultylevel,
   'dom-'||substr(o_orderpriority,1,1) as domainid, 'org-'||substr(o_orderpriority,1,1) as organizationid,
+  'text' as description, false as system,
   '2030-01-08' as load_date
 from orders""",
     "s_domain": """
 select distinct 'dom-'||substr(o_orderpriority,1,1) as id,
   case substr(o_orderpriority,1,1) when '1' then 'Backend Engineering 1781523206632' when '2' then 'data engineering'
     when '3' then 'Aptitude' when '4' then 'AWS_99887766 x' else 'Unlisted Domain' end as name,
-  '2030-01-08' as load_date
+  false as system, '2030-01-08' as load_date
 from orders""",
     "s_dispatch": """
 select distinct 'd-'||cast(o_orderkey%200 as string) as id,
   case when o_orderkey%200 between 0 and 49 then '[]' when o_orderkey%200 between 50 and 79 then '["IT Skill Batch 2026"]' end as tags,
-  case when o_orderkey%200>=100 then '2027-03-01' end as commencedate, '2026-11-05' as createdat, '2030-01-08' as load_date
+  case when o_orderkey%200>=100 then '2027-03-01' end as commencedate, o_orderkey%200%2=0 as "showResults", 'link' as "dispatchLink", '2026-11-05' as createdat, '2030-01-08' as load_date
 from orders""",
     "s_question": f"""
 select 'q-'||cast(p_partkey as string) as id, 'trainer-'||cast(p_size%9 as string) as creator,
@@ -83,19 +88,30 @@ select 'q-'||cast(p_partkey as string) as id, 'trainer-'||cast(p_size%9 as strin
   'org-'||cast(p_partkey%25 as string) as organizationid,
   'cat-'||p_type as categoryid, 'dom-'||cast(p_partkey%6 as string) as domainid,
   case p_partkey%2 when 0 then 'mcq' else 'code' end as questiontype, p_name as questiontitle,
-  case when p_partkey%10=0 then '' else '<p>What is <b>'||p_name||'</b>?<br/>A&nbsp;&amp;&nbsp;B</p>' end as questiontext,
+  case when p_partkey%10=0 then '' else '<p>What is <b>'||p_name||'</b>?<br/>A&nbsp;&amp;&nbsp;B</p>' end as questiontext, md5(p_name) as hash,
   s.load_date as load_date
 from part cross join {_SNAP} s
-where s.load_date='2030-01-08' or p_partkey%2=0""",
+where n=1 or (n=0 and p_partkey%2=0)""",
     "s_category": """
 select distinct 'cat-'||p_type as id,
   case p_type when 'ECONOMY' then 'Node' when 'MEDIUM' then 'React 1234567' when 'SMALL' then 'Cypress' else p_type end as name,
-  '2030-01-08' as load_date
+  'about' as description, false as system, '2030-01-08' as load_date
 from part""",
     "s_assessment": """
 select distinct 'as-'||cast(o_orderkey%50 as string) as id, 'org-'||cast(o_orderkey%50%25 as string) as organizationid,
-  o_orderkey%50%4<>0 as isdispatched, '2030-01-08' as load_date
+  o_orderkey%50%4<>0 as isdispatched, 'Assessment '||cast(o_orderkey%50 as string) as title,
+  case when o_orderkey%50%3=0 then 'draft' else 'published' end as status,
+  case when o_orderkey%50%7<>0 then cast((o_orderkey%50+1)*60 as bigint) end as duration, 'read first' as instructions,
+  '2030-01-08' as load_date
 from orders""",
+    "s_questionflag": """
+select distinct 'f-'||cast(l_orderkey as string) as id, 'q-'||cast(l_partkey as string) as questionid,
+  'org-'||cast(l_suppkey%25 as string) as organizationid, 'text' as questiontext, '2030-01-08' as load_date
+from lineitem where l_returnflag='R' and l_linenumber=1""",
+    "s_skill": """
+select distinct 'skill-'||p_type as id, p_type as name, 'org-1' as organizationid, true as system, 'about' as description,
+  '[]' as tags, '2030-01-08' as load_date
+from part""",
 }
 
 # Dependencies between fixture CTEs.

@@ -12,13 +12,15 @@ def latest(table: str, cols: str) -> str:
 
 
 G = {
-    # category drops description / organiizationid / system: none exist, load_date stays
+    # category drops description and system; load_date stays
     "gold_category": latest("s_category", "id, name, load_date"),
     "gold_domain": latest("s_domain", "id, name"),
     "gold_test": latest("s_test", "id, title, difficultylevel, domainid"),
     "gold_question": latest("s_question", "id, creator, activeversionid, calibrationscore, status, difficultylevel, "
                                           "categoryid, domainid, questiontype, questiontitle"),
-    "gold_assessment": latest("s_assessment", "id, isdispatched"),
+    "gold_assessment": latest("s_assessment", "id, isdispatched, title, status, duration / 60 as duration"),
+    "gold_questionflag": latest("s_questionflag", "id, questionid"),
+    "gold_skill": latest("s_skill", "id, name"),
     "gold_assessment_dispatch": latest("s_dispatch", "id, tags, commencedate, createdat"),
 }
 

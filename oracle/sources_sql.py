@@ -17,7 +17,7 @@ select id, email, assessmentid, organizationid, dispatchid, tags, createdat,
 from s_assessmenttaker where load_date = (select max(load_date) from s_assessmenttaker)"""),
     "gold_testresult": with_ctes([], """
 select assessmenttakerid, testid, attemptnumber, title, starttime, finishtime, duration / 60 as duration,
-  testpercentage, passstatus, testwindowviolationcount, numberofquestions, numberofquestionsfailed, load_date
+  testpercentage, passstatus, testwindowviolationcount, numberofquestions, numberofquestionsfailed, numberofquestionsanswered, load_date
 from s_testresult where load_date = (select max(load_date) from s_testresult)"""),
     "events_incremental": """
 select * from events where ts > timestamp '2024-01-15 00:00:00'""",

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from examlytics.plans import registry
 from examlytics.sources.fixtures import DRIVER_TABLES
 from tests.conftest import SF_SMOKE
 from tools.check_oracle import key, norm
