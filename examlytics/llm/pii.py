@@ -49,6 +49,7 @@ PRECISION = 0.5
 ACCEPT = 0.75
 ROUNDS = 3
 MARK_BITS = 1 << 22
+HELD = 1 << 19  # pattern counts that a task holds before it passes them on
 REACH = 160  # characters around a match that are searched for its context words
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -204,6 +205,7 @@ def _occurrences(docs: DataFrame, patterns: DataFrame, bits: int = MARK_BITS) ->
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(patterns, bits, "h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, count = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # of the partition so far
         for b in slices(batches, "text"):
             buf, off = buffer_of(b.column("text"))
             words = Words(ASCII_LOWER[buf], off, LOWER_ALNUM)
@@ -212,8 +214,12 @@ def _occurrences(docs: DataFrame, patterns: DataFrame, bits: int = MARK_BITS) ->
             two = np.flatnonzero(owner[1:] == owner[:-1]) if len(words) else at
             h = np.concatenate([ngram_hashes(single, at, at + 1), ngram_hashes(single, two, two + 2)])
             h = h[marked(shared.value, h)]
-            kinds, times = np.unique(h, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times.astype(np.int64))], ["h", "n"])
+            kept, place = np.unique(np.concatenate([kept, h]), return_inverse=True)
+            count = np.bincount(place, np.concatenate([count, np.ones(len(h), np.int64)]), len(kept)).astype(np.int64)
+            if len(kept) > HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(kept.view(np.int64)), pa.array(count)], ["h", "n"])
+                kept, count = kept[:0], count[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(kept.view(np.int64)), pa.array(count)], ["h", "n"])
 
     return docs.select("text").mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("total"))
 
@@ -221,9 +227,12 @@ def _occurrences(docs: DataFrame, patterns: DataFrame, bits: int = MARK_BITS) ->
 def discover(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(kind, surface) of the accepted instances: seeds, and those that patterns of the seeds lead to."""
     each = found.select(F.explode("mentions").alias("m")).select("m.kind", "m.surface", "m.seed", F.explode("m.patterns").alias("p"))
-    edges = keep(each.groupBy("kind", "surface", "p.slot", "p.h").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pattern-instances")
-    seeds = edges.groupBy("kind", "surface").agg(F.max("seed").alias("accepted"))
-    form = edges.filter("slot = 'S'")
+    every = keep(each.groupBy("kind", "surface", "p.slot", "p.h").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pattern-instances")
+    seeds = every.groupBy("kind", "surface").agg(F.max("seed").alias("accepted"))
+    # A pattern of fewer instances can never reach its support.
+    wide = every.groupBy("kind", "slot", "h").count().filter(F.col("count") >= SUPPORT).drop("count")
+    edges = keep(every.join(wide, ["kind", "slot", "h"]), "supported-patterns")
+    form = every.filter("slot = 'S'")
     words = _occurrences(docs, edges.filter("slot <> 'S'").select("h").distinct())
     totals = keep(words.unionByName(form.groupBy("h").agg(F.sum("n").alias("total"))), "pattern-totals")
     known = keep(seeds, "instances")
