@@ -1,9 +1,9 @@
 """HTML question text to plain text (FN14, FN15).
 
-Tag handling and whitespace are native regular expressions; only decoding
-of HTML character references runs in Python (``html.unescape``, the full
-entity table), as an Arrow-batched pandas UDF applied to rows that contain
-an ``&``.
+Tags and whitespace are handled by native regular expressions. Character
+references are decoded in Python (``html.unescape``, the full entity table) by
+an Arrow-batched pandas UDF; Spark sends every row through it, so callers cut
+their rows first (the question rankings label their few rows last).
 """
 
 from __future__ import annotations
@@ -27,10 +27,10 @@ def strip_html(x: Column | str) -> Column:
     are decoded, non-breaking spaces become spaces, whitespace runs collapse,
     ends are trimmed. NULL or empty input gives ''."""
     c = F.col(x) if isinstance(x, str) else x
-    s = F.regexp_replace(c, r"(?i)<br\s*/?>", " ")
-    s = F.regexp_replace(s, r"(?i)</(p|div|li)>", " ")
-    s = F.regexp_replace(s, r"<[^>]+>", "")
-    s = F.when(s.contains("&"), _unescape(s)).otherwise(s)
+    # The tags that separate words.
+    breaks = r"(?i)<br\s*/?>|</(?:p|div|li)>"
+    s = F.regexp_replace(F.regexp_replace(c, breaks, " "), r"<[^>]+>", "")
+    s = _unescape(s)
     s = F.replace(s, F.lit(" "), F.lit(" "))
     s = F.regexp_replace(F.regexp_replace(s, r"(?U)\s+", " "), r"(?U)^\s+|\s+$", "")
     return F.coalesce(s, F.lit(""))

@@ -43,9 +43,3 @@ def dedup_latest(df: DataFrame, keys: Sequence[str],
     ordering += [F.col(c).asc_nulls_last() for c in tiebreak]
     w = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
-
-
-def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """First row per ``keys`` by an explicit ordering (ascending picks)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,25 +29,26 @@ def semi_filter(df: DataFrame, keys_df: DataFrame, key: str) -> DataFrame:
     return df.join(keys_df.select(key).where(F.col(key).isNotNull()), key, "left_semi")
 
 
-def point_lookup(df: DataFrame, **keys: object) -> DataFrame:
-    """rows matching the given key values; ordering and LIMIT are left to the caller."""
+def point_lookup(df: DataFrame, order_by: Sequence[str] = (), **keys: object) -> DataFrame:
+    """the one row with the given key values (the first by ``order_by`` descending, then all columns)."""
     cond: Column | None = None
     for k, v in keys.items():
         c = F.col(k) == F.lit(v)
         cond = c if cond is None else cond & c
-    return df if cond is None else df.where(cond)
+    rows = df if cond is None else df.where(cond)
+    rest = [c for c, t in df.dtypes if c not in order_by and not t.startswith("map")]
+    return rows.orderBy(*[F.col(c).desc_nulls_last() for c in order_by], *[F.col(c).asc_nulls_last() for c in rest]).limit(1)
+
+
+NULL_PARTS = 4096
 
 
-def left_join_null_bypass(df: DataFrame, other: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left join on ``left_key = right_key`` where rows with a NULL left key skip the shuffle.
+def spread_nulls(key: str, *spread: str) -> Column:
+    """``key`` with NULLs replaced by keys that match nothing, dealt over many partitions by ``spread``.
 
-    A NULL key never matches, and all NULL keys hash to one partition, so a
-    large share of NULL keys would make one task hold them all. Here those
-    rows are passed through with the right side's columns as NULL and
-    unioned back; only non-NULL keys take part in the (shuffle) join.
+    All NULL keys would hash to one task, and a NULL key never matches, so a
+    left join on this column gives the same rows as one on ``key``; windows
+    partitioned by it reuse the join's partitioning.
     """
-    matched = df.where(F.col(left_key).isNotNull()).join(other, F.col(left_key) == F.col(right_key), "left")
-    nulls = df.where(F.col(left_key).isNull())
-    for f in other.schema.fields:
-        nulls = nulls.withColumn(f.name, F.lit(None).cast(f.dataType))
-    return matched.unionByName(nulls)
+    part = F.pmod(F.xxhash64(*spread), F.lit(NULL_PARTS)).cast("string")
+    return F.coalesce(F.col(key), F.concat(F.lit("\u0000"), part))

@@ -36,9 +36,10 @@ def parse_tags(text: ColumnOrName) -> Column:
     return F.when(elems.isNull() | nested, empty).otherwise(as_text)
 
 
-def explode_tags(df: DataFrame, array_col: str, out: str = "tag") -> DataFrame:
-    """One row per element; rows with an empty or NULL array are dropped."""
-    return df.withColumn(out, F.explode(F.col(array_col))).drop(array_col)
+def explode_tags(df: DataFrame, array_col: str, out: str = "tag", keep_empty: bool = False) -> DataFrame:
+    """One row per element; rows with an empty or NULL array are dropped, or kept with NULL."""
+    explode = F.explode_outer if keep_empty else F.explode
+    return df.withColumn(out, explode(F.col(array_col))).drop(array_col)
 
 
 # Fields of one per-question element of a result array.

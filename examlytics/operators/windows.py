@@ -1,9 +1,12 @@
-"""Sequence windows and rankings.
-
-Per-key sequences (sitting number, previous value, gaps) are windows
-partitioned by the person/test key. Rankings over a whole population
-(every candidate) are computed without a single-partition window: see
-:func:`rank_over`.
+"""Sequence numbers and rankings (W2-W12) that hold no whole key in one task.
+
+Rows are cut into slices by an order-preserving number made from the ordering
+value; a window works within (slice, key), and the totals of the slices, at
+most one row per slice and key, carry the counts over from slice to slice. The
+slice bounds are approximate quantiles of the data, taken by a scalar subquery
+of the same plan: nothing runs before the result is asked for, and a narrow
+cluster of values is spread as well as a wide one. Bounds only affect balance,
+never the result.
 """
 
 from __future__ import annotations
@@ -13,188 +16,143 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BLOCK = 32  # bounds per block of the two-level search
 
-def sequence_window(keys: Sequence[str], ts: str, tiebreak: Sequence[str] = ()) -> Window:
-    """Ordering of a person's sittings: time ascending (NULL last), then tiebreak."""
-    return Window.partitionBy(*keys).orderBy(F.col(ts).asc_nulls_last(),
-                                             *[F.col(c).asc_nulls_last() for c in tiebreak])
-
-
-def sitting_no(keys: Sequence[str], ts: str, tiebreak: Sequence[str] = ()) -> Column:
-    """1-based sitting number; NULL where any key is NULL (grouping drops those rows)."""
-    known = None
-    for k in keys:
-        known = F.col(k).isNotNull() if known is None else known & F.col(k).isNotNull()
-    return F.when(known, F.row_number().over(sequence_window(keys, ts, tiebreak)))
-
-
-def with_previous(df: DataFrame, keys: Sequence[str], ts: str, cols: Sequence[str],
-                  tiebreak: Sequence[str] = (), prefix: str = "prev_") -> DataFrame:
-    """Previous row's values in the same key, one shared window (one sort)."""
-    w = sequence_window(keys, ts, tiebreak)
-    return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
-
-
-def gap_days(keys: Sequence[str], ts: str, order: Sequence[str] | None = None,
-             tiebreak: Sequence[str] = ()) -> Column:
-    """Days since the previous sitting as DOUBLE (seconds / 86400)."""
-    w = (Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-         if order else sequence_window(keys, ts, tiebreak))
-    prev = F.lag(F.col(ts)).over(w)
-    return (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(prev.cast("timestamp"))) / F.lit(86400e6)
-
-
-def group_size(keys: Sequence[str]) -> Column:
-    """Rows in the row's group."""
-    return F.count(F.lit(1)).over(Window.partitionBy(*keys))
-
-
-MAX_SLICES = 256
 
-
-def _slices(df: DataFrame, parts: int | None) -> int:
-    """Number of value slices: explicit, else the session's shuffle partitions (capped)."""
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(n, MAX_SLICES))
-
-
-def _numeric_image(df: DataFrame, col: str) -> Column | None:
-    """A DOUBLE that never decreases as ``col`` increases (None when there is none)."""
-    t = dict(df.dtypes)[col]
+def numeric_image(df: DataFrame, col: str) -> Column:
+    """A DOUBLE that never decreases as ``col`` increases (text: its first six bytes)."""
+    t, c = dict(df.dtypes)[col], F.col(col)
     if t.startswith("timestamp"):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+        return F.unix_micros(c.cast("timestamp")).cast("double")
     if t == "date":
-        return F.unix_date(F.col(col)).cast("double")
+        return F.unix_date(c).cast("double")
+    if t == "boolean":
+        return c.cast("int").cast("double")
+    if t == "string":
+        head = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
     if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal"):
-        return F.col(col).cast("double")
-    return None
+        return c.cast("double")
+    raise TypeError(f"no order-preserving number for {col}: {t}")
+
+
+def _parts(df: DataFrame, parts: int | None) -> int:
+    """Number of slices: explicit, else the session's shuffle partitions."""
+    return max(1, parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def _with_slice(df: DataFrame, image: str, parts: int) -> DataFrame:
+    """Replace ``image`` by ``__slice``: the slice (0 to ``parts`` - 1) of its value; NULLs go to slice ``parts``."""
+    if parts == 1:
+        return df.withColumn("__slice", F.lit(0)).drop(image)
+    probs = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    fine = F.array_sort(F.array_distinct(F.percentile_approx(image, probs, 10000)))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("f") - 1) / BLOCK).cast("int")), lambda i: F.element_at("f", (i * BLOCK + 1).cast("int")))
+    bounds = df.agg(fine.alias("f")).select(F.struct(F.col("f"), F.when(F.size("f") > 0, blocks).alias("c")).alias("b")).scalar()
+    v = F.col(image)
+    # Bounds below the value: whole blocks first, then within the last block that starts below it.
+    below = F.size(F.filter(F.col("__bounds.c"), lambda x: x < v))
+    start = F.greatest(below - 1, F.lit(0)) * BLOCK
+    inside = F.size(F.filter(F.slice(F.col("__bounds.f"), start + 1, F.lit(BLOCK)), lambda x: x < v))
+    place = F.when(v.isNull(), F.lit(parts)).otherwise(F.coalesce(start + inside, F.lit(0))).cast("int")
+    return df.withColumn("__bounds", bounds).withColumn("__slice", place).drop("__bounds", image)
+
+
+def _sentinel(dtype: str) -> Column:
+    """A non-NULL value of a type, to stand beside an is-NULL flag."""
+    if dtype == "string":
+        return F.lit("")
+    if dtype.startswith("timestamp") or dtype == "date":
+        return F.lit(0).cast("timestamp").cast(dtype)
+    if dtype == "boolean":
+        return F.lit(False)
+    return F.lit(0).cast(dtype)
+
+
+def _null_free(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Key columns without NULLs (flag and value), so grouping, windows and joins share one partitioning."""
+    types, names = dict(df.dtypes), []
+    for i, k in enumerate(keys):
+        df = df.withColumn(f"__n{i}", F.col(k).isNull()).withColumn(f"__k{i}", F.coalesce(F.col(k), _sentinel(types[k])))
+        names += [f"__n{i}", f"__k{i}"]
+    return df, names
 
 
-def domain_bounds(low: float, high: float, parts: int) -> list[float]:
-    """Equal-width slice boundaries for a value with a known domain (e.g. a 0-100 score)."""
-    return [low + (high - low) * i / parts for i in range(1, parts)]
+def null_last_key(cols: Sequence[str], df: DataFrame) -> Column:
+    """A NULL-free struct ordering rows by ``cols`` ascending with NULLs last."""
+    types = dict(df.dtypes)
+    fields = []
+    for i, c in enumerate(cols):
+        fields += [F.col(c).isNull().alias(f"n{i}"), F.coalesce(F.col(c), _sentinel(types[c])).alias(f"v{i}")]
+    return F.struct(*fields)
+
 
+def value_ranks(df: DataFrame, value: str, partition: Sequence[str] = (), descending: bool = True, parts: int | None = None) -> DataFrame:
+    """One row per distinct non-NULL value and key: ``rank_min``, ``ties`` and ``n`` (non-NULL rows of the key).
 
-SCORE_DOMAIN = (0.0, 100.0)
+    Equal values are counted first (map-side), so a value that many rows
+    share is one row from then on.
+    """
+    keys = list(partition)
+    v = F.col(value)
+    vals = df.where(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("ties"))
+    vals, names = _null_free(vals.withColumn("__b", numeric_image(vals, value)), keys)
+    sliced = _with_slice(vals, "__b", _parts(df, parts))
+    if descending:
+        sliced = sliced.withColumn("__slice", -F.col("__slice"))
+    group = ["__slice", *names]
+    run = F.sum("ties").over(Window.partitionBy(*group).orderBy(v.desc() if descending else v.asc())
+                             .rowsBetween(Window.unboundedPreceding, -1))
+    local = sliced.withColumn("__before", F.coalesce(run, F.lit(0)))
+    totals = sliced.groupBy(*group).agg(F.sum("ties").alias("__tot"))
+    earlier = Window.partitionBy(*names).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*group, F.coalesce(F.sum("__tot").over(earlier), F.lit(0)).alias("__off"),
+                            F.sum("__tot").over(Window.partitionBy(*names)).alias("n"))
+    return local.join(offsets, group).select(*keys, value, (F.col("__off") + F.col("__before") + 1).alias("rank_min"), "ties", "n")
 
 
 def rank_over(df: DataFrame, value: str, partition: Sequence[str] = (), descending: bool = True,
-              parts: int | None = None, out_prefix: str = "", slice_by: Column | None = None,
-              bounds: Sequence[float] | None = None) -> DataFrame:
+              parts: int | None = None, out_prefix: str = "") -> DataFrame:
     """Rank rows by ``value`` within ``partition`` without a whole-key window.
 
     Adds ``{prefix}rank_min`` (RANK(): 1 + rows strictly before), ``{prefix}ties``
     (rows with the same value) and ``{prefix}n`` (non-NULL rows in the
     partition key). NULL values get NULL for all three; NULL partition keys
     form their own group (SQL PARTITION BY semantics).
-
-    Plan: the distinct (key, value) pairs with their counts are cut into
-    value slices whose boundaries are approximate quantiles of a numeric
-    image of the value (``slice_by``; default: the value itself when
-    numeric). The boundaries are at most ``MAX_SLICES`` literals (one small
-    driver round trip), so the slice of a row is a deterministic expression.
-    When the value domain is known (``bounds``, e.g. :func:`domain_bounds`
-    over 0-100 for scores) no sampling pass is needed; boundaries only
-    affect balance, never the result.
-    A running count per (slice, key) plus a per-key prefix sum over slice
-    totals (at most slices + 1 rows per key) gives every rank, so a key
-    holding a large share of all rows is spread over its slices.
     """
-    v = F.col(value)
     keys = list(partition)
-    if slice_by is None:
-        slice_by = _numeric_image(df, value)
-    src = df.where(v.isNotNull()).select(*keys, value, (slice_by if slice_by is not None else F.lit(0.0))
-                                         .cast("double").alias("__b"))
-    vals = src.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__cnt"), F.max("__b").alias("__b"))
-    n_slices = _slices(df, parts) if slice_by is not None else 1
-    if bounds is not None:
-        bounds = sorted(set(float(b) for b in bounds))
-        n_slices = 1
-    else:
-        bounds = []
-    if n_slices > 1:
-        probs = [i / n_slices for i in range(1, n_slices)]
-        bounds = sorted(set(b for b in vals.where(F.col("__b").isNotNull())
-                            .approxQuantile("__b", probs, 1.0 / (4 * n_slices))))
-    if bounds:
-        arr = F.array(*[F.lit(float(x)) for x in bounds])
-        asc_slice = F.when(F.col("__b").isNull(), F.lit(len(bounds))).otherwise(
-            F.size(F.filter(arr, lambda x: x < F.col("__b"))))
-    else:
-        asc_slice = F.lit(0)
-    sl = (F.lit(len(bounds)) - asc_slice) if descending else asc_slice
-    vord = v.desc() if descending else v.asc()
-    sliced = vals.withColumn("__slice", sl.cast("int"))
-    local_w = (Window.partitionBy("__slice", *keys).orderBy(vord)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = sliced.withColumn("__run", F.sum("__cnt").over(local_w))
-    totals = sliced.groupBy("__slice", *keys).agg(F.sum("__cnt").alias("__tot"))
-    off_w = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("__slice", *keys,
-                            F.coalesce(F.sum("__tot").over(off_w), F.lit(0)).alias("__off"),
-                            F.sum("__tot").over(Window.partitionBy(*keys)).alias("__n"))
-    ranks = (_null_safe_join(local, offsets, ["__slice", *keys], "inner", right_prefix="__o_")
-             .select(*[F.col(c).alias(f"__k_{c}") for c in keys], F.col(value).alias("__k_v"),
-                     (F.col("__off") + F.col("__run") - F.col("__cnt") + 1).alias(out_prefix + "rank_min"),
-                     F.col("__cnt").alias(out_prefix + "ties"),
-                     F.col("__n").alias(out_prefix + "n")))
+    ranks = value_ranks(df, value, keys, descending, parts).select(
+        *[F.col(c).alias(f"__k_{c}") for c in keys], F.col(value).alias("__k_v"),
+        *[F.col(c).alias(out_prefix + c) for c in ("rank_min", "ties", "n")])
     cond = [df[c].eqNullSafe(ranks[f"__k_{c}"]) for c in keys] + [df[value] == ranks["__k_v"]]
     return df.join(ranks, cond, "left").drop(*[f"__k_{c}" for c in keys], "__k_v")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str,
-                    right_prefix: str) -> DataFrame:
-    """Join on ``keys`` treating NULL = NULL (SQL PARTITION BY semantics); keeps left's key columns."""
-    r = right.select(*[F.col(c).alias(right_prefix + c) if c in keys else F.col(c) for c in right.columns])
-    cond = [left[c].eqNullSafe(r[right_prefix + c]) for c in keys]
-    return left.join(r, cond, how).drop(*[right_prefix + c for c in keys])
-
-
-def null_last_key(cols: Sequence[str], df: DataFrame) -> Column:
-    """A NULL-free struct ordering rows by ``cols`` ascending with NULLs last.
-
-    Each column becomes (is NULL, value or a type sentinel); the flag sorts
-    NULLs after values and the sentinel never compares against a real value.
-    """
-    types = dict(df.dtypes)
-    fields = []
-    for i, c in enumerate(cols):
-        t = types[c]
-        if t == "string":
-            sentinel = F.lit("")
-        elif t.startswith("timestamp") or t == "date":
-            sentinel = F.lit(0).cast("timestamp").cast(t)
-        elif t == "boolean":
-            sentinel = F.lit(False)
-        else:
-            sentinel = F.lit(0).cast(t)
-        fields += [F.col(c).isNull().alias(f"n{i}"), F.coalesce(F.col(c), sentinel).alias(f"v{i}")]
-    return F.struct(*fields)
-
-
 def sequence_over(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "seq",
                   prev: Sequence[str] = (), prev_prefix: str = "prev_", parts: int | None = None) -> DataFrame:
-    """Skew-safe ``row_number()`` (and ``lag`` of ``prev`` columns) per ``keys`` ordered by ``order``.
+    """Skew-safe ``row_number()`` (and ``lag`` of ``prev`` columns) per ``keys`` ordered by ``order`` (NULLs last).
 
     Same result as a window partitioned by ``keys`` (NULL keys form their
-    own group) when ``order`` is unique within a key, but no step holds a
-    whole key: the numbering comes from :func:`rank_over` (slices cut on the
-    first ordering column), and the previous row is fetched by an equi-join
-    on (keys, number - 1), which adaptive skew-join handling can split.
+    own group) when ``order`` is unique within a key. The rows are shuffled
+    once, by (slice of the first ordering column, keys); the number of rows of
+    earlier slices, and the last row of the slice before, come from the slice
+    totals, which join on the same columns.
     """
-    if out in ("__ord", "__ties", "__n", "__rank_min"):
-        raise ValueError(f"output name {out!r} is reserved")
-    tmp = df.withColumn("__ord", null_last_key(order, df))
-    first = _numeric_image(df, order[0])
-    if first is not None:  # NULLs sort last: give them the largest image
-        first = F.when(F.col(order[0]).isNull(), F.lit(float("inf"))).otherwise(first)
-    ranked = rank_over(tmp, "__ord", partition=keys, descending=False, parts=parts, out_prefix="__",
-                       slice_by=first)
-    ranked = ranked.withColumnRenamed("__rank_min", out).drop("__ties", "__n")
-    if prev:
-        ranked = previous_by_number(ranked, keys, out, prev, prev_prefix)
-    return ranked.drop("__ord")
+    tmp, names = _null_free(df.withColumn("__b", numeric_image(df, order[0])), keys)
+    tmp = _with_slice(tmp, "__b", _parts(df, parts))
+    group = ["__slice", *names]
+    w = Window.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    carried = F.struct(F.lit(1).alias("__row"), *[F.col(c) for c in prev])
+    local = tmp.select("*", F.row_number().over(w).alias("__rn"), F.lag(carried).over(w).alias("__lag"))
+    totals = tmp.groupBy(*group).agg(F.count(F.lit(1)).alias("__cnt"), F.max_by(carried, null_last_key(order, df)).alias("__last"))
+    by_slice = Window.partitionBy(*names).orderBy("__slice")
+    offsets = totals.select(
+        *group, F.coalesce(F.sum("__cnt").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
+        F.lag("__last").over(by_slice).alias("__before"))
+    joined = local.join(offsets, group)
+    last = F.when(F.col("__rn") == 1, F.col("__before")).otherwise(F.col("__lag"))
+    return joined.select(*df.columns, (F.col("__off") + F.col("__rn")).alias(out),
+                         *[last[c].alias(prev_prefix + c) for c in prev])
 
 
 def previous_by_number(df: DataFrame, keys: Sequence[str], number: str, cols: Sequence[str],
@@ -219,19 +177,24 @@ def pct_rank_avg(rank_desc_min: Column, ties: Column, n: Column) -> Column:
     return avg_rank / n.cast("double")
 
 
-def exact_median(df: DataFrame, value: str, parts: int | None = None) -> DataFrame:
-    """Exact (interpolated) median of ``value`` as a one-row frame, without
-    gathering the values in one task.
-
-    Uses :func:`rank_over` (ascending): the two middle order statistics are
-    the values whose rank span [rank_min, rank_min + ties - 1] contains
-    ``floor((n+1)/2)`` or ``ceil((n+1)/2)``; their mean is the median.
-    """
-    r = rank_over(df.select(value), value, descending=False, parts=parts).where(F.col("rank_min").isNotNull())
-    lo = F.floor((F.col("n") + 1) / 2)
-    hi = F.ceil((F.col("n") + 1) / 2)
+def quantiles_of(ranks: DataFrame, value: str, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """Exact linear-interpolated quantiles per key from ascending :func:`value_ranks`: two order statistics each."""
     last = F.col("rank_min") + F.col("ties") - 1
-    hits = r.where(((F.col("rank_min") <= lo) & (last >= lo)) | ((F.col("rank_min") <= hi) & (last >= hi)))
-    picks = hits.select(value, F.when((F.col("rank_min") <= lo) & (last >= lo), F.col(value)).alias("__lo"),
-                        F.when((F.col("rank_min") <= hi) & (last >= hi), F.col(value)).alias("__hi"))
-    return picks.agg(((F.max("__lo") + F.max("__hi")) / 2).alias("median"))
+    parts, out = [], []
+    for i, (name, p) in enumerate(probs.items()):
+        at = (F.col("n") - 1) * F.lit(p) + 1
+        for side, k in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            parts.append(F.max(F.when((F.col("rank_min") <= k) & (last >= k), F.col(value))).alias(f"__{side}{i}"))
+        frac = (F.col("__n") - 1) * F.lit(p) - F.floor((F.col("__n") - 1) * F.lit(p))
+        out.append((F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * frac).alias(name))
+    return ranks.groupBy(*keys).agg(*parts, F.max("n").alias("__n")).select(*keys, *out)
+
+
+def exact_quantiles(df: DataFrame, value: str, keys: Sequence[str], probs: dict[str, float], parts: int | None = None) -> DataFrame:
+    """Exact quantiles per key without a counter per distinct value or a whole key in one task."""
+    return quantiles_of(value_ranks(df.select(*keys, value), value, keys, descending=False, parts=parts), value, keys, probs)
+
+
+def exact_median(df: DataFrame, value: str, parts: int | None = None) -> DataFrame:
+    """Exact (interpolated) median of ``value`` as a one-row frame."""
+    return exact_quantiles(df, value, [], {"median": 0.5}, parts)

@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from examlytics.functions import scalar as fx
 from examlytics.operators.combine import grouped_with_distinct
-from examlytics.operators.dedup import dedup_latest, pick_one
-from examlytics.operators.joins import left_join_null_bypass
+from examlytics.operators.dedup import dedup_latest
+from examlytics.operators.joins import spread_nulls
 from examlytics.operators.nested import explode_tags, parse_results, parse_tags, result_fields
-from examlytics.operators.windows import MAX_SLICES, SCORE_DOMAIN, domain_bounds, rank_over
+from examlytics.operators.windows import rank_over
 from examlytics.plans import seeds
 from examlytics.plans.org import latest_by_id
 from examlytics.sources.silver import Silver
@@ -55,18 +55,17 @@ def taker_cohort(spark: SparkSession, silver: Silver, vocabulary: DataFrame | No
         F.col("at.id").alias("taker_id"),
         parse_tags(F.coalesce(F.nullif(F.col("d.tags"), F.lit("[]")), F.col("at.tags"))).alias("tags_arr"),
         F.coalesce(F.col("d.commencedate"), F.col("d.createdat"), F.col("at.createdat")).alias("anchor_date"))
-    exploded = explode_tags(tt, "tags_arr")
+    # One pass: every tag with its matching keyword (if any), then one row per taker.
+    tags = explode_tags(tt, "tags_arr", keep_empty=True)
     low = F.lower(F.col("tag"))
-    matched = exploded.join(F.broadcast(vocab), low.contains(F.col("keyword")), "inner").select(
-        "taker_id", F.col("program").alias("program_type"), "tag",
-        F.coalesce(F.nullif(F.regexp_extract(F.col("tag"), fx.COHORT_YEAR_PATTERN, 0), F.lit("")),
-                   F.substring("anchor_date", 1, 4)).alias("cohort_year"))
-    program = pick_one(matched, ["taker_id"],
-                       [F.col("program_type").asc_nulls_last(), F.col("tag").asc_nulls_last(),
-                        F.col("cohort_year").asc_nulls_last()]).drop("tag")
-    atype = (exploded.where(low.contains(APTITUDE_KEYWORD)).select("taker_id").distinct()
-             .withColumn("assessment_type", F.lit("Aptitude")))
-    return (tt.select("taker_id").join(program, "taker_id", "left").join(atype, "taker_id", "left"))
+    matched = tags.join(F.broadcast(vocab), low.contains(F.col("keyword")), "left")
+    year = F.coalesce(F.nullif(F.regexp_extract(F.col("tag"), fx.COHORT_YEAR_PATTERN, 0), F.lit("")),
+                      F.substring("anchor_date", 1, 4))
+    choice = F.when(F.col("program").isNotNull(), F.struct(
+        F.col("program"), F.col("tag"), year.isNull().alias("none"), year.alias("year")))
+    g = matched.groupBy("taker_id").agg(F.min(choice).alias("pick"), F.max(low.contains(APTITUDE_KEYWORD)).alias("aptitude"))
+    return g.select("taker_id", F.col("pick.program").alias("program_type"), F.col("pick.year").alias("cohort_year"),
+                    F.when(F.col("aptitude"), F.lit("Aptitude")).alias("assessment_type"))
 
 
 def cohort_attempt(spark: SparkSession, cp: DataFrame, silver: Silver, algo: str = "xxh64",
@@ -89,7 +88,8 @@ def cohort_attempt(spark: SparkSession, cp: DataFrame, silver: Silver, algo: str
         F.col("cohort_year").alias("tc_cohort_year"), F.col("assessment_type").alias("tc_assessment_type"))
     test = latest_by_id(silver.test, "domainid").select(F.col("id").alias("te_id"), "domainid")
     dom = latest_by_id(silver.domain, "name").select(F.col("id").alias("d_id"), F.col("name").alias("domain_name"))
-    j = (left_join_null_bypass(cp, tc, "assessment_taker_id", "tc_taker_id")
+    keyed = cp.withColumn("__taker", spread_nulls("assessment_taker_id", "test_id", "attempt_number"))
+    j = (keyed.join(tc, F.col("__taker") == F.col("tc_taker_id"), "left")
          .join(test, F.col("test_id") == F.col("te_id"), "left")
          .join(dom, F.col("domainid") == F.col("d_id"), "left"))
     j = seeds.norm_join(j, "domain_name", cw, "cw")
@@ -317,8 +317,7 @@ def _ranked(cand: DataFrame, part: str, rank_name: str, pct_name: str) -> DataFr
     NULL scores rank after all values; the partition size for PERCENT_RANK
     counts them too.
     """
-    r = rank_over(cand, "avg_score_pct", partition=[part], descending=True, out_prefix="__",
-                  bounds=domain_bounds(*SCORE_DOMAIN, MAX_SLICES))
+    r = rank_over(cand, "avg_score_pct", partition=[part], descending=True, out_prefix="__")
     sizes = cand.groupBy(part).agg(F.count(F.lit(1)).alias("__size"))
     r = r.join(sizes.withColumnRenamed(part, "__part"), r[part].eqNullSafe(F.col("__part")), "left").drop("__part")
     nn = F.coalesce(F.col("__n"), F.lit(0))

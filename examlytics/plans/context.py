@@ -72,7 +72,7 @@ class Analytics:
     def history(self) -> DataFrame:
         """P1 profile history (training base with per-frame sitting numbers; persisted)."""
         from examlytics.plans.profile import history
-        return self._keep(history(self.base), "profile-history")
+        return self._keep(history(self.base, numbered=True), "profile-history")
 
     @cached_property
     def retake(self) -> DataFrame:

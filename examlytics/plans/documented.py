@@ -20,7 +20,6 @@ from examlytics.plans.org import latest_attempts, latest_by_id
 from examlytics.sources.silver import Silver
 
 # Documented thresholds and labels.
-RISK_LABELS = ("High Risk", "Medium Risk", "Low Risk")
 RISK_HIGH, RISK_MEDIUM = 10, 5
 CALIBRATION_TARGET = 80.0
 STALE_AFTER_HOURS = 24
@@ -43,8 +42,7 @@ def growth_tracking(cp: DataFrame) -> DataFrame:
 
 
 def _risk_label(score: Column) -> Column:
-    return (F.when(score > RISK_HIGH, F.lit(RISK_LABELS[0])).when(score > RISK_MEDIUM, F.lit(RISK_LABELS[1]))
-            .otherwise(F.lit(RISK_LABELS[2])))
+    return F.concat(fx.integrity_label(score, RISK_HIGH, RISK_MEDIUM), F.lit(" Risk"))
 
 
 def senior_insights(silver: Silver) -> DataFrame:
@@ -148,6 +146,20 @@ def violations_by_severity(violations: DataFrame) -> DataFrame:
         F.sum("number_of_questions_failed").alias("questions_failed"))
 
 
+def violation_audit(ca: DataFrame) -> DataFrame:
+    """DOC9: every attempt with a recorded violation count: severity, domain and difficulty."""
+    return ca.where(F.col("violation_count").isNotNull()).select(
+        "assessment_taker_id", "test_id", "attempt_number", "test_title", "domain_name", "test_difficulty",
+        "violation_count", "violation_duration_sec", "questions_failed",
+        fx.violation_severity("violation_count").alias("violation_severity_slice"))
+
+
+def duration_scores(cp: DataFrame) -> DataFrame:
+    """DOC10: time to finish against score, with proficiency, for attempts that have both."""
+    return cp.where(F.col("duration_min").isNotNull() & F.col("score_pct").isNotNull()).select(
+        "assessment_taker_id", "test_id", "attempt_number", "duration_min", "score_pct", "proficiency_level")
+
+
 def attempts_needed_histogram(cp: DataFrame) -> DataFrame:
     """DOC10: (taker, test) pairs by number of attempts, and attempts per proficiency level."""
     pairs = cp.where(F.col("total_attempts_before_pass").isNotNull()) \
@@ -227,6 +239,18 @@ def service_center(csp: DataFrame, tech: DataFrame, hide_unmapped: bool = True)
 
 
 def documented_slicers(ca: DataFrame, domains: Sequence[str] | None = None, proficiency: Sequence[str] | None = None,
-                       sources: Sequence[str] | None = None) -> DataFrame:
-    """DOC20: domain, proficiency and candidate-source slicers on V14."""
+                       sources: Sequence[str] | None = None, categories: Sequence[str] | None = None,
+                       silver: Silver | None = None) -> DataFrame:
+    """DOC20: domain, category, proficiency and candidate-source slicers on V14.
+
+    An attempt belongs to the categories of the questions in its test's
+    domain; the category slicer needs ``silver`` for those.
+    """
+    if categories:
+        names = latest_by_id(silver.category, "name").where(F.col("name").isin(list(categories))).select(F.col("id").alias("c_id"))
+        fields = latest_by_id(silver.domain, "name").select(F.col("id").alias("d_id"), F.col("name").alias("domain_name"))
+        q = latest_by_id(silver.question, "categoryid", "domainid").select("categoryid", "domainid")
+        held = (q.join(names, F.col("categoryid") == F.col("c_id"), "left_semi").select("domainid").distinct()
+                .join(fields, F.col("domainid") == F.col("d_id")).select("domain_name"))
+        ca = ca.join(held, "domain_name", "left_semi").select(*ca.columns)
     return apply_slicers(ca, domain_name=domains, proficiency_level=proficiency, candidate_source=sources)

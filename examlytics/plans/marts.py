@@ -21,12 +21,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from examlytics.functions import scalar as fx
+from examlytics.functions.html import with_question_label
 from examlytics.operators.combine import grouped_with_distinct, one_row
 from examlytics.operators.nested import crosstab, to_long
 from examlytics.operators.slicers import apply_slicers, fixed_order, min_group_size, top_n
 from examlytics.plans.org import latest_by_id
-from examlytics.operators.windows import (MAX_SLICES, SCORE_DOMAIN, domain_bounds, pct_rank_avg,
-                                          previous_by_number, rank_over, sequence_over)
+from examlytics.operators.windows import (exact_median, exact_quantiles, pct_rank_avg, previous_by_number,
+                                          quantiles_of, rank_over, sequence_over, value_ranks)
 
 # Dashboard constants.
 LEVEL_ORDER = ["Beginner", "Intermediate", "Advanced"]
@@ -138,17 +139,16 @@ def retake_interval_histogram(retake: DataFrame, low: float = RETAKE_HIST_DAYS[0
 
 def executive_roster(cp: DataFrame, limit: int = ROSTER_LIMIT) -> DataFrame:
     """M8: one row per e-mail (the NULL e-mail is its own row), top ``limit`` by attempts."""
-    g = cp.groupBy("email").agg(
+    g = grouped_with_distinct(cp, ["email"], [
         F.min_by("candidatename", F.when(F.col("candidatename").isNotNull(), _sheet_order()))
         .alias("candidate_name"),
         F.count("test_id").alias("total_attempts"),
-        F.count_distinct("test_id").alias("tests_taken"),
         F.avg("score_pct").alias("avg_score"),
         F.coalesce(F.sum("is_pass"), F.lit(0)).alias("total_pass"),
         F.count_if(F.col("is_pass") == 0).alias("total_fail"),
         F.avg("duration_min").alias("avg_duration"),
         F.coalesce(F.sum("violation_count"), F.lit(0)).alias("total_violations"),
-        F.max("start_time").alias("last_attempt"))
+        F.max("start_time").alias("last_attempt")], {"tests_taken": "test_id"})
     g = g.select("*", (F.col("total_pass") / F.nullif(F.col("total_attempts"), F.lit(0)) * 100).alias("pass_rate"))
     return top_n(g, limit, [F.col("total_attempts").desc()], tiebreak=["email"])
 
@@ -296,13 +296,12 @@ def outcomes_scorecard(f: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("attempts"),
         _mean_pct(first).alias("first_sitting_pass_pct"),
         _mean_pct(F.col("is_pass")).alias("overall_pass_pct"),
-        F.median("score_pct").alias("median_score"),
         F.avg("score_pct").alias("avg_score"),
         F.avg("duration_min").alias("avg_duration")],
         {"candidates": "email", "specializations": "specialization"})
     return g.select("candidates", "attempts", "specializations", "first_sitting_pass_pct", "overall_pass_pct",
                     (F.col("overall_pass_pct") - F.col("first_sitting_pass_pct")).alias("lift"),
-                    "median_score", "avg_score", "avg_duration")
+                    exact_median(f, "score_pct").scalar().alias("median_score"), "avg_score", "avg_duration")
 
 
 def attempts_to_pass(f: DataFrame) -> DataFrame:
@@ -351,26 +350,24 @@ def specialization_summary(f: DataFrame) -> DataFrame:
         F.avg("score_pct").alias("avg_score_pct"))
 
 
-def score_distribution(f: DataFrame, key: str = "specialization") -> DataFrame:
+def score_distribution(f: DataFrame, *keys: str) -> DataFrame:
     """Box-plot figures per group: quartiles (linear), whiskers, outlier count.
 
-    Exact quantiles (``percentile``) keep one counter per distinct score in
-    each group; scores are percentages, so that state is small.
+    The rows are reduced once to ranked (group, score) pairs; quartiles,
+    fences, whiskers and outliers all come from those.
     """
+    keys = list(keys or ("specialization",))
     s = F.col("score_pct")
-    q = f.where(F.col(key).isNotNull() & s.isNotNull()).groupBy(key).agg(
-        F.percentile(s, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-        F.count(F.lit(1)).alias("n"), F.min(s).alias("min"), F.max(s).alias("max"))
-    q = q.select(key, "n", "min", "max", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
-    lo = F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))
-    hi = F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1"))
-    fences = q.select("*", lo.alias("lo_fence"), hi.alias("hi_fence"))
-    whisk = (f.join(fences.select(key, "lo_fence", "hi_fence"), key).groupBy(key).agg(
-        F.min(F.when(s >= F.col("lo_fence"), s)).alias("lower_whisker"),
-        F.max(F.when(s <= F.col("hi_fence"), s)).alias("upper_whisker"),
-        F.count_if((s < F.col("lo_fence")) | (s > F.col("hi_fence"))).alias("outliers")))
-    return fences.join(whisk, key).drop("lo_fence", "hi_fence")
+    rows = f.where(_nn(*keys, "score_pct")).select(*keys, "score_pct")
+    ranks = value_ranks(rows, "score_pct", keys, descending=False)
+    q = quantiles_of(ranks, "score_pct", keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    reach = F.lit(1.5) * (F.col("q3") - F.col("q1"))
+    fences = q.select("*", (F.col("q1") - reach).alias("lo"), (F.col("q3") + reach).alias("hi"))
+    figures = ranks.join(fences, keys).groupBy(*keys, "q1", "median", "q3").agg(
+        F.max("n").alias("n"), F.min(s).alias("min"), F.max(s).alias("max"),
+        F.min(F.when(s >= F.col("lo"), s)).alias("lower_whisker"), F.max(F.when(s <= F.col("hi"), s)).alias("upper_whisker"),
+        F.coalesce(F.sum(F.when((s < F.col("lo")) | (s > F.col("hi")), F.col("ties"))), F.lit(0)).alias("outliers"))
+    return figures.select(*keys, "n", "min", "max", "q1", "median", "q3", "lower_whisker", "upper_whisker", "outliers")
 
 
 def level_summary(spark: SparkSession, f: DataFrame, levels: Sequence[str] = LEVEL_ORDER) -> DataFrame:
@@ -436,6 +433,13 @@ def retake_gaps(f: DataFrame, max_days: float = RETAKE_GAP_MAX_DAYS) -> DataFram
     return g.select("email", "test_id", "seq", gap.alias("gap_days")).where(F.col("gap_days").between(0, max_days))
 
 
+def retake_medians(f: DataFrame) -> DataFrame:
+    """Median score change and median gap in days of re-sat tests (one row)."""
+    change = exact_median(retake_score_change(f).select("delta"), "delta").withColumnRenamed("median", "median_score_change")
+    gap = exact_median(retake_gaps(f).select("gap_days"), "gap_days").withColumnRenamed("median", "median_gap_days")
+    return one_row(change, gap)
+
+
 def candidate_integrity(f: DataFrame) -> DataFrame:
     """Per person attempts, average score, violations and violations per attempt."""
     g = f.where(F.col("email").isNotNull()).groupBy("email").agg(
@@ -471,10 +475,11 @@ def cohort_scorecard(f: DataFrame) -> DataFrame:
         _mean_pct(F.when(F.col("seq") == 1, F.col("is_pass"))).alias("first_sit_pass_pct"),
         _mean_pct(F.col("is_pass")).alias("overall_pass_pct"),
         F.avg("score_pct").alias("avg_score_pct"),
-        F.median("score_pct").alias("median_pct"),
         _mean_pct(F.coalesce(F.col("proficiency_level") == "Advanced", F.lit(False))).alias("pct_advanced"),
         _mean_pct(vc > 0).alias("integrity_pct")],
         {"candidates": "email"})
+    median = exact_quantiles(f.where(_nn("cohort", "score_pct")), "score_pct", ["cohort"], {"median_pct": 0.5})
+    g = g.join(median, "cohort", "left")
     return g.select("cohort", "candidates", "attempts", "first_sit_pass_pct", "overall_pass_pct", "avg_score_pct",
                     "median_pct", "pct_advanced", "integrity_pct")
 
@@ -511,13 +516,13 @@ def compare_groups(f: DataFrame, dimension: str, a: str, b: str) -> DataFrame:
 
 def question_rankings(qp: DataFrame, min_served: int = DEFAULT_MIN_SERVED,
                       limit: int = QUESTION_LIST_LIMIT) -> DataFrame:
-    """Hardest, most-skipped and idle-hotspot questions (top ``limit`` each).
+    """Hardest, most-skipped and idle-hotspot questions (top ``limit`` each) of V23.
 
-    ``qp`` is V23 with a ``question`` label column (see
-    :func:`examlytics.functions.html.with_question_label`).
+    The lists are cut first and labelled after, so text cleaning sees at most
+    ``3 * limit`` rows.
     """
     pool = qp.where(F.col("times_served") >= min_served)
-    cols = ["question_id", "question", "question_type", "question_difficulty", "specialization",
+    cols = ["question_id", "question_text", "question_title", "question_type", "question_difficulty", "specialization",
             "times_served", "answer_rate_pct", "correct_rate_pct", "avg_idle_sec"]
     lists = [("hardest", F.col("correct_rate_pct").asc_nulls_last()),
              ("most_skipped", F.col("answer_rate_pct").asc_nulls_last()),
@@ -526,7 +531,7 @@ def question_rankings(qp: DataFrame, min_served: int = DEFAULT_MIN_SERVED,
     for name, order in lists:
         one = top_n(pool.select(*cols), limit, [order], ["question_id"]).withColumn("ranking", F.lit(name))
         out = one if out is None else out.unionByName(one)
-    return out
+    return with_question_label(out).drop("question_text", "question_title")
 
 
 def training_roster(f: DataFrame, parts: int | None = None) -> DataFrame:
@@ -536,19 +541,18 @@ def training_roster(f: DataFrame, parts: int | None = None) -> DataFrame:
     single-task window over all people).
     """
     k = _seq_key()
-    per = f.where(F.col("email").isNotNull()).groupBy("email").agg(
+    per = grouped_with_distinct(f.where(F.col("email").isNotNull()), ["email"], [
         _pick("candidatename", _sheet_order(), latest=False).alias("candidatename"),
         F.count(F.lit(1)).alias("attempts"),
-        F.count_distinct("test_id").alias("tests_taken"),
         _mean_pct(F.col("is_pass")).alias("pass_rate_pct"),
         F.avg("score_pct").alias("avg_score_pct"),
         F.max("score_pct").alias("best_score_pct"),
         (F.coalesce(F.sum("violation_count"), F.lit(0.0)) * 2
          + F.coalesce(F.sum("violation_duration_sec"), F.lit(0.0)) / 60).alias("integrity_risk"),
         _pick("proficiency_level", k, latest=True).alias("latest_proficiency"),
-        (_pick("score_pct", k, True) - _pick("score_pct", k, False)).alias("improvement"))
-    ranked = rank_over(per, "avg_score_pct", descending=True, parts=parts,
-                       bounds=domain_bounds(*SCORE_DOMAIN, parts or MAX_SLICES))
+        (_pick("score_pct", k, True) - _pick("score_pct", k, False)).alias("improvement")],
+        {"tests_taken": "test_id"})
+    ranked = rank_over(per, "avg_score_pct", descending=True, parts=parts)
     return ranked.select(
         "email", "candidatename", "attempts", "tests_taken", "pass_rate_pct", "avg_score_pct", "best_score_pct",
         "latest_proficiency", "improvement", "integrity_risk",

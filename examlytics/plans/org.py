@@ -6,11 +6,10 @@ test and organization dimensions and derives the attempt attributes.
 
 Physical plan: the fact side (test results) and the taker dimension are
 both as large as the number of sittings, so they meet in a shuffle join on
-the taker id; the test and organization dimensions are joined plainly and
-become broadcasts when adaptive execution measures them small. The attempt
-count per (taker, test) is a window over the join's own partitioning (hash
-of the taker id satisfies clustering on (taker, test)), so it needs no
-extra shuffle.
+the taker id (NULL ids dealt over many partitions); the attempt count per
+(taker, test) is a window over that join's own partitioning. The test and
+organization dimensions are joined plainly and become broadcasts when
+adaptive execution measures them small.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from examlytics.functions import scalar as fx
 from examlytics.operators.dedup import dedup_latest
 from examlytics.operators.combine import one_row
-from examlytics.operators.joins import left_join_null_bypass
+from examlytics.operators.joins import spread_nulls
 from examlytics.operators.windows import sequence_over
 from examlytics.sources.silver import Silver
 
@@ -83,9 +82,16 @@ def candidate_performance(silver: Silver, internal_pattern: str = fx.INTERNAL_DO
     org = latest_by_id(silver.organization, "organizationname").select(
         F.col("id").alias("o_id"), F.col("organizationname").alias("o_name"))
 
-    # Attempts with a NULL taker id never match a taker: they bypass the
-    # shuffle join (a NULL-heavy fact would otherwise load one task).
-    j = (left_join_null_bypass(tr, taker, "assessmenttakerid", "at_id")
+    # One pass: the taker join and the attempt count share one partitioning,
+    # by the taker id with its NULLs dealt out (they match no taker). A NULL
+    # key never matched in the source's self-join, so its count stays NULL. A
+    # (taker, test) partition holds one row per attempt number (the dedup
+    # key), so the window is bounded by construction.
+    keyed = tr.withColumn("__taker", spread_nulls("assessmenttakerid", "testid", "attemptnumber"))
+    both = F.col("assessmenttakerid").isNotNull() & F.col("testid").isNotNull()
+    counted = F.count(F.lit(1)).over(Window.partitionBy("__taker", "testid"))
+    j = (keyed.join(taker, F.col("__taker") == F.col("at_id"), "left")
+         .withColumn("__attempts", F.when(both, counted))
          .join(test, F.col("testid") == F.col("t_id"), "left")
          .join(org, F.col("at_organizationid") == F.col("o_id"), "left"))
 
@@ -119,20 +125,12 @@ def candidate_performance(silver: Silver, internal_pattern: str = fx.INTERNAL_DO
         F.col("t_difficulty").alias("test_difficulty"),
         fx.proficiency_level(score, advanced, intermediate).alias("proficiency_level"),
         F.when(fx.nonblank("finishtime"), F.lit(1)).otherwise(F.lit(0)).alias("is_complete"),
+        F.col("__attempts").alias("total_attempts_before_pass"),
     )
-    extra = [F.when(F.col("pass_status") == "passed", F.lit(1)).otherwise(F.lit(0)).alias("is_pass"),
-             fx.candidate_source("email_domain", internal_pattern).alias("candidate_source")]
-    # Per (taker, test) attempt count. A NULL key never matched in the
-    # source's self-join, so it stays NULL and those rows skip the window.
-    # A (taker, test) partition holds one row per attempt number (the dedup
-    # key), so the window is bounded by construction.
-    both = F.col("assessment_taker_id").isNotNull() & F.col("test_id").isNotNull()
-    w = Window.partitionBy("assessment_taker_id", "test_id")
-    keyed = metrics.where(both).select(
-        "*", F.count(F.lit(1)).over(w).alias("total_attempts_before_pass"), *extra)
-    unkeyed = metrics.where(~both).select(
-        "*", F.lit(None).cast("long").alias("total_attempts_before_pass"), *extra)
-    return keyed.unionByName(unkeyed)
+    return metrics.select(
+        *[c for c in metrics.columns if c != "total_attempts_before_pass"], "total_attempts_before_pass",
+        F.when(F.col("pass_status") == "passed", F.lit(1)).otherwise(F.lit(0)).alias("is_pass"),
+        fx.candidate_source("email_domain", internal_pattern).alias("candidate_source"))
 
 
 def executive_overview(cp: DataFrame, silver: Silver) -> DataFrame:

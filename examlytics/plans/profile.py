@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from examlytics.functions import scalar as fx
-from examlytics.operators.windows import (MAX_SLICES, SCORE_DOMAIN, domain_bounds, exact_median, pct_rank_avg,
-                                          rank_over, sequence_over)
+from examlytics.operators.windows import exact_median, pct_rank_avg, rank_over, sequence_over
 
 # Profile constants.
 PEER_BINS = 25
@@ -29,8 +28,15 @@ def _hist_key() -> Column:
                     F.coalesce("test_id", F.lit("")), F.coalesce("assessment_taker_id", F.lit("")))
 
 
-def history(peer: DataFrame) -> DataFrame:
-    """The peer rows with ``pseq``, the sitting number per (e-mail, test) in this frame."""
+def history(peer: DataFrame, numbered: bool = False) -> DataFrame:
+    """The peer rows with ``pseq``, the sitting number per (e-mail, test) in this frame.
+
+    ``numbered``: no slicer was applied since ``seq`` was made, so it is the
+    same number; only rows without one (no test id) are numbered here.
+    """
+    if numbered:
+        known = peer.where(F.col("email").isNotNull() & F.col("seq").isNotNull()).withColumn("pseq", F.col("seq"))
+        return known.unionByName(history(peer.where(F.col("email").isNotNull() & F.col("seq").isNull())).select(*known.columns))
     return sequence_over(peer.where(F.col("email").isNotNull()), ["email", "test_id"],
                          ["start_time", "assessment_taker_id", "attempt_number"], out="pseq")
 
@@ -39,8 +45,11 @@ def peer_standing(peer: DataFrame, parts: int | None = None) -> DataFrame:
     """Per e-mail mean score, the peer average of means, rank (min) and percentile (0-100)."""
     means = peer.where(F.col("score_pct").isNotNull() & F.col("email").isNotNull()).groupBy("email").agg(
         F.avg("score_pct").alias("cand_avg"))
-    r = rank_over(means, "cand_avg", descending=True, parts=parts,
-                  bounds=domain_bounds(*SCORE_DOMAIN, parts or MAX_SLICES))
+    return _standing(means, parts)
+
+
+def _standing(means: DataFrame, parts: int | None) -> DataFrame:
+    r = rank_over(means, "cand_avg", descending=True, parts=parts)
     peer_avg = means.agg(F.avg("cand_avg")).scalar()  # uncorrelated scalar subquery, evaluated once
     return r.select(
         "email", "cand_avg", peer_avg.alias("peer_avg"), F.col("rank_min").alias("rank"),
@@ -48,26 +57,29 @@ def peer_standing(peer: DataFrame, parts: int | None = None) -> DataFrame:
         (pct_rank_avg(F.col("rank_min"), F.col("ties"), F.col("n")) * 100).alias("percentile"))
 
 
+def _integrity() -> Column:
+    total = lambda c: F.coalesce(F.sum(F.coalesce(c, F.lit(0.0))), F.lit(0.0))
+    return total("violation_count") * 2.0 + total("violation_duration_sec") / 60.0
+
+
 def integrity(peer: DataFrame, parts: int | None = None) -> DataFrame:
     """Per e-mail integrity score and the exact peer median of it."""
-    per = peer.where(F.col("email").isNotNull()).groupBy("email").agg(
-        (F.coalesce(F.sum(F.coalesce("violation_count", F.lit(0.0))), F.lit(0.0)) * 2.0
-         + F.coalesce(F.sum(F.coalesce("violation_duration_sec", F.lit(0.0))), F.lit(0.0)) / 60.0)
-        .alias("integrity"))
+    per = peer.where(F.col("email").isNotNull()).groupBy("email").agg(_integrity().alias("integrity"))
     med = exact_median(per, "integrity", parts).scalar()
     return per.select("*", med.alias("peer_integrity_med"))
 
 
-def retake_gap(hist: DataFrame) -> DataFrame:
-    """Mean days between consecutive sittings of the same test (rows with a start time)."""
-    h = hist.where(F.col("start_time").isNotNull()).select("email", "test_id", "start_time",
-                                                            "assessment_taker_id", "attempt_number")
-    h = sequence_over(h, ["email", "test_id"], ["start_time", "assessment_taker_id", "attempt_number"],
-                      out="__gseq", prev=["start_time"])
-    gaps = h.select("email", ((F.unix_micros(F.col("start_time").cast("timestamp"))
-                               - F.unix_micros(F.col("prev_start_time").cast("timestamp"))) / 86400e6)
-                    .alias("gap"))
-    return gaps.groupBy("email").agg(F.avg("gap").alias("avg_retake"))
+def per_test(hist: DataFrame) -> DataFrame:
+    """One row per (e-mail, test): sittings, first and latest score, and the span of its start times.
+
+    The gaps between consecutive sittings of a test add up to that span, so
+    their mean needs no ordering of the sittings.
+    """
+    k = _hist_key()
+    at = F.unix_micros(F.col("start_time").cast("timestamp"))
+    return hist.groupBy("email", "test_id").agg(
+        F.count(F.lit(1)).alias("sittings"), F.min_by("score_pct", k).alias("first"), F.max_by("score_pct", k).alias("latest"),
+        (F.max(at) - F.min(at)).alias("span_us"), (F.count("start_time") - 1).alias("gaps"))
 
 
 def by_specialization(hist: DataFrame, peer: DataFrame) -> DataFrame:
@@ -131,26 +143,33 @@ def summary(peer: DataFrame, parts: int | None = None, hist: DataFrame | None =
         F.min_by("candidatename", F.when(fx.nonblank(F.col("candidatename")), F.struct(
             F.coalesce(F.col("start_time").cast("string"), F.lit("~")), F.coalesce("test_id", F.lit("")),
             F.coalesce("assessment_taker_id", F.lit(""))))).alias("first_name"),
-        F.count(F.lit(1)).alias("n_attempts"), F.count_distinct("test_id").alias("n_tests"),
+        F.count(F.lit(1)).alias("n_attempts"), F.avg("score_pct").alias("cand_avg"),
         F.max("score_pct").alias("cand_max"), F.min("score_pct").alias("cand_min"),
         F.avg("duration_min").alias("avg_time"),
         (F.avg((F.col("pass_status") == "passed").cast("double")) * 100).alias("pass_rate"),
         F.sum(vc).alias("viol_total"), F.count_if(vc > 0).alias("n_flagged"),
+        _integrity().alias("integrity"),
         F.max("start_time").alias("last_active"),
         F.max_by("proficiency_level", F.when(F.col("proficiency_level").isNotNull(), k)).alias("latest_prof"))
-    eff = retake_effectiveness(hist).groupBy("email").agg(
-        F.count_if(F.col("lift") > 0).alias("retakes_improved"),
-        F.count_if(F.col("lift") < 0).alias("retakes_declined"),
-        F.count_if(F.col("lift") == 0).alias("retakes_unchanged"),
-        F.count(F.lit(1)).alias("retaken_tests"))
-    best = by_specialization(hist, peer).groupBy("email").agg(
+    resat = F.col("test_id").isNotNull() & (F.col("sittings") > 1)
+    lift = F.col("latest") - F.col("first")
+    tests = per_test(hist).groupBy("email").agg(
+        F.count("test_id").alias("n_tests"),
+        F.count_if(resat & (lift > 0)).alias("retakes_improved"),
+        F.count_if(resat & (lift < 0)).alias("retakes_declined"),
+        F.count_if(resat & (lift == 0)).alias("retakes_unchanged"),
+        F.count_if(resat).alias("retaken_tests"),
+        (F.sum(F.when(F.col("gaps") > 0, F.col("span_us")))
+         / F.nullif(F.sum(F.when(F.col("gaps") > 0, F.col("gaps"))), F.lit(0)) / F.lit(86400e6)).alias("avg_retake"))
+    spec = hist.where(F.col("specialization").isNotNull()).groupBy("email", "specialization").agg(F.avg("score_pct").alias("avg"))
+    best = spec.groupBy("email").agg(
         F.min_by("specialization", F.when(F.col("avg").isNotNull(),
                                           F.struct(-F.col("avg"), F.col("specialization"))))
         .alias("strongest_specialization"))  # highest average; ties: alphabetical
-    out = (base.join(peer_standing(peer, parts), "email", "left")
-           .join(integrity(peer, parts), "email", "left")
-           .join(retake_gap(hist), "email", "left")
-           .join(eff, "email", "left").join(best, "email", "left"))
+    means = base.select("email", "cand_avg").where(F.col("cand_avg").isNotNull())
+    standing = _standing(means, parts).drop("cand_avg")
+    out = (base.join(tests, "email", "left").join(best, "email", "left").join(standing, "email", "left")
+           .withColumn("peer_integrity_med", exact_median(base.select("integrity"), "integrity", parts).scalar()))
     up, down = F.coalesce("retakes_improved", F.lit(0)), F.coalesce("retakes_declined", F.lit(0))
     head = F.concat_ws(
         HEADLINE_SEP,

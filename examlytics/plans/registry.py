@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from examlytics.functions.html import with_question_label
 from examlytics.operators.combine import weighted_mean
+from examlytics.operators.joins import point_lookup
 from examlytics.plans import cohort, documented as doc, marts as m, medallion, org, profile
 from examlytics.sources import ingest, lake
 from examlytics.sources.fixtures import question_flags, read_table, skills
@@ -62,6 +62,8 @@ QUERIES: dict[str, ViewFn] = {
     "attempt_kpis": lambda a: m.attempt_kpis(_attempt_detail(a)),
     "question_outcomes": lambda a: m.question_outcomes(_attempt_detail(a)),
     "question_type_mix": lambda a: m.question_type_mix(_attempt_detail(a))[0],
+    "question_score_mix": lambda a: m.question_type_mix(_attempt_detail(a))[1],
+    "attempt_lookup": lambda a: point_lookup(a.cp, order_by=["start_time_raw"], test_id="t-10", attempt_number=1),
     "freshness_list": lambda a: m.freshness_list(org.data_freshness(a.silver)),
     # Training Center marts (V14 base with sitting numbers, no slicer selected)
     "training_base": lambda a: a.base,
@@ -80,13 +82,16 @@ QUERIES: dict[str, ViewFn] = {
     "proficiency_migration": lambda a: m.proficiency_migration(a.base),
     "retake_score_change": lambda a: m.retake_score_change(a.base),
     "retake_gaps": lambda a: m.retake_gaps(a.base),
+    "retake_medians": lambda a: m.retake_medians(a.base),
     "candidate_integrity": lambda a: m.candidate_integrity(a.base),
     "violation_rate": lambda a: m.violation_rate(a.base),
     "risk_watchlist": lambda a: m.risk_watchlist(a.base),
     "cohort_scorecard": lambda a: m.cohort_scorecard(a.base),
     "cohort_scores": lambda a: m.cohort_scores(a.base),
     "compare_specializations": lambda a: m.compare_groups(a.base, "specialization", "Backend", "Frontend"),
-    "question_rankings": lambda a: m.question_rankings(with_question_label(a.qp)),
+    "compare_cohorts": lambda a: m.compare_groups(a.base, "cohort", "2025 CDC", "2025 NSP"),
+    "compare_years": lambda a: m.compare_groups(a.base, "year", "2025", "2026"),
+    "question_rankings": lambda a: m.question_rankings(a.qp),
     "training_roster": lambda a: m.training_roster(a.base),
     # Ingest and medallion operators over the derived silver tables / events
     "latest_testresult_snapshot": lambda a: lake.latest_snapshot(a.silver.testresult),
@@ -117,6 +122,15 @@ QUERIES: dict[str, ViewFn] = {
     "domain_difficulty_heatmap": lambda a: doc.domain_difficulty_heatmap(a.ca()),
     "source_pass_rates": lambda a: doc.source_pass_rates(a.cp),
     "violations_by_severity": lambda a: doc.violations_by_severity(org.quality_violations(a.cp)),
+    "violation_audit": lambda a: doc.violation_audit(a.ca()),
+    "duration_scores": lambda a: doc.duration_scores(a.cp),
+    "assessment_score_distribution": lambda a: m.score_distribution(a.cp, "test_title", "proficiency_level"),
+    "cohort_specialization_heatmap": lambda a: doc.cohort_specialization_heatmap(cohort.cohort_specialization_kpis(a.ca())),
+    "service_center_roster": lambda a: _service_center(a)[0],
+    "service_center_tech": lambda a: _service_center(a)[1],
+    "documented_slicers": lambda a: doc.documented_slicers(
+        a.ca(), domains=["data engineering", "Aptitude"], proficiency=["Advanced", "Beginner"], sources=["Internal"],
+        categories=["Node", "Cypress"], silver=a.silver),
     "attempts_needed_histogram": lambda a: doc.attempts_needed_histogram(a.cp),
     "proficiency_distribution": lambda a: doc.proficiency_distribution(a.cp),
     "assessment_training_summary": lambda a: doc.assessment_training_summary(a.cp),
@@ -150,6 +164,12 @@ def _gold(a: Analytics, dataset: str, snapshots: DataFrame) -> DataFrame:
     return medallion.gold_transform(dataset, lake.latest_snapshot(snapshots))
 
 
+def _service_center(a: Analytics) -> tuple[DataFrame, DataFrame]:
+    """DOC19 under the documented mapping, where 'Unmapped' exists."""
+    ca = a.ca(force_map=False)
+    return doc.service_center(cohort.candidate_specialization_performance(ca), cohort.specialization_tech_kpis(a.spark, a.silver))
+
+
 def _attempt_detail(a: Analytics) -> DataFrame:
     """M11 over every latest attempt (a point lookup is a filter on the keys)."""
     return m.attempt_questions(a.responses, org.latest_attempts_all(a.silver), a.silver.question)

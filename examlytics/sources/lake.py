@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,12 @@ def latest_snapshot(df: DataFrame, partition_col: str = "load_date") -> DataFram
     return df.where(F.col(partition_col) == latest)
 
 
+def listed_partitions(df: DataFrame, partition_col: str) -> set[str]:
+    """Values of a partition column by the file listing (no file is opened)."""
+    found = (re.search(f"/{re.escape(partition_col)}=([^/]+)/", f) for f in df.inputFiles())
+    return {unquote(m[1]) for m in found if m}
+
+
 def read_latest(spark: SparkSession, root: str, database: str, table: str) -> tuple[str, DataFrame]:
     """SRC7: (latest load_date, its rows). FileNotFoundError when there is none."""
     path = table_path(root, database, table)
@@ -46,7 +53,7 @@ def read_latest(spark: SparkSession, root: str, database: str, table: str) -> tu
         raise FileNotFoundError(f"no load_date partitions under {path}") from exc
     if "load_date" not in df.columns:
         raise FileNotFoundError(f"no load_date partitions under {path}")
-    latest = df.select(F.max("load_date")).first()[0]
+    latest = max(listed_partitions(df, "load_date"), default=None)
     if latest is None:
         raise FileNotFoundError(f"partition exists but no parquet files under {path}")
     return latest, df.where(F.col("load_date") == latest)

@@ -126,4 +126,31 @@ from oracle import cohort_sql as _c  # noqa: E402
 D["coverage_documented"] = with_ctes(_CA_DOC, _c.V22[_c.V22.rindex("\nselect count(*) as total_attempts"):])
 D["specialization_kpis_documented"] = with_ctes(_CA_DOC, _c.V17[_c.V17.rindex("\nselect specialization, count(*)"):])
 
+D["violation_audit"] = with_ctes(CA_CTES, """
+select assessment_taker_id, test_id, attempt_number, test_title, domain_name, test_difficulty, violation_count,
+  violation_duration_sec, questions_failed,
+  ['No Violations', 'Low Violations', 'High Violations'][1 + cast(violation_count >= 1 as int) + cast(violation_count > 5 as int)] as violation_severity_slice
+from ca where violation_count is not null""")
+D["duration_scores"] = on_cp("""
+select assessment_taker_id, test_id, attempt_number, duration_min, score_pct, proficiency_level
+from cp where duration_min is not null and score_pct is not null""")
+D["assessment_score_distribution"] = on_cp("""
+select test_title, proficiency_level, count(*) as n, min(score_pct) as min, max(score_pct) as max, any_value(a) as q1, any_value(b) as median,
+  any_value(c) as q3, min(score_pct) filter (where score_pct >= a - 1.5 * (c - a)) as lower_whisker,
+  max(score_pct) filter (where score_pct <= c + 1.5 * (c - a)) as upper_whisker,
+  count(*) filter (where score_pct < a - 1.5 * (c - a) or score_pct > c + 1.5 * (c - a)) as outliers
+from (select *, quantile_cont(score_pct, 0.25) over w as a, quantile_cont(score_pct, 0.5) over w as b, quantile_cont(score_pct, 0.75) over w as c
+      from cp where score_pct is not null and test_title is not null window w as (partition by test_title, proficiency_level))
+group by test_title, proficiency_level""")
+D["cohort_specialization_heatmap"] = with_ctes(CA_CTES, """
+select cohort, specialization, avg(score_pct) as avg_score_pct, count(*) as attempts from ca
+group by cohort, cohort_year, program_type, specialization, center""")
+D["service_center_roster"] = with_ctes(_CA_DOC, f"select * from ({_c.V20[_c.V20.rindex('select *, rank()'):]}) where specialization <> 'Unmapped'")
+D["service_center_tech"] = f"select * from ({_c.V18}) where specialization <> 'Unmapped'"
+D["documented_slicers"] = with_ctes(CA_CTES, f"""
+select * from ca where domain_name in ('data engineering', 'Aptitude') and proficiency_level in ('Advanced', 'Beginner') and candidate_source = 'Internal'
+  and domain_name in (select field.name from ({newest("s_question", ["categoryid", "domainid"])}) q
+    join ({newest("s_category", ["name"])}) c on c.id = q.categoryid and c.name in ('Node', 'Cypress')
+    join ({newest("s_domain", ["name"])}) field on field.id = q.domainid)""")
+
 ORACLE = D

@@ -7,7 +7,7 @@ sitting order, ``mean`` skips NULLs, ``rank(pct=True)`` averages ties.
 
 from __future__ import annotations
 
-from oracle.cohort_sql import CA_CTES, QP_CTES
+from oracle.cohort_sql import CA_CTES, QP_CTES, V23
 from oracle.fixtures_sql import with_ctes
 from oracle.views_sql import CP_CTES, V4_BODY, V7_BODY, V7_CTES, V9_BODY, newest
 
@@ -146,6 +146,14 @@ from o_detail""")
 M["question_type_mix"] = with_ctes(ATT_CTES, """
 select coalesce(questiontype, 'Unknown') as question_type, count(*) as questions from o_detail group by 1""")
 
+M["question_score_mix"] = with_ctes(ATT_CTES, """
+select assessmenttakerid, testid, attemptnumber, pos, kind, points
+from (select assessmenttakerid, testid, attemptnumber, pos, unnest([{'kind': 'Earned', 'points': achieved_score}, {'kind': 'Max', 'points': max_score}], recursive := true)
+      from o_detail)""")
+
+M["attempt_lookup"] = on_cp("""
+select * from cp where test_id = 't-10' and attempt_number = 1 order by start_time_raw desc nulls last, assessment_taker_id asc nulls last limit 1""")
+
 M["training_base"] = on_base("select * from o_base")
 
 M["data_trust"] = with_ctes(CA_CTES, """
@@ -309,6 +317,36 @@ M["compare_specializations"] = on_base("\nunion all ".join([
         lambda c: f"avg(case when {c} then cast(coalesce(violation_count, 0.0) > 0 as double) end) * 100.0")),
 ]))
 
+def _compare(dimension, first, second):
+    each = {"Attempts": "cast(count(*) as double)", "Candidates": "cast(count(distinct email) as double)",
+            "1st-Sit Pass %": "100.0 * avg(is_pass) filter (where seq = 1)", "Overall Pass %": "100.0 * avg(is_pass)", "Avg Score %": "avg(score_pct)",
+            "Integrity %": "100.0 * avg(cast(coalesce(violation_count, 0.0) > 0 as int))"}
+    one = lambda expr, v: f"(select {expr} from o_base where {dimension} = '{v}')"
+    rows = [f"select '{m}' as metric, {one(e, first)} as group_a, {one(e, second)} as group_b" for m, e in each.items()]
+    return on_base("select *, group_a - group_b as delta from (" + " union all ".join(rows) + ")")
+
+
+M["compare_cohorts"] = _compare("cohort", "2025 CDC", "2025 NSP")
+M["compare_years"] = _compare("year", "2025", "2026")
+
+M["retake_medians"] = on_base("""
+select (select median(delta) from (select """ + pick("score_pct", SEQ_KEY, True) + " - " + pick("score_pct", SEQ_KEY, False) + """ as delta
+          from o_rt group by email, test_id)) as median_score_change,
+  (select median(gap) from (select (epoch_us(start_time) - epoch_us(lag(start_time) over (partition by email, test_id order by seq))) / 86400e6 as gap
+          from o_rt) where gap between 0 and 120) as median_gap_days""", [RETAKEN])
+
+# The question text uses two entities, both decoded here.
+_PLAIN = ("trim(regexp_replace(replace(replace(regexp_replace(regexp_replace(coalesce({x}, ''), '<br\\s*/?>|</(p|div|li)>', ' ', 'gi'), "
+          "'<[^>]+>', '', 'g'), '&nbsp;', ' '), '&amp;', '&'), '\\s+', ' ', 'g'))")
+M["question_rankings"] = f"""
+with v23 as ({V23})
+select question_id, coalesce(nullif({_PLAIN.format(x='question_text')}, ''), nullif({_PLAIN.format(x='question_title')}, ''), '(no text)') as question,
+  question_type, question_difficulty, specialization, times_served, answer_rate_pct, correct_rate_pct, avg_idle_sec, ranking
+from (select *, 'hardest' as ranking, row_number() over (order by correct_rate_pct asc nulls last, question_id) as place from v23 where times_served >= 20
+      union all select *, 'most_skipped', row_number() over (order by answer_rate_pct asc nulls last, question_id) from v23 where times_served >= 20
+      union all select *, 'idle_hotspots', row_number() over (order by avg_idle_sec desc nulls last, question_id) from v23 where times_served >= 20)
+where place <= 15"""
+
 M["training_roster"] = on_base(f"""
 select email, candidatename, attempts, tests_taken, pass_rate_pct, avg_score_pct, best_score_pct,
   latest_proficiency, improvement, integrity_risk,

@@ -38,6 +38,8 @@ def test_join_helpers_and_weighted_mean(spark):
     keys = spark.createDataFrame([("t1",), (None,)], "taker_id string")
     assert [r.taker_id for r in semi_filter(tags, keys, "taker_id").collect()] == ["t1"]
     assert point_lookup(tags, taker_id="t2", tag="Frontend").count() == 1
+    many = spark.createDataFrame([("t", 1, "x"), ("t", 3, "b"), ("t", 3, "a"), ("u", 9, "z")], "id string, n int, v string")
+    assert [tuple(r) for r in point_lookup(many, order_by=["n"], id="t").collect()] == [("t", 3, "a")]
     w = spark.createDataFrame([(50.0, 2), (80.0, 1), (None, 5), (10.0, 0)], "v double, w int")
     assert w.agg(weighted_mean("v", "w").alias("m")).first().m == 60.0
     none = spark.createDataFrame([(None, 1)], "v double, w int")

@@ -107,3 +107,49 @@ def test_sequence_over_matches_window_with_hot_and_null_keys(spark):
     exp = {r.taker: (r.seq, r.prev_v) for r in
            df.select("taker", F.row_number().over(w).alias("seq"), F.lag("v").over(w).alias("prev_v")).collect()}
     assert got == exp
+
+
+def _window_sequence(df, order):
+    from pyspark.sql import Window
+    w = Window.partitionBy("k").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    return {r.id: (r.seq, r.prev_v) for r in df.select("id", F.row_number().over(w).alias("seq"), F.lag("v").over(w).alias("prev_v")).collect()}
+
+
+def test_sequence_over_text_order_narrow_values_and_many_slices(spark):
+    from examlytics.operators.windows import sequence_over
+    rnd = random.Random(5)
+    words = ["", "a", "aa", "ab", "é", "zz", None] + [f"w{i}" for i in range(60)]
+    rows = [(i, "hot" if i % 3 else None, rnd.choice(words), 70.0 + rnd.random() / 1000, float(i)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id int, k string, word string, score double, v double")
+    for order in (["word", "id"], ["score", "id"]):
+        for parts in (1, 7, 100):  # 100 slices need several blocks of bounds
+            got = {r.id: (r.seq, r.prev_v) for r in sequence_over(df, ["k"], order, prev=["v"], parts=parts).collect()}
+            assert got == _window_sequence(df, order), (order, parts)
+
+
+def test_slices_spread_a_narrow_cluster_of_values(spark):
+    from examlytics.operators.windows import _with_slice, numeric_image
+    df = spark.range(4000).select((F.lit(70.0) + F.col("id") / 1e6).alias("v"))
+    sizes = [r["count"] for r in _with_slice(df.withColumn("b", numeric_image(df, "v")), "b", 40).groupBy("__slice").count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 300
+
+
+def test_rankings_run_nothing_before_an_action(spark):
+    from examlytics.operators.windows import sequence_over
+    boom = F.udf(lambda x: 1 / 0, "double")
+    df = spark.range(10).select("id", boom("id").alias("v"))
+    rank_over(df, "v")
+    sequence_over(df.withColumn("k", F.lit(1)), ["k"], ["v"])
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+
+    from examlytics.operators.windows import exact_quantiles
+    rng = np.random.default_rng(2)
+    rows = [(f"g{i % 3}", float(x)) for i, x in enumerate(rng.normal(size=400).round(1))] + [("one", 5.0), ("one", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.a, r.m, r.z) for r in exact_quantiles(df, "v", ["g"], {"a": 0.25, "m": 0.5, "z": 0.9}, parts=9).collect()}
+    for g in ("g0", "g1", "g2", "one"):
+        v = [x for k, x in rows if k == g and x is not None]
+        assert np.allclose(got[g], np.quantile(v, [0.25, 0.5, 0.9]))

@@ -1,5 +1,6 @@
 """Physical-plan properties: pushdown and pruning on a real silver lake, dedup shape, no cartesian products."""
 
+import re
 import tempfile
 
 import pytest
@@ -51,6 +52,11 @@ def test_dedup_is_a_window_group_limit(silver_lake):
     assert "WindowGroupLimit" in text
 
 
+def test_candidate_performance_is_one_pass(silver_lake):
+    text = org.candidate_performance(silver_lake)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bExchange ", text)) <= 8 and text.count("FileScan") == 4
+
+
 def test_views_read_few_columns_of_their_base(spark):
     text = plan_text(E.queries()["organization_overview"](spark, SF_SMOKE))
     schema = next(ln for ln in text.splitlines() if "ReadSchema:" in ln)
