@@ -18,9 +18,11 @@ Work on groups of copies:
   central member (in the largest band groups) that it shares most bands with.
   This joins nearly all of a group of near copies in one comparison each.
 * Then every band group that still holds two components yields the pairs
-  between them, not those within one, and only pairs that can reach the
-  threshold: each node's shingles that no other node of these groups has bound
-  its similarity to any of them. What is left is compared by registers, and
+  between them, each once, not those within one (members outside the group's
+  largest component are compared with the others), and only pairs that can
+  reach the threshold: the shingles that no other node of these groups has, and the
+  ones not shared with a head that both nodes were compared with, bound the
+  similarity of two nodes from above. What is left is compared by registers, and
   pairs within ``MARGIN`` below the threshold (over four standard deviations)
   or above are verified. No link between representatives is given up.
 * The shingles of a head travel in as many copies as it has parts of
@@ -53,6 +55,7 @@ BANDS, ROWS = 30, 5
 MARGIN = 0.14
 FAN = 500
 NODE_BITS = 1 << 26
+BAND_BITS = 1 << 27
 SHINGLE_BITS = 1 << 27
 
 PROFILE = "doc_id bigint, n_shingles bigint, profile binary, registers binary, bands array<bigint>"
@@ -145,7 +148,7 @@ def profiles(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int
 
 
 def _shingle_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, hashes, counts): the shingles of the documents in ``nodes``; all others are passed over."""
+    """(node, hashes, counts): the shingles of the documents in ``nodes`` (and of few others, which join nothing)."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap(nodes.select(F.xxhash64("node").alias("key")), NODE_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,8 +161,7 @@ def _shingle_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                     b.column("doc_id"), pa.array([h[s:e].tobytes() for s, e in cut], pa.binary()),
                     pa.array([b"" if (count[s:e] == 1).all() else count[s:e].astype(np.uint32).tobytes() for s, e in cut], pa.binary())], ["node", "hashes", "counts"])
 
-    rows = docs.select("doc_id", F.xxhash64("doc_id").alias("key"), "text").mapInArrow(run, "node bigint, hashes binary, counts binary")
-    return rows.join(nodes.select("node"), "node", "left_semi")
+    return docs.select("doc_id", F.xxhash64("doc_id").alias("key"), "text").mapInArrow(run, "node bigint, hashes binary, counts binary")
 
 
 def _read(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -167,13 +169,13 @@ def _read(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return h, np.frombuffer(counts, np.uint32) if counts else np.ones(len(h), np.uint32)
 
 
-def _verified(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose exact similarity reaches the threshold."""
+def _compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, similarity, shared): exact similarity of the pairs (a, b), and the number of shingles both have."""
     parts = pairs.groupBy(F.col("a").alias("head")).agg(F.ceil(F.count("*") / FAN).alias("parts"))
     salted = pairs.join(parts.withColumnRenamed("head", "a"), "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
     heads = parts.select(F.col("head").alias("node"), F.col("head").alias("a"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
     others = salted.select(F.col("b").alias("node"), "a", "part")
-    rows = sets.join(heads.unionByName(others), "node").select("a", "part", "node", "hashes", "counts")
+    rows = sets.join(heads.unionByName(others).hint("merge"), "node").select("a", "part", "node", "hashes", "counts")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, head = None, []
@@ -185,13 +187,14 @@ def _verified(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
                 if node == a:  # sorts before its partners
                     head.append(_read(hashes, counts))
                     continue
-                s = max((similarity(*h, *_read(hashes, counts)) for h in head), default=0.0)
-                if s >= threshold:
-                    out.append((a, node))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+                own = _read(hashes, counts)
+                s, i = max(((similarity(*h, *own), len(np.intersect1d(h[0], own[0], assume_unique=True))) for h in head), default=(0.0, 0))
+                out.append((a, node, s, float(i)))
+            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], ["a", "b", "similarity", "shared"])
 
     order = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("node") != F.col("a"))
-    return order.mapInArrow(compare, "a bigint, b bigint")
+    return order.mapInArrow(compare, "a bigint, b bigint, similarity double, shared double")
 
 
 def _reach(sets: DataFrame) -> DataFrame:
@@ -225,16 +228,42 @@ def _reach(sets: DataFrame) -> DataFrame:
 def _possible(threshold: float):
     """Whether two nodes can reach the threshold, given what each may share at most.
 
-    With unit weights the common part i gives i / (|a| + |b| - i). In general a
-    pair that shares the fractions f and g of its weights has a probability
-    Jaccard similarity of at most 1 / (1/f + 1/g - 1).
+    With unit weights at most ``i`` shared shingles give i / (|a| + |b| - i).
+    ``i`` is bounded by the common part of either; if both were compared with
+    the same head, also by what each shares with that head plus what each has
+    in common with others beyond it. In general a pair that shares the
+    fractions f and g of its weights has a probability Jaccard similarity of at
+    most 1 / (1/f + 1/g - 1).
     """
     common = F.least("common_a", "common_b")
-    sets = common * (1 + threshold) >= threshold * (F.col("total_a") + F.col("total_b")) * (1 - 1e-9)
+    beyond = F.least(F.col("common_a") - F.col("shared_a"), F.col("common_b") - F.col("shared_b"))
+    most = F.when(F.col("head_a") == F.col("head_b"), F.least(common, F.least("shared_a", "shared_b") + beyond)).otherwise(common)
+    sets = most * (1 + threshold) >= threshold * (F.col("total_a") + F.col("total_b")) * (1 - 1e-9)
     general = F.col("total_a") / F.col("common_a") + F.col("total_b") / F.col("common_b") <= (1 + 1 / threshold) * (1 + 1e-9)
     return general & (~(F.col("plain_a") & F.col("plain_b")) | sets)
 
 
+def _crowded_bands(reps: DataFrame) -> DataFrame:
+    """(band, node) of the bands that several representatives share (and of few others)."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kinds, times = np.unique(b.column("bands").flatten().to_numpy(zero_copy_only=False), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(times.astype(np.int64))], ["key", "n"])
+
+    often = reps.select("bands").mapInArrow(keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    shared = reps.sparkSession.sparkContext.broadcast(bitmap(often, BAND_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            flat, off = b.column("bands").flatten().to_numpy(zero_copy_only=False), b.column("bands").offsets.to_numpy()
+            node = np.repeat(b.column("node").to_numpy(zero_copy_only=False), np.diff(off))
+            own = marked(shared.value, flat.view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(flat[own]), pa.array(node[own])], ["band", "node"])
+
+    return reps.select("node", "bands").mapInArrow(run, "band bigint, node bigint")
+
+
 def _alike(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """Pairs whose registers agree often enough."""
     for b in batches:
@@ -253,15 +282,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     made = keep(profiles(texts, size, bands, rows), "profiles")
     some = made.filter("n_shingles > 0 and doc_id is not null")
-    classes = keep(some.groupBy("profile").agg(F.min("doc_id").alias("node")), "copy-classes")
-    heads_of = classes.withColumnRenamed("node", "doc_id")
-    reps = keep(some.join(heads_of, ["profile", "doc_id"], "left_semi").dropDuplicates(["profile"])
-                .select(F.col("doc_id").alias("node"), "registers", "bands"), "representatives")
+    reps = keep(some.groupBy("profile").agg(F.min(F.struct("doc_id", "registers", "bands")).alias("least"))
+                .select("profile", F.col("least.doc_id").alias("node"), "least.registers", "least.bands"), "representatives")
+    classes = reps.select("profile", "node")
     texts = texts.filter("doc_id is not null")
 
     # One head per representative: the most central member it shares most bands with.
-    banded = reps.select("node", F.explode("bands").alias("band"))
-    groups = keep(banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "band-groups")
+    banded = keep(_crowded_bands(reps), "crowded-bands")
+    groups = banded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     shared = keep(banded.join(groups, "band").select("band", "node", "n"), "shared-bands")
     rank = shared.groupBy("node").agg(F.struct(F.sum("n").alias("rank"), (-F.col("node")).alias("node")).alias("rank"))
     ranked = keep(shared.select("band", "node").join(rank, "node"), "ranked-bands")
@@ -269,18 +297,29 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     votes = ranked.join(leads, "band").filter("rank.node <> lead.node").groupBy("node", "lead").count()
     stars = keep(votes.groupBy("node").agg(F.max(F.struct("count", "lead")).alias("best")).select((-F.col("best.lead.node")).alias("a"), F.col("node").alias("b")), "stars")
     sets = keep(_shingle_sets(texts, shared.select("node").distinct(), size), "shingle-sets")
-    linked = keep(_verified(sets, stars, threshold), "links")
-    roots = components(linked)
+    compared = keep(_compared(sets, stars), "compared-stars")
+    roots = components(compared.filter(F.col("similarity") >= threshold).select("a", "b"))
 
     # Pairs between the components that still share a band and can reach the threshold.
     labelled = keep(shared.select("band", "node").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")), "labelled-bands")
     split = labelled.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("band")
     mixed = keep(labelled.join(split, "band", "left_semi"), "mixed-bands")
-    reach = _reach(sets.join(mixed.select("node").distinct(), "node", "left_semi")).filter(F.col("common") >= threshold * F.col("total") * (1 - 1e-9))
-    able = keep(mixed.join(reach, "node"), "able-bands")
-    side = lambda x: able.select("band", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "root", "total", "common", "plain")])
-    across = (side("a").join(side("b"), "band").filter((F.col("root_a") != F.col("root_b")) & (F.col("node_a") < F.col("node_b")) & _possible(threshold))
-              .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+    star = compared.select(F.col("b").alias("node"), F.col("a").alias("head"), "shared")
+    nodes = mixed.select("node").distinct()
+    with_heads = nodes.unionByName(nodes.join(star, "node").select(F.col("head").alias("node"))).distinct()
+    reach = _reach(sets.join(with_heads, "node", "left_semi")).filter(F.col("common") >= threshold * F.col("total") * (1 - 1e-9))
+    able = mixed.join(reach, "node").join(star, "node", "left").join(reps.select("node", "bands"), "node")
+    # Of two nodes with different roots, one at least is not of the root that most members of the band have.
+    sizes = able.groupBy("band", "root").count()
+    major = sizes.groupBy("band").agg(F.max(F.struct("count", "root")).alias("most")).select("band", F.col("most.root").alias("major"))
+    able = keep(able.join(major, "band").withColumn("minor", F.col("root") != F.col("major")).drop("major"), "able-bands")
+    fields = ("node", "root", "total", "common", "plain", "head", "shared", "minor", "bands")
+    side = lambda x: able.select("band", *[F.col(c).alias(f"{c}_{x}") for c in fields])
+    once = ~F.col("minor_b") | (F.col("node_a") < F.col("node_b"))
+    first_band = F.col("band") == F.array_min(F.array_intersect("bands_a", "bands_b"))  # a pair shows at its smallest common band only
+    across = (side("a").filter("minor_a").join(side("b"), "band")
+              .filter((F.col("root_a") != F.col("root_b")) & once & F.coalesce(_possible(threshold), F.lit(True)) & first_band)
+              .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
     known = reps.select("node", "registers")
     with_a = across.join(known.select(F.col("node").alias("a"), F.col("registers").alias("ra")), "a")
     with_both = with_a.join(known.select(F.col("node").alias("b"), F.col("registers").alias("rb")), "b").select("a", "b", "ra", "rb")
@@ -288,7 +327,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     if close.isEmpty():
         final = roots
     else:
-        more = keep(_verified(sets, close, threshold), "more-links")
+        more = keep(_compared(sets, close).filter(F.col("similarity") >= threshold).select("a", "b"), "more-links")
         final = components(more.unionByName(roots.select(F.col("root").alias("a"), F.col("node").alias("b"))))
 
     found = classes.join(final, "node", "left").select("profile", F.col("node").alias("copy"), F.coalesce("root", "node").alias("cls"))
