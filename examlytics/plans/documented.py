@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from examlytics.functions import scalar as fx
 from examlytics.operators.nested import to_long
 from examlytics.operators.slicers import apply_slicers
+from examlytics.operators.windows import sequence_over
 from examlytics.plans.org import latest_attempts, latest_by_id
 from examlytics.sources.silver import Silver
 
@@ -100,16 +101,16 @@ def assessment_summary(cp: DataFrame, silver: Silver) -> DataFrame:
 def kpi_month_deltas(cp: DataFrame) -> DataFrame:
     """DOC4: per month avg score, pass rate, internal share and change vs the previous month.
 
-    One row per month; the delta window runs over the month table (one row
-    per calendar month, a bounded set).
+    Months are free text in the source, so their number is not bounded: the
+    previous month comes from :func:`sequence_over`, not a global window.
     """
     m = cp.where(fx.nonblank("attempt_month")).groupBy("attempt_month").agg(
         F.avg("score_pct").alias("avg_score_pct"),
         (F.avg("is_pass") * 100).alias("pass_rate_pct"),
         (F.avg((F.col("candidate_source") == "Internal").cast("double")) * 100).alias("internal_pct"))
-    w = Window.orderBy("attempt_month")
-    return m.select("*", (F.col("avg_score_pct") - F.lag("avg_score_pct").over(w)).alias("avg_score_delta"),
-                    (F.col("pass_rate_pct") - F.lag("pass_rate_pct").over(w)).alias("pass_rate_delta"))
+    seq = sequence_over(m, [], ["attempt_month"], out="n", prev=["avg_score_pct", "pass_rate_pct"])
+    return seq.select(*m.columns, (F.col("avg_score_pct") - F.col("prev_avg_score_pct")).alias("avg_score_delta"),
+                      (F.col("pass_rate_pct") - F.col("prev_pass_rate_pct")).alias("pass_rate_delta"))
 
 
 def integrity_composition(insights: DataFrame) -> DataFrame:
@@ -216,12 +217,11 @@ def candidate_drilldown(insights: DataFrame, growth: DataFrame) -> DataFrame:
 def recent_months(cp: DataFrame, months: int = DEFAULT_RECENT_MONTHS) -> DataFrame:
     """DOC15: attempts in the latest ``months`` calendar months present.
 
-    The month list (one row per calendar month, bounded) is ranked and
-    joined back; the attempts are never ranked as a whole.
+    The latest months are a top-k of the distinct months (``months`` rows,
+    broadcast); the attempts are never ranked.
     """
     m = cp.where(fx.nonblank("attempt_month")).select("attempt_month").distinct()
-    top = m.select("attempt_month", F.dense_rank().over(Window.orderBy(F.col("attempt_month").desc())).alias("r")) \
-        .where(F.col("r") <= months).select("attempt_month")
+    top = m.orderBy(F.col("attempt_month").desc()).limit(months)
     return cp.join(F.broadcast(top), "attempt_month", "left_semi")
 
 
