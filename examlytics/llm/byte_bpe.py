@@ -190,15 +190,36 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, decoded binary")
 
 
-def digests(encoded: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
-    """Per row: number of ids, and the SHA-256 of the ids and of the bytes they decode to (and the ids themselves)."""
+DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids binary"
+
+
+def _digest(bpe: ByteBpe, doc_ids: pa.Array, ids: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        doc_ids, pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string()),
+        pa.array([hashlib.sha256(bpe.decode(i)).hexdigest() for i in ids], pa.string()), pa.array(ids, pa.binary())],
+        ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+
+
+def digests(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Per row: number of ids, the SHA-256 of the ids and of the bytes they decode to, and the ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(ranks_path, pattern)
         for b in slices(batches, "ids"):
-            ids = b.column("ids").to_pylist()
-            made = [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([hashlib.sha256(i).hexdigest() for i in ids]), pa.array([hashlib.sha256(bpe.decode(i)).hexdigest() for i in ids])]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *made, *([b.column("ids")] if with_ids else [])], names)
+            yield _digest(bpe, b.column("doc_id"), b.column("ids").to_pylist())
+
+    return encoded.select("doc_id", "ids").mapInArrow(run, DIGESTS)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """``digests`` of ``encode``, in one Python pass for the texts that need no chunks."""
+    rows = _texts(docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = model(ranks_path, pattern)
+        for b in slices(batches, "text"):
+            yield _digest(bpe, b.column("doc_id"), [bpe.encode(t) for t in b.column("text").to_pylist()])
 
-    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
+    short = rows.filter(F.length("text") <= chunk).mapInArrow(run, DIGESTS)
+    long = _encode_long(rows.filter(F.length("text") > chunk), ranks_path, pattern, chunk, overlap)
+    return short.unionByName(digests(long, ranks_path, pattern))

@@ -47,7 +47,7 @@ def merge(symbols: list, rank: dict) -> list:
 class Memo(dict):
     """A dictionary that computes missing values and forgets all of them when it is full."""
 
-    def __init__(self, compute, limit: int = 300_000, longest: int = 64):
+    def __init__(self, compute, limit: int = 200_000, longest: int = 48):
         super().__init__()
         self.compute, self.limit, self.longest = compute, limit, longest
 

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from examlytics.llm import byte_bpe, decontaminate, minhash, neighbours, pii, quality, secret_scan, substring, token_count, toxicity
+from examlytics.llm.store import text_batches
 from examlytics.llm.training import crc_remainder
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -15,6 +16,7 @@ KEEP_QUALITY = 0.7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,8 +37,8 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = byte_bpe.encode(_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
-    return byte_bpe.digests(ids, BYTE_RANKS, public_tokenizers.PATTERN)
+    out = byte_bpe.round_trip(_table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    return out.drop("ids")
 
 
 def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,44 +1,16 @@
-"""Intermediate tables in the folder that the whole cluster shares.
-
-Long pipelines cut their lineage by writing a Parquet table to the folder
-that ``spark.checkpoint.dir`` names and reading it back: a lost executor then
-re-reads files instead of recomputing stages, and every executor sees them.
-"""
+"""Session helpers of the text operators: intermediate tables in the shared folder, and batch size."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder.
+from pyspark.sql import SparkSession
 
-    ``spark.checkpoint.dir`` is used wherever it is set. A local session
-    (tests) without it gets a temporary folder; any other session without it
-    is an error, since executors could not read one another's files.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local[") and master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="examlytics-shared-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+from examlytics.session import keep, shared_dir
 
+__all__ = ["keep", "shared_dir", "text_batches"]
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one intermediate table."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+TEXT_ROWS = "1000"
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and return it read back."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def text_batches(spark: SparkSession) -> None:
+    """Rows hold whole texts: exchange fewer of them at a time with Python workers than the default 10,000."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)

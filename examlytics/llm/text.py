@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 # Words of op8: everything but space and \x09-\x0D.
 NON_SPACE = np.ones(256, bool)
