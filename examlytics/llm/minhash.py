@@ -54,9 +54,9 @@ THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
 MARGIN = 0.14
 FAN = 500
-NODE_BITS = 1 << 26
-BAND_BITS = 1 << 27
-SHINGLE_BITS = 1 << 27
+NODE_BITS = 1 << 25
+BAND_BITS = 1 << 26
+SHINGLE_BITS = 1 << 26
 
 PROFILE = "doc_id bigint, n_shingles bigint, profile binary, registers binary, bands array<bigint>"
 
@@ -147,9 +147,24 @@ def profiles(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int
     return docs.mapInArrow(run, PROFILE)
 
 
-def _shingle_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, hashes, counts): the shingles of the documents in ``nodes`` (and of few others, which join nothing)."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(nodes.select(F.xxhash64("node").alias("key")), NODE_BITS))
+def _marks_of(nodes: DataFrame):
+    """A broadcast bitmap of fixed size of the nodes."""
+    return nodes.sparkSession.sparkContext.broadcast(bitmap(nodes.select(F.xxhash64("node").alias("key")), NODE_BITS))
+
+
+def _only(df: DataFrame, marks) -> DataFrame:
+    """Rows of the marked nodes (and of few others) without a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = pa.array(marked(marks.value, b.column("key").to_numpy(zero_copy_only=False).view(np.uint64)))
+            yield b.drop_columns(["key"]).filter(own)
+
+    return df.withColumn("key", F.xxhash64("node")).mapInArrow(run, df.schema)
+
+
+def _shingle_sets(docs: DataFrame, shared, size: int) -> DataFrame:
+    """(node, hashes, counts): the shingles of the marked documents (and of few others, which join nothing)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,24 +212,29 @@ def _compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return order.mapInArrow(compare, "a bigint, b bigint, similarity double, shared double")
 
 
-def _reach(sets: DataFrame) -> DataFrame:
-    """(node, total, common, plain): weight of a node's shingles, the part that another node may share, and whether all weights are 1.
+def _reach(sets: DataFrame, marks) -> DataFrame:
+    """(node, total, common, plain) of marked nodes: weight of the shingles, the part that another node may share, and whether all weights are 1.
 
     Shingles count as common by a bitmap of fixed size, so ``common`` is an
     upper bound.
     """
 
+    def own(b: pa.RecordBatch) -> pa.RecordBatch:
+        return b.filter(pa.array(marked(marks.value, b.column("key").to_numpy(zero_copy_only=False).view(np.uint64))))
+
+    sets = sets.withColumn("key", F.xxhash64("node"))
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in map(own, batches):
             h = np.frombuffer(b"".join(b.column("hashes").to_pylist()), np.uint64) & np.uint64(SHINGLE_BITS - 1)
             kinds, times = np.unique(h, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times.astype(np.int64))], ["key", "n"])
 
-    often = sets.select("hashes").mapInArrow(keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    often = sets.select("key", "hashes").mapInArrow(keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
     shared = sets.sparkSession.sparkContext.broadcast(bitmap(often, SHINGLE_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in map(own, batches):
             out = []
             for hashes, counts in zip(b.column("hashes").to_pylist(), b.column("counts").to_pylist(), strict=True):
                 h, w = _read(hashes, counts)
@@ -296,7 +316,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     leads = ranked.groupBy("band").agg(F.max("rank").alias("lead"))
     votes = ranked.join(leads, "band").filter("rank.node <> lead.node").groupBy("node", "lead").count()
     stars = keep(votes.groupBy("node").agg(F.max(F.struct("count", "lead")).alias("best")).select((-F.col("best.lead.node")).alias("a"), F.col("node").alias("b")), "stars")
-    sets = keep(_shingle_sets(texts, shared.select("node").distinct(), size), "shingle-sets")
+    marks = _marks_of(shared.select("node").distinct())
+    sets = keep(_shingle_sets(texts, marks, size), "shingle-sets")
+    known = keep(_only(reps.select("node", "registers", "bands"), marks), "known")
     compared = keep(_compared(sets, stars), "compared-stars")
     roots = components(compared.filter(F.col("similarity") >= threshold).select("a", "b"))
 
@@ -307,8 +329,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     star = compared.select(F.col("b").alias("node"), F.col("a").alias("head"), "shared")
     nodes = mixed.select("node").distinct()
     with_heads = nodes.unionByName(nodes.join(star, "node").select(F.col("head").alias("node"))).distinct()
-    reach = _reach(sets.join(with_heads, "node", "left_semi")).filter(F.col("common") >= threshold * F.col("total") * (1 - 1e-9))
-    able = mixed.join(reach, "node").join(star, "node", "left").join(reps.select("node", "bands"), "node")
+    reach = _reach(sets, _marks_of(with_heads)).filter(F.col("common") >= threshold * F.col("total") * (1 - 1e-9))
+    able = mixed.join(reach, "node").join(star, "node", "left").join(known.select("node", "bands"), "node")
     # Of two nodes with different roots, one at least is not of the root that most members of the band have.
     sizes = able.groupBy("band", "root").count()
     major = sizes.groupBy("band").agg(F.max(F.struct("count", "root")).alias("most")).select("band", F.col("most.root").alias("major"))
@@ -320,7 +342,6 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     across = (side("a").filter("minor_a").join(side("b"), "band")
               .filter((F.col("root_a") != F.col("root_b")) & once & F.coalesce(_possible(threshold), F.lit(True)) & first_band)
               .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
-    known = reps.select("node", "registers")
     with_a = across.join(known.select(F.col("node").alias("a"), F.col("registers").alias("ra")), "a")
     with_both = with_a.join(known.select(F.col("node").alias("b"), F.col("registers").alias("rb")), "b").select("a", "b", "ra", "rb")
     close = keep(with_both.mapInArrow(lambda batches: _alike(batches, threshold - MARGIN), "a bigint, b bigint").distinct(), "close-pairs")
