@@ -19,13 +19,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from examlytics.llm import byte_bpe, decontaminate, minhash, quality, secret_scan
 from examlytics.llm.marks import bitmap, marked
-from examlytics.llm.store import keep
+from examlytics.llm.store import keep, text_batches
 from examlytics.llm.training import crc_remainder
 
 KEEP_QUALITY = 0.7
 REDACTED = "<SECRET>"
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
-DROP_BITS = 1 << 26
+DROP_BITS = 1 << 25
 
 #: No SQL: the classifier is a trained model.
 ORACLE_SQL = None
@@ -56,6 +56,7 @@ def without(docs: DataFrame, gone: DataFrame, key: Column) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    text_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels, ~F.coalesce(crc_remainder(F.col("doc_id"), 4) == 2, F.lit(False)))
     name = "_quality" + "_" * max(map(len, docs.columns))  # longer than any column there is
@@ -84,19 +85,12 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = secret_scan.secrets(docs).filter(F.size("spans") > 0).select(F.col("version").alias("key"), "spans").dropDuplicates(["key"])
-    joined = docs.select(F.struct("*").alias("row"), row_key().alias("key")).join(found, "key", "left")
-    clean = secret_scan.redact(F.col("row.text"), F.col("spans"), REDACTED)
-    new = {"text": clean, "n_chars": F.length(clean)}
-    old = lambda c: F.col("row").getField(c)
-    return joined.select(*[
-        F.when(F.col("spans").isNull(), old(c)).otherwise(new[c].cast(docs.schema[c].dataType)).alias(c) if c in new else old(c).alias(c) for c in docs.columns])
+    return secret_scan.redacted(docs, REDACTED)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids (little-endian unsigned 32-bit integers), their number and the digests of ids and decoded bytes."""
-    ids = byte_bpe.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN)
-    return byte_bpe.digests(ids, BYTE_RANKS, public_tokenizers.PATTERN, with_ids=True)
+    return byte_bpe.round_trip(docs, BYTE_RANKS, public_tokenizers.PATTERN)
 
 
 STAGES = [

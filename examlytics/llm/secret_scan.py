@@ -75,14 +75,16 @@ def _located(text: Column, matches: Column, pattern: str, kind: int) -> Column:
     return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(_SPANS))
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """Per row: base spans, and candidates (start, end, token) that touch none of them."""
+def scan(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """Per row: base spans, and candidates (start, end, token) that touch none of them (``carry``: and the whole row)."""
     text = F.col("text")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
+    whole = [F.struct(*docs.columns).alias("row")] if carry else []
+    own = ["row"] if carry else []
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(text.cast("string"), F.lit("")).alias("text"), *whole)
     none = F.array().cast("array<string>")
     signs = text.contains("=") | text.contains(":")
     found = rows.select(
-        "doc_id", "text", F.xxhash64("doc_id", "text").alias("version"),
+        *own, "doc_id", "text", F.xxhash64("doc_id", "text").alias("version"),
         F.when(signs, _matches(text, ASSIGN)).otherwise(none).alias("assign"),
         F.when(text.contains("AKIA"), _matches(text, ACCESS)).otherwise(none).alias("access"),
         _matches(text, HEX).alias("hex"), _matches(text, CANDIDATE).alias("candidate"))
@@ -90,11 +92,11 @@ def scan(docs: DataFrame) -> DataFrame:
     values = F.when(F.size("assign") > 0, _matches(text, ASSIGN, 1)).otherwise(none)
     long = F.filter(F.arrays_zip(_located(text, F.col("assign"), ASSIGN, 0).alias("span"), values.alias("value")), lambda x: F.length(x["value"]) >= 12)
     spans = found.select(
-        "doc_id", "version", "candidate", F.transform(long, lambda x: x["span"]).alias("a"), _located(text, F.col("access"), ACCESS, 1).alias("k"),
+        *own, "doc_id", "version", "candidate", F.transform(long, lambda x: x["span"]).alias("a"), _located(text, F.col("access"), ACCESS, 1).alias("k"),
         _located(text, F.col("hex"), HEX, 2).alias("h"), _located(text, F.col("candidate"), CANDIDATE, 3).alias("c"))
-    base = spans.select("doc_id", "version", F.array_sort(F.concat("a", "k", "h")).alias("base"), F.arrays_zip(F.col("c").alias("span"), F.col("candidate").alias("token")).alias("c"))
+    base = spans.select(*own, "doc_id", "version", F.array_sort(F.concat("a", "k", "h")).alias("base"), F.arrays_zip(F.col("c").alias("span"), F.col("candidate").alias("token")).alias("c"))
     free = F.filter("c", lambda x: ~F.exists("base", lambda b: (b["start"] < x["span"]["end"]) & (b["end"] > x["span"]["start"])))
-    return base.select("doc_id", "version", "base", F.transform(free, lambda x: F.struct(x["span"]["start"].alias("start"), x["span"]["end"].alias("end"), x["token"].alias("token"))).alias("candidates"))
+    return base.select(*own, "doc_id", "version", "base", F.transform(free, lambda x: F.struct(x["span"]["start"].alias("start"), x["span"]["end"].alias("end"), x["token"].alias("token"))).alias("candidates"))
 
 
 def _upper_tail(z: Column) -> Column:
@@ -152,17 +154,41 @@ def not_random(tested: DataFrame, fdr: float = FDR) -> DataFrame:
     return ranked.filter(upper_p * F.col("m") <= fdr * F.col("rank")).groupBy("encoding", "stratum").agg(F.min("bin").alias("ruled_out"))
 
 
-def secrets(docs: DataFrame, fdr: float = FDR, least_bits: float = LEAST_BITS) -> DataFrame:
-    """One row per document: doc_id, version, base spans and all spans (start, kind, end), by start, then kind."""
-    found = keep(scan(docs), "secret-spans")
+def random_strings(found: DataFrame, fdr: float = FDR, least_bits: float = LEAST_BITS) -> DataFrame:
+    """(version, added): the candidates of scanned rows that the tests take for secrets."""
     candidates = found.select("version", F.explode("candidates").alias("c")).select("version", "c.start", "c.end", "c.token").distinct()
     bin_of = F.least(F.lit(BINS), F.floor(-20 * F.log10(F.greatest(F.col("p"), F.lit(1e-30))))).cast("int")
     tested = keep(battery(candidates).withColumn("bin", bin_of).withColumn("stratum", F.floor(F.log2("symbols") * 2).cast("int")), "randomness")
     limits = not_random(tested, fdr)
     passed = tested.join(limits, ["encoding", "stratum"], "left").filter((F.col("ruled_out").isNull() | (F.col("bin") < F.col("ruled_out"))) & (F.col("bits") >= least_bits))
-    added = passed.groupBy("version").agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("added"))
-    out = found.join(added, "version", "left")
-    return out.select("doc_id", "version", "base", F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(_SPANS)))).alias("spans"))
+    return passed.groupBy("version").agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("added"))
+
+
+def _with_added(rows: DataFrame, added: DataFrame) -> DataFrame:
+    """Add ``spans``: base and added ones, by start, then kind. Rows without candidates do not take part in the join."""
+    joined = rows.filter(F.size("candidates") > 0).join(added, "version", "left").select(
+        *rows.columns, F.array_sort(F.concat("base", F.coalesce("added", F.array().cast(_SPANS)))).alias("spans"))
+    return rows.filter(F.size("candidates") == 0).withColumn("spans", F.col("base")).unionByName(joined)
+
+
+def secrets(docs: DataFrame, fdr: float = FDR, least_bits: float = LEAST_BITS) -> DataFrame:
+    """One row per document: doc_id, version, base spans and all spans (start, kind, end), by start, then kind."""
+    found = keep(scan(docs), "secret-spans")
+    return _with_added(found, random_strings(found, fdr, least_bits)).select("doc_id", "version", "base", "spans")
+
+
+def redacted(docs: DataFrame, mark: str, fdr: float = FDR, least_bits: float = LEAST_BITS) -> DataFrame:
+    """The rows of ``docs`` with every secret in ``text`` replaced by the mark, and ``n_chars`` to match.
+
+    The texts are scanned where they lie; only rows with candidates shuffle.
+    """
+    added = keep(random_strings(keep(scan(docs), "secret-spans"), fdr, least_bits), "random-strings")
+    rows = _with_added(scan(docs, carry=True), added)
+    clean = redact(F.col("row.text"), F.col("spans"), mark)
+    new = {"text": clean, "n_chars": F.length(clean)}
+    old = lambda c: F.col("row").getField(c)
+    return rows.select(*[
+        F.when(F.size("spans") == 0, old(c)).otherwise(new[c].cast(docs.schema[c].dataType)).alias(c) if c in new else old(c).alias(c) for c in docs.columns])
 
 
 def redact(text: Column, spans: Column, mark: str) -> Column:
