@@ -36,7 +36,7 @@ from examlytics.llm.store import keep
 from examlytics.llm.text import ASCII_LOWER, LOWER_ALNUM, Words, buffer_of, slices
 
 WINDOW = 13
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 BLOCK_BYTES = 4 << 20
 
 INDEX_SCHEMA = (
