@@ -17,8 +17,9 @@ alone proves nothing (a number without its plus sign, "name at host dot org"):
    pattern scores the share of its occurrences that stand at accepted
    instances (with ``SUPPORT`` different ones at least); a candidate instance
    scores the noisy-or of its good patterns; instances over ``ACCEPT`` are
-   accepted and induce patterns in the next round, until nothing new is found
-   or ``ROUNDS`` are over. All mentions of accepted instances become spans.
+   accepted and induce patterns in the next round, until a round accepts
+   nothing new (accepted instances only grow, so this ends). All mentions of
+   accepted instances become spans.
 
 Scale: both passes are narrow; what they emit is pre-aggregated. Patterns are
 marked in a bitmap of fixed size for the second pass; it is the only thing
@@ -40,14 +41,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from examlytics.llm.marks import bitmap, marked
-from examlytics.llm.store import keep
+from examlytics.llm.store import discard, keep
 from examlytics.llm.text import ASCII_LOWER, LOWER_ALNUM, Words, buffer_of, ngram_hashes, slices
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT = 3
 PRECISION = 0.5
 ACCEPT = 0.75
-ROUNDS = 3
 MARK_BITS = 1 << 22
 HELD = 1 << 19  # pattern counts that a task holds before it passes them on
 REACH = 160  # characters around a match that are searched for its context words
@@ -224,7 +224,7 @@ def _occurrences(docs: DataFrame, patterns: DataFrame, bits: int = MARK_BITS) ->
     return docs.select("text").mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("total"))
 
 
-def discover(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def discover(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(kind, surface) of the accepted instances: seeds, and those that patterns of the seeds lead to."""
     each = found.select(F.explode("mentions").alias("m")).select("m.kind", "m.surface", "m.seed", F.explode("m.patterns").alias("p"))
     every = keep(each.groupBy("kind", "surface", "p.slot", "p.h").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "pattern-instances")
@@ -236,7 +236,7 @@ def discover(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFra
     words = _occurrences(docs, edges.filter("slot <> 'S'").select("h").distinct())
     totals = keep(words.unionByName(form.groupBy("h").agg(F.sum("n").alias("total"))), "pattern-totals")
     known = keep(seeds, "instances")
-    for _ in range(rounds):
+    while True:
         graph = edges.drop("seed").join(known, ["kind", "surface"])
         patterns = (graph.groupBy("kind", "slot", "h")
                     .agg(F.sum(F.when(F.col("accepted"), F.col("n"))).alias("hits"), F.sum(F.col("accepted").cast("int")).alias("support"))
@@ -247,17 +247,20 @@ def discover(docs: DataFrame, found: DataFrame, rounds: int = ROUNDS) -> DataFra
         good = keep(scored.filter(F.col("score") >= ACCEPT).select("kind", "surface"), "accepted")
         if good.isEmpty():
             break
-        known = keep(known.join(good.withColumn("now", F.lit(True)), ["kind", "surface"], "left")
+        last = known
+        known = keep(last.join(good.withColumn("now", F.lit(True)), ["kind", "surface"], "left")
                      .select("kind", "surface", (F.col("accepted") | F.coalesce("now", F.lit(False))).alias("accepted")), "instances")
+        discard(last)
+        discard(good)
     return known.filter("accepted").select("kind", "surface")
 
 
-def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def personal_data(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, base (strict spans) and spans (base and discovered), by kind, then start."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("version", F.xxhash64("doc_id", "text"))
     found = keep(mentions(rows), "mentions")
-    accepted = discover(rows, found, rounds)
+    accepted = discover(rows, found)
     candidates = found.select("version", F.explode("mentions").alias("m")).filter("not m.seed").select("version", "m.kind", "m.start", "m.end", "m.surface")
     added = (candidates.join(accepted, ["kind", "surface"]).groupBy("version").agg(F.collect_set(F.struct("kind", "start", "end")).alias("added")))
     out = found.select("doc_id", "version", "base").join(added, "version", "left")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from examlytics.session import keep, shared_dir
+from examlytics.session import discard, keep, shared_dir
 
-__all__ = ["keep", "shared_dir", "text_batches"]
+__all__ = ["discard", "keep", "shared_dir", "text_batches"]
 
 TEXT_ROWS = "1000"
 

@@ -59,6 +59,18 @@ def test_contexts_lead_to_unseen_identifiers(docs_of):
     assert all(out[200 + i] == "" for i in range(10))
 
 
+def test_contexts_lead_on_until_nothing_new(docs_of):
+    words = ["hotline", "dial", "ring", "fax", "mobile", "pager"]
+    texts = [f"hotline +1 (555) 123-4{i:03d}" for i in range(25)] + [f"the 555 000-0{i:03d}" for i in range(80)]
+    local = {w: [f"555 98{k}-6{i:03d}" for i in range(5)] for k, w in enumerate(words)}
+    for w, following in zip(words, [*words[1:], None]):
+        texts += [f"{w} {n}" for n in local[w]] + [f"{following} {n}" for n in local[w] for _ in range(5) if following]
+    out = {r.doc_id: r.s for r in pii.personal_data(docs_of(list(enumerate(texts)))).select("doc_id", pii.joined("spans").alias("s")).collect()}
+    for i, t in enumerate(texts):
+        at = t.index(" ") + 1
+        assert out[i] == ("" if t.startswith("the ") else f"phone:{at}:{len(t)}"), t
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
