@@ -7,8 +7,10 @@ cut out of the text, the document stays), byte-level BPE (ids of each text).
 Every stage's result is written as Parquet to the shared folder and read again.
 
 Edge cases: an empty table gives an empty result; a null text counts as empty;
-a null doc_id is kept as its own document; of rows that repeat a doc_id one
-stays after the second stage; further columns of documents are passed on.
+a null doc_id is kept as its own document; rows that share a doc_id with
+different texts are documents of their own, of rows that repeat id and text one
+stays after the second stage (ids and texts are compared by a 64-bit hash);
+further columns of documents are passed on.
 """
 
 from __future__ import annotations
@@ -64,17 +66,22 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = keep(minhash.near_duplicates(docs), "classes")
-    others = classes.filter("doc_id <> class_id").select(F.xxhash64("doc_id").alias("key"))
-    again = classes.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    kept = without(docs, others, F.xxhash64(F.col("doc_id").cast("bigint")))
+    """One row of each group stays: the smallest doc_id, among its texts the one of the smallest key."""
+    own = F.when(F.col("doc_id").isNotNull(), row_key())  # a row without an id is never linked
+    classes = keep(minhash.near_duplicates(docs.select(own.alias("doc_id"), "text")), "classes").withColumnRenamed("doc_id", "key")
+    others = classes.filter("key <> class_id").select("key", "class_id")
+    members = keep(others.unionByName(others.select(F.col("class_id").alias("key"), "class_id")).distinct(), "members")
+    ids = docs.select(own.alias("key"), F.col("doc_id").cast("bigint").alias("id"))
+    first = members.join(ids, "key").groupBy("class_id").agg(F.min(F.struct("id", "key")).alias("least")).select("least.key")
+    gone = keep(members.join(first, "key", "left_anti").select("key"), "near-copies")
+    kept = without(docs, gone, row_key())
+    again = keep(classes.filter("key is not null").groupBy("key").count().filter("count > 1").select("key"), "repeated-rows")
     if again.isEmpty():
         return kept
-    # One row of each repeated id: the smallest text.
-    rows = kept.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"), F.struct(*kept.columns).alias("row"))
-    ids = again.select(F.col("doc_id").alias("id"))
-    first = rows.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("text", "row")).alias("least")).select("least.row.*")
-    return rows.join(ids, "id", "left_anti").select("row.*").unionByName(first)
+    # One row of each repeated id and text.
+    rows = kept.select(own.alias("key"), F.struct(*kept.columns).alias("row"))
+    first = rows.join(again, "key", "left_semi").groupBy("key").agg(F.min("row").alias("row")).select("row.*")
+    return rows.join(again, "key", "left_anti").select("row.*").unionByName(first)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -141,6 +141,15 @@ def test_pipeline_stages(spark, tables, tmp_path):
     assert corpus_pipeline.token_stage(spark, cur, d).count() == cur.count()
 
 
+def test_near_duplicates_go_by_row_not_by_id(spark, docs_of):
+    rng = random.Random(3)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(5))
+    rows = [(7, a), (3, a), (7, b), (8, c), (8, d), (9, e), (9, e), (5, a + " end"), (None, a), (None, a), (10, None), (10, "")]
+    got = corpus_pipeline.near_duplicate_stage(spark, docs_of(rows), "")
+    assert got.columns == docs_of(rows).columns
+    assert sorted(((r.doc_id or -1, r.text or "") for r in got.collect())) == sorted([(3, a), (7, b), (8, c), (8, d), (9, e), (-1, a), (-1, a), (10, "")])
+
+
 def test_pipeline_on_empty_documents(spark, tables, tmp_path):
     docs, labels = tables
     d = str(tmp_path)
