@@ -23,8 +23,9 @@ Work on groups of copies:
   reach the threshold: the shingles that no other node of these groups has, and the
   ones not shared with a head that both nodes were compared with, bound the
   similarity of two nodes from above. What is left is compared by registers, and
-  pairs within ``MARGIN`` below the threshold (over four standard deviations)
-  or above are verified. No link between representatives is given up.
+  pairs within ``MARGIN`` below the threshold (over six standard deviations) or
+  above are verified. The bounds give up no link; the registers give up a pair
+  at the threshold with probability 2e-8.
 * The shingles of a head travel in as many copies as it has parts of
   ``FAN`` partners, so a head with very many partners is spread out.
 
@@ -52,7 +53,7 @@ from examlytics.llm.text import NON_SPACE, Words, buffer_of, mix, ngram_hashes,
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 30, 5
-MARGIN = 0.14
+MARGIN = 0.2
 FAN = 500
 NODE_BITS = 1 << 25
 BAND_BITS = 1 << 26

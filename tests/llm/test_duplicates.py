@@ -1,5 +1,6 @@
 """Substring dedup, decontamination and near duplicates against brute force."""
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -176,6 +177,12 @@ def test_registers_estimate_probability_jaccard():
     assert abs((held[0] == held[1]).mean() - minhash.similarity(x, a, y, b)) < 0.04
 
 
+def test_registers_lose_fewer_pairs_than_banding():
+    t, m = minhash.THRESHOLD, minhash.BANDS * minhash.ROWS
+    lost = sum(math.comb(m, i) * t**i * (1 - t) ** (m - i) for i in range(m + 1) if i / m < t - minhash.MARGIN)
+    assert lost < 0.01 * (1 - t**minhash.ROWS) ** minhash.BANDS
+
+
 def test_bound_never_excludes_a_link():
     rng = np.random.default_rng(5)
     for _ in range(300):
