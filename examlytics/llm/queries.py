@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from examlytics.llm import byte_bpe, decontaminate, minhash, neighbours, pii, quality, secret_scan, substring, token_count, toxicity
+from examlytics.llm import alignment, byte_bpe, decontaminate, induced, minhash, neighbours, periodic, pii, quality, secret_scan, substring, token_count, toxicity
 from examlytics.llm.store import text_batches
 from examlytics.llm.training import crc_remainder
 
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 4096
@@ -78,6 +82,41 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, sha256(pii.joined("base", names)).alias("base_sha256"), pii.joined("spans", names).alias("spans"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.align(_table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def planted_repeats(doc_id: int | None, x: np.ndarray) -> np.ndarray:
+    """The contract's words: in one document of ten a tail repeats its first words."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not len(x):
+        return x
+    g = h // 10
+    a = g % len(x)
+    p = 1 + (len(x) - a) // (3 + g % 8)
+    at = np.arange(len(x))
+    return x[np.where(at < a, at, a + (at - a) % p)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic.collapsed(_table(spark, sf_dir, "documents"), planted_repeats)
+    # The exact ratio, by cross products.
+    best = F.expr("""get(array_sort(runs, (l, r) -> CASE
+        WHEN l.length * r.period <> r.length * l.period THEN IF(l.length * r.period > r.length * l.period, -1, 1)
+        WHEN l.start <> r.start THEN IF(l.start < r.start, -1, 1)
+        ELSE CAST(sign(l.period - r.period) AS INT) END), 0)""")
+    listed = F.expr("array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')")
+    return out.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 DIV best.period").alias("exponent_milli"), sha256(listed).alias("runs_sha256"), sha256("collapsed").alias("collapsed_sha256"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = induced.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_personal_data": op1_personal_data,
     "op2_quality": op2_quality,
@@ -89,6 +128,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_secret_scan": op10_secret_scan,
+    "op11_alignment": op11_alignment,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE = {
