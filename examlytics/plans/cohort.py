@@ -368,13 +368,17 @@ def coverage(ca: DataFrame) -> DataFrame:
         one_zero(cohort == UNASSIGNED).alias("unassigned_cohort_attempts"))
 
 
+def has_results() -> Column:
+    """Whether the result looks like a JSON array of objects."""
+    return fx.nonblank(F.col("result")) & F.col("result").startswith("[{")
+
+
 def latest_valid_results(silver: Silver) -> DataFrame:
     """DED9: latest snapshot per attempt among rows whose result looks like a JSON array of objects."""
-    r = F.col("result")
     return dedup_latest(
         silver.testresult.select("assessmenttakerid", "testid", "attemptnumber", "result", "load_date"),
         keys=["assessmenttakerid", "testid", "attemptnumber"],
-        pre_filter=fx.nonblank(r) & r.startswith("[{"))
+        pre_filter=has_results())
 
 
 def question_responses(silver: Silver, mode: str = "PERMISSIVE") -> DataFrame:

@@ -14,7 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from examlytics.plans import cohort, org, seeds
+from examlytics.plans import cohort, cube, org, seeds
 from examlytics.session import discard, keep
 from examlytics.sources.silver import Silver
 
@@ -84,6 +84,16 @@ class Analytics:
         """V23 question performance (read by the view and the question rankings; persisted)."""
         return self._keep(cohort.question_performance(self.spark, self.silver), "question-performance")
 
+    @cached_property
+    def executive_cube(self) -> cube.Cube:
+        """Measures and member sets by month, difficulty and organization (persisted)."""
+        return cube.executive_cube(self.cp, self._keep)
+
+    @cached_property
+    def cohort_cube(self) -> cube.Cube:
+        """Measures, member sets and score sketches by cohort, specialization and month (persisted)."""
+        return cube.cohort_cube(self.ca(), self._keep)
+
     @cached_property
     def responses(self) -> DataFrame:
         """One row per served question of each latest valid attempt (persisted)."""
@@ -94,5 +104,5 @@ class Analytics:
         for df in self._kept:
             discard(df)
         self._kept.clear()
-        for k in ("cp", "_ca", "base", "history", "retake", "qp", "responses"):
+        for k in ("cp", "_ca", "base", "history", "retake", "qp", "responses", "executive_cube", "cohort_cube"):
             self.__dict__.pop(k, None)

@@ -63,14 +63,20 @@ def senior_insights(silver: Silver) -> DataFrame:
         _risk_label(risk).alias("integrity_label"), "load_date")
 
 
+def flag_counts(flags: DataFrame, takers: DataFrame) -> DataFrame:
+    """(f_id, question_flag_count): flags per assessment, through the taker (id, assessment_id) who raised them."""
+    return (flags.join(takers, F.col("assessmenttakerid") == takers.id).groupBy(F.col("assessment_id").alias("f_id"))
+            .agg(F.count(F.lit(1)).alias("question_flag_count")))
+
+
 def assessment_summary(cp: DataFrame, silver: Silver) -> DataFrame:
     """DOC3 / V24 ``assessment_summary`` (``mv_assessment_kpis``): 17 columns per assessment.
 
     Inferred from the column names (no defining SQL exists): takers are
     distinct taker ids, started = with a start time, completed = with a
     finish time, graded = attempts with a score; title, status and planned
-    duration come from the assessment table when it has them; the flag count
-    needs a question-flag table and is NULL without one.
+    duration come from the assessment table when it has them; flags count by
+    the taker who raised them (NULL without a question-flag table).
     """
     a_cols = silver.assessment.columns
     extra = [c for c in ("title", "status", "duration") if c in a_cols]
@@ -86,6 +92,12 @@ def assessment_summary(cp: DataFrame, silver: Silver) -> DataFrame:
         F.max("duration_min").alias("max_duration_minutes"),
         F.sum("violation_count").alias("violation_count"))
     j = g.join(asmt, g.assessment_id == F.col("a.id"), "left")
+    flag_count = F.lit(None)
+    if silver.questionflag is not None:
+        takers = latest_by_id(silver.assessmenttaker, "assessmentid").select("id", F.col("assessmentid").alias("assessment_id"))
+        flags = flag_counts(latest_by_id(silver.questionflag, "questionid", "assessmenttakerid").drop("id"), takers)
+        j = j.join(flags, g.assessment_id == flags.f_id, "left")
+        flag_count = F.coalesce("question_flag_count", F.lit(0))
     col = lambda c: F.col(f"a.{c}") if c in extra else F.lit(None)
     return j.select(
         "assessment_id", col("title").cast("string").alias("assessment_title"),
@@ -95,7 +107,7 @@ def assessment_summary(cp: DataFrame, silver: Silver) -> DataFrame:
         fx.pct("completed_takers", "total_takers").alias("completion_rate_pct"),
         "graded_attempts", "average_score", F.col("average_score").alias("average_percentage"),
         "pass_rate_pct", "average_duration_minutes", "max_duration_minutes", "violation_count",
-        F.lit(None).cast("long").alias("question_flag_count"))
+        flag_count.cast("long").alias("question_flag_count"))
 
 
 def kpi_month_deltas(cp: DataFrame) -> DataFrame:

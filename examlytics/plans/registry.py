@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from examlytics.operators.combine import weighted_mean
 from examlytics.operators.joins import point_lookup
-from examlytics.plans import cohort, documented as doc, marts as m, medallion, org, profile
+from examlytics.plans import cohort, cube, documented as doc, incremental, marts as m, medallion, org, profile
 from examlytics.sources import ingest, lake
-from examlytics.sources.fixtures import question_flags, read_table, skills
+from examlytics.sources.fixtures import read_table, skills
 from examlytics.plans.context import Analytics
 
 ViewFn = Callable[[Analytics], DataFrame]
@@ -104,7 +104,7 @@ QUERIES: dict[str, ViewFn] = {
     "gold_question": lambda a: _gold(a, "test_creation_question", a.silver.question),
     "gold_assessment": lambda a: _gold(a, "test_creation_assessment", a.silver.assessment),
     "gold_assessment_dispatch": lambda a: _gold(a, "test_creation_assessment_dispatch", a.silver.dispatch),
-    "gold_questionflag": lambda a: _gold(a, "test_execution_questionflag", question_flags(read_table(a.spark, a.sf_dir, "lineitem"))),
+    "gold_questionflag": lambda a: _gold(a, "test_execution_questionflag", a.silver.questionflag),
     "gold_skill": lambda a: _gold(a, "test_creation_skill", skills(read_table(a.spark, a.sf_dir, "part"))),
     "weighted_cohort_pass_rate": lambda a: cohort.cohort_specialization_kpis(a.ca()).groupBy("cohort").agg(
         weighted_mean("pass_rate_pct", "attempts").alias("weighted_pass_rate_pct"),
@@ -141,6 +141,21 @@ QUERIES: dict[str, ViewFn] = {
     "cohort_attempt_documented": lambda a: a.ca(force_map=False),
     "coverage_documented": lambda a: cohort.coverage(a.ca(force_map=False)),
     "specialization_kpis_documented": lambda a: cohort.specialization_kpis(a.ca(force_map=False)),
+    # Rolled up from the cubes: exact distinct counts by bitmaps, medians by sketches
+    "monthly_trend_cube": lambda a: cube.monthly_trend(a.executive_cube),
+    "organization_overview_cube": lambda a: cube.organization_overview(a.executive_cube),
+    "cohort_kpis_cube": lambda a: cube.cohort_kpis(a.cohort_cube),
+    "cohort_specialization_kpis_cube": lambda a: cube.cohort_specialization_kpis(a.cohort_cube),
+    "specialization_kpis_cube": lambda a: cube.specialization_kpis(a.cohort_cube),
+    "cohort_progression_cube": lambda a: cube.cohort_progression(a.cohort_cube),
+    # Load by load: bucketed keep-latest states, the refreshed summary, committed batches
+    "incremental_attempts": incremental.attempts,
+    "incremental_valid_results": incremental.valid_results,
+    "incremental_takers": incremental.takers,
+    "incremental_questions": incremental.questions,
+    "incremental_dimensions": incremental.dimensions,
+    "assessment_summary_refreshed": incremental.assessment_summary,
+    "events_committed": incremental.events_committed,
     # Candidate-versus-peer profiles for every candidate
     "profile_summary": lambda a: profile.summary(a.base, hist=a.history),
     "profile_specialization": lambda a: profile.by_specialization(a.history, a.base),

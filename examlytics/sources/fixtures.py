@@ -24,6 +24,11 @@ from examlytics.sources.silver import Silver
 # The two snapshot dates of the derived silver tables.
 OLD_LOAD = "2030-01-01"
 NEW_LOAD = "2030-01-08"
+# Newest load of the tables that were last loaded earlier.
+NEWEST = {"organization": "2030-01-07", "question": "2030-01-06", "test": "2030-01-05", "category": "2030-01-04"}
+
+# Fixed value: an older result with one answered question.
+OLD_RESULT = '[{"questionId":"q-1","score":4,"scored":1,"idleTime":7,"isAnswered":true,"isAnswerCorrect":true}]'
 
 # The level of a test by its priority digit (1 to 5).
 TEST_LEVELS = ("easy", "Beginner", "Intermediate", "Advanced", "hard")
@@ -37,15 +42,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _snapshots(df: DataFrame, keep_old: Column | None, reloaded: Column | None = None) -> DataFrame:
-    """One row per snapshot date; the old one only where ``keep_old``, the new one twice where ``reloaded``."""
-    loads = F.array(F.struct(F.lit(OLD_LOAD).alias("d"), F.lit(0).alias("n")), F.struct(F.lit(NEW_LOAD).alias("d"), F.lit(1).alias("n")),
-                    F.struct(F.lit(NEW_LOAD).alias("d"), F.lit(2).alias("n")))
+def _snapshots(df: DataFrame, keep_old: Column | None, reloaded: Column | None = None, newest: str = NEW_LOAD,
+               changed: dict[str, Column] | None = None, again_changed: dict[str, Column] | None = None) -> DataFrame:
+    """One row per snapshot date; the old one only where ``keep_old``, the new one twice where ``reloaded``.
+
+    ``changed`` gives columns another value in the old snapshot,
+    ``again_changed`` in the second copy of the new one, so that every pick of
+    "the latest" shows in the result.
+    """
+    loads = F.array(F.struct(F.lit(OLD_LOAD).alias("d"), F.lit(0).alias("n")), F.struct(F.lit(newest).alias("d"), F.lit(1).alias("n")),
+                    F.struct(F.lit(newest).alias("d"), F.lit(2).alias("n")))
     out = df.withColumn("__load", F.explode(loads))
     old = F.lit(True) if keep_old is None else keep_old
     again = F.lit(False) if reloaded is None else reloaded
     n = F.col("__load.n")
-    return out.where((n == 1) | ((n == 0) & old) | ((n == 2) & again)).withColumn("load_date", F.col("__load.d")).drop("__load")
+    out = out.where((n == 1) | ((n == 0) & old) | ((n == 2) & again))
+    for at, columns in ((0, changed or {}), (2, again_changed or {})):
+        out = out.withColumns({c: F.when(n == at, v).otherwise(F.col(c)) for c, v in columns.items()})
+    return out.withColumn("load_date", F.col("__load.d")).drop("__load")
 
 
 def _s(x: Column) -> Column:
@@ -122,7 +136,17 @@ def testresult(orders: DataFrame, lineitem: DataFrame | None = None) -> DataFram
         base = base.join(result_json(lineitem), base.o_orderkey == F.col("l_orderkey"), "left").drop("l_orderkey")
     else:
         base = base.withColumn("result", F.lit(None).cast("string"))
-    return _snapshots(base, k % 5 == 0, k % 13 == 0).drop("o_orderkey")
+    key, old_start = F.col("o_orderkey"), F.when(k % 3 == 0, F.lit("1999-01-01T00:00:00.000Z")).otherwise(F.lit("2024-06-01T08:30:00.000Z"))
+    # The newest result is unusable for some sittings whose older one is not.
+    base = base.withColumn("result", F.when(k % 35 == 0, F.lit("[]")).otherwise(F.col("result"))).withColumn("__result", F.when(k % 35 == 0, F.lit(OLD_RESULT)).otherwise(F.col("result")))
+    return _snapshots(base, key % 5 == 0, key % 13 == 0, changed={
+        "starttime": old_start, "testpercentage": (100 - F.col("testpercentage")).cast("int"), "duration": F.col("duration") + 60,
+        "passstatus": F.when(F.col("passstatus") == "PASS", F.lit("fail")).otherwise(F.lit("PASS")),
+        "testwindowviolationcount": F.lit(8).cast("long"), "numberofquestionsfailed": F.lit(0).cast("long"), "result": F.col("__result"),
+    }, again_changed={
+        "finishtime": F.when(key % 2 == 0, F.lit("2030-01-03T00:00:00.000Z")).otherwise(F.lit("2029-12-31T00:00:00.000Z")),
+        "testpercentage": (F.col("testpercentage") + 1).cast("int"), "duration": F.col("duration") + 30,
+    }).drop("o_orderkey", "__result")
 
 
 def assessmenttaker(orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -145,12 +169,15 @@ def assessmenttaker(orders: DataFrame, customer: DataFrame) -> DataFrame:
                     tags.alias("tags"),
                     _shifted_date("since").alias("createdat"),
                     (m % 2 == 0).alias("showresults"), F.lit("").alias("starttime")))
-    return _snapshots(base, m % 4 == 0).drop("m")
+    return _snapshots(base, m % 4 == 0, changed={
+        "email": F.concat(F.lit("old."), _s(m), F.lit("@corp.example")), "assessmentid": F.concat(F.lit("as-"), _s((m + 1) % 50)),
+        "organizationid": F.lit("org-1"), "dispatchid": F.concat(F.lit("d-"), _s((m + 60) % 200)), "tags": F.lit('["2024 Data Batch"]'),
+    }).drop("m")
 
 
 def organization(nation: DataFrame) -> DataFrame:
     base = nation.where(F.col("n_nationkey") != 7)
-    out = _snapshots(base, None)
+    out = _snapshots(base, None, newest=NEWEST["organization"])
     return out.select(
         F.concat(F.lit("org-"), _s(F.col("n_nationkey"))).alias("id"),
         F.concat(F.col("n_name"), F.when(F.col("load_date") == OLD_LOAD, F.lit(" (old)")).otherwise(F.lit("")))
@@ -166,8 +193,8 @@ def test(orders: DataFrame) -> DataFrame:
         F.element_at(F.array(*map(F.lit, TEST_LEVELS)), _priority().cast("int")).alias("difficultylevel"),
         F.concat(F.lit("dom-"), _priority()).alias("domainid"),
         F.concat(F.lit("org-"), _priority()).alias("organizationid"),
-        F.lit("text").alias("description"), F.lit(False).alias("system"),
-        F.lit(NEW_LOAD).alias("load_date")).distinct()
+        F.lit("text").alias("description"), F.lit(False).alias("system")).distinct().transform(lambda t: _snapshots(
+            t, None, newest=NEWEST["test"], changed={"title": F.lit("Renamed"), "difficultylevel": F.lit("Intermediate"), "domainid": F.lit("dom-3")}))
 
 
 def domain(orders: DataFrame) -> DataFrame:
@@ -177,8 +204,8 @@ def domain(orders: DataFrame) -> DataFrame:
             .when(p == "3", F.lit("Aptitude"))
             .when(p == "4", F.lit("AWS_99887766 x"))
             .otherwise(F.lit("Unlisted Domain")))
-    return orders.select(F.concat(F.lit("dom-"), p).alias("id"), name.alias("name"), F.lit(False).alias("system"),
-                         F.lit(NEW_LOAD).alias("load_date")).distinct()
+    return orders.select(F.concat(F.lit("dom-"), p).alias("id"), name.alias("name"), F.lit(False).alias("system")
+                         ).distinct().transform(lambda t: _snapshots(t, None, changed={"name": F.lit("Aptitude")}))
 
 
 def dispatch(orders: DataFrame) -> DataFrame:
@@ -189,7 +216,8 @@ def dispatch(orders: DataFrame) -> DataFrame:
         F.concat(F.lit("d-"), _s(m)).alias("id"), tags.alias("tags"),
         F.when(m >= 100, F.lit("2027-03-01")).alias("commencedate"),
         (m % 2 == 0).alias("showResults"), F.lit("link").alias("dispatchLink"),
-        F.lit("2026-11-05").alias("createdat"), F.lit(NEW_LOAD).alias("load_date")).distinct()
+        F.lit("2026-11-05").alias("createdat")).distinct().transform(lambda t: _snapshots(
+            t, None, changed={"tags": F.lit('["CDC Batch 2023"]'), "commencedate": F.lit("2023-01-01")}))
 
 
 def question(part: DataFrame) -> DataFrame:
@@ -211,15 +239,18 @@ def question(part: DataFrame) -> DataFrame:
         F.when(pk % 2 == 0, F.lit("mcq")).otherwise(F.lit("code")).alias("questiontype"),
         F.col("p_name").alias("questiontitle"),
         text.alias("questiontext"), F.md5(F.col("p_name")).alias("hash"))
-    return _snapshots(base, pk % 2 == 0).drop("p_partkey")
+    return _snapshots(base, pk % 2 == 0, newest=NEWEST["question"], changed={
+        "creator": F.lit("trainer-old"), "status": F.lit("draft"), "calibrationscore": F.lit("1"), "difficultylevel": F.lit("easy"),
+        "categoryid": F.lit("cat-ECONOMY"), "domainid": F.lit("dom-2"), "questiontitle": F.lit("old title"), "questiontext": F.lit("<p>Old</p>"),
+    }).drop("p_partkey")
 
 
 def category(part: DataFrame) -> DataFrame:
     t = F.col("p_type")
     name = (F.when(t == "ECONOMY", F.lit("Node")).when(t == "MEDIUM", F.lit("React 1234567"))
             .when(t == "SMALL", F.lit("Cypress")).otherwise(t))
-    return part.select(F.concat(F.lit("cat-"), t).alias("id"), name.alias("name"), F.lit("about").alias("description"), F.lit(False).alias("system"),
-                       F.lit(NEW_LOAD).alias("load_date")).distinct()
+    return part.select(F.concat(F.lit("cat-"), t).alias("id"), name.alias("name"), F.lit("about").alias("description"), F.lit(False).alias("system")
+                       ).distinct().transform(lambda c: _snapshots(c, None, newest=NEWEST["category"], changed={"name": F.lit("Cypress")}))
 
 
 def assessment(orders: DataFrame) -> DataFrame:
@@ -231,17 +262,20 @@ def assessment(orders: DataFrame) -> DataFrame:
         F.concat(F.lit("Assessment "), _s(m)).alias("title"),
         F.when(m % 3 == 0, F.lit("draft")).otherwise(F.lit("published")).alias("status"),
         F.when(m % 7 != 0, ((m + 1) * 60).cast("long")).alias("duration"),
-        F.lit("read first").alias("instructions"),
-        F.lit(NEW_LOAD).alias("load_date")).distinct()
+        F.lit("read first").alias("instructions")).distinct().transform(lambda a: _snapshots(
+            a, None, changed={"title": F.lit("Untitled"), "status": F.lit("new"), "organizationid": F.lit("org-2"), "isdispatched": F.lit(False)}))
 
 
-def question_flags(lineitem: DataFrame) -> DataFrame:
-    """Flags of questions by sittings (a table only the gold transforms read)."""
-    return (lineitem.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1))
-            .select(F.concat(F.lit("f-"), _s(F.col("l_orderkey"))).alias("id"),
-                    F.concat(F.lit("q-"), _s(F.col("l_partkey"))).alias("questionid"),
-                    F.concat(F.lit("org-"), _s(F.col("l_suppkey") % 25)).alias("organizationid"),
-                    F.lit("text").alias("questiontext"), F.lit(NEW_LOAD).alias("load_date")).distinct())
+def question_flags(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Flags of questions that takers raised; an older snapshot names another taker."""
+    first = (lineitem.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1))
+             .groupBy("l_orderkey").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s")))
+    o = F.col("o_orderkey")
+    flags = first.join(orders, F.col("l_orderkey") == o).select(
+        "l_orderkey", F.concat(F.lit("f-"), _s(o)).alias("id"), F.concat(F.lit("q-"), _s(F.col("p"))).alias("questionid"),
+        _taker(F.col("o_custkey"), o % 3).alias("assessmenttakerid"), F.concat(F.lit("org-"), _s(F.col("s") % 25)).alias("organizationid"),
+        F.lit("text").alias("questiontext"))
+    return _snapshots(flags, F.col("l_orderkey") % 3 == 0, changed={"assessmenttakerid": F.lit("at-1-0")}).drop("l_orderkey")
 
 
 def skills(part: DataFrame) -> DataFrame:
@@ -253,7 +287,7 @@ def skills(part: DataFrame) -> DataFrame:
 
 
 def silver_from_driver(spark: SparkSession, sf_dir: str) -> Silver:
-    """All nine silver tables, derived lazily from ``sf_dir``'s parquet files."""
+    """All silver tables, derived lazily from ``sf_dir``'s parquet files."""
     orders = read_table(spark, sf_dir, "orders")
     return Silver(
         testresult=testresult(orders, read_table(spark, sf_dir, "lineitem")),
@@ -265,4 +299,5 @@ def silver_from_driver(spark: SparkSession, sf_dir: str) -> Silver:
         category=category(read_table(spark, sf_dir, "part")),
         domain=domain(orders),
         organization=organization(read_table(spark, sf_dir, "nation")),
+        questionflag=question_flags(read_table(spark, sf_dir, "lineitem"), orders),
     )

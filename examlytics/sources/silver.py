@@ -1,7 +1,7 @@
 """The silver table bundle every view reads.
 
 Silver tables hold every snapshot of every key (a ``load_date`` per load);
-views deduplicate them. :class:`Silver` names the nine tables the analytics
+views deduplicate them. :class:`Silver` names the tables the analytics
 use. It can be built from a lake (:func:`examlytics.sources.lake.register_silver`)
 or derived from the benchmark tables (:mod:`examlytics.sources.fixtures`).
 """
@@ -23,6 +23,7 @@ SILVER_TABLE_NAMES = {
     "category": "test_creation_category",
     "domain": "test_creation_domain",
     "organization": "user_mgt_organizations",
+    "questionflag": "test_execution_questionflag",
 }
 
 
@@ -37,12 +38,14 @@ class Silver:
     category: DataFrame
     domain: DataFrame
     organization: DataFrame
+    questionflag: DataFrame | None = None  # only the assessment summary reads it
 
     def register(self, spark: SparkSession | None = None) -> None:
         """Expose the tables under their catalog names as temp views."""
         for f in fields(self):
-            getattr(self, f.name).createOrReplaceTempView(SILVER_TABLE_NAMES[f.name])
+            if getattr(self, f.name) is not None:
+                getattr(self, f.name).createOrReplaceTempView(SILVER_TABLE_NAMES[f.name])
 
     @classmethod
     def from_catalog(cls, spark: SparkSession) -> "Silver":
-        return cls(**{k: spark.table(v) for k, v in SILVER_TABLE_NAMES.items()})
+        return cls(**{k: spark.table(v) for k, v in SILVER_TABLE_NAMES.items() if k != "questionflag" or spark.catalog.tableExists(v)})

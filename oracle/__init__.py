@@ -21,3 +21,6 @@ ORACLE.update(_PROFILE)
 from oracle.gold_sql import ORACLE as _GOLD  # noqa: E402
 
 ORACLE.update(_GOLD)
+from oracle.incremental_sql import ORACLE as _INCREMENTAL  # noqa: E402
+
+ORACLE.update(_INCREMENTAL)

@@ -29,7 +29,7 @@ select g.assessment_id, a.title as assessment_title, a.organizationid as organiz
   g.total_takers, g.started_takers, g.completed_takers,
   cast(g.completed_takers as double) / nullif(g.total_takers, 0) * 100 as completion_rate_pct,
   g.graded_attempts, g.average_score, g.average_score as average_percentage, g.pass_rate_pct,
-  g.average_duration_minutes, g.max_duration_minutes, g.violation_count, cast(null as bigint) as question_flag_count
+  g.average_duration_minutes, g.max_duration_minutes, g.violation_count, coalesce(f.raised, 0) as question_flag_count
 from (select assessment_id, count(distinct assessment_taker_id) as total_takers,
         count(distinct case when start_time is not null then assessment_taker_id end) as started_takers,
         count(distinct case when is_complete = 1 then assessment_taker_id end) as completed_takers,
@@ -37,7 +37,10 @@ from (select assessment_id, count(distinct assessment_taker_id) as total_takers,
         avg(duration_min) as average_duration_minutes, max(duration_min) as max_duration_minutes,
         cast(sum(violation_count) as bigint) as violation_count
       from cp group by assessment_id) g
-left join o_as a on g.assessment_id = a.id""", [("o_as", newest("s_assessment", ["organizationid", "title", "status", "duration"]))])
+left join o_as a on g.assessment_id = a.id
+left join (select person.assessmentid, count(*) as raised from o_flag join person on person.id = o_flag.assessmenttakerid group by 1) f
+  on f.assessmentid = g.assessment_id""", [("o_as", newest("s_assessment", ["organizationid", "title", "status", "duration"])),
+                                          ("o_flag", newest("s_questionflag", ["questionid", "assessmenttakerid"]))])
 D["kpi_month_deltas"] = on_cp("""
 select *, avg_score_pct - lag(avg_score_pct) over (order by attempt_month) as avg_score_delta,
   pass_rate_pct - lag(pass_rate_pct) over (order by attempt_month) as pass_rate_delta

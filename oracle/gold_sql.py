@@ -19,7 +19,7 @@ G = {
     "gold_question": latest("s_question", "id, creator, activeversionid, calibrationscore, status, difficultylevel, "
                                           "categoryid, domainid, questiontype, questiontitle"),
     "gold_assessment": latest("s_assessment", "id, isdispatched, title, status, duration / 60 as duration"),
-    "gold_questionflag": latest("s_questionflag", "id, questionid"),
+    "gold_questionflag": latest("s_questionflag", "id, questionid, assessmenttakerid"),
     "gold_skill": latest("s_skill", "id, name"),
     "gold_assessment_dispatch": latest("s_dispatch", "id, tags, commencedate, createdat"),
 }
