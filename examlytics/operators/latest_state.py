@@ -70,7 +70,8 @@ class LatestState:
         load = load.where(self.pre_filter) if self.pre_filter is not None else load
         load = load.withColumn(KEY, key_text(self.keys))
         used = {KEY, *self.keys, *self.order}
-        return dedup_latest(load, keys=[KEY], order=self.order, tiebreak=self._tiebreak([c for c in load.columns if c not in used]))
+        picked = dedup_latest(load, keys=[KEY], order=self.order, tiebreak=self._tiebreak([c for c in load.columns if c not in used]))
+        return picked.repartition(self.buckets, KEY)  # as many partitions as the state, so that the state stays where it is
 
     def _tiebreak(self, others: Sequence[str]) -> list[str]:
         return list(others if self.tiebreak is None else self.tiebreak)
@@ -79,7 +80,7 @@ class LatestState:
         """The next state, with the key column (lazy)."""
         new = self._picked(load)
         if self.table is None:
-            return new.repartition(self.buckets, KEY)
+            return new
         state = self.spark.table(self.table)
         cols = [c for c in state.columns if c != KEY]
         pair = state.select(F.col(KEY).alias("k"), F.struct(*cols).alias("old")).join(

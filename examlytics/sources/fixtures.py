@@ -138,7 +138,7 @@ def testresult(orders: DataFrame, lineitem: DataFrame | None = None) -> DataFram
         base = base.withColumn("result", F.lit(None).cast("string"))
     key, old_start = F.col("o_orderkey"), F.when(k % 3 == 0, F.lit("1999-01-01T00:00:00.000Z")).otherwise(F.lit("2024-06-01T08:30:00.000Z"))
     # The newest result is unusable for some sittings whose older one is not.
-    base = base.withColumn("result", F.when(k % 35 == 0, F.lit("[]")).otherwise(F.col("result"))).withColumn("__result", F.when(k % 35 == 0, F.lit(OLD_RESULT)).otherwise(F.col("result")))
+    base = base.withColumn("result", F.when(k % 35 == 0, F.lit("[]")).otherwise(F.col("result"))).withColumn("__result", F.when((k % 35 == 0) | (k % 25 == 0), F.lit(OLD_RESULT)).otherwise(F.col("result")))
     return _snapshots(base, key % 5 == 0, key % 13 == 0, changed={
         "starttime": old_start, "testpercentage": (100 - F.col("testpercentage")).cast("int"), "duration": F.col("duration") + 60,
         "passstatus": F.when(F.col("passstatus") == "PASS", F.lit("fail")).otherwise(F.lit("PASS")),

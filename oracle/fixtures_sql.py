@@ -42,7 +42,7 @@ select assessmenttakerid, testid, attemptnumber, title,
   testwindowviolationduration, numberofquestions,
   {_old(("numberofquestionsfailed", "cast(0 as bigint)", "numberofquestionsfailed"))},
   numberofquestionsanswered, status, testtakershotcount,
-  case when k%35<>0 then result when n=0 then {_OLD_RESULT} else '[]' end as result,
+  case when n=0 and (k%35=0 or k%25=0) then {_OLD_RESULT} when k%35=0 then '[]' else result end as result,
   load_date
 from (
 select o_orderkey as k, n, case when o_orderkey%41<>5 then 'at-'||cast(o_custkey as string)||'-'||cast(o_orderkey%3 as string) end as assessmenttakerid,
