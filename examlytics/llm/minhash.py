@@ -20,9 +20,10 @@ Work on groups of copies:
 * Then every band group that still holds two components yields the pairs
   between them, each once, not those within one (members outside the group's
   largest component are compared with the others), and only pairs that can
-  reach the threshold: the shingles that no other node of these groups has, and the
-  ones not shared with a head that both nodes were compared with, bound the
-  similarity of two nodes from above. What is left is compared by registers, and
+  reach the threshold: the shingles that no other node of these groups has, and
+  those of a head that only one of two nodes has which were both compared with
+  it (a bit for each shingle of the head), bound the similarity of the two from
+  above. Pairs of a node and its head are known already. What is left is compared by registers, and
   pairs within ``MARGIN`` below the threshold (over six standard deviations) or
   above are verified. The bounds give up no link; the registers give up a pair
   at the threshold with probability 2e-8.
@@ -186,7 +187,11 @@ def _read(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(a, b, similarity, shared): exact similarity of the pairs (a, b), and the number of shingles both have."""
+    """(a, b, similarity, shared, held): exact similarity of the pairs (a, b), and which of a's shingles b has.
+
+    ``shared`` is their number, ``held`` a bit for each of a's shingles, in
+    order, 64 to a word (null if a has several versions).
+    """
     parts = pairs.groupBy(F.col("a").alias("head")).agg(F.ceil(F.count("*") / FAN).alias("parts"))
     salted = pairs.join(parts.withColumnRenamed("head", "a"), "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").alias("part"))
     heads = parts.select(F.col("head").alias("node"), F.col("head").alias("a"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
@@ -205,12 +210,16 @@ def _compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
                     continue
                 own = _read(hashes, counts)
                 s, i = max(((similarity(*h, *own), len(np.intersect1d(h[0], own[0], assume_unique=True))) for h in head), default=(0.0, 0))
-                out.append((a, node, s, float(i)))
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], ["a", "b", "similarity", "shared"])
+                bits = None
+                if len(head) == 1:
+                    flags = np.packbits(np.isin(head[0][0], own[0], assume_unique=True))
+                    bits = np.append(flags, np.zeros(-len(flags) % 8, np.uint8)).view(np.int64)
+                out.append((a, node, s, float(i), bits))
+            types = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], ["a", "b", "similarity", "shared", "held"])
 
     order = rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("node") != F.col("a"))
-    return order.mapInArrow(compare, "a bigint, b bigint, similarity double, shared double")
+    return order.mapInArrow(compare, "a bigint, b bigint, similarity double, shared double, held array<bigint>")
 
 
 def _reach(sets: DataFrame, marks) -> DataFrame:
@@ -246,22 +255,31 @@ def _reach(sets: DataFrame, marks) -> DataFrame:
     return sets.mapInArrow(run, "node bigint, total double, common double, plain boolean")
 
 
-def _possible(threshold: float):
-    """Whether two nodes can reach the threshold, given what each may share at most.
+def _reaches(threshold: float, most_a, most_b):
+    """Whether two nodes can reach the threshold if they share at most the weights ``most_a`` and ``most_b`` of theirs.
 
     With unit weights at most ``i`` shared shingles give i / (|a| + |b| - i).
-    ``i`` is bounded by the common part of either; if both were compared with
-    the same head, also by what each shares with that head plus what each has
-    in common with others beyond it. In general a pair that shares the
-    fractions f and g of its weights has a probability Jaccard similarity of at
-    most 1 / (1/f + 1/g - 1).
+    In general a pair that shares the fractions f and g of its weights has a
+    probability Jaccard similarity of at most 1 / (1/f + 1/g - 1).
+    """
+    i = F.least(most_a, most_b)
+    sets = i * (1 + threshold) >= threshold * (F.col("total_a") + F.col("total_b")) * (1 - 1e-9)
+    general = (i > 0) & (F.col("total_a") / most_a + F.col("total_b") / most_b <= (1 + 1 / threshold) * (1 + 1e-9))
+    return F.coalesce(general & (~(F.col("plain_a") & F.col("plain_b")) | sets), F.lit(True))
+
+
+def _possible(threshold: float):
+    """Whether two nodes that were not compared with each other can reach the threshold, given what each may share at most.
+
+    That is its common part. If both were compared with one head, the head's
+    shingles that only one of the two has are shared by neither.
     """
-    common = F.least("common_a", "common_b")
-    beyond = F.least(F.col("common_a") - F.col("shared_a"), F.col("common_b") - F.col("shared_b"))
-    most = F.when(F.col("head_a") == F.col("head_b"), F.least(common, F.least("shared_a", "shared_b") + beyond)).otherwise(common)
-    sets = most * (1 + threshold) >= threshold * (F.col("total_a") + F.col("total_b")) * (1 - 1e-9)
-    general = F.col("total_a") / F.col("common_a") + F.col("total_b") / F.col("common_b") <= (1 + 1 / threshold) * (1 + 1e-9)
-    return general & (~(F.col("plain_a") & F.col("plain_b")) | sets)
+    common_a, common_b = F.col("common_a"), F.col("common_b")
+    both = F.aggregate(F.zip_with("held_a", "held_b", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda n, k: n + k)
+    one_head = F.coalesce((F.col("head_a") == F.col("head_b")) & F.col("held_a").isNotNull() & F.col("held_b").isNotNull(), F.lit(False))
+    tight = _reaches(threshold, common_a - (F.col("shared_a") - both), common_b - (F.col("shared_b") - both))
+    compared = F.coalesce(F.col("head_a") == F.col("node_b"), F.lit(False)) | F.coalesce(F.col("head_b") == F.col("node_a"), F.lit(False))
+    return ~compared & _reaches(threshold, common_a, common_b) & F.when(one_head, tight).otherwise(True)
 
 
 def _crowded_bands(reps: DataFrame) -> DataFrame:
@@ -327,7 +345,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     labelled = keep(shared.select("band", "node").join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root")), "labelled-bands")
     split = labelled.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("band")
     mixed = keep(labelled.join(split, "band", "left_semi"), "mixed-bands")
-    star = compared.select(F.col("b").alias("node"), F.col("a").alias("head"), "shared")
+    star = compared.select(F.col("b").alias("node"), F.col("a").alias("head"), "shared", "held")
     nodes = mixed.select("node").distinct()
     with_heads = nodes.unionByName(nodes.join(star, "node").select(F.col("head").alias("node"))).distinct()
     reach = _reach(sets, _marks_of(with_heads)).filter(F.col("common") >= threshold * F.col("total") * (1 - 1e-9))
@@ -336,12 +354,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     sizes = able.groupBy("band", "root").count()
     major = sizes.groupBy("band").agg(F.max(F.struct("count", "root")).alias("most")).select("band", F.col("most.root").alias("major"))
     able = keep(able.join(major, "band").withColumn("minor", F.col("root") != F.col("major")).drop("major"), "able-bands")
-    fields = ("node", "root", "total", "common", "plain", "head", "shared", "minor", "bands")
+    fields = ("node", "root", "total", "common", "plain", "head", "shared", "held", "minor", "bands")
     side = lambda x: able.select("band", *[F.col(c).alias(f"{c}_{x}") for c in fields])
     once = ~F.col("minor_b") | (F.col("node_a") < F.col("node_b"))
     first_band = F.col("band") == F.array_min(F.array_intersect("bands_a", "bands_b"))  # a pair shows at its smallest common band only
     across = (side("a").filter("minor_a").join(side("b"), "band")
-              .filter((F.col("root_a") != F.col("root_b")) & once & F.coalesce(_possible(threshold), F.lit(True)) & first_band)
+              .filter((F.col("root_a") != F.col("root_b")) & once & _possible(threshold) & first_band)
               .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct())
     with_a = across.join(known.select(F.col("node").alias("a"), F.col("registers").alias("ra")), "a")
     with_both = with_a.join(known.select(F.col("node").alias("b"), F.col("registers").alias("rb")), "b").select("a", "b", "ra", "rb")
