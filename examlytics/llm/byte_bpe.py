@@ -7,9 +7,10 @@ The pattern never looks back, so two chunks that share a pre-token boundary
 agree from there on: each seam is the first boundary in the overlap that both
 chunks have (the last pre-token of a chunk may be cut short and does not
 count). Between seams the pieces are encoded, again in parallel, and the ids of
-a document are joined in order. If a seam is missing (one pre-token longer
-than the overlap), the rest of that document is encoded in one piece.
-Decoding concatenates the bytes of the ids.
+a document are joined in order. Where a seam is missing (one pre-token longer
+than the overlap) the piece goes on to the next seam; whether that one is a
+boundary of the piece as well is checked when the piece is pre-tokenised, and
+only a document where it is not is encoded in one piece. Decoding concatenates the bytes of the ids.
 
 Scale: only texts over ``chunk`` characters are shuffled, and only whole ids of
 one document ever meet in one row. The memo of distinct pieces is bounded.
@@ -116,22 +117,17 @@ def _edges(chunks: DataFrame, ranks_path: str, pattern: str, chunk: int) -> Data
 def _seams(edges: DataFrame, chunk: int) -> DataFrame:
     """Per chunk: its seam (offset where it starts to count) and the region it belongs to.
 
-    A region is one chunk, or a chunk and all later ones from a missing seam on.
+    A region is one chunk, or several where seams between them are missing.
     """
 
     def stitch(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("idx")
-        tails, out, serial = None, [], None
+        tails, region, out = None, 0, []
         for r in rows.itertuples():
-            seam = 0
-            if r.idx and serial is None:
-                both = set(x - chunk for x in tails) & set(r.head)
-                if both:
-                    seam = min(both)
-                else:
-                    serial = r.idx - 1
-            region = r.idx if serial is None else serial
-            out.append((r.doc, r.idx, region, seam))
+            both = {x - chunk for x in tails} & set(r.head) if r.idx else {0}
+            if both:
+                region = r.idx
+            out.append((r.doc, r.idx, region, min(both, default=0)))
             tails = r.tail
         return pd.DataFrame(out, columns=["doc", "idx", "region", "seam"])
 
@@ -147,7 +143,7 @@ def _encode_long(long: DataFrame, ranks_path: str, pattern: str, chunk: int, ove
     def encode(rows: pd.DataFrame) -> pd.DataFrame:
         bpe = model(ranks_path, pattern)
         rows = rows.sort_values("idx")
-        pieces = []
+        pieces, beyond = [], ""
         for r in rows.itertuples():
             begin = int(r.seam) if r.idx == r.region else 0
             if pd.isna(r.stop):
@@ -155,9 +151,19 @@ def _encode_long(long: DataFrame, ranks_path: str, pattern: str, chunk: int, ove
             else:
                 stop = chunk + (int(r.stop) if r.next_region != r.region else 0)
                 pieces.append(r.text[begin:stop])
-        return pd.DataFrame({"doc": [rows.doc.iloc[0]], "doc_id": [rows.doc_id.iloc[0]], "region": [rows.region.iloc[0]], "ids": [bpe.encode("".join(pieces))]}).astype({"doc_id": "Int64"})
-
-    regions = joined.groupBy("doc", "region").applyInPandas(encode, "doc string, doc_id bigint, region int, ids binary")
+                beyond = r.text[stop:] if r.next_region != r.region else ""
+        piece = "".join(pieces)
+        met = len(rows) == 1 or not beyond or len(piece) in bpe.boundaries(piece + beyond)
+        return pd.DataFrame({"doc": [rows.doc.iloc[0]], "doc_id": [rows.doc_id.iloc[0]], "region": [rows.region.iloc[0]], "ids": [bpe.encode(piece) if met else b""],
+                             "met": [met]}).astype({"doc_id": "Int64"})
+
+    kind = "doc string, doc_id bigint, region int, ids binary, met boolean"
+    regions = keep(joined.groupBy("doc", "region").applyInPandas(encode, kind), "regions")
+    unmet = regions.filter("not met").select("doc").distinct()
+    # No region of theirs is known to start at a boundary.
+    whole = chunks.join(unmet, "doc", "left_semi").select("doc", "doc_id", "idx", "last", "text", F.lit(0).alias("region"), F.lit(0).alias("seam"),
+                                                          F.when(~F.col("last"), F.lit(0)).alias("stop"), F.when(~F.col("last"), F.lit(0)).alias("next_region"))
+    regions = regions.join(unmet, "doc", "left_anti").unionByName(whole.groupBy("doc", "region").applyInPandas(encode, kind))
     return (regions.groupBy("doc").agg(F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list(F.struct("region", "ids"))).alias("r"))
             .select("doc_id", F.expr("aggregate(r.ids, cast('' as binary), (a, x) -> concat(a, x))").alias("ids")))
 

@@ -81,3 +81,20 @@ def test_count_tokens_edges(docs_of):
     model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     assert out == sorted((i or 0, len((t or "").encode()), len(model.encode(t or ""))) for i, t in rows)
     assert token_count.count_tokens(docs_of([]).filter(F.lit(False)), MODEL).count() == 0
+
+
+def test_encoding_goes_on_after_a_missing_seam(docs_of, library, monkeypatch):
+    """One pre-token longer than chunk and overlap: only the gap is one piece, the chunks after it are pieces again."""
+    text = " ".join(f"word{i}" for i in range(60)) + " " + "x" * 450 + " " + " ".join(f"more{i}" for i in range(120))
+    sizes = []
+    monkeypatch.setattr(byte_bpe, "keep", lambda df, name, keep=byte_bpe.keep: sizes.append(df.count()) or keep(df, name) if name == "regions" else keep(df, name))
+    out = byte_bpe.encode(docs_of([(1, text), (2, "y" * 900)]), RANKS, P.PATTERN, chunk=100, overlap=30).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in out} == {1: library.encode_ordinary(text), 2: library.encode_ordinary("y" * 900)}
+    assert sizes and sizes[0] >= len(text) // 100 - 4
+
+
+@pytest.mark.parametrize("n", [byte_bpe.CHUNK - 1, byte_bpe.CHUNK, byte_bpe.CHUNK + 1])
+def test_both_sides_of_the_chunk_size(docs_of, library, n):
+    text = ("Prose, 12 words;\n" * (n // 17 + 1))[:n]
+    row = byte_bpe.encode(docs_of([(1, text)]), RANKS, P.PATTERN).first()
+    assert np.frombuffer(row.ids, "<u4").tolist() == library.encode_ordinary(text)
