@@ -12,10 +12,15 @@ uniformly random over that alphabet:
 * lag-1 serial correlation of the symbol numbers.
 
 Fisher's method joins the three p-values. Short strings have little power, so
-decisions are made within strata of encoding and length: the
-Benjamini-Hochberg procedure, at level ``FDR``, rules out strings as not random,
-and strings that are not ruled out and carry at least ``LEAST_BITS`` bits are
-reported.
+decisions are made within strata of encoding and length, and two errors are
+bounded there at level ``FDR``. Random strings that are dismissed: the
+Benjamini-Hochberg procedure, with "is random" as null, rules strings out.
+Strings that are reported and not random: the p-values of random strings are
+uniform, so those above one half tell how many random strings the stratum has;
+the cut is put where all others would make up at most that share of what is
+reported. (Both are estimates where a stratum holds few strings.) Strings past
+both cuts that carry at least ``LEAST_BITS`` bits are reported; a candidate has
+at least the symbols that can carry them.
 
 Scale: scanning is narrow. The procedure needs ranks of p-values: they are
 counted in a fixed number of bins per stratum (a p-value counts as its bin's
@@ -41,10 +46,12 @@ ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(
 ACCESS = r"AKIA[A-Z0-9]{14,}"  # the whole run or nothing, as with + and a length check
 HEX = r"[0-9a-f]{16,}"
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]{20})(?=[A-Za-z+/_-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_-]+={0,2}"
 FDR = 0.05
 LEAST_BITS = 80.0
+LEAST_SYMBOLS = 14  # of base 64 carry LEAST_BITS
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_-]{14})(?=[A-Za-z+/_-]*(?:[0-9]|[a-z][A-Z]))[A-Za-z0-9+/_-]+={0,2}"
 BINS = 400  # of -log10 p, a twentieth each
+HALF = 6  # the bins below hold p above one half
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 _ALPHABETS = (
@@ -154,13 +161,31 @@ def not_random(tested: DataFrame, fdr: float = FDR) -> DataFrame:
     return ranked.filter(upper_p * F.col("m") <= fdr * F.col("rank")).groupBy("encoding", "stratum").agg(F.min("bin").alias("ruled_out"))
 
 
+def reported(tested: DataFrame, fdr: float = FDR) -> DataFrame:
+    """(encoding, stratum, cut): the p-value bin below which at most the share ``fdr`` of the strings is not random, per stratum.
+
+    ``m`` random strings are expected to have m * (1 - p) p-values above p; what
+    is above p beyond that number counts as not random. ``m`` is taken one
+    standard error above its estimate, so that chance alone cuts little.
+    """
+    counts = tested.groupBy("encoding", "stratum", "bin").agg(F.count("*").alias("c"))  # BINS rows per stratum at most
+    upper = Window.partitionBy("encoding", "stratum").orderBy("bin")
+    whole = Window.partitionBy("encoding", "stratum")
+    share = lambda bins: 1 - F.pow(F.lit(10.0), -bins / 20)
+    seen = F.sum(F.when(F.col("bin") < HALF, F.col("c")).otherwise(0)).over(whole)
+    random = (seen + F.sqrt(seen)) / share(F.lit(HALF))
+    ranked = counts.withColumn("random", random).withColumn("above", F.sum("c").over(upper)).withColumn("next", F.col("bin") + 1)
+    return ranked.filter(F.col("above") - F.col("random") * share(F.col("next")) <= fdr * F.col("above")).groupBy("encoding", "stratum").agg(F.max("next").alias("cut"))
+
+
 def random_strings(found: DataFrame, fdr: float = FDR, least_bits: float = LEAST_BITS) -> DataFrame:
     """(version, added): the candidates of scanned rows that the tests take for secrets."""
     candidates = found.select("version", F.explode("candidates").alias("c")).select("version", "c.start", "c.end", "c.token").distinct()
     bin_of = F.least(F.lit(BINS), F.floor(-20 * F.log10(F.greatest(F.col("p"), F.lit(1e-30))))).cast("int")
     tested = keep(battery(candidates).withColumn("bin", bin_of).withColumn("stratum", F.floor(F.log2("symbols") * 2).cast("int")), "randomness")
-    limits = not_random(tested, fdr)
-    passed = tested.join(limits, ["encoding", "stratum"], "left").filter((F.col("ruled_out").isNull() | (F.col("bin") < F.col("ruled_out"))) & (F.col("bits") >= least_bits))
+    strata = ["encoding", "stratum"]
+    limits = reported(tested, fdr).join(not_random(tested, fdr), strata, "left").select(*strata, F.least("cut", F.coalesce("ruled_out", "cut")).alias("limit"))
+    passed = tested.join(limits, strata).filter((F.col("bin") < F.col("limit")) & (F.col("bits") >= least_bits))
     return passed.groupBy("version").agg(F.collect_list(F.struct("start", F.lit(len(KINDS)).alias("kind"), "end")).alias("added"))
 
 

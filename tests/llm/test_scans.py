@@ -1,4 +1,5 @@
 """Personal data and secrets against plain regular expressions and planted cases."""
+import math
 import random
 import re
 
@@ -112,7 +113,6 @@ def test_secrets_edges_and_redaction(spark, docs_of):
 def test_benjamini_hochberg(spark):
     rng = random.Random(2)
     p = [rng.random() ** rng.choice([1, 1, 6]) for _ in range(800)]
-    import math
     bins = [min(secret_scan.BINS, math.floor(-20 * math.log10(max(x, 1e-30)))) for x in p]
     frame = spark.createDataFrame([("hex", 1, b) for b in bins], "encoding string, stratum int, bin int")
     limit = secret_scan.not_random(frame, 0.1).first().ruled_out
@@ -124,3 +124,55 @@ def test_benjamini_hochberg(spark):
 def test_secret_scan_plan_is_native(docs_of):
     plan = secret_scan.scan(docs_of([(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_share_of_other_strings_among_the_reported(spark):
+    """Random strings have uniform p-values; the others sit below one half. At most about the level of them is reported."""
+    rng = random.Random(4)
+    p = [(True, rng.random()) for _ in range(3000)] + [(False, rng.random() ** 3 / 2) for _ in range(1500)]
+    bins = [(r, min(secret_scan.BINS, math.floor(-20 * math.log10(x)))) for r, x in p]
+    frame = spark.createDataFrame([("hex", 8, b) for _, b in bins], "encoding string, stratum int, bin int")
+    cut = secret_scan.reported(frame, 0.1).first().cut
+    kept = [r for r, b in bins if b < cut]
+    assert len(kept) > 1500 and kept.count(False) / len(kept) <= 0.15
+    # The cut from the definition.
+    seen = sum(b < secret_scan.HALF for _, b in bins)
+    m = (seen + math.sqrt(seen)) / (1 - 10 ** (-secret_scan.HALF / 20))
+    fits = [b + 1 for _, b in bins if (above := sum(x <= b for _, x in bins)) - m * (1 - 10 ** (-(b + 1) / 20)) <= 0.1 * above]
+    assert cut == max(fits)
+
+
+def test_candidates_have_the_symbols_that_carry_the_bits():
+    assert math.ceil(secret_scan.LEAST_BITS / 6) == secret_scan.LEAST_SYMBOLS and f"{{{secret_scan.LEAST_SYMBOLS}}}" in secret_scan.CANDIDATE
+
+
+def test_battery_against_plain_statistics(spark):
+    """p-values of the three tests and Fisher's join, computed plainly."""
+    import numpy as np
+
+    rng = random.Random(8)
+    tokens = ["".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (14, 32, 40)] + ["aaaaaaaaaaaaaaaa1b", "Zm9vYmFyQmF6cXV4MTIz", "ABCDEFGHIJKLMNOP2345", "abcDEF123ghiJKL456"]
+    got = {r.token: r for r in secret_scan.battery(spark.createDataFrame([(t,) for t in tokens], "token string")).collect()}
+    tail = lambda z: 1 / (1 + math.exp(1.5976 * max(-12, min(12, z)) + 0.070566 * max(-12, min(12, z)) ** 3))
+    for t in tokens:
+        symbols = {name: s for name, _, s in secret_scan._ALPHABETS}[got[t].encoding]
+        shown = t.lower() if got[t].encoding in ("hex", "base36") else t
+        x = np.array([symbols.index(c) for c in shown], float)
+        n, k, d = len(x), len(symbols), 6 if got[t].encoding == "base32" else 10
+        squares = sum(np.sum(x == v) ** 2 for v in set(x.tolist()))
+        df = k - 1
+        z_chi = (((squares * k / n - n) / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+        low = x < d
+        n1, switches = low.sum(), (low[1:] != low[:-1]).sum()
+        pairs = 2 * n1 * (n - n1)
+        if pairs:
+            spread = pairs * (pairs - n) / (n * n * (n - 1))
+            p_runs = min(1, 2 * tail(abs((switches - pairs / n) / math.sqrt(spread)))) if spread > 0 else 1.0
+        else:
+            p_runs = (1 - d / k if n1 == 0 else d / k) ** n
+        square = n * (x * x).sum() - x.sum() ** 2
+        z_serial = ((n * (x * np.roll(x, -1)).sum() - x.sum() ** 2) / square + 1 / (n - 1)) / (n / ((n - 1) * math.sqrt(n - 2))) if square > 0 else None
+        p_serial = min(1, 2 * tail(abs(z_serial))) if z_serial is not None else 0.0
+        half = -sum(math.log(max(p, 1e-15)) for p in (tail(z_chi), p_runs, p_serial))
+        assert got[t].p == pytest.approx(min(1, math.exp(-half) * (1 + half + half * half / 2)), rel=1e-6)
+        assert got[t].symbols == n and got[t].bits == pytest.approx(n * math.log2(k))
