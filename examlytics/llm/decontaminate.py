@@ -36,6 +36,8 @@ from examlytics.llm.store import keep
 from examlytics.llm.text import ASCII_LOWER, LOWER_ALNUM, Words, buffer_of, slices
 
 WINDOW = 13
+#: Words that may stand between the words of a proximity match.
+SLOP = 2
 SHARD_BYTES = 1 << 20
 BLOCK_BYTES = 4 << 20
 
@@ -144,8 +146,15 @@ class Shard:
     def near(self, lists: np.ndarray, width: int, doc_starts: np.ndarray) -> list[int]:
         """Texts in which all terms lie within ``width`` words, found around the rarest term."""
         need, times = np.unique(lists, return_counts=True)
-        size = self.starts[need + 1] - self.starts[need]
-        anchors = self.postings(need[np.argmin(size)])
+        order = np.argsort(self.starts[need + 1] - self.starts[need], kind="stable")
+        need, times = need[order], times[order]
+        anchors = self.postings(need[0])
+        for t, n in zip(need[1:], times[1:], strict=True):  # each term often enough on either side, the rarest first
+            if not len(anchors):
+                return []
+            have = self.postings(t)
+            around = np.searchsorted(have, anchors + width) - np.searchsorted(have, anchors - width, "right")
+            anchors = anchors[around >= n]
         out = []
         for a, d in zip(anchors.tolist(), (np.searchsorted(doc_starts, anchors, "right") - 1).tolist(), strict=True):
             for left in range(max(a - width + 1, int(doc_starts[d])), a + 1):
@@ -261,14 +270,16 @@ def covered(spans: str = "spans"):
     return F.aggregate(F.col(spans), start, step, lambda acc: acc["n"])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per document: hit words, matching items, and the verdict.
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = SLOP) -> DataFrame:
+    """One row per document: hit words, matching items, items near by, and the verdict.
 
     A document is contaminated if it has hit words and they make up at least
-    a twentieth of its words.
+    a twentieth of its words. ``near`` are the items with a window whose words
+    stand in any order within ``slop`` more words than it has; they do not
+    enter the verdict.
     """
     index = keep(build_index(docs), "positional-index")
-    hits = search(index, benchmark, window=window)
+    hits = search(index, benchmark, window=window, slop=slop)
     return (hits.withColumn("n_hit", covered())
-            .select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items", "spans",
+            .select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), "items", "near", "spans",
                     ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated")))

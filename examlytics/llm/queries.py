@@ -72,7 +72,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    return out.select("doc_id", "n_words", "n_hit", "n_items", sha256(F.array_join(F.array_sort("items"), ",")).alias("items_sha256"), "contaminated")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", sha256(F.array_join(F.array_sort("items"), ",")).alias("items_sha256"), "contaminated", F.size("near").cast("bigint").alias("n_near"))
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,9 +160,16 @@ ks AS (SELECT DISTINCT k FROM bw),
 pos AS (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, ks WHERE len(w) >= k),
 occ AS (SELECT pos.doc_id, pos.i, pos.k, bw.item_id FROM pos JOIN bw ON bw.k = pos.k AND bw.s = array_to_string(pos.w[pos.i:pos.i + pos.k - 1], ' ')),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM occ) GROUP BY doc_id),
-it AS (SELECT doc_id, count(*) AS n, string_agg(s, ',' ORDER BY s) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM occ) GROUP BY doc_id)
-SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(it.n, 0)::BIGINT AS n_items,
+it AS (SELECT doc_id, count(*) AS n, string_agg(s, ',' ORDER BY s) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM occ) GROUP BY doc_id),
+place AS (SELECT doc_id, w, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS p FROM d),
+often AS (SELECT t, count(*) AS n FROM place GROUP BY t),
+win AS (SELECT item_id, w[i:i + k - 1] AS ws, k FROM (SELECT item_id, w, least(13, len(w)) AS k, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i FROM b WHERE len(w) > 0)),
+rare AS (SELECT item_id, ws, k, arg_min(t, n) AS t FROM (SELECT *, unnest(ws) AS t FROM win) JOIN often USING (t) GROUP BY ALL HAVING count(*) = k),
+around AS (SELECT doc_id, item_id, ws, w[unnest(range(greatest(1, p - k - 1), p + 1)):p + k + 1][:k + 2] AS x FROM rare JOIN place USING (t)),
+nr AS (SELECT doc_id, count(DISTINCT item_id) AS n FROM around
+  WHERE list_has_all(x, ws) AND len([y FOR y IN ws IF len([z FOR z IN x IF z = y]) < len([z FOR z IN ws IF z = y])]) = 0 GROUP BY doc_id)
+SELECT d.doc_id, coalesce(nr.n, 0) AS n_near, len(d.w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(it.n, 0)::BIGINT AS n_items,
        sha256(coalesce(it.s, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(d.w) AS contaminated
-FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id) LEFT JOIN nr USING (doc_id)
 """,
 }

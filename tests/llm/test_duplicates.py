@@ -223,3 +223,55 @@ def test_kept_text_digest(docs_of):
     from examlytics.llm.queries import sha256
     out = substring.remove_repeats(docs_of([(1, "é  b\nc")])).select(sha256("kept").alias("h")).first()
     assert out.h == hashlib.sha256("é b c".encode()).hexdigest()
+
+
+def near_by_force(words, window, slop):
+    """Whether some stretch of len(window) + slop words holds the window's words as often as the window."""
+    need, width = Counter(window), len(window) + slop
+    return any(not need - Counter(words[s:s + width]) for s in range(len(words)))
+
+
+def test_proximity_against_brute_force(spark, docs_of):
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(12)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 60)))) for i in range(60)] + [(99, None)]
+    items = [(f"i{k}", " ".join(rng.choice(vocabulary) for _ in range(rng.choice([1, 3, 5, 9])))) for k in range(25)] + [("none", " ")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for block_bytes in (1 << 20, 40):
+        got = {r.doc_id: set(r.near) for r in decontaminate.search(decontaminate.build_index(docs_of(rows), shard_bytes=300), bench, window=4, slop=2, block_bytes=block_bytes).collect()}
+        for i, t in rows:
+            words = (t or "").split()
+            windows = {k: [w[s:s + 4] for s in range(max(1, len(w) - 3))] for k, x in items if (w := x.split())}
+            assert got[i] == {k for k, ws in windows.items() if any(near_by_force(words, w, 2) for w in ws)}
+
+
+def one_group(n, seed=3):
+    """Copies of one text with 0 to 7 changed words each, among unrelated texts."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.randint(0, 7)):
+            words[rng.randrange(len(words))] = f"e{i}-{rng.randrange(1000)}"
+        rows.append((i, " ".join(words)))
+    return rows + [(10_000 + i, " ".join(f"u{i}-{k}" for k in range(30))) for i in range(20)]
+
+
+def test_verified_pairs_grow_with_the_group(docs_of, monkeypatch):
+    """Not with its square: heads, and bounds by a head's shingles, leave few pairs to compare."""
+    compared, counts = minhash._compared, []
+
+    def counted(sets, pairs):
+        counts[-1].append(pairs.count())
+        return compared(sets, pairs)
+
+    monkeypatch.setattr(minhash, "_compared", counted)
+    for n in (60, 240):
+        counts.append([])
+        rows = one_group(n)
+        got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs_of(rows)).collect()}
+        if n == 60:
+            assert got == classes_by_force(rows)
+    small, large = map(sum, counts)
+    assert large <= 6 * small and large <= 3 * 240
