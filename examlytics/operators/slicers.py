@@ -34,6 +34,27 @@ def slicer_options(df: DataFrame, col: str, **upstream: Iterable | None) -> Data
             .orderBy(c.asc()))
 
 
+def cascading_options(df: DataFrame, chain: Sequence[str], **selections: Iterable | None) -> DataFrame:
+    """F5 for a whole chain of slicers from one scan: (slicer, value, rows, rows_under_others).
+
+    ``rows`` counts a value's rows under the selections before it in the chain
+    (only values that have some are options), ``rows_under_others`` those under
+    all selections but its own. Rows are first counted per combination of
+    values; each combination then carries one bit per selection it meets, and
+    a mask per slicer tells which counts it enters.
+    """
+    combos = df.groupBy(*chain).agg(F.count(F.lit(1)).alias("__n"))
+    chosen = [list(selections.get(c) or []) for c in chain]
+    bits = sum((F.when(F.col(c).isin(v) if v else F.lit(True), F.lit(1 << i)).otherwise(F.lit(0)) for i, (c, v) in enumerate(zip(chain, chosen, strict=True))), F.lit(0))
+    every = (1 << len(chain)) - 1
+    entries = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("slicer"), F.col(c).cast("string").alias("value"), F.lit((1 << i) - 1).alias("before"),
+                                 F.lit(every ^ (1 << i)).alias("others")) for i, c in enumerate(chain)])
+    rows = combos.withColumn("__bits", bits).select("__n", "__bits", F.explode(entries).alias("e")).where(F.col("e.value").isNotNull() & (F.col("e.value") != ""))
+    under = lambda mask: F.sum(F.when(F.col("__bits").bitwiseAND(F.col(mask)) == F.col(mask), F.col("__n")).otherwise(F.lit(0)))
+    return (rows.groupBy("e.slicer", "e.value").agg(under("e.before").alias("rows"), under("e.others").alias("rows_under_others"))
+            .where(F.col("rows") > 0).select("slicer", "value", "rows", "rows_under_others"))
+
+
 def min_group_size(df: DataFrame, count_col: str, minimum: int) -> DataFrame:
     """F8: post-aggregation threshold."""
     return df.where(F.col(count_col) >= minimum)

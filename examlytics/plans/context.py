@@ -10,12 +10,14 @@ re-reads files. :meth:`release` deletes the tables.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from examlytics.plans import cohort, cube, org, seeds
-from examlytics.session import discard, keep
+from examlytics.session import discard, keep, shared_dir
+from examlytics.sources.lake import write_lookup
 from examlytics.sources.silver import Silver
 
 
@@ -84,6 +86,15 @@ class Analytics:
         """V23 question performance (read by the view and the question rankings; persisted)."""
         return self._keep(cohort.question_performance(self.spark, self.silver), "question-performance")
 
+    @cached_property
+    def lookups(self) -> DataFrame:
+        """V1 laid out for lookups by e-mail and by (taker, test, attempt) (persisted)."""
+        if not self.persist:
+            return self.cp
+        out = write_lookup(self.cp, f"{shared_dir(self.spark)}/lookups-{uuid.uuid4().hex}", ["email"], ["assessment_taker_id", "test_id"])
+        self._kept.append(out)
+        return out
+
     @cached_property
     def executive_cube(self) -> cube.Cube:
         """Measures and member sets by month, difficulty and organization (persisted)."""
@@ -104,5 +115,5 @@ class Analytics:
         for df in self._kept:
             discard(df)
         self._kept.clear()
-        for k in ("cp", "_ca", "base", "history", "retake", "qp", "responses", "executive_cube", "cohort_cube"):
+        for k in ("cp", "_ca", "base", "history", "retake", "qp", "responses", "executive_cube", "cohort_cube", "lookups"):
             self.__dict__.pop(k, None)

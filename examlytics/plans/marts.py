@@ -159,7 +159,13 @@ def _sheet_order() -> Column:
                     F.coalesce("test_id", F.lit("")), F.coalesce("assessment_taker_id", F.lit("")))
 
 
-def candidate_history(cp: DataFrame, email: str) -> tuple[DataFrame, DataFrame]:
+def busiest_email(cp: DataFrame) -> Column:
+    """The e-mail with the most attempts (of several, the last by text), as a scalar subquery."""
+    n = cp.where(F.col("email").isNotNull()).groupBy("email").agg(F.count(F.lit(1)).alias("n"))
+    return n.agg(F.max(F.struct("n", "email"))["email"]).scalar()
+
+
+def candidate_history(cp: DataFrame, email: str | Column) -> tuple[DataFrame, DataFrame]:
     """M9: (KPIs, attempt list newest first) for one e-mail."""
     h = cp.where(F.col("email") == email)
     kpis = h.agg(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from examlytics.operators.combine import weighted_mean
 from examlytics.operators.joins import point_lookup
+from examlytics.operators.slicers import cascading_options
 from examlytics.plans import cohort, cube, documented as doc, incremental, marts as m, medallion, org, profile
 from examlytics.sources import ingest, lake
 from examlytics.sources.fixtures import read_table, skills
@@ -156,6 +157,11 @@ QUERIES: dict[str, ViewFn] = {
     "incremental_dimensions": incremental.dimensions,
     "assessment_summary_refreshed": incremental.assessment_summary,
     "events_committed": incremental.events_committed,
+    # Point lookups on the clustered copy, and all option lists of a slicer chain from one scan
+    "candidate_history_kpis": lambda a: m.candidate_history(a.lookups, m.busiest_email(a.cp))[0],
+    "candidate_history_attempts": lambda a: m.candidate_history(a.lookups, m.busiest_email(a.cp))[1],
+    "attempt_lookup_clustered": lambda a: point_lookup(a.lookups, order_by=["start_time_raw"], assessment_taker_id=LOOKED_UP[0], test_id=LOOKED_UP[1], attempt_number=1),
+    "cascading_slicers": lambda a: cascading_options(a.ca(), ["attempt_year", "cohort", "specialization"], attempt_year=["2025", "2026"], cohort=["2025 CDC", "2025 NSP"]),
     # Candidate-versus-peer profiles for every candidate
     "profile_summary": lambda a: profile.summary(a.base, hist=a.history),
     "profile_specialization": lambda a: profile.by_specialization(a.history, a.base),
@@ -166,6 +172,9 @@ QUERIES: dict[str, ViewFn] = {
     "profile_timeline": lambda a: profile.timeline(a.history),
 }
 
+# Fixed value: the sitting that the clustered lookup fetches.
+LOOKED_UP = ("at-1-0", "t-10")
+
 # Fixed value: reference clock of the freshness alarm query.
 FRESHNESS_NOW = "2030-01-09 12:00:00"
 

@@ -56,8 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
     if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="examlytics-shared-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    spark.sparkContext.setCheckpointDir(path)
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:

@@ -86,6 +86,21 @@ def write_bronze(df: DataFrame, root: str, table: str, date: str) -> str:
     return f"{path}/date={date}"
 
 
+def write_lookup(df: DataFrame, path: str, cluster: Sequence[str], bloom: Sequence[str] = (), row_group_bytes: int = 1 << 23) -> DataFrame:
+    """A copy laid out for point lookups; returns it as read back.
+
+    Rows are hashed and sorted by ``cluster``, so equal keys are neighbours and
+    a row group spans few of them; each ``bloom`` column gets Parquet bloom
+    filters, so a lookup by another key skips the row groups without it. Both
+    work through plain equality filters: no index has to be named by a reader.
+    """
+    w = df.repartition(*cluster).sortWithinPartitions(*cluster).write.option("parquet.block.size", row_group_bytes)
+    for c in dict.fromkeys([*cluster, *bloom]):
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    w.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_dataset(spark: SparkSession, root: str, name: str, legacy_prefixes: Sequence[str] = (),
                  schema: StructType | None = None) -> DataFrame:
     """SRC10: a gold dataset (all partitions); legacy locations tried in order;

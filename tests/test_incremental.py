@@ -182,3 +182,41 @@ def test_median_sketches_keep_their_rank_bound(spark):
         x = sorted(v for a, _, v in data if a == g)
         rank = sum(v <= got[g] for v in x) / len(x)
         assert abs(rank - 0.5) <= 2.296 / k ** 0.9021
+
+
+def rows_scanned(df):
+    """Rows that the scans of an executed plan put out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.nodeName() else plan
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_lookups_open_few_row_groups(spark, tmp_path):
+    """A lookup by the clustering key, and one by a bloom-filtered key that lies all over, read a small share of the rows."""
+    from examlytics.sources.lake import write_lookup
+    n = 200_000
+    df = spark.range(n).select(F.concat(F.lit("user."), F.col("id") % 5000).alias("email"), F.md5(F.col("id").cast("string")).alias("taker"), F.col("id").alias("n"))
+    copy = write_lookup(df, str(tmp_path / "copy"), ["email"], ["taker"], row_group_bytes=1 << 16)
+    assert copy.count() == n and copy.columns == df.columns
+    by_email, taker = copy.where("email = 'user.77'"), df.where("n = 4242").first().taker
+    by_taker = copy.where(F.col("taker") == taker)
+    assert sorted(r.n for r in by_email.collect()) == list(range(77, n, 5000)) and [r.n for r in by_taker.collect()] == [4242]
+    assert rows_scanned(by_email) < n / 5 and rows_scanned(by_taker) < n / 5
+
+
+def test_option_lists_of_a_chain_come_from_one_scan(spark, tmp_path):
+    from examlytics.operators.slicers import cascading_options, slicer_options
+    rng = random.Random(6)
+    rows = [(rng.choice(["24", "25", "", None]), rng.choice(["a", "b", "c"]), rng.choice(["x", "y", "z", None])) for _ in range(300)]
+    spark.createDataFrame(rows, "year string, cohort string, spec string").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    picked = {"year": ["25"], "cohort": ["a", "b"]}
+    got = cascading_options(df, ["year", "cohort", "spec"], **picked)
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    table = {(r.slicer, r.value): (r.rows, r.rows_under_others) for r in got.collect()}
+    for c, upstream in (("year", {}), ("cohort", {"year": picked["year"]}), ("spec", picked)):
+        assert sorted(v for s, v in table if s == c) == [r[0] for r in slicer_options(df, c, **upstream).collect()]
+    assert table["year", "24"] == (sum(r[0] == "24" for r in rows), sum(r[0] == "24" and r[1] in "ab" for r in rows))
+    assert table["spec", "x"][0] == sum(r[0] == "25" and r[1] in "ab" and r[2] == "x" for r in rows)
