@@ -20,9 +20,10 @@ Scale:
    string that shares its minimiser with no other one and does not hold it
    twice needs no sorting.
 3. If the distinct strings of one minimiser exceed ``bucket_bytes`` (many
-   different surroundings of one passage), they are cut again by a longer gram
-   into strings of other minimisers, up to the whole window, where one bucket
-   is one string. So a shard's size does not follow a hot key's.
+   different surroundings of one line or passage), they are cut again by a
+   longer gram, and again only strings of repeated minimisers go on, up to the
+   whole window, where one bucket is one string. So a shard's size does not
+   follow a hot key's.
 4. Found ranges join the texts by SHA-256; copies have the same ranges.
 
 Long texts are handled in overlapping chunks of ``CHUNK`` bytes, and strings
@@ -52,7 +53,7 @@ from examlytics.llm.text import buffer_of, mix, slices
 WINDOW = 400
 GRAMS = (32, 200, 320)
 FILTER_BITS = 1 << 26
-BUCKET_BYTES = 1 << 26
+BUCKET_BYTES = 1 << 21
 CHUNK = 1 << 19
 LONGEST = 1024
 PLACE_BITS = 20
@@ -147,33 +148,38 @@ def buffer_of_binary(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0]: off[-1]] if data is not None else np.zeros(0, np.uint8), off - off[0]
 
 
-def _minimisers(rows: DataFrame, window: int, gram: int) -> DataFrame:
+def _minimisers(rows: DataFrame, column: str, window: int, gram: int) -> DataFrame:
     """(mh, n): minimisers and how often they occur, per slice; twice at least where a run may repeat itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            for buf, off, _, _ in _pieces(b, "text", window):
+        for b in slices(batches, column):
+            for buf, off, _, _ in _pieces(b, column, window):
                 value, _, _, inner = strings(buf, off, window, gram)
                 mh, of = np.unique(value, return_inverse=True)
                 n = np.bincount(of, 1 + inner, len(mh)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(mh.view(np.int64)), pa.array(n)], ["mh", "n"])
 
-    return rows.select("text").mapInArrow(run, "mh bigint, n bigint")
+    return rows.select(column).mapInArrow(run, "mh bigint, n bigint")
+
+
+def _marks(rows: DataFrame, column: str, window: int, gram: int, filter_bits: int):
+    """A broadcast bitmap of fixed size of the minimisers that occur twice."""
+    twice = _minimisers(rows, column, window, gram).groupBy("mh").agg(F.sum("n").alias("n")).filter("n > 1")
+    return rows.sparkSession.sparkContext.broadcast(bitmap(twice, filter_bits, "mh"))
 
 
 FOUND = "owner binary, start bigint, mh bigint, key binary, packed binary, inner boolean, n bigint"
 
 
-def _strings(rows: DataFrame, column: str, window: int, gram: int, marks=None) -> DataFrame:
-    """The strings of all rows (owner, ``column``, n) with their place; only those of marked minimisers, if marks are given."""
+def _strings(rows: DataFrame, column: str, window: int, gram: int, marks) -> DataFrame:
+    """The strings of all rows (owner, ``column``, n) with their place, if their minimiser is marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, column):
             for buf, off, row, byte in _pieces(b, column, window):
                 value, begin, many, inner = strings(buf, off, window, gram)
-                if marks is not None:
-                    own = marked(marks.value, value)
-                    value, begin, many, inner = value[own], begin[own], many[own], inner[own]
+                own = marked(marks.value, value)
+                value, begin, many, inner = value[own], begin[own], many[own], inner[own]
                 which, begin, many = _cut(begin, many)
                 raw = buf.tobytes()
                 packed = [raw[s:e] for s, e in zip(begin.tolist(), (begin + many + window - 1).tolist(), strict=True)]
@@ -252,7 +258,7 @@ def _sorted_shards(distinct: DataFrame, window: int, memory: int, base: int) ->
     return distinct.repartition("mh").sortWithinPartitions("mh").mapInArrow(run, "key binary, s bigint, e bigint")
 
 
-def _hits(found: DataFrame, window: int, grams: tuple[int, ...], bucket_bytes: int, memory: int, base: int) -> DataFrame:
+def _hits(found: DataFrame, window: int, grams: tuple[int, ...], filter_bits: int, bucket_bytes: int, memory: int, base: int) -> DataFrame:
     """(key, s, e) of all strings; buckets that are too large are cut again by the next gram."""
     distinct = keep(found.groupBy("mh", "key", "packed").agg(F.sum("n").alias("n"), F.max("inner").alias("inner")), "suffix-strings")
     if not grams:
@@ -261,21 +267,22 @@ def _hits(found: DataFrame, window: int, grams: tuple[int, ...], bucket_bytes: i
     if large.isEmpty():
         return _sorted_shards(distinct, window, memory, base)
     hits = _sorted_shards(distinct.join(large, "mh", "left_anti"), window, memory, base)
-    again = keep(_strings(distinct.join(large, "mh", "left_semi").select(F.col("key").alias("owner"), "packed", "n"), "packed", window, grams[0]), "longer-grams")
-    deeper = keep(_hits(again, window, grams[1:], bucket_bytes, memory, base), "deeper-hits")
-    return hits.unionByName(again.select("owner", "start", "key").join(deeper, "key").select(
-        F.col("owner").alias("key"), (F.col("start") + F.col("s")).alias("s"), (F.col("start") + F.col("e")).alias("e")))
+    crowd = keep(distinct.join(large, "mh", "left_semi").select(F.col("key").alias("owner"), "packed", "n"), "crowded-strings")
+    whole = crowd.filter("n > 1").select(F.col("owner").alias("key"), F.lit(0).cast("bigint").alias("s"), F.octet_length("packed").cast("bigint").alias("e"))
+    once = crowd.withColumn("n", F.lit(1).cast("bigint"))
+    again = keep(_strings(once, "packed", window, grams[0], _marks(once, "packed", window, grams[0], filter_bits)), "longer-grams")
+    deeper = keep(_hits(again, window, grams[1:], filter_bits, bucket_bytes, memory, base), "deeper-hits")
+    inside = again.select("owner", "start", "key").join(deeper, "key").select(
+        F.col("owner").alias("key"), (F.col("start") + F.col("s")).alias("s"), (F.col("start") + F.col("e")).alias("e"))
+    return hits.unionByName(whole).unionByName(inside)
 
 
 def repeated_ranges(rows: DataFrame, window: int = WINDOW, grams: tuple[int, ...] = GRAMS, filter_bits: int = FILTER_BITS,
                     bucket_bytes: int = BUCKET_BYTES, memory: int = induction.MEMORY, base: int = induction.BASE) -> DataFrame:
     """(owner, ranges): byte ranges [s, e) to remove from the texts of each owner (their SHA-256)."""
-    spark = rows.sparkSession
     rows = rows.filter(F.octet_length("text") >= window).withColumn("n", F.lit(1).cast("bigint"))
-    twice = _minimisers(rows, window, grams[0]).groupBy("mh").agg(F.sum("n").alias("n")).filter("n > 1")
-    marks = spark.sparkContext.broadcast(bitmap(twice, filter_bits, "mh"))
-    found = keep(_strings(rows, "text", window, grams[0], marks), "suffix-occurrences")
-    hits = keep(_hits(found, window, (*grams[1:], window), bucket_bytes, memory, base), "suffix-hits")
+    found = keep(_strings(rows, "text", window, grams[0], _marks(rows, "text", window, grams[0], filter_bits)), "suffix-occurrences")
+    hits = keep(_hits(found, window, (*grams[1:], window), filter_bits, bucket_bytes, memory, base), "suffix-hits")
     places = found.select("owner", "start", "key").distinct().join(hits, "key")
     ranges = (places.select("owner", (F.col("start") + F.col("s")).alias("s"), (F.col("start") + F.col("e")).alias("e"))
               .groupBy("owner").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("ranges")))
