@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from examlytics.plans.seeds import norm_join
+from examlytics.session import stored_bytes
 
 
 def join_on_norm_key(df: DataFrame, seed: DataFrame, name_col: str, prefix: str = "cw") -> DataFrame:
@@ -40,6 +41,31 @@ def point_lookup(df: DataFrame, order_by: Sequence[str] = (), **keys: object) ->
     return rows.orderBy(*[F.col(c).desc_nulls_last() for c in order_by], *[F.col(c).asc_nulls_last() for c in rest]).limit(1)
 
 
+#: Stored (compressed) size up to which a kept dimension is broadcast.
+BROADCAST_BYTES = 8 << 20
+
+
+def as_planned(df: DataFrame, name: str) -> DataFrame:
+    """A dimension left to the plan (nothing is written; see :class:`SizedDimensions`)."""
+    return df
+
+
+class SizedDimensions:
+    """Keeps deduplicated dimensions as tables and broadcasts those whose stored size is at most ``limit``.
+
+    A fact side then meets a small dimension where it lies; a larger one is
+    joined by shuffle, as without the hint. The size is read from the files, so
+    the decision rests on a measured bound and not on an estimate.
+    """
+
+    def __init__(self, writer: Callable[[DataFrame, str], DataFrame], limit: int = BROADCAST_BYTES):
+        self.writer, self.limit = writer, limit
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        kept = self.writer(df, name)
+        return F.broadcast(kept) if stored_bytes(kept) <= self.limit else kept
+
+
 NULL_PARTS = 4096
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from examlytics.functions import scalar as fx
 from examlytics.operators.combine import grouped_with_distinct
 from examlytics.operators.dedup import dedup_latest
-from examlytics.operators.joins import spread_nulls
+from examlytics.operators.joins import as_planned, spread_nulls
 from examlytics.operators.nested import explode_tags, parse_results, parse_tags, result_fields
 from examlytics.operators.windows import rank_over
 from examlytics.plans import seeds
@@ -70,7 +70,7 @@ def taker_cohort(spark: SparkSession, silver: Silver, vocabulary: DataFrame | No
 
 def cohort_attempt(spark: SparkSession, cp: DataFrame, silver: Silver, algo: str = "xxh64",
                    force_map: bool = True, crosswalk: DataFrame | None = None,
-                   vocabulary: DataFrame | None = None) -> DataFrame:
+                   vocabulary: DataFrame | None = None, dimension=as_planned) -> DataFrame:
     """V14 ``cohort_specialization_attempt`` (``force_map=False``: DOC16).
 
     ``force_map=True`` (the deployed rule): every attempt gets one of the
@@ -80,14 +80,15 @@ def cohort_attempt(spark: SparkSession, cp: DataFrame, silver: Silver, algo: str
     ``force_map=False`` (the documented rule): unmatched domains are
     ``Unmapped``, excluded domains are flagged, takers without a program tag
     are in cohort ``Unassigned`` and the center is derived.
-    ``algo`` picks the bucket hash: ``xxh64`` (the source's) or ``md5``.
+    ``algo`` picks the bucket hash: ``xxh64`` (the source's) or ``md5``;
+    ``dimension`` is as in :func:`examlytics.plans.org.candidate_performance`.
     """
     cw = crosswalk if crosswalk is not None else seeds.specialization_crosswalk(spark)
     tc = taker_cohort(spark, silver, vocabulary).select(
         F.col("taker_id").alias("tc_taker_id"), F.col("program_type").alias("tc_program_type"),
         F.col("cohort_year").alias("tc_cohort_year"), F.col("assessment_type").alias("tc_assessment_type"))
-    test = latest_by_id(silver.test, "domainid").select(F.col("id").alias("te_id"), "domainid")
-    dom = latest_by_id(silver.domain, "name").select(F.col("id").alias("d_id"), F.col("name").alias("domain_name"))
+    test = dimension(latest_by_id(silver.test, "domainid").select(F.col("id").alias("te_id"), "domainid"), "test-domains")
+    dom = dimension(latest_by_id(silver.domain, "name").select(F.col("id").alias("d_id"), F.col("name").alias("domain_name")), "domains")
     keyed = cp.withColumn("__taker", spread_nulls("assessment_taker_id", "test_id", "attempt_number"))
     j = (keyed.join(tc, F.col("__taker") == F.col("tc_taker_id"), "left")
          .join(test, F.col("test_id") == F.col("te_id"), "left")
@@ -329,15 +330,29 @@ def _ranked(cand: DataFrame, part: str, rank_name: str, pct_name: str) -> DataFr
     return r.select(*cand.columns, rank.cast("int").alias(rank_name), pr.alias(pct_name))
 
 
-def candidate_cohort_performance(ca: DataFrame) -> DataFrame:
-    """V19 ``candidate_cohort_performance``: one row per person per cohort, ranked."""
-    cand = _candidates(ca, ["cohort", "cohort_year", "program_type", "center", "email"])
+def cohort_candidates(ca: DataFrame) -> DataFrame:
+    """Measures per person and cohort (V19 before ranking)."""
+    return _candidates(ca, ["cohort", "cohort_year", "program_type", "center", "email"])
+
+
+def specialization_candidates(ca: DataFrame) -> DataFrame:
+    """Measures per person and specialization (V20 before ranking)."""
+    return _candidates(ca.where(~F.col("is_excluded")), ["specialization", "center", "email"])
+
+
+def candidate_cohort_performance(ca: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
+    """V19 ``candidate_cohort_performance``: one row per person per cohort, ranked.
+
+    The ranking reads the measures several times: ``candidates`` may be
+    :func:`cohort_candidates` kept as a table.
+    """
+    cand = candidates if candidates is not None else cohort_candidates(ca)
     return _ranked(cand, "cohort", "rank_in_cohort", "percentile_in_cohort")
 
 
-def candidate_specialization_performance(ca: DataFrame) -> DataFrame:
-    """V20 ``candidate_specialization_performance``."""
-    cand = _candidates(ca.where(~F.col("is_excluded")), ["specialization", "center", "email"])
+def candidate_specialization_performance(ca: DataFrame, candidates: DataFrame | None = None) -> DataFrame:
+    """V20 ``candidate_specialization_performance``; ``candidates`` as in V19."""
+    cand = candidates if candidates is not None else specialization_candidates(ca)
     return _ranked(cand, "specialization", "rank_in_specialization", "percentile_in_specialization")
 
 

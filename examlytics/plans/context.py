@@ -15,6 +15,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from examlytics.operators.joins import SizedDimensions, as_planned
 from examlytics.plans import cohort, cube, org, seeds
 from examlytics.session import discard, keep, shared_dir
 from examlytics.sources.lake import write_lookup
@@ -51,7 +52,12 @@ class Analytics:
     def cp(self) -> DataFrame:
         """V1 candidate performance (persisted)."""
         kw = {"internal_pattern": self.internal_pattern} if self.internal_pattern else {}
-        return self._keep(org.candidate_performance(self.silver, **kw), "candidate-performance")
+        return self._keep(org.candidate_performance(self.silver, dimension=self.dimension, **kw), "candidate-performance")
+
+    @property
+    def dimension(self):
+        """How bases join deduplicated dimensions: kept, and broadcast if their stored size allows."""
+        return SizedDimensions(self._keep) if self.persist else as_planned
 
     def ca(self, algo: str | None = None, force_map: bool = True) -> DataFrame:
         """V14 cohort attempt for a bucket hash (default: the context's) and mapping mode (persisted)."""
@@ -61,9 +67,17 @@ class Analytics:
         if key not in cache:
             crosswalk = seeds.specialization_crosswalk(self.spark, internal_domains=self.internal_domains)
             cache[key] = self._keep(cohort.cohort_attempt(self.spark, self.cp, self.silver, algo=algo,
-                                                          force_map=force_map, crosswalk=crosswalk), "cohort-attempt")
+                                                          force_map=force_map, crosswalk=crosswalk, dimension=self.dimension), "cohort-attempt")
         return cache[key]
 
+    def candidates(self, by: str, force_map: bool = True) -> DataFrame:
+        """Measures per person and ``cohort`` or ``specialization`` (read several times by their rankings; persisted)."""
+        cache = self.__dict__.setdefault("_candidates", {})
+        if (by, force_map) not in cache:
+            make = {"cohort": cohort.cohort_candidates, "specialization": cohort.specialization_candidates}[by]
+            cache[by, force_map] = self._keep(make(self.ca(force_map=force_map)), f"{by}-candidates")
+        return cache[by, force_map]
+
     @cached_property
     def base(self) -> DataFrame:
         """M1 training working set (V14, with ``seq``; persisted, read by ~40 marts)."""
@@ -115,5 +129,5 @@ class Analytics:
         for df in self._kept:
             discard(df)
         self._kept.clear()
-        for k in ("cp", "_ca", "base", "history", "retake", "qp", "responses", "executive_cube", "cohort_cube", "lookups"):
+        for k in ("cp", "_ca", "_candidates", "base", "history", "retake", "qp", "responses", "executive_cube", "cohort_cube", "lookups"):
             self.__dict__.pop(k, None)

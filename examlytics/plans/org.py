@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from examlytics.functions import scalar as fx
 from examlytics.operators.dedup import dedup_latest
 from examlytics.operators.combine import one_row
-from examlytics.operators.joins import spread_nulls
+from examlytics.operators.joins import as_planned, spread_nulls
 from examlytics.operators.windows import sequence_over
 from examlytics.sources.silver import Silver
 
@@ -71,16 +71,20 @@ def latest_by_id(df: DataFrame, *cols: str) -> DataFrame:
 def candidate_performance(silver: Silver, internal_pattern: str = fx.INTERNAL_DOMAIN_PATTERN,
                           advanced: float = fx.PROFICIENCY_ADVANCED_MIN,
                           intermediate: float = fx.PROFICIENCY_INTERMEDIATE_MIN,
-                          year_from: str = fx.YEAR_WINDOW[0], year_to: str = fx.YEAR_WINDOW[1]) -> DataFrame:
-    """V1 ``trainer_candidate_performance``: one row per deduplicated attempt, 30 columns."""
+                          year_from: str = fx.YEAR_WINDOW[0], year_to: str = fx.YEAR_WINDOW[1], dimension=as_planned) -> DataFrame:
+    """V1 ``trainer_candidate_performance``: one row per deduplicated attempt, 30 columns.
+
+    ``dimension`` may keep the deduplicated tests and organizations and
+    broadcast the small ones (:class:`examlytics.operators.joins.SizedDimensions`).
+    """
     tr = latest_attempts(silver, year_from, year_to)
     taker = latest_by_id(silver.assessmenttaker, "email", "assessmentid", "organizationid").select(
         F.col("id").alias("at_id"), F.col("email").alias("at_email"), F.col("assessmentid").alias("at_assessmentid"),
         F.col("organizationid").alias("at_organizationid"))
-    test = latest_by_id(silver.test, "title", "difficultylevel").select(
-        F.col("id").alias("t_id"), F.col("difficultylevel").alias("t_difficulty"))
-    org = latest_by_id(silver.organization, "organizationname").select(
-        F.col("id").alias("o_id"), F.col("organizationname").alias("o_name"))
+    test = dimension(latest_by_id(silver.test, "title", "difficultylevel").select(
+        F.col("id").alias("t_id"), F.col("difficultylevel").alias("t_difficulty")), "tests")
+    org = dimension(latest_by_id(silver.organization, "organizationname").select(
+        F.col("id").alias("o_id"), F.col("organizationname").alias("o_name")), "organizations")
 
     # One pass: the taker join and the attempt count share one partitioning,
     # by the taker id with its NULLs dealt out (they match no taker). A NULL

@@ -42,8 +42,8 @@ QUERIES: dict[str, ViewFn] = {
     "cohort_specialization_kpis": lambda a: cohort.cohort_specialization_kpis(a.ca()),
     "specialization_kpis": lambda a: cohort.specialization_kpis(a.ca()),
     "specialization_tech_kpis": lambda a: cohort.specialization_tech_kpis(a.spark, a.silver),
-    "candidate_cohort_performance": lambda a: cohort.candidate_cohort_performance(a.ca()),
-    "candidate_specialization_performance": lambda a: cohort.candidate_specialization_performance(a.ca()),
+    "candidate_cohort_performance": lambda a: cohort.candidate_cohort_performance(a.ca(), a.candidates("cohort")),
+    "candidate_specialization_performance": lambda a: cohort.candidate_specialization_performance(a.ca(), a.candidates("specialization")),
     "cohort_progression": lambda a: cohort.cohort_progression(a.ca()),
     "coverage": lambda a: cohort.coverage(a.ca()),
     "question_performance": lambda a: a.qp,
@@ -190,7 +190,7 @@ def _gold(a: Analytics, dataset: str, snapshots: DataFrame) -> DataFrame:
 def _service_center(a: Analytics) -> tuple[DataFrame, DataFrame]:
     """DOC19 under the documented mapping, where 'Unmapped' exists."""
     ca = a.ca(force_map=False)
-    return doc.service_center(cohort.candidate_specialization_performance(ca), cohort.specialization_tech_kpis(a.spark, a.silver))
+    return doc.service_center(cohort.candidate_specialization_performance(ca, a.candidates("specialization", force_map=False)), cohort.specialization_tech_kpis(a.spark, a.silver))
 
 
 def _attempt_detail(a: Analytics) -> DataFrame:

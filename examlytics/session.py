@@ -71,6 +71,15 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the folders that hold a table made by :func:`keep`."""
+    spark, total = df.sparkSession, 0
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        total += path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return total
+
+
 def discard(df: DataFrame) -> None:
     """Delete the folder of a table made by :func:`keep` (nothing else is touched)."""
     spark = df.sparkSession

@@ -71,3 +71,31 @@ def test_no_cartesian_products(spark):
         assert "CartesianProduct" not in text, name
         # the only nested-loop join allowed is the keyword match against the 7-row seed
         assert text.count("BroadcastNestedLoopJoin") <= text.count("keyword"), name
+
+
+def test_small_dimensions_do_not_shuffle_the_facts(spark):
+    """V1 with kept dimensions: broadcast below the bound, by shuffle beyond it, with the same rows."""
+    from examlytics.operators.joins import SizedDimensions
+    from examlytics.session import keep
+    silver = silver_from_driver(spark, SF_SMOKE)
+    plans = {}
+    for limit in (8 << 20, 0):
+        df = org.candidate_performance(silver, dimension=SizedDimensions(keep, limit))
+        plans[limit] = df._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(str(tuple(r)) for r in df.collect())
+        assert limit or rows == first
+        first = rows
+    by_dimension = re.compile(r"Exchange hashpartitioning\((testid|at_organizationid)#")
+    assert not by_dimension.search(plans[8 << 20]) and plans[8 << 20].count("BroadcastHashJoin") == 2
+    assert by_dimension.search(plans[0]) and "BroadcastHashJoin" not in plans[0]
+
+
+def test_rankings_of_candidates_aggregate_the_facts_once(analytics):
+    """V19 and V20 read the kept measures, not the attempts, and shuffle less than half as often as on the facts."""
+    from examlytics.plans import cohort
+    for by, view in (("cohort", cohort.candidate_cohort_performance), ("specialization", cohort.candidate_specialization_performance)):
+        count = lambda df: len(re.findall(r"\bExchange ", df._jdf.queryExecution().executedPlan().toString()))
+        kept, plain = view(analytics.ca(), analytics.candidates(by)), view(analytics.ca())
+        assert count(kept) * 2 < count(plain)
+        facts = {f.rsplit("/", 1)[0] for f in analytics.ca().inputFiles()}
+        assert not facts & {f.rsplit("/", 1)[0] for f in kept.inputFiles()}
