@@ -11,8 +11,8 @@ and the text; B is a sentencepiece model, which adds that space itself. Neither
 library merges across a single space between two visible characters (A's
 pre-tokens never go from visible to white, B has no piece with the space mark
 after another character; this is checked when the model is loaded), so texts
-are cut there, and every part is given to the libraries and aligned once per
-worker (a bounded memo). A vocabulary without that property gets whole texts.
+are cut there, and the parts that a worker does not remember (a bounded memo) are given
+to the libraries, in batches, and aligned. A vocabulary without that property gets whole texts.
 
 Scale: ``groupBy`` on the text merges copies in each map task first, so a text
 that a third of all rows share arrives once per task. Of two linked tokens one
@@ -32,8 +32,10 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,12 +43,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from examlytics.llm.merging import Memo
 from examlytics.llm.store import discard, keep
 from examlytics.llm.text import slices
 
 MARK = "▁"
 PIECE = 1 << 20
+#: Parts in each of the two generations that a worker remembers, and the longest of them in characters.
+MEMO, LONGEST = 300_000, 48
 #: Bits of a B id in a pair key; A's id is above them.
 SHIFT = 32
 
@@ -76,25 +79,43 @@ class Aligner:
         self.a_bytes = [bytes(byte[c] for c in self.a.id_to_token(i)) if set(self.a.id_to_token(i)) <= byte.keys() else self.a.id_to_token(i).encode() for i in range(self.a.get_vocab_size())]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         self.b_bytes = [bytes([int(m[1], 16)]) if (m := BYTE.fullmatch(p)) else p.replace(MARK, " ").encode() for p in pieces]
+        self.a_size, self.b_size = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
         self.parted = not any(MARK in p.lstrip(MARK) for p in pieces)
-        self.memo = Memo(self.align)
+        self.number = list(map(str, range(max(len(self.a_bytes), len(self.b_bytes)))))
+        self.young: dict[str, tuple | None] = {}
+        self.old: dict[str, tuple | None] = {}
 
-    def align(self, part: str) -> tuple[int, int, int, str, bytes] | None:
-        """n_a, n_b, n_groups, the groups and the linked pairs' keys; None if a tokeniser changes the bytes."""
-        a = self.a.encode(" " + part, add_special_tokens=False).ids
-        b = self.b.encode(part)
+    def _aligned(self, part: str, a: list[int], b: list[int]) -> tuple[int, int, int, str, bytes] | None:
+        """n_a, n_b, n_groups, the groups and the linked pairs' keys of a tokenised part; None if a tokeniser changed the bytes."""
         raw = b" " + part.encode()
-        a_raw, b_raw = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_raw) != raw or b"".join(b_raw) != raw:
+        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
             return None
-        a_end, b_end = np.cumsum([len(t) for t in a_raw]), np.cumsum([len(t) for t in b_raw])
-        _, i, j = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
-        links = np.array(a, np.int64)[i] << SHIFT | np.array(b, np.int64)[j]
-        groups, x, y = [], 0, 0
-        for p, q in zip((i + 1).tolist(), (j + 1).tolist(), strict=True):
-            groups.append(f"{','.join(map(str, a[x:p]))}|{','.join(map(str, b[y:q]))}")
-            x, y = p, q
-        return len(a), len(b), len(i), ";".join(groups), links.tobytes()
+        a_size, b_size, number, groups, links = self.a_size, self.b_size, self.number.__getitem__, [], []
+        i = j = x = y = a_end = b_end = 0
+        while i < len(a):
+            a_end += a_size[a[i]]
+            i += 1
+            while b_end < a_end:
+                b_end += b_size[b[j]]
+                j += 1
+            if a_end == b_end:
+                groups.append(",".join(map(number, a[x:i])) + "|" + ",".join(map(number, b[y:j])))
+                links.append(a[i - 1] << SHIFT | b[j - 1])
+                x, y = i, j
+        return len(a), len(b), len(groups), ";".join(groups), struct.pack(f"{len(links)}q", *links)
+
+    def known(self, parts: set[str]) -> dict[str, tuple | None]:
+        """The alignments of parts, remembered or made; of two generations the older is forgotten when the younger is full."""
+        own = {p: self.young[p] for p in parts & self.young.keys()}
+        again = {p: self.old[p] for p in (parts - own.keys()) & self.old.keys()}
+        new = list(parts - own.keys() - again.keys())
+        encoded = self.a.encode_batch([" " + p for p in new], add_special_tokens=False)
+        made = {p: self._aligned(p, a.ids, b) for p, a, b in zip(new, encoded, self.b.encode(new, num_threads=1), strict=True)}
+        if len(self.young) + len(again) + len(made) > MEMO:
+            self.young, self.old = {}, self.young
+        self.young |= again
+        self.young |= {p: m for p, m in made.items() if len(p) <= LONGEST}
+        return own | again | made
 
     def parts(self, text: str) -> Iterator[list[str]]:
         """A text cut at its single spaces, some parts at a time."""
@@ -108,20 +129,20 @@ class Aligner:
             yield BETWEEN.split(text[at:end])
             at = end + 1
 
-    def text(self, text: str | None, say) -> tuple[int, int, int, bytes] | None:
-        """n_a, n_b, n_groups and pair keys of a text; ``say`` gets its groups in order. None: the text has no tokens."""
-        n_a = n_b = n = 0
-        links, before = [], ""
-        for parts in self.parts(text or ""):
-            for p in map(self.memo.__getitem__, parts):
-                if p is None:
-                    return None
-                n_a, n_b, n = n_a + p[0], n_b + p[1], n + p[2]
-                say(before)
-                say(p[3])
-                links.append(p[4])
-                before = ";"
-        return (n_a, n_b, n, b"".join(links)) if n else None
+    def texts(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, bytes, Iterator[str]] | None]:
+        """Per text n_a, n_b, n_groups, pair keys and its groups in pieces; None: the text has no tokens."""
+        first = [next(self.parts(t), []) if t else [] for t in texts]
+        known = self.known(set(itertools.chain.from_iterable(first)))
+        for text, parts in zip(texts, first, strict=True):
+            found = list(map(known.__getitem__, parts))
+            if text and len(text) > PIECE:
+                for more in itertools.islice(self.parts(text), 1, None):
+                    found += map(self.known(set(more)).__getitem__, more)
+            if not found or None in found:
+                yield None
+                continue
+            n_a, n_b, n, groups, links = zip(*found, strict=True)
+            yield sum(n_a), sum(n_b), sum(n), b"".join(links), groups
 
 
 @lru_cache(maxsize=2)
@@ -131,8 +152,8 @@ def aligner(a_path: str, b_path: str) -> Aligner:
 
 def groups_of(text: str, a_path: str, b_path: str) -> str:
     """The alignment of one text, ``a1,a2|b1;a3|b2,b3``; '' if it has no tokens."""
-    out: list[str] = []
-    return "".join(out) if aligner(a_path, b_path).text(text, out.append) else ""
+    got = next(aligner(a_path, b_path).texts([text]))
+    return ";".join(got[4]) if got else ""
 
 
 MEASURES = "digest binary, copies bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, links binary"
@@ -144,11 +165,8 @@ def _aligned(texts: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         align = aligner(a_path, b_path)
         for b in slices(batches, "text"):
-            rows = []
-            for text in b.column("text").to_pylist():
-                sha = hashlib.sha256()
-                got = align.text(text, lambda s, sha=sha: sha.update(s.encode()))
-                rows.append((*got, sha.hexdigest()) if got else (0, 0, 0, b"", ""))
+            rows = [(*got[:4], hashlib.sha256(";".join(got[4]).encode()).hexdigest()) if got else (0, 0, 0, b"", "")
+                    for got in align.texts(b.column("text").to_pylist())]
             n_a, n_b, n, links, sha = zip(*rows, strict=True)
             count = pa.array(n, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("digest"), b.column("copies"), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), count, count,
