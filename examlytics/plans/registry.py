@@ -173,7 +173,7 @@ QUERIES: dict[str, ViewFn] = {
 }
 
 # Fixed value: the sitting that the clustered lookup fetches.
-LOOKED_UP = ("at-1-0", "t-10")
+LOOKED_UP = ("at-0-0", "t-20")
 
 # Fixed value: reference clock of the freshness alarm query.
 FRESHNESS_NOW = "2030-01-09 12:00:00"

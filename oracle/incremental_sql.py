@@ -23,7 +23,7 @@ select count(*) as total_attempts, count(distinct test_id) as tests_taken, 100.0
   avg(duration_min) as avg_duration, coalesce(cast(sum(violation_count) as bigint), 0) as total_violations from cp join one using (email)"""),
     "candidate_history_attempts": with_ctes([*CP_CTES, ("one", "select email from cp where email is not null group by email order by count(*) desc, email desc limit 1")],
                                             "select cp.* from cp join one using (email)"),
-    "attempt_lookup_clustered": with_ctes(CP_CTES, "select * from cp where assessment_taker_id = 'at-1-0' and test_id = 't-10' and attempt_number = 1"),
+    "attempt_lookup_clustered": with_ctes(CP_CTES, "select * from cp where assessment_taker_id = 'at-0-0' and test_id = 't-20' and attempt_number = 1"),
     "cascading_slicers": with_ctes([*CA_CTES, ("pool", """select attempt_year as y, cohort as c, specialization as s,
   attempt_year in ('2025', '2026') as in_y, cohort in ('2025 CDC', '2025 NSP') as in_c from ca""")], """
 select 'attempt_year' as slicer, y as value, count(*) as rows, count(*) filter (where in_c) as rows_under_others from pool where y <> '' group by y
