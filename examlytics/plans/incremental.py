@@ -13,7 +13,8 @@ from examlytics.plans import materialised, org
 from examlytics.plans.cohort import has_results
 from examlytics.plans.context import Analytics
 from examlytics.session import shared_dir
-from examlytics.sources.fixtures import read_table
+from examlytics.sources import lake
+from examlytics.sources.fixtures import NEW_LOAD, OLD_LOAD, read_table
 from examlytics.sources.ingest import CommittedSync
 
 SITTING = ["assessmenttakerid", "testid", "attemptnumber"]
@@ -83,3 +84,14 @@ def events_committed(a: Analytics) -> DataFrame:
     sync.sync(events)
     sync.sync(events)
     return sync.read()
+
+
+def reconciled_results(a: Analytics) -> DataFrame:
+    """SRC10: results whose older partition lacks a column and holds narrower and other types."""
+    rows = a.silver.testresult.select(*SITTING, "duration", "testpercentage", "numberofquestionsanswered", "load_date")
+    path = _root(a, "drifting")
+    older = F.col("load_date") == OLD_LOAD
+    lake.write_snapshot(rows.where(older).select("assessmenttakerid", "testid", F.col("attemptnumber").cast("int"), F.col("duration").cast("string"),
+                                                 F.col("testpercentage").cast("float")), path, "test_execution", "TestResult", OLD_LOAD)
+    lake.write_snapshot(rows.where(~older).drop("load_date"), path, "test_execution", "TestResult", NEW_LOAD)
+    return lake.read_reconciled(a.spark, lake.table_path(path, "test_execution", "TestResult"))

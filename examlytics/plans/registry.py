@@ -157,6 +157,7 @@ QUERIES: dict[str, ViewFn] = {
     "incremental_dimensions": incremental.dimensions,
     "assessment_summary_refreshed": incremental.assessment_summary,
     "events_committed": incremental.events_committed,
+    "reconciled_results": incremental.reconciled_results,
     # Point lookups on the clustered copy, and all option lists of a slicer chain from one scan
     "candidate_history_kpis": lambda a: m.candidate_history(a.lookups, m.busiest_email(a.cp))[0],
     "candidate_history_attempts": lambda a: m.candidate_history(a.lookups, m.busiest_email(a.cp))[1],

@@ -8,8 +8,10 @@ session), so "latest" is a lexical maximum, as in the source.
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
+from examlytics.sources.commits import folder_names
+
 # Catalog prefixes per source system (two systems both have an
 # AssessmentTaker table; the prefix keeps them apart).
 DEFAULT_PREFIXES = {"test_creation": "test_creation", "test_execution": "test_execution",
@@ -114,6 +118,54 @@ def read_dataset(spark: SparkSession, root: str, name: str, legacy_prefixes: Seq
     return spark.createDataFrame([], schema or StructType([]))
 
 
+#: Integer and floating types from narrow to wide; a mixture of both becomes double.
+_INTEGERS, _FLOATS = ("tinyint", "smallint", "int", "bigint"), ("float", "double")
+
+
+def common_type(kinds: Iterable[str]) -> str:
+    """The type that holds the values of all given ones: the widest number, text if nothing else does."""
+    kinds = set(kinds)
+    if len(kinds) == 1:
+        return next(iter(kinds))
+    if kinds <= set(_INTEGERS):
+        return max(kinds, key=_INTEGERS.index)
+    if kinds <= {*_INTEGERS, *_FLOATS}:
+        return "double"
+    if kinds <= {"date", "timestamp"}:
+        return "timestamp"
+    return "string"
+
+
+def read_reconciled(spark: SparkSession, path: str, partition_col: str = "load_date") -> DataFrame:
+    """SRC10 over drifting snapshots: partitions that disagree in columns or types, read as one table.
+
+    The schema of each partition comes from its files' footers; columns are
+    united (missing ones are NULL) and types widened by :func:`common_type`.
+    Partitions of equal schema are read together, so the plan has one scan per
+    distinct schema, and each file is read with its own types before the cast.
+    """
+    prefix = f"{partition_col}="
+    parts = [n for n in folder_names(spark, path) if n.startswith(prefix)]
+    if not parts:
+        raise FileNotFoundError(f"no {partition_col} partitions under {path}")
+    groups: dict[str, list[str]] = {}
+    for n in parts:
+        schema = spark.read.option("mergeSchema", True).parquet(f"{path}/{n}").schema
+        groups.setdefault(schema.json(), []).append(f"{path}/{n}")
+    schemas = {j: StructType.fromJson(json.loads(j)) for j in groups}
+    kinds: dict[str, set[str]] = {}
+    for schema in schemas.values():
+        for f in schema.fields:
+            kinds.setdefault(f.name, set()).add(f.dataType.simpleString())
+    frames = []
+    for j, paths in groups.items():
+        own = schemas[j].add(partition_col, "string")
+        df = spark.read.schema(own).option("basePath", path).parquet(*paths)
+        frames.append(df.select(*[(F.col(c) if c in schemas[j].names else F.lit(None)).cast(common_type(k)).alias(c) for c, k in kinds.items() if c != partition_col],
+                                partition_col))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def register_silver(spark: SparkSession, root: str, tables: Mapping[str, Sequence[str]],
                     prefixes: Mapping[str, str] = DEFAULT_PREFIXES) -> list[str]:
     """SRC11: register ``<prefix>_<table lower>`` temp views over the lake.

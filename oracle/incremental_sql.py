@@ -29,6 +29,9 @@ select count(*) as total_attempts, count(distinct test_id) as tests_taken, 100.0
 select 'attempt_year' as slicer, y as value, count(*) as rows, count(*) filter (where in_c) as rows_under_others from pool where y <> '' group by y
 union all select 'cohort', c, count(*), count(*) from pool where c <> '' and in_y group by c
 union all select 'specialization', s, count(*), count(*) from pool where s <> '' and in_y and in_c group by s"""),
+    "reconciled_results": with_ctes([], """
+select assessmenttakerid, testid, attemptnumber, cast(duration as varchar) as duration, cast(testpercentage as double) as testpercentage,
+  case when load_date > '2030-01-01' then numberofquestionsanswered end as numberofquestionsanswered, load_date from s_testresult"""),
     "events_committed": "select *, date_trunc('hour', ts) as updated_at from events",
     **{f"{v}_cube": (VIEWS | COHORT)[v] for v in ("monthly_trend", "organization_overview", "cohort_kpis", "cohort_specialization_kpis", "specialization_kpis", "cohort_progression")},
 }

@@ -148,3 +148,18 @@ def test_result_parse_failfast(spark):
     assert ok[0].p[0].questionId == "q1" and ok[1].p is None
     with pytest.raises(Exception):
         df.select(parse_results("r", mode="FAILFAST").alias("p")).collect()
+
+
+def test_drifting_partitions_are_reconciled(spark, tmp_path):
+    """Partitions that disagree in columns, integer width and kind; partitions of equal schema share a scan."""
+    from examlytics.sources import lake
+    root = str(tmp_path / "t")
+    for day, frame in (("2030-01-01", "1 as id, 2 as n, 'x' as a"), ("2030-01-02", "cast(3 as bigint) as id, 1.5D as n"), ("2030-01-03", "cast(4 as bigint) as id, 2.5D as n"),
+                       ("2030-01-04", "cast(5 as smallint) as id, 'many' as n, true as b")):
+        spark.sql(f"select {frame}").write.parquet(f"{root}/load_date={day}")
+    df = lake.read_reconciled(spark, root)
+    assert dict(df.dtypes) == {"id": "bigint", "n": "string", "a": "string", "b": "boolean", "load_date": "string"}
+    got = {r.load_date[-2:]: (r.id, r.n, r.a, r.b) for r in df.collect()}
+    assert got == {"01": (1, "2", "x", None), "02": (3, "1.5", None, None), "03": (4, "2.5", None, None), "04": (5, "many", None, True)}
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 3
+    assert lake.common_type(["int", "bigint"]) == "bigint" and lake.common_type(["int", "float"]) == "double" and lake.common_type(["date", "timestamp"]) == "timestamp"
