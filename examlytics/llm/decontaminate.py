@@ -143,12 +143,29 @@ class Shard:
             found = found[have[at] == found + k]
         return found
 
-    def near(self, lists: np.ndarray, width: int, doc_starts: np.ndarray) -> list[int]:
-        """Texts in which all terms lie within ``width`` words, found around the rarest term."""
+    def perhaps_near(self, lists: np.ndarray, length: np.ndarray, slop: int) -> np.ndarray:
+        """Windows (rows of ``lists``) whose rarest term has the next rarest close enough somewhere; all others match nowhere."""
+        size = self.starts[lists + 1] - self.starts[lists]
+        at = np.arange(len(lists))
+        rarest = lists[at, size.argmin(1)]
+        size = np.where(lists == rarest[:, None], np.iinfo(np.int32).max, size)
+        second = lists[at, size.argmin(1)]  # the rarest itself if the window has no other term
+        many = self.starts[rarest + 1] - self.starts[rarest]
+        window = np.repeat(at, many)
+        anchor = self.positions[np.arange(len(window)) - np.repeat(np.cumsum(many) - many, many) + self.starts[rarest][window]].astype(np.int64)
+        keys = np.repeat(np.arange(len(self.starts) - 1, dtype=np.int64) << 32, np.diff(self.starts)) + self.positions
+        wanted, reach = second[window].astype(np.int64) << 32, length[window] + slop - 1
+        found = np.searchsorted(keys, wanted + anchor + reach, "right") > np.searchsorted(keys, wanted + np.maximum(anchor - reach, 0))
+        return np.unique(window[found])
+
+    def near(self, lists: np.ndarray, width: int, doc_starts: np.ndarray, known: set[int]) -> list[int]:
+        """Texts in which all terms lie within ``width`` words, found around the rarest term; those known already are left out."""
         need, times = np.unique(lists, return_counts=True)
         order = np.argsort(self.starts[need + 1] - self.starts[need], kind="stable")
         need, times = need[order], times[order]
         anchors = self.postings(need[0])
+        if known:
+            anchors = anchors[[d not in known for d in (np.searchsorted(doc_starts, anchors, "right") - 1).tolist()]]
         for t, n in zip(need[1:], times[1:], strict=True):  # each term often enough on either side, the rarest first
             if not len(anchors):
                 return []
@@ -235,7 +252,13 @@ def _search_shard(row: dict, block: TestBlock, slop: int | None) -> pa.RecordBat
         lists = shard.lookup(block)[block.sequence]
         missing = np.concatenate([[0], np.cumsum(lists < 0)])
         whole = missing[block.begin + block.length] == missing[block.begin]
-        for w in np.flatnonzero(whole):
+        windows = np.flatnonzero(whole)
+        close: set[int] = set()
+        close_docs: dict[int, set] = {}
+        if slop is not None and len(windows):
+            place = np.minimum(np.arange(block.window), block.length[windows, None] - 1)
+            close = set(windows[shard.perhaps_near(lists[block.begin[windows, None] + place], block.length[windows], slop)].tolist())
+        for w in windows:
             s, k = block.begin[w], block.length[w]
             found = shard.phrase(lists[s:s + k])
             doc = np.searchsorted(doc_starts, found, "right") - 1
@@ -243,9 +266,13 @@ def _search_shard(row: dict, block: TestBlock, slop: int | None) -> pa.RecordBat
                 base = int(doc_starts[d])
                 spans.setdefault(d, []).append((p - base, p - base + int(k)))
                 items.setdefault(d, set()).add(block.item_ids[block.item[w]])
-            if slop is not None:
-                for d in shard.near(lists[s:s + k], int(k) + slop, doc_starts):
-                    near.setdefault(d, set()).add(block.item_ids[block.item[w]])
+            if int(w) in close:
+                have = close_docs.setdefault(int(block.item[w]), set())  # an exact phrase is near
+                have.update(doc.tolist())
+                have.update(shard.near(lists[s:s + k], int(k) + slop, doc_starts, have))
+        for i, docs in close_docs.items():
+            for d in docs:
+                near.setdefault(d, set()).add(block.item_ids[i])
     return pa.RecordBatch.from_pydict({
         "shard": pa.array([row["shard"]] * n, pa.string()),
         "ordinal": pa.array(range(n), pa.int32()),
