@@ -23,7 +23,8 @@ Scale:
    different surroundings of one line or passage), they are cut again by a
    longer gram, and again only strings of repeated minimisers go on, up to the
    whole window, where one bucket is one string. So a shard's size does not
-   follow a hot key's.
+   follow a hot key's, and there are as many shards as the strings need at
+   ``SHARD_BYTES`` each.
 4. Found ranges join the texts by SHA-256; copies have the same ranges.
 
 Long texts are handled in overlapping chunks of ``CHUNK`` bytes, and strings
@@ -54,6 +55,7 @@ WINDOW = 400
 GRAMS = (32, 200, 320)
 FILTER_BITS = 1 << 26
 BUCKET_BYTES = 1 << 21
+SHARD_BYTES = 1 << 21
 CHUNK = 1 << 19
 LONGEST = 1024
 PLACE_BITS = 20
@@ -255,7 +257,9 @@ def _sorted_shards(distinct: DataFrame, window: int, memory: int, base: int) ->
             pa.array(keys + [k for k, _ in whole], pa.binary()), pa.array(np.append(s, np.zeros(len(whole), np.int64))),
             pa.array(np.append(e, np.array([n for _, n in whole], np.int64)))], ["key", "s", "e"])
 
-    return distinct.repartition("mh").sortWithinPartitions("mh").mapInArrow(run, "key binary, s bigint, e bigint")
+    size = distinct.agg(F.sum(F.octet_length("packed").cast("bigint"))).first()[0] or 0
+    shards = max(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+    return distinct.repartition(shards, "mh").sortWithinPartitions("mh").mapInArrow(run, "key binary, s bigint, e bigint")
 
 
 def _hits(found: DataFrame, window: int, grams: tuple[int, ...], filter_bits: int, bucket_bytes: int, memory: int, base: int) -> DataFrame:

@@ -34,7 +34,7 @@ import numpy as np
 
 BLOCK = 1 << 16
 MEMORY = 1 << 26
-BASE = 1 << 21
+BASE = 1 << 22
 
 
 def scratch(n: int, dtype, memory: int) -> np.ndarray:
