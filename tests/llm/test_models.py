@@ -91,6 +91,31 @@ def test_toxicity_on_held_out_rows(tables):
     assert held_out_accuracy(rows, labels, "toxic", 0.5, 3) >= 0.9
 
 
+def test_toxicity_trained_in_several_shards(tables):
+    docs, labels = tables
+    model = toxicity.fit(docs, labels, F.col("doc_id") % 3 != 0, shard=40)
+    assert held_out_accuracy(toxicity.score(docs, model).collect(), labels, "toxic", 0.5, 3) >= 0.9
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A word that only labelled rows of the largest hashes have is learned too."""
+    rng = random.Random(5)
+    ids = [r.id for r in spark.range(4400).orderBy(F.xxhash64("id"), "id").collect()]
+    docs, labels = [], []
+    for place, i in enumerate(ids):
+        toxic = place % 2
+        words = [rng.choice(["the", "river", "stone", "paper", "green"]) for _ in range(8)]
+        if toxic:
+            words[rng.randrange(8)] = "scumbag" if place < 3900 else "vilest"
+        docs.append((i, " ".join(words)))
+        labels.append((i, toxic))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    probe = spark.createDataFrame([(1, "the green vilest river stone paper"), (2, "the green river stone paper"), (3, "scumbag green river")], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity.score(probe, model).collect()}
+    assert scores[1] > 0.5 and scores[3] > 0.5 and scores[2] < 0.5
+
+
 def test_scores_do_not_depend_on_slices_or_language(tables, spark):
     docs, labels = tables
     model = toxicity.fit(docs, labels, F.col("doc_id") % 3 != 0, per_class=60)
