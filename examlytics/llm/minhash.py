@@ -20,10 +20,10 @@ Work on groups of copies:
 * Then every band group that still holds two components yields the pairs
   between them, each once, not those within one (members outside the group's
   largest component are compared with the others), and only pairs that can
-  reach the threshold: the shingles that no other node of these groups has, and
+  reach the threshold: the shingles that no other node of these groups has,
   those of a head that only one of two nodes has which were both compared with
-  it (a bit for each shingle of the head), bound the similarity of the two from
-  above. Pairs of a node and its head are known already. What is left is compared by registers, and
+  it (a bit for each shingle of the head), and the slots of ``SLOTS`` that only
+  one of the two fills, bound the similarity of the two from above. Pairs of a node and its head are known already. What is left is compared by registers, and
   pairs within ``MARGIN`` below the threshold (over six standard deviations) or
   above are verified. The bounds give up no link; the registers give up a pair
   at the threshold with probability 2e-8.
@@ -59,6 +59,7 @@ FAN = 500
 NODE_BITS = 1 << 25
 BAND_BITS = 1 << 26
 SHINGLE_BITS = 1 << 26
+SLOTS = 1 << 11
 
 PROFILE = "doc_id bigint, n_shingles bigint, profile binary, registers binary, bands array<bigint>"
 
@@ -223,10 +224,11 @@ def _compared(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _reach(sets: DataFrame, marks) -> DataFrame:
-    """(node, total, common, plain) of marked nodes: weight of the shingles, the part that another node may share, and whether all weights are 1.
+    """(node, total, common, plain, slots) of marked nodes: weight of the shingles, the part that another node may share, and whether all weights are 1.
 
     Shingles count as common by a bitmap of fixed size, so ``common`` is an
-    upper bound.
+    upper bound. ``slots`` has a bit for each of ``SLOTS`` hash values that a
+    common shingle has, 64 to a word.
     """
 
     def own(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -248,11 +250,15 @@ def _reach(sets: DataFrame, marks) -> DataFrame:
             out = []
             for hashes, counts in zip(b.column("hashes").to_pylist(), b.column("counts").to_pylist(), strict=True):
                 h, w = _read(hashes, counts)
-                out.append((float(w.sum()), float(w[marked(shared.value, h)].sum()), not counts))
-            yield pa.RecordBatch.from_arrays([b.column("node"), *(pa.array([x[i] for x in out], t) for i, t in enumerate((pa.float64(), pa.float64(), pa.bool_())))],
-                                             ["node", "total", "common", "plain"])
+                often_held = marked(shared.value, h)
+                flags = np.zeros(SLOTS, bool)
+                flags[h[often_held] & np.uint64(SLOTS - 1)] = True
+                out.append((float(w.sum()), float(w[often_held].sum()), not counts, np.packbits(flags).view(np.int64)))
+            types = (pa.float64(), pa.float64(), pa.bool_(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("node"), *(pa.array([x[i] for x in out], t) for i, t in enumerate(types))],
+                                             ["node", "total", "common", "plain", "slots"])
 
-    return sets.mapInArrow(run, "node bigint, total double, common double, plain boolean")
+    return sets.mapInArrow(run, "node bigint, total double, common double, plain boolean, slots array<bigint>")
 
 
 def _reaches(threshold: float, most_a, most_b):
@@ -271,15 +277,22 @@ def _reaches(threshold: float, most_a, most_b):
 def _possible(threshold: float):
     """Whether two nodes that were not compared with each other can reach the threshold, given what each may share at most.
 
-    That is its common part. If both were compared with one head, the head's
-    shingles that only one of the two has are shared by neither.
+    That is its common part, less one for each slot that only this node's
+    common shingles have: one of them at least is not the other's. If both were
+    compared with one head, the head's shingles that only one of the two has are
+    shared by neither.
     """
     common_a, common_b = F.col("common_a"), F.col("common_b")
-    both = F.aggregate(F.zip_with("held_a", "held_b", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda n, k: n + k)
+
+    def overlap(x: str, y: str):
+        return F.aggregate(F.zip_with(x, y, lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda n, k: n + k)
+
+    both, slots = overlap("held_a", "held_b"), overlap("slots_a", "slots_b")
+    by_slots = _reaches(threshold, common_a - (F.col("n_slots_a") - slots), common_b - (F.col("n_slots_b") - slots))
     one_head = F.coalesce((F.col("head_a") == F.col("head_b")) & F.col("held_a").isNotNull() & F.col("held_b").isNotNull(), F.lit(False))
     tight = _reaches(threshold, common_a - (F.col("shared_a") - both), common_b - (F.col("shared_b") - both))
     compared = F.coalesce(F.col("head_a") == F.col("node_b"), F.lit(False)) | F.coalesce(F.col("head_b") == F.col("node_a"), F.lit(False))
-    return ~compared & _reaches(threshold, common_a, common_b) & F.when(one_head, tight).otherwise(True)
+    return ~compared & _reaches(threshold, common_a, common_b) & F.when(one_head, tight).otherwise(True) & by_slots
 
 
 def _crowded_bands(reps: DataFrame) -> DataFrame:
@@ -348,13 +361,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     star = compared.select(F.col("b").alias("node"), F.col("a").alias("head"), "shared", "held")
     nodes = mixed.select("node").distinct()
     with_heads = nodes.unionByName(nodes.join(star, "node").select(F.col("head").alias("node"))).distinct()
-    reach = _reach(sets, _marks_of(with_heads)).filter(F.col("common") >= threshold * F.col("total") * (1 - 1e-9))
+    n_slots = F.aggregate("slots", F.lit(0), lambda n, word: n + F.bit_count(word))
+    reach = _reach(sets, _marks_of(with_heads)).filter(F.col("common") >= threshold * F.col("total") * (1 - 1e-9)).withColumn("n_slots", n_slots)
     able = mixed.join(reach, "node").join(star, "node", "left").join(known.select("node", "bands"), "node")
     # Of two nodes with different roots, one at least is not of the root that most members of the band have.
     sizes = able.groupBy("band", "root").count()
     major = sizes.groupBy("band").agg(F.max(F.struct("count", "root")).alias("most")).select("band", F.col("most.root").alias("major"))
     able = keep(able.join(major, "band").withColumn("minor", F.col("root") != F.col("major")).drop("major"), "able-bands")
-    fields = ("node", "root", "total", "common", "plain", "head", "shared", "held", "minor", "bands")
+    fields = ("node", "root", "total", "common", "plain", "head", "shared", "held", "minor", "bands", "slots", "n_slots")
     side = lambda x: able.select("band", *[F.col(c).alias(f"{c}_{x}") for c in fields])
     once = ~F.col("minor_b") | (F.col("node_a") < F.col("node_b"))
     first_band = F.col("band") == F.array_min(F.array_intersect("bands_a", "bands_b"))  # a pair shows at its smallest common band only

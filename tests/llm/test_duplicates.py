@@ -275,3 +275,25 @@ def test_verified_pairs_grow_with_the_group(docs_of, monkeypatch):
             assert got == classes_by_force(rows)
     small, large = map(sum, counts)
     assert large <= 6 * small and large <= 3 * 240
+
+
+def test_unlinked_copies_of_one_text_yield_no_pairs(docs_of, monkeypatch):
+    """Copies with different passages replaced stay below the threshold; their pairs end inside the join by bands."""
+    rng, met = random.Random(3), []
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for k in range(12):
+        text = base[:7 * k + 5] + [f"e{k}.{rng.random()}" for _ in range(3)] + base[7 * k + 8:]
+        rows += [(10 * k + n, " ".join([*text, f"t{n}"])) for n in range(4)]
+    held = minhash.keep
+
+    def keep(df, name):
+        out = held(df, name)
+        met.extend(out.collect() if name == "close-pairs" else [])
+        return out
+
+    monkeypatch.setattr(minhash, "keep", keep)
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs_of(rows)).collect()}
+    assert got == {i: i // 10 * 10 for i, _ in rows}
+    across = [p for p in met if p.a // 10 != p.b // 10]
+    assert len(across) <= 20, len(across)
