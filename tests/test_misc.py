@@ -2,6 +2,7 @@
 
 import tempfile
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from examlytics.functions.html import clean_text
@@ -9,6 +10,7 @@ from examlytics.operators.combine import weighted_mean
 from examlytics.operators.joins import keyword_join, point_lookup, semi_filter
 from examlytics.plans import marts, registry
 from examlytics.plans.seeds import cohort_tag_vocabulary
+from examlytics.session import configure
 from examlytics.sources import lake
 
 
@@ -55,3 +57,13 @@ def test_candidate_history_and_clean_text(spark, analytics):
     q = clean_text(analytics.silver.question.select("id", "questiontext"), ["questiontext"])
     row = q.where(F.col("questiontext") != "").first()
     assert "<" not in row.questiontext_text and "&" not in row.questiontext_text.replace(" & ", "")
+
+
+def test_what_a_task_sorts_does_not_follow_the_table(spark):
+    """More bytes make more tasks of a shuffle than spark.sql.shuffle.partitions has, not larger ones."""
+    cols = [F.xxhash64("id", F.lit(i)).alias(f"v{i}") for i in range(4)]
+    rows = configure(spark).range(6_000_000).select("id", *cols)
+    numbered = rows.withColumn("n", F.row_number().over(Window.partitionBy("v3").orderBy("id"))).withColumn("task", F.spark_partition_id())
+    got = numbered.agg(*[F.max(f"v{i}") for i in range(4)], F.sum("n").alias("n"), F.count_distinct("task").alias("tasks")).first()
+    assert got.n == 6_000_000
+    assert got.tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
