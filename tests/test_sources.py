@@ -163,3 +163,19 @@ def test_drifting_partitions_are_reconciled(spark, tmp_path):
     assert got == {"01": (1, "2", "x", None), "02": (3, "1.5", None, None), "03": (4, "2.5", None, None), "04": (5, "many", None, True)}
     assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") == 3
     assert lake.common_type(["int", "bigint"]) == "bigint" and lake.common_type(["int", "float"]) == "double" and lake.common_type(["date", "timestamp"]) == "timestamp"
+
+
+def test_response_lists_are_made_after_the_shuffle(spark):
+    """Lines travel as numbers; neither element texts nor partial lists are shuffled."""
+    from examlytics.sources.fixtures import result_json
+    lines = spark.createDataFrame(
+        [(1, 2, 8, 9, 5.0, "R", "F"), (1, 1, 7, 9, 6.0, "A", "O"), (None, 1, 7, 9, 6.0, "A", "O")],
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_returnflag string, l_linestatus string")
+    made = result_json(lines)
+    plan = made._jdf.queryExecution().sparkPlan().toString() + made._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" in plan and "collect_list" not in plan.rsplit("Exchange", 1)[1]
+    assert "questionId" not in plan.rsplit("Exchange", 1)[1]
+    got = {r.l_orderkey: r.result for r in made.collect()}
+    first = '{"questionId":"q-7","score":6,"scored":6,"idleTime":9,"isAnswered":false,"isAnswerCorrect":true}'
+    second = '{"questionId":"q-8","score":5,"scored":0,"idleTime":9,"isAnswered":true,"isAnswerCorrect":false}'
+    assert got == {1: f"[{first},{second}]", None: f"[{first}]"}
