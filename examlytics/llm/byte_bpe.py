@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,12 +34,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from examlytics.llm.merging import Memo, merge
+from examlytics.llm.merging import Memo, merge, merge_short
 from examlytics.llm.store import keep
 from examlytics.llm.text import slices
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 10
+SCANNED = 64  # bytes of a piece up to which a scan for the lowest rank beats the heap
+REMEMBERED = 300_000  # pieces of a memo's generation
 
 
 class ByteBpe:
@@ -54,13 +57,14 @@ class ByteBpe:
         self.pattern = regex.compile(unicode_space)
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.single = [bytes([i]) for i in range(256)]
-        self.memo = Memo(self._encode_piece)
+        self.memo = Memo(self._encode_piece, limit=REMEMBERED)
 
     def _encode_piece(self, piece: str) -> bytes:
         raw = piece.encode()
         whole = self.ranks.get(raw)
-        ids = [whole] if whole is not None else [self.ranks[s] for s in merge([self.single[b] for b in raw], self.ranks)]
-        return np.array(ids, "<u4").tobytes()
+        join = merge_short if len(raw) <= SCANNED else merge
+        ids = [whole] if whole is not None else [self.ranks[s] for s in join([self.single[b] for b in raw], self.ranks)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def boundaries(self, text: str) -> list[int]:
         """Ends of the pre-tokens of a text."""

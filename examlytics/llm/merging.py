@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from heapq import heapify, heappop, heappush
 
+UNRANKED = float("inf")
+
 
 def merge(symbols: list, rank: dict) -> list:
     """Merge adjacent symbols, lowest rank first (leftmost among equals), until no pair has a rank.
@@ -44,17 +46,43 @@ def merge(symbols: list, rank: dict) -> list:
     return [s for s in symbol if s is not None]
 
 
+def merge_short(symbols: list, rank: dict) -> list:
+    """As :func:`merge`, by a scan for the lowest rank before each merge: faster for few symbols, O(n^2) for many."""
+    symbol, get = list(symbols), rank.get
+    ranks = [get(a + b, UNRANKED) for a, b in zip(symbol, symbol[1:])]
+    while ranks:
+        lowest = min(ranks)
+        if lowest == UNRANKED:
+            break
+        i = ranks.index(lowest)
+        symbol[i] += symbol.pop(i + 1)
+        del ranks[i]
+        if i:
+            ranks[i - 1] = get(symbol[i - 1] + symbol[i], UNRANKED)
+        if i < len(ranks):
+            ranks[i] = get(symbol[i] + symbol[i + 1], UNRANKED)
+    return symbol
+
+
 class Memo(dict):
-    """A dictionary that computes missing values and forgets all of them when it is full."""
+    """A dictionary that computes missing values.
+
+    When it is full its values become the older generation, and the one before
+    is forgotten: at most ``2 * limit`` values are held, and one that is asked
+    for again in time is not computed again.
+    """
 
     def __init__(self, compute, limit: int = 200_000, longest: int = 48):
         super().__init__()
-        self.compute, self.limit, self.longest = compute, limit, longest
+        self.compute, self.limit, self.longest, self.older = compute, limit, longest, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= self.longest:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value

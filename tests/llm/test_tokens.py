@@ -57,6 +57,26 @@ def test_memo_is_bounded():
     assert len(memo) <= 3 and "eeeee" not in memo
 
 
+def test_memo_keeps_the_generation_before():
+    from examlytics.llm.merging import Memo
+    computed = []
+    memo = Memo(lambda k: computed.append(k) or len(k), limit=3, longest=4)
+    for k in ("a", "b", "c", "d", "c", "a", "d", "b"):
+        assert memo[k] == 1
+    assert computed == ["a", "b", "c", "d"]
+    assert len(memo) <= 3 and len(memo.older) <= 3
+
+
+def test_short_merge_equals_the_heap():
+    from examlytics.llm.merging import merge_short
+    rng = random.Random(7)
+    for _ in range(2000):
+        alphabet = "ab" if rng.random() < 0.5 else "abc"
+        rank = {"".join(rng.choice(alphabet) for _ in range(rng.randint(2, 5))): i for i in range(rng.randint(0, 12))}
+        symbols = [rng.choice(alphabet) for _ in range(rng.randint(0, 40))]
+        assert merge_short(symbols, rank) == merge(symbols, rank), (symbols, rank)
+
+
 def test_chunks_meet_where_pre_tokens_agree(spark, docs_of, library):
     long = texts(25, 900, 3) + ["ab " * 400, "x" * 700, " " * 500, "y" * 90 + " z" * 300, "", None]
     rows = [(i, t) for i, t in enumerate(long)] + [(3, long[3]), (None, "null id " * 30)]
