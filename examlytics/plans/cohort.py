@@ -88,18 +88,22 @@ def cohort_attempt(spark: SparkSession, cp: DataFrame, silver: Silver, algo: str
         F.col("taker_id").alias("tc_taker_id"), F.col("program_type").alias("tc_program_type"),
         F.col("cohort_year").alias("tc_cohort_year"), F.col("assessment_type").alias("tc_assessment_type"))
     test = dimension(latest_by_id(silver.test, "domainid").select(F.col("id").alias("te_id"), "domainid"), "test-domains")
-    dom = dimension(latest_by_id(silver.domain, "name").select(F.col("id").alias("d_id"), F.col("name").alias("domain_name")), "domains")
+    # Crosswalk and bucket depend on the domain's name alone: once per domain, not per attempt.
+    dom = seeds.norm_join(latest_by_id(silver.domain, "name").select(F.col("id").alias("d_id"), F.col("name").alias("domain_name")),
+                          "domain_name", cw, "cw")
+    if force_map:
+        dom = dom.withColumn("d_bucket", fx.hash_bucket("domain_name", seeds.FORCE_MAP_SPECIALIZATIONS, algo))
+    dom = dimension(dom, "domains")
     keyed = cp.withColumn("__taker", spread_nulls("assessment_taker_id", "test_id", "attempt_number"))
     j = (keyed.join(tc, F.col("__taker") == F.col("tc_taker_id"), "left")
          .join(test, F.col("test_id") == F.col("te_id"), "left")
          .join(dom, F.col("domainid") == F.col("d_id"), "left"))
-    j = seeds.norm_join(j, "domain_name", cw, "cw")
 
     excluded = F.coalesce(F.col("cw_is_excluded"), F.lit(False))
     if force_map:
         spec = F.coalesce(F.when(F.col("cw_is_excluded") == F.lit(False), F.col("cw_specialization")),
-                          fx.hash_bucket(F.coalesce("domain_name", "test_id", "email"),
-                                         seeds.FORCE_MAP_SPECIALIZATIONS, algo))
+                          F.col("d_bucket"),
+                          fx.hash_bucket(F.coalesce("test_id", "email"), seeds.FORCE_MAP_SPECIALIZATIONS, algo))
         program = F.coalesce(F.col("tc_program_type"),
                              fx.hash_bucket("email", seeds.FORCE_MAP_PROGRAMS, algo))
         is_excluded = F.lit(False)

@@ -99,3 +99,12 @@ def test_rankings_of_candidates_aggregate_the_facts_once(analytics):
         assert count(kept) * 2 < count(plain)
         facts = {f.rsplit("/", 1)[0] for f in analytics.ca().inputFiles()}
         assert not facts & {f.rsplit("/", 1)[0] for f in kept.inputFiles()}
+
+
+def test_crosswalk_is_joined_to_the_domains_not_to_the_attempts(spark, analytics):
+    from examlytics.plans import cohort
+    for force_map in (True, False):
+        dims = {}
+        cohort.cohort_attempt(spark, analytics.cp, analytics.silver, algo="md5", force_map=force_map,
+                              dimension=lambda df, name: dims.setdefault(name, df))
+        assert {"cw_specialization", "cw_is_excluded"} <= set(dims["domains"].columns)
