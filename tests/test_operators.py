@@ -153,3 +153,17 @@ def test_exact_quantiles_match_numpy(spark):
     for g in ("g0", "g1", "g2", "one"):
         v = [x for k, x in rows if k == g and x is not None]
         assert np.allclose(got[g], np.quantile(v, [0.25, 0.5, 0.9]))
+
+
+def test_slice_search_is_compiled_and_finds_every_place(spark):
+    from examlytics.operators.windows import _with_slice
+    df = spark.createDataFrame([(float(i % 50),) for i in range(400)] + [(None,), (float("nan"),)], "v double").withColumn("b", F.col("v"))
+    for parts in (2, 7, 33, 200):
+        out = _with_slice(df, "b", parts)
+        assert "lambda" not in out._jdf.queryExecution().executedPlan().toString()
+        rows = [(r.v, r["__slice"]) for r in out.collect()]
+        assert {s for v, s in rows if v is None} == {parts}
+        numbers = sorted((v, s) for v, s in rows if v is not None and v == v)
+        places = [s for _, s in numbers]
+        assert places == sorted(places) and max(places) < parts and len(set(places)) > min(parts, 50) // 2
+        assert all(places[-1] <= s < parts for v, s in rows if v is not None and v != v)
