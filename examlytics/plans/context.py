@@ -86,9 +86,9 @@ class Analytics:
 
     @cached_property
     def history(self) -> DataFrame:
-        """P1 profile history (training base with per-frame sitting numbers; persisted)."""
+        """P1 profile history (training base with per-frame sitting numbers; the rows numbered for it persisted)."""
         from examlytics.plans.profile import history
-        return self._keep(history(self.base, numbered=True), "profile-history")
+        return history(self.base, numbered=True, keep=lambda df: self._keep(df, "profile-history"))
 
     @cached_property
     def retake(self) -> DataFrame:

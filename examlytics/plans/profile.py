@@ -12,6 +12,8 @@ a single-task window or collect.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,15 +30,16 @@ def _hist_key() -> Column:
                     F.coalesce("test_id", F.lit("")), F.coalesce("assessment_taker_id", F.lit("")))
 
 
-def history(peer: DataFrame, numbered: bool = False) -> DataFrame:
+def history(peer: DataFrame, numbered: bool = False, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """The peer rows with ``pseq``, the sitting number per (e-mail, test) in this frame.
 
     ``numbered``: no slicer was applied since ``seq`` was made, so it is the
-    same number; only rows without one (no test id) are numbered here.
+    same number; only rows without one (no test id) are numbered here, and
+    only they go through ``keep`` (the others are read from ``peer``).
     """
     if numbered:
         known = peer.where(F.col("email").isNotNull() & F.col("seq").isNotNull()).withColumn("pseq", F.col("seq"))
-        return known.unionByName(history(peer.where(F.col("email").isNotNull() & F.col("seq").isNull())).select(*known.columns))
+        return known.unionByName(keep(history(peer.where(F.col("email").isNotNull() & F.col("seq").isNull())).select(*known.columns)))
     return sequence_over(peer.where(F.col("email").isNotNull()), ["email", "test_id"],
                          ["start_time", "assessment_taker_id", "attempt_number"], out="pseq")
 

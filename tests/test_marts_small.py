@@ -53,3 +53,16 @@ def test_roster_rank_and_watchlist(spark):
     assert [(r.email, r.integrity_risk) for r in wl] == [("a@x", 6.0)]
     acc = m.question_accuracy(b).first().question_accuracy_pct
     assert abs(acc - (0.5 + 0.9 + 1.0) / 3 * 100) < 1e-9
+
+
+def test_history_keeps_only_the_rows_it_numbers(spark):
+    from examlytics.plans import profile
+    rows = [("a@x", "t1", 1, "k1", 1), ("a@x", "t1", 2, "k1", 2), ("a@x", None, None, "k1", 1), ("a@x", None, None, "k2", 2),
+            ("b@x", "t1", 1, "k3", 1), (None, "t1", None, "k4", 1), (None, None, None, "k5", 1)]
+    peer = spark.createDataFrame(rows, "email string, test_id string, seq long, assessment_taker_id string, attempt_number long").selectExpr(
+        "*", "timestamp_ntz '2025-01-01 00:00:00' as start_time")
+    kept = []
+    hist = profile.history(peer, numbered=True, keep=lambda df: kept.append(df) or df)
+    assert len(kept) == 1 and kept[0].where("seq is not null or email is null").count() == 0 and kept[0].count() == 2
+    got = sorted((r.email, r.test_id or "", r.assessment_taker_id, r.pseq) for r in hist.collect())
+    assert got == [("a@x", "", "k1", 1), ("a@x", "", "k2", 2), ("a@x", "t1", "k1", 1), ("a@x", "t1", "k1", 2), ("b@x", "t1", "k3", 1)]
