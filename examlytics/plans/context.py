@@ -86,9 +86,15 @@ class Analytics:
 
     @cached_property
     def history(self) -> DataFrame:
-        """P1 profile history (training base with per-frame sitting numbers; the rows numbered for it persisted)."""
+        """P1 profile history (training base with per-frame sitting numbers; persisted)."""
         from examlytics.plans.profile import history
-        return history(self.base, numbered=True, keep=lambda df: self._keep(df, "profile-history"))
+        return self._keep(history(self.base, numbered=True), "profile-history")
+
+    @cached_property
+    def history_rows(self) -> DataFrame:
+        """The same rows read from the training base; only those numbered for the history are written."""
+        from examlytics.plans.profile import history
+        return history(self.base, numbered=True, keep=lambda df: self._keep(df, "profile-history-numbered"))
 
     @cached_property
     def retake(self) -> DataFrame:
@@ -129,5 +135,5 @@ class Analytics:
         for df in self._kept:
             discard(df)
         self._kept.clear()
-        for k in ("cp", "_ca", "_candidates", "base", "history", "retake", "qp", "responses", "executive_cube", "cohort_cube", "lookups"):
+        for k in ("cp", "_ca", "_candidates", "base", "history", "history_rows", "retake", "qp", "responses", "executive_cube", "cohort_cube", "lookups"):
             self.__dict__.pop(k, None)
