@@ -42,6 +42,51 @@ def test_nearest_of_nothing(spark):
     assert neighbours.nearest(vectors(spark, [(10, [1.0])]), F.col("vec_id") % 10 == 0).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e-25])  # by float32 and by float64 products
+def test_nearest_in_a_cell_of_copies(scale):
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(3000, 6)) * scale).astype(np.float32)
+    x[500:1500] = x[1]  # one vector a thousand times, and vectors next to it
+    x[1500:1600] = np.nextafter(x[1], np.float32(1))
+    ids = rng.permutation(3000)
+    asked = np.flatnonzero(ids % 4 == 0)
+    cell = neighbours._Cell([6, 0, 0], 512, 10)
+    for side, rows in ((neighbours.QUERY, asked), (neighbours.CANDIDATE, np.arange(3000))):
+        for s in range(0, len(rows), 400):
+            cell.add(side, ids[rows[s:s + 400]], x[rows[s:s + 400]])
+    got = sorted((s["query_id"], s["score"], s["vec_id"]) for b in cell.result() for s in b.to_pylist())
+    want = []
+    for q in asked:
+        d = np.sqrt(np.cumsum((x[q].astype(float) - x.astype(float)) ** 2, axis=1)[:, -1])
+        want += [(ids[q], d[c], ids[c]) for c in np.lexsort((ids, d))[:11] if c != q][:10]
+    assert got == sorted(want)
+
+
+def test_nearest_grid_follows_the_tables():
+    # 6 GB of embeddings: no copy of a candidate, and copies of the queries below a quarter of the candidates.
+    size = 5 * 64 + 32 + 160
+    assert neighbours.grid(236_000, 236_000 * size, 23_600_000, 600) == (1, 46)
+    for n, parallel in ((2_000, 12), (615_000, 600), (23_600_000, 4000), (100_000_000, 4000)):
+        rows, columns = neighbours.grid(n // 100, n // 100 * size, n, parallel)
+        assert n // 100 * size / rows <= neighbours.QUERY_BYTES and n / columns <= neighbours.CANDIDATE_ROWS
+        assert n // 100 * (columns - 1) <= max(rows * n / 4, n // 100 * n / neighbours.CANDIDATE_ROWS)
+    assert neighbours.grid(0, 0, 0, 8) == (1, 1)
+
+
+def test_nearest_broadcasts_no_vectors(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=4).astype(np.float32).tolist()) for i in range(100)]
+    try:
+        # Spark's default: before, the few queries were broadcast with a copy for each column.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+        got = neighbours.nearest(vectors(spark, rows), F.col("vec_id") % 10 == 0, 3, columns=20)
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r) for r in got.collect()) == nearest_by_force(rows, 10, 3)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def corpus(seed, n=240):
     """Clean prose, junk of several kinds, and toxic words inside prose, in two languages."""
     rng = random.Random(seed)
